@@ -24,6 +24,7 @@ from kickstar import fixed
 from kickstar.functions import exprs as X
 from kickstar.operators import agg as A
 from kickstar.operators import windows as W
+from kickstar.plans import measures as M
 from kickstar.plans import star
 
 # defaults (original report literal -> driver-data member)
@@ -312,3 +313,232 @@ def bq_mv_season_rates(spark: SparkSession, sf_dir: str, seasons: Sequence[str]
     return g.select("season_label", "matches",
                     A.ratio_of_sums(F.col("wins"), F.col("matches"), 100.0).alias("win_rate_pct"),
                     A.ratio_of_sums(F.col("points"), F.col("matches")).alias("points_per_match"))
+
+
+# ------------------------------------------------------------------ player performance (Q 2, 9, 11; P2; C4)
+
+FIVE_COMPETITIONS = ("COMP31", "COMP11", "COMP21", "COMP41", "COMP51")   # ('GB1','ES1','L1','IT1','FR1')
+REFEREE_UNKNOWN = fixed.UNKNOWN
+EXCLUDED_POSITIONS = (fixed.UNKNOWN, "Missing")
+
+
+def _appearances(spark: SparkSession, sf_dir: str, season: str | None = None,
+                 competitions: Sequence[str] | None = None) -> DataFrame:
+    fa = star.player_appearance(spark, sf_dir)
+    if season is not None:
+        fa = fa.join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
+    if competitions is not None:
+        fa = fa.join(_competitions(spark, sf_dir, competitions), "competition_key", "left_semi")
+    return fa
+
+
+def _players(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    return star.dim_player(spark, sf_dir).select("player_key", *cols)
+
+
+def bq_top_scorers(spark: SparkSession, sf_dir: str, min_minutes: int = 45, min_goals: int = 2,
+                   top: int = 3) -> DataFrame:
+    """Top scorers per season × competition (DENSE_RANK on goals, assists <= top).
+
+    Report thresholds were 900 minutes and 10 goals; defaults fit the driver data."""
+    fa = star.player_appearance(spark, sf_dir).filter(F.col("minutes_played") > 0)
+    keys = ["season_key", "competition_key", "player_key", "club_key"]
+    sums = {"total_matches_played": F.sum("appearance_count"), "total_minutes": F.sum("minutes_played"),
+            "total_goals": F.sum("goals"), "total_assists": F.sum("assists")}
+    per = fa.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items()])
+    per = (per.join(F.broadcast(star.dim_season(spark).select("season_key", "season_label")), "season_key")
+           .join(F.broadcast(star.dim_competition(spark, sf_dir).select("competition_key", "competition_name")),
+                 "competition_key")
+           .join(_players(spark, sf_dir, "full_name"), "player_key")
+           .join(_clubs(spark, sf_dir), "club_key"))
+    g = per.groupBy("season_label", "competition_name", F.col("full_name").alias("player_name"), "club_name") \
+        .agg(*[F.sum(n).alias(n) for n in sums])
+    g = g.filter((F.col("total_minutes") >= min_minutes) & (F.col("total_goals") >= min_goals))
+    r = W.top_per_group(g, ["season_label", "competition_name"], [F.desc("total_goals"), F.desc("total_assists")],
+                        top, name="rank_top_scorer")
+    return r.select("season_label", "competition_name", "rank_top_scorer", "player_name", "club_name",
+                    "total_matches_played", "total_minutes", "total_goals", "total_assists",
+                    (F.col("total_goals") + F.col("total_assists")).alias("goal_contributions"),
+                    A.ratio_of_sums(F.col("total_minutes"), F.col("total_goals")).alias("minutes_per_goal"),
+                    A.ratio_of_sums(F.col("total_goals") + F.col("total_assists"), F.col("total_minutes"), 90.0)
+                    .alias("contributions_per_90"))
+
+
+def _player_sums(fa: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    return fa.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items()])
+
+
+def p1_scorers(spark: SparkSession, sf_dir: str, competition: str = COMPETITION, season: str = "1997/98",
+               n: int = 5) -> DataFrame:
+    fa = _appearances(spark, sf_dir, season, [competition]).filter(F.col("player_key") > 0)
+    per = _player_sums(fa, ["player_key"], {"goals": F.sum("goals"), "assists": F.sum("assists"),
+                                             "minutes": F.sum("minutes_played")})
+    per = per.join(_players(spark, sf_dir, "full_name"), "player_key")
+    per = per.select("player_key", "full_name", "goals", "assists", "minutes",
+                     A.ratio_of_sums(F.col("goals"), F.col("minutes"), 90.0).alias("goals_per_90"))
+    return W.top_n(per, n, [F.desc("goals"), F.desc("assists"), F.asc("player_key")])
+
+
+def p2_striker_efficiency(spark: SparkSession, sf_dir: str, competition: str = COMPETITION,
+                          season: str = "1997/98", position: str = "Attack", min_minutes: int = 45,
+                          n: int = 5) -> DataFrame:
+    """Goals per 90 of one position, minimum minutes (report: 900)."""
+    fa = _appearances(spark, sf_dir, season, [competition]).filter(F.col("player_key") > 0)
+    per = _player_sums(fa, ["player_key"], {"goals": F.sum("goals"), "minutes": F.sum("minutes_played")})
+    pl = star.dim_player(spark, sf_dir).filter(F.col("position") == position) \
+        .select("player_key", "full_name", "sub_position")
+    per = per.join(pl, "player_key").filter(F.col("minutes") >= min_minutes)
+    per = per.select("player_key", "full_name", "sub_position", "goals", "minutes",
+                     A.ratio_of_sums(F.col("goals"), F.col("minutes"), 90.0).alias("goals_per_90"))
+    return W.top_n(per, n, [F.desc_nulls_last("goals_per_90"), F.asc("player_key")])
+
+
+def p3_most_used(spark: SparkSession, sf_dir: str, season: str = "1997/98", n: int = 5) -> DataFrame:
+    fa = _appearances(spark, sf_dir, season).filter(F.col("player_key") > 0)
+    per = _player_sums(fa, ["player_key", "club_key"], {"appearances": F.sum("appearance_count"),
+                                                         "minutes": F.sum("minutes_played")})
+    per = per.join(_players(spark, sf_dir, "full_name"), "player_key").join(_clubs(spark, sf_dir), "club_key")
+    per = per.select("player_key", "full_name", "club_key", "club_name", "appearances", "minutes")
+    return W.top_n(per, n, [F.desc("appearances"), F.desc("minutes"), F.asc("player_key"), F.asc("club_key")])
+
+
+def p4_goals_by_position(spark: SparkSession, sf_dir: str, season: str = "1997/98",
+                         competitions: Sequence[str] = FIVE_COMPETITIONS) -> DataFrame:
+    fa = _appearances(spark, sf_dir, season, competitions).filter(F.col("player_key") > 0)
+    pl = star.dim_player(spark, sf_dir).filter(F.col("position") != fixed.UNKNOWN).select("player_key", "position")
+    comp = F.broadcast(star.dim_competition(spark, sf_dir).select("competition_key", "competition_name"))
+    return M.evaluate(fa, ["competition_name", "position"], ["m_goals", "m_assists", "m_minutes"],
+                      dims=[(pl, "player_key"), (comp, "competition_key")]) \
+        .select("competition_name", "position", F.col("m_goals").alias("goals"),
+                F.col("m_assists").alias("assists"), F.col("m_minutes").alias("minutes"))
+
+
+def _referee_cards(fa: DataFrame, spark: SparkSession, sf_dir: str, measures: Sequence[str]) -> DataFrame:
+    ref = star.dim_match(spark, sf_dir).filter(F.col("referee") != REFEREE_UNKNOWN).select("match_key", "referee")
+    return M.evaluate(fa, ["referee"], measures, dims=[(ref, "match_key")])
+
+
+def p5_strict_referees(spark: SparkSession, sf_dir: str, season: str = "1997/98", min_matches: int = 10,
+                       n: int = 5) -> DataFrame:
+    g = _referee_cards(_appearances(spark, sf_dir, season), spark, sf_dir, ["cards_per_match"])
+    g = g.filter(F.col("m_distinct_matches") >= min_matches)
+    g = g.select("referee", F.col("m_distinct_matches").alias("matches"), F.col("m_yellow").alias("yellows"),
+                 F.col("m_red").alias("reds"), "cards_per_match")
+    return W.top_n(g, n, [F.desc_nulls_last("cards_per_match"), F.asc("referee")])
+
+
+def p6_young_minutes(spark: SparkSession, sf_dir: str, season: str = "1997/98", max_age: int = 21,
+                     n: int = 5) -> DataFrame:
+    fa = _appearances(spark, sf_dir, season).filter(F.col("player_key") > 0)
+    per = _player_sums(fa, ["player_key", "season_key"], {"minutes": F.sum("minutes_played"),
+                                                           "appearances": F.sum("appearance_count"),
+                                                           "goals": F.sum("goals")})
+    pl = star.dim_player(spark, sf_dir).filter(F.col("date_of_birth").isNotNull()) \
+        .select("player_key", "full_name", "date_of_birth")
+    per = per.join(pl, "player_key").join(F.broadcast(star.dim_season(spark)), "season_key")
+    per = per.withColumn("age", X.season_age(F.col("season_start_year"), F.col("date_of_birth"))) \
+        .filter(F.col("age") < max_age)
+    g = per.groupBy("player_key", "full_name", "age").agg(*[F.sum(c).alias(c) for c in
+                                                            ("minutes", "appearances", "goals")])
+    return W.top_n(g, n, [F.desc("minutes"), F.asc("player_key")])
+
+
+def bq_strict_referees(spark: SparkSession, sf_dir: str, min_matches: int = 50, n: int = 10) -> DataFrame:
+    g = _referee_cards(star.player_appearance(spark, sf_dir), spark, sf_dir, ["total_cards", "cards_per_match"])
+    g = g.filter(F.col("m_distinct_matches") >= min_matches)
+    g = g.select("referee", F.col("m_distinct_matches").alias("matches"), F.col("m_yellow").alias("yellows"),
+                 F.col("m_red").alias("reds"), "total_cards", "cards_per_match")
+    return W.top_n(g, n, [F.desc_nulls_last("cards_per_match"), F.asc("referee")])
+
+
+def bq_cards_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pl = star.dim_player(spark, sf_dir).filter(~F.col("position").isin(*EXCLUDED_POSITIONS)) \
+        .select("player_key", "position")
+    g = M.evaluate(star.player_appearance(spark, sf_dir), ["position"], ["total_cards"], dims=[(pl, "player_key")])
+    g = g.select("position", F.col("m_yellow").alias("yellows"), F.col("m_red").alias("reds"), "total_cards")
+    return W.share_of_partition(g, "total_cards", [], "pct")
+
+
+def bq_fair_play(spark: SparkSession, sf_dir: str, competition: str = COMPETITION, season: str = SEASON,
+                 n: int = 5) -> DataFrame:
+    fa = _appearances(spark, sf_dir, season, [competition])
+    per = _player_sums(fa, ["club_key"], {"yellows": F.sum("yellow_cards"), "reds": F.sum("red_cards")})
+    g = per.join(_clubs(spark, sf_dir), "club_key").groupBy("club_name").agg(
+        F.sum("yellows").alias("yellows"), F.sum("reds").alias("reds"))
+    g = g.select("club_name", "yellows", "reds", (F.col("yellows") + F.col("reds")).alias("total_cards"),
+                 (F.col("yellows") * 1 + F.col("reds") * 3).alias("discipline_points"))
+    return W.top_n(g, n, [F.desc("discipline_points"), F.asc("club_name")])
+
+
+def bq_player_career(spark: SparkSession, sf_dir: str, player: str = CAREER_PLAYER) -> DataFrame:
+    """One player's seasons: running total, 3-season moving average, LAG/LEAD, growth, career share.
+
+    SQL window semantics (walk the rows with data); the MDX form that walks the season
+    dimension is ``c_player_career_members``."""
+    pl = star.dim_player(spark, sf_dir).filter(F.col("full_name") == player).select("player_key")
+    fa = star.player_appearance(spark, sf_dir).join(F.broadcast(pl), "player_key", "left_semi")
+    per = fa.groupBy("season_key").agg(F.sum("goals").alias("goals"), F.sum("assists").alias("assists"),
+                                       F.sum("minutes_played").alias("minutes"))
+    per = per.join(F.broadcast(star.dim_season(spark).select("season_key", "season_label")), "season_key")
+    w = Window.orderBy("season_key")            # one player's seasons: bounded
+    lag = F.lag("goals").over(w)
+    return per.select(
+        "season_label", "goals", "assists", "minutes",
+        F.sum("goals").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("goals_running"),
+        F.avg(F.col("goals").cast("double")).over(w.rowsBetween(-2, 0)).alias("goals_moving_avg_3"),
+        lag.alias("goals_prev"), F.lead("goals").over(w).alias("goals_next"),
+        A.ratio_of_sums(F.col("goals") - lag, lag, 100.0).alias("growth_pct"),
+        A.ratio_of_sums(F.col("goals"), F.sum("goals").over(Window.partitionBy()), 100.0).alias("career_share_pct"))
+
+
+# ------------------------------------------------------------------ discipline cube (C4)
+
+def _disc_clubs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.dim_club(spark, sf_dir).select("club_key", "club_name")
+
+
+def d4_goals_per_card(spark: SparkSession, sf_dir: str, season: str = SEASON, min_matches: int = 30,
+                      n: int = 10) -> DataFrame:
+    fa = _appearances(spark, sf_dir, season)
+    g = M.evaluate(fa, ["club_key", "club_name"], ["total_cards", "goals_per_card", "m_distinct_matches"],
+                   dims=[(_disc_clubs(spark, sf_dir), "club_key")])
+    g = g.filter(F.col("m_distinct_matches") >= min_matches)
+    g = g.select("club_key", "club_name", F.col("m_goals").alias("goals"), "total_cards", "goals_per_card")
+    return W.top_n(g, n, [F.desc_nulls_last("goals_per_card"), F.asc("club_key")])
+
+
+def d5_cards_drilldown(spark: SparkSession, sf_dir: str, confederation: str = "EUROPE",
+                       season: str = SEASON) -> DataFrame:
+    """Children (countries) of one confederation, ordered by cards per match."""
+    from kickstar.plans import cube
+    comp = star.dim_competition(spark, sf_dir).select("competition_key", "confederation", "country_name")
+    out = cube.cube_drilldown(_appearances(spark, sf_dir, season), "confederation", confederation, "country_name",
+                              ["total_cards", "cards_per_match"], "cards_per_match",
+                              dims=[(F.broadcast(comp), "competition_key")])
+    return out.select("country_name", F.col("m_distinct_matches").alias("matches"), "total_cards",
+                      "cards_per_match")
+
+
+def d6_cards_by_round_type(spark: SparkSession, sf_dir: str, season: str = SEASON) -> DataFrame:
+    m = star.dim_match(spark, sf_dir).select("match_key", "round_type")
+    g = M.evaluate(_appearances(spark, sf_dir, season), ["round_type"], ["cards_per_match"], dims=[(m, "match_key")])
+    return g.select("round_type", F.col("m_distinct_matches").alias("matches"), F.col("m_yellow").alias("yellows"),
+                    F.col("m_red").alias("reds"), "cards_per_match")
+
+
+def d7_minutes_per_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kickstar.plans import cube
+    pl = cube.except_members(star.dim_player(spark, sf_dir), "position", EXCLUDED_POSITIONS) \
+        .select("player_key", "position")
+    g = M.evaluate(star.player_appearance(spark, sf_dir), ["position"], ["minutes_per_yellow"],
+                   dims=[(pl, "player_key")])
+    return g.select("position", F.col("m_minutes").alias("minutes"), F.col("m_yellow").alias("yellows"),
+                    "minutes_per_yellow")
+
+
+def d8_red_rate_referees(spark: SparkSession, sf_dir: str, min_matches: int = 50, n: int = 10) -> DataFrame:
+    g = _referee_cards(star.player_appearance(spark, sf_dir), spark, sf_dir, ["red_per_match", "red_share"])
+    g = g.filter(F.col("m_distinct_matches") >= min_matches)
+    g = g.select("referee", F.col("m_distinct_matches").alias("matches"), F.col("m_red").alias("reds"),
+                 "red_per_match", "red_share")
+    return W.top_n(g, n, [F.desc_nulls_last("red_per_match"), F.asc("referee")])

@@ -29,6 +29,22 @@ QUERIES: dict[str, Query] = {
     "q_bq_goals_rollup": Q.bq_goals_rollup,
     "q_bq_mv_standings": Q.bq_mv_standings,
     "q_bq_mv_season_rates": Q.bq_mv_season_rates,
+    "q_bq_top_scorers": Q.bq_top_scorers,
+    "q_p1_scorers": Q.p1_scorers,
+    "q_p2_striker_efficiency": Q.p2_striker_efficiency,
+    "q_p3_most_used": Q.p3_most_used,
+    "q_p4_goals_by_position": Q.p4_goals_by_position,
+    "q_p5_strict_referees": Q.p5_strict_referees,
+    "q_p6_young_minutes": Q.p6_young_minutes,
+    "q_bq_strict_referees": Q.bq_strict_referees,
+    "q_bq_cards_by_position": Q.bq_cards_by_position,
+    "q_bq_fair_play": Q.bq_fair_play,
+    "q_bq_player_career": Q.bq_player_career,
+    "q_d4_goals_per_card": Q.d4_goals_per_card,
+    "q_d5_cards_drilldown": Q.d5_cards_drilldown,
+    "q_d6_cards_by_round_type": Q.d6_cards_by_round_type,
+    "q_d7_minutes_per_yellow": Q.d7_minutes_per_yellow,
+    "q_d8_red_rate_referees": Q.d8_red_rate_referees,
 }
 
 
