@@ -542,3 +542,227 @@ def d8_red_rate_referees(spark: SparkSession, sf_dir: str, min_matches: int = 50
     g = g.select("referee", F.col("m_distinct_matches").alias("matches"), F.col("m_red").alias("reds"),
                  "red_per_match", "red_share")
     return W.top_n(g, n, [F.desc_nulls_last("red_per_match"), F.asc("referee")])
+
+
+# ------------------------------------------------------------------ market: valuations and transfers (Q 3-5, 8, 9; P3)
+
+VALUE_YEAR = 2024           # the reports use 2024 and 2011-2014
+NET_SPEND_SEASON = SEASON   # '2024/25'
+
+
+def _mil(c: Column | str) -> Column:
+    return _dbl(c) / F.lit(1_000_000.0)
+
+
+def bq_value_by_age(spark: SparkSession, sf_dir: str, year_from: int = 2021, year_to: int = 2024) -> DataFrame:
+    """Valuation level and growth per year × age bracket, with the bracket's share of the year's growth."""
+    fv = star.player_valuation(spark, sf_dir)
+    fv = fv.withColumn("valuation_year", (F.col("date_key") / 10000).cast("int")) \
+        .filter(F.col("market_value_eur").isNotNull() & F.col("age_at_valuation").isNotNull()
+                & F.col("valuation_year").between(year_from, year_to))
+    chg = F.col("value_change_eur")
+    g = fv.groupBy("valuation_year", X.age_bracket4(F.col("age_at_valuation")).alias("age_bracket")).agg(
+        F.count_distinct("player_key").alias("unique_players_evaluated"),
+        F.avg(_dbl("market_value_eur")).alias("__avg"),
+        F.max("market_value_eur").alias("__peak"),
+        F.sum(F.when(chg > 0, chg).otherwise(0)).alias("__inc"),
+        F.sum(F.when(chg < 0, F.abs(chg)).otherwise(0)).alias("__dec"))
+    g = W.share_of_partition(g, "__inc", ["valuation_year"], "share_of_annual_growth_pct")
+    return g.select("valuation_year", "age_bracket", "unique_players_evaluated",
+                    (F.col("__avg") / F.lit(1_000_000.0)).alias("avg_market_value_mil_eur"),
+                    _mil("__peak").alias("peak_player_market_value_mil"),
+                    _mil("__inc").alias("total_value_increase_mil_eur"),
+                    _mil("__dec").alias("total_value_decrease_mil_eur"),
+                    (_mil("__inc") - _mil("__dec")).alias("net_valuation_growth_mil"),
+                    "share_of_annual_growth_pct")
+
+
+def _transfers(spark: SparkSession, sf_dir: str, seasons: Sequence[str] | None = None) -> DataFrame:
+    ft = star.transfer(spark, sf_dir)
+    if seasons is not None:
+        ft = ft.join(_seasons(spark, seasons).select("season_key"), "season_key", "left_semi")
+    return ft
+
+
+def bq_net_spend_premium(spark: SparkSession, sf_dir: str, seasons: Sequence[str] = SEASONS_3,
+                         n: int = 15) -> DataFrame:
+    """Buyers ⟗ sellers per (club, season); net spend, premium paid and a strategy label."""
+    from kickstar.operators.joins import full_outer_role_merge
+    ft = _transfers(spark, sf_dir, seasons).filter(F.col("transfer_fee_eur").isNotNull())
+    buy = ft.filter(F.col("to_club_key") > 0).groupBy(F.col("to_club_key").alias("club_key"), "season_key").agg(
+        A.count_rows().alias("bought_count"), F.sum("transfer_fee_eur").alias("__spent"),
+        F.sum("fee_premium_eur").alias("__prem"))
+    sell = ft.filter(F.col("from_club_key") > 0).groupBy(F.col("from_club_key").alias("club_key"), "season_key") \
+        .agg(A.count_rows().alias("sold_count"), F.sum("transfer_fee_eur").alias("__income"))
+    merged = full_outer_role_merge(buy, sell, ["club_key", "season_key"], {})
+    merged = merged.join(_clubs(spark, sf_dir), "club_key") \
+        .join(_seasons(spark, seasons).select("season_key", "season_label"), "season_key")
+    spent = F.coalesce(_mil("__spent"), F.lit(0.0))
+    income = F.coalesce(_mil("__income"), F.lit(0.0))
+    prem = F.coalesce(_mil("__prem"), F.lit(0.0))
+    out = merged.select(
+        "season_label", "club_name", F.coalesce("bought_count", F.lit(0)).alias("bought_count"),
+        spent.alias("spent_mil_eur"), F.coalesce("sold_count", F.lit(0)).alias("sold_count"),
+        income.alias("income_mil_eur"), (spent - income).alias("net_spend_mil_eur"),
+        prem.alias("fee_premium_paid_mil_eur"), X.strategy_label(prem).alias("financial_strategy_comment"))
+    return W.top_n(out, n, [F.desc("net_spend_mil_eur"), F.asc("season_label"), F.asc("club_name")])
+
+
+def bq_fee_matrix_cube(spark: SparkSession, sf_dir: str, seasons: Sequence[str] = SEASONS_2) -> DataFrame:
+    """CUBE(season, fee status, fee band) minus the (band without status) sets; share of the
+    season total. The fact is first summed per (season, transfer type): the cube's Expand
+    then runs on at most seasons × 7 rows."""
+    ft = _transfers(spark, sf_dir, seasons)
+    per = ft.groupBy("season_key", "transfer_type_key").agg(
+        A.count_rows().alias("n"), F.sum(F.coalesce("transfer_fee_eur", F.lit(0))).alias("fee"))
+    per = per.join(F.broadcast(star.dim_transfer_type(spark)), "transfer_type_key") \
+        .join(_seasons(spark, seasons).select("season_key", "season_label"), "season_key")
+    c = per.cube("season_label", "fee_status", "fee_band").agg(
+        F.grouping_id().alias("grouping_level"), F.grouping("season_label").alias("g_s"),
+        F.grouping("fee_status").alias("g_st"), F.grouping("fee_band").alias("g_b"),
+        F.sum("n").alias("total_transactions"), F.sum("fee").alias("__fee"))
+    c = c.filter(~((F.col("g_st") == 1) & (F.col("g_b") == 0)))
+    season_total = F.sum(F.when((F.col("g_st") == 1) & (F.col("g_b") == 1), F.col("total_transactions"))) \
+        .over(Window.partitionBy("g_s", "season_label"))
+    return c.select(
+        F.when(F.col("g_s") == 1, F.lit(fixed.CUBE_ALL_SEASONS)).otherwise(F.col("season_label")).alias("season_label"),
+        F.when(F.col("g_st") == 1, F.lit(fixed.CUBE_ALL_STATUSES)).otherwise(F.col("fee_status")).alias("fee_status"),
+        F.when(F.col("g_b") == 1, F.lit(fixed.CUBE_ALL_BANDS)).otherwise(F.col("fee_band")).alias("fee_band"),
+        F.col("grouping_level").cast("int").alias("grouping_level"), "total_transactions",
+        _mil("__fee").alias("total_fee_volume_mil_eur"),
+        (A.ratio_of_sums(F.col("__fee"), F.col("total_transactions")) / F.lit(1_000_000.0)).alias("avg_fee_mil_eur"),
+        A.ratio_of_sums(F.col("total_transactions"), season_total, 100.0).alias("percentage_share_in_season"))
+
+
+def bq_market_grouping_sets(spark: SparkSession, sf_dir: str, season: str = SEASON) -> DataFrame:
+    """GROUPING SETS ((buyer confederation), (position), ()) with each set's share."""
+    ft = _transfers(spark, sf_dir, [season])
+    per = ft.groupBy("to_club_key", "player_key").agg(
+        A.count_rows().alias("n"), F.count("transfer_fee_eur").alias("n_fee"), F.sum("transfer_fee_eur").alias("fee"))
+    clubs = star.dim_club(spark, sf_dir).select(F.col("club_key").alias("to_club_key"), "confederation")
+    per = per.join(clubs, "to_club_key").join(_players(spark, sf_dir, "position"), "player_key")
+    g = A.grouping_sets(per, [["confederation"], ["position"], []], ["confederation", "position"], {
+        "gid": F.grouping_id(), "g_conf": F.grouping("confederation"), "g_pos": F.grouping("position"),
+        "deals": F.sum("n"), "deals_with_fee": F.sum("n_fee"), "__fee": F.sum("fee")})
+    share = A.ratio_of_sums(F.col("__fee"), F.sum("__fee").over(Window.partitionBy("gid")), 100.0)
+    return g.select(
+        F.when(F.col("gid") == 1, F.lit(fixed.GSETS_BY_REGION)).when(F.col("gid") == 2, F.lit(fixed.GSETS_BY_POSITION))
+        .when(F.col("gid") == 3, F.lit(fixed.GSETS_TOTAL)).alias("grouping_set"),
+        F.when(F.col("g_conf") == 1, F.lit(fixed.GSETS_ALL)).otherwise(F.col("confederation")).alias("buyer_region"),
+        F.when(F.col("g_pos") == 1, F.lit(fixed.GSETS_ALL)).otherwise(F.col("position")).alias("position"),
+        "deals", "deals_with_fee", _mil("__fee").alias("total_fee_mil_eur"), share.alias("share_in_set_pct"))
+
+
+def _net_spend_by_club(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
+    """Buy and sell sums per club for one season, clubs > 0 with any money moved."""
+    from kickstar.operators.joins import full_outer_role_merge
+    ft = _transfers(spark, sf_dir, [season])
+    buy = ft.groupBy(F.col("to_club_key").alias("club_key")).agg(F.sum("transfer_fee_eur").alias("spent"))
+    sell = ft.groupBy(F.col("from_club_key").alias("club_key")).agg(F.sum("transfer_fee_eur").alias("income"))
+    m = full_outer_role_merge(buy, sell, ["club_key"], {})
+    m = m.select("club_key", F.coalesce("spent", F.lit(0)).alias("spent"), F.coalesce("income", F.lit(0)).alias("income"))
+    m = m.filter((F.col("club_key") > 0) & ((F.col("spent") > 0) | (F.col("income") > 0)))
+    return m.withColumn("net", F.col("spent") - F.col("income"))
+
+
+def bq_spend_quartiles(spark: SparkSession, sf_dir: str, season: str = SEASON, n: int = 10) -> DataFrame:
+    """Top clubs by net spend with RANK, NTILE(4) group and the number of clubs considered.
+
+    The top rows come from a distributed TakeOrdered; their rank and NTILE group are
+    computed from their position and the total count (no global window)."""
+    m = _net_spend_by_club(spark, sf_dir, season).join(_clubs(spark, sf_dir), "club_key")
+    total = m.agg(A.count_rows().alias("clubs_considered"))
+    top = W.top_n_ranked(m, n, [F.desc("net"), F.asc("club_key")], [F.desc("net")], "rank", position="__pos")
+    top = top.crossJoin(F.broadcast(total))
+    return top.select("rank", W.ntile_of_position(F.col("__pos"), F.col("clubs_considered"), 4).alias("spend_group"),
+                      "club_name", _mil("spent").alias("spent_mil_eur"), _mil("income").alias("income_mil_eur"),
+                      _mil("net").alias("net_spend_mil_eur"), "clubs_considered")
+
+
+def bq_quartile_summary(spark: SparkSession, sf_dir: str, season: str = SEASON) -> DataFrame:
+    """Per NTILE(4) spend group: clubs, net spend and share of all buying."""
+    m = _net_spend_by_club(spark, sf_dir, season)
+    q = W.with_ntile(m, [F.desc("net"), F.asc("club_key")], 4, "spend_group")
+    g = q.groupBy("spend_group").agg(A.count_rows().alias("clubs"), F.sum("net").alias("__net"),
+                                     F.sum("spent").alias("__spent"))
+    g = W.share_of_partition(g, "__spent", [], "spent_share_pct")
+    return g.select("spend_group", "clubs", _mil("__net").alias("net_spend_mil_eur"), "spent_share_pct")
+
+
+def _valuations_in_year(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
+    return star.player_valuation(spark, sf_dir).filter(
+        F.col("date_key").between(year * 10000 + 101, year * 10000 + 1231))
+
+
+def m1_squad_value(spark: SparkSession, sf_dir: str, year: int = VALUE_YEAR, n: int = 5) -> DataFrame:
+    """Squad value in a year: per (club, player) the last valuation, summed per club."""
+    fv = _valuations_in_year(spark, sf_dir, year)
+    sv = A.squad_value(fv, ["club_key"], "player_key", "date_key", "market_value_eur", "squad_value")
+    sv = sv.join(_clubs(spark, sf_dir), "club_key")
+    return W.top_n(sv.select("club_key", "club_name", "squad_value"), n,
+                   [F.desc_nulls_last("squad_value"), F.asc("club_key")])
+
+
+def m2_value_gain(spark: SparkSession, sf_dir: str, year: int = VALUE_YEAR, n: int = 5) -> DataFrame:
+    fv = _valuations_in_year(spark, sf_dir, year)
+    g = fv.groupBy("player_key").agg(F.sum("value_change_eur").alias("value_gain"))
+    g = g.join(_players(spark, sf_dir, "full_name"), "player_key")
+    return W.top_n(g.select("player_key", "full_name", "value_gain"), n,
+                   [F.desc_nulls_last("value_gain"), F.asc("player_key")])
+
+
+def m3_peak_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Average value per position × age group."""
+    fv = star.player_valuation(spark, sf_dir)
+    label, _ = X.age_group6(F.col("age_at_valuation"))
+    per = fv.join(_players(spark, sf_dir, "position"), "player_key")
+    return per.groupBy("position", label.alias("age_group")).agg(F.avg(_dbl("market_value_eur")).alias("avg_value"))
+
+
+def m3_position_avg_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fv = star.player_valuation(spark, sf_dir)
+    per = fv.groupBy("player_key").agg(F.sum("age_at_valuation").alias("s"), F.count("age_at_valuation").alias("c"))
+    per = per.join(_players(spark, sf_dir, "position"), "player_key")
+    g = per.groupBy("position").agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
+    return g.select("position", A.ratio_of_sums(F.col("s"), F.col("c")).alias("avg_age_at_valuation"))
+
+
+def m4_net_spend(spark: SparkSession, sf_dir: str, season: str = SEASON, n: int = 5) -> DataFrame:
+    """Spend, income and net per club where a deal matches a club in either role.
+
+    The ``club IN (to, from)`` join is rewritten as a role unpivot + equi-join; a deal
+    with to = from credits the club once as buyer and once as seller."""
+    from kickstar.operators.joins import unpivot_roles
+    ft = _transfers(spark, sf_dir, [season]).withColumn("fee0", F.coalesce("transfer_fee_eur", F.lit(0)))
+    roles = unpivot_roles(ft, {"to": "to_club_key", "from": "from_club_key"}, ["fee0"])
+    per = roles.groupBy("club_key").agg(A.conditional_sum(F.col("role") == "to", F.col("fee0")).alias("spend"),
+                                        A.conditional_sum(F.col("role") == "from", F.col("fee0")).alias("income"))
+    per = per.join(_clubs(spark, sf_dir), "club_key")
+    out = per.select("club_key", "club_name", "spend", "income", (F.col("spend") - F.col("income")).alias("net_spend"))
+    return W.top_n(out, n, [F.desc("net_spend"), F.asc("club_key")])
+
+
+def m5_premium(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
+    ft = star.transfer(spark, sf_dir)
+    per = ft.groupBy("to_club_key").agg(F.sum("transfer_fee_eur").alias("sf"), F.count("transfer_fee_eur").alias("cf"),
+                                        F.sum("fee_premium_eur").alias("sp"), F.count("fee_premium_eur").alias("cp"))
+    per = per.join(_clubs(spark, sf_dir).withColumnRenamed("club_key", "to_club_key"), "to_club_key")
+    out = per.select(F.col("to_club_key").alias("club_key"), "club_name",
+                     A.ratio_of_sums(F.col("sf"), F.col("cf")).alias("avg_fee"),
+                     A.ratio_of_sums(F.col("sp"), F.col("cp")).alias("avg_premium"),
+                     F.col("cp").alias("deals_with_premium"))
+    return W.top_n(out, n, [F.desc("deals_with_premium"), F.asc("club_key")])
+
+
+def m6_free_youth_rates(spark: SparkSession, sf_dir: str, seasons: Sequence[str] = SEASONS_3) -> DataFrame:
+    ft = _transfers(spark, sf_dir, seasons)
+    y = F.col("is_youth_transfer")
+    per = ft.groupBy("season_key").agg(
+        A.count_rows().alias("deals"), A.conditional_sum(F.col("transfer_type_key") == 2).alias("free"),
+        A.conditional_sum(y == 1).alias("youth"), A.conditional_sum(y.isNotNull()).alias("known"),
+        F.sum(F.when(y == 0, F.col("age_at_transfer"))).alias("pro_age"),
+        F.count(F.when(y == 0, F.col("age_at_transfer"))).alias("pro_n"))
+    per = per.join(_seasons(spark, seasons).select("season_key", "season_label"), "season_key")
+    return per.select("season_label", "deals", A.ratio_of_sums(F.col("free"), F.col("deals")).alias("free_rate"),
+                      A.ratio_of_sums(F.col("youth"), F.col("known")).alias("youth_rate"),
+                      A.ratio_of_sums(F.col("pro_age"), F.col("pro_n")).alias("pro_avg_age"))

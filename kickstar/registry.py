@@ -45,6 +45,19 @@ QUERIES: dict[str, Query] = {
     "q_d6_cards_by_round_type": Q.d6_cards_by_round_type,
     "q_d7_minutes_per_yellow": Q.d7_minutes_per_yellow,
     "q_d8_red_rate_referees": Q.d8_red_rate_referees,
+    "q_bq_value_by_age": Q.bq_value_by_age,
+    "q_bq_net_spend_premium": Q.bq_net_spend_premium,
+    "q_bq_fee_matrix_cube": Q.bq_fee_matrix_cube,
+    "q_bq_market_grouping_sets": Q.bq_market_grouping_sets,
+    "q_bq_spend_quartiles": Q.bq_spend_quartiles,
+    "q_bq_quartile_summary": Q.bq_quartile_summary,
+    "q_m1_squad_value": Q.m1_squad_value,
+    "q_m2_value_gain": Q.m2_value_gain,
+    "q_m3_peak_age": Q.m3_peak_age,
+    "q_m3_position_avg_age": Q.m3_position_avg_age,
+    "q_m4_net_spend": Q.m4_net_spend,
+    "q_m5_premium": Q.m5_premium,
+    "q_m6_free_youth_rates": Q.m6_free_youth_rates,
 }
 
 
