@@ -766,3 +766,159 @@ def m6_free_youth_rates(spark: SparkSession, sf_dir: str, seasons: Sequence[str]
     return per.select("season_label", "deals", A.ratio_of_sums(F.col("free"), F.col("deals")).alias("free_rate"),
                       A.ratio_of_sums(F.col("youth"), F.col("known")).alias("youth_rate"),
                       A.ratio_of_sums(F.col("pro_age"), F.col("pro_n")).alias("pro_avg_age"))
+
+
+# ------------------------------------------------------------------ cube questions, KPIs (C1-C3, PBI, KPIs)
+
+def _tm_dims(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, str]]:
+    return {
+        "competition": (F.broadcast(star.dim_competition(spark, sf_dir)
+                                    .select("competition_key", "competition_name", "confederation", "country_name")),
+                        "competition_key"),
+        "season": (F.broadcast(star.dim_season(spark).select("season_key", "season_label")), "season_key"),
+        "club": (_clubs(spark, sf_dir), "club_key"),
+        "manager": (F.broadcast(star.dim_manager(spark, sf_dir)), "manager_key"),
+    }
+
+
+def c_manager_win_rate50(spark: SparkSession, sf_dir: str, min_matches: int = 50) -> DataFrame:
+    d = _tm_dims(spark, sf_dir)
+    g = M.evaluate(star.team_match(spark, sf_dir, with_manager=True), ["manager_name"], ["m_matches", "win_rate"],
+                   dims=[d["manager"]])
+    g = g.filter(F.col("m_matches") >= min_matches)
+    return g.select("manager_name", F.col("m_matches").alias("matches"), F.col("m_wins").alias("wins"), "win_rate")
+
+
+def c_home_advantage_league(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _tm_dims(spark, sf_dir)
+    g = M.evaluate(star.team_match(spark, sf_dir), ["competition_name"], ["home_win_rate", "away_win_rate"],
+                   dims=[d["competition"]])
+    return g.select("competition_name", F.col("m_home_matches").alias("home_matches"),
+                    F.col("m_home_wins").alias("home_wins"), "home_win_rate", "away_win_rate")
+
+
+def c_goals_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _tm_dims(spark, sf_dir)
+    g = M.evaluate(star.team_match(spark, sf_dir), ["competition_name", "season_label"],
+                   ["m_matches", "goals_per_match"], dims=[d["competition"], d["season"]])
+    return g.select("competition_name", "season_label", F.col("m_matches").alias("team_matches"),
+                    F.col("m_goals_for").alias("goals"), "goals_per_match")
+
+
+def c_clean_sheets(spark: SparkSession, sf_dir: str, top: int = 3) -> DataFrame:
+    """Clubs with the most clean sheets in each season (GENERATE(TOPCOUNT))."""
+    from kickstar.plans import cube
+    d = _tm_dims(spark, sf_dir)
+    g = M.evaluate(star.team_match(spark, sf_dir), ["season_label", "club_key", "club_name"], ["m_clean_sheets"],
+                   dims=[d["season"], d["club"]])
+    r = cube.top_count_per_parent(g, ["season_label"], top, [F.desc("m_clean_sheets"), F.asc("club_key")])
+    return r.select("season_label", "rank", "club_key", "club_name", F.col("m_clean_sheets").alias("clean_sheets"))
+
+
+def c_squad_value_asof(spark: SparkSession, sf_dir: str, as_of: str = "2024-01-15") -> DataFrame:
+    """Squad value as of a date: each player's last valuation on or before it, summed per club."""
+    fv = star.player_valuation(spark, sf_dir).filter(F.col("valuation_date") <= F.to_date(F.lit(as_of)))
+    sv = A.squad_value(fv, ["club_key"], "player_key", "valuation_date", "market_value_eur", "squad_value")
+    return sv.join(_clubs(spark, sf_dir), "club_key").select("club_key", "club_name", "squad_value")
+
+
+def c_market_value_last_non_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The semi-additive market-value measure per club: values on the club's last date with data."""
+    fv = star.player_valuation(spark, sf_dir)
+    lne = A.last_non_empty(fv, ["club_key"], "valuation_date", "market_value_eur", "market_value")
+    last = fv.groupBy("club_key").agg(F.max("valuation_date").alias("last_date"))
+    return lne.join(last, "club_key").join(_clubs(spark, sf_dir), "club_key") \
+        .select("club_key", "club_name", "last_date", "market_value")
+
+
+def c_overview_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report cards: matches, appearances, deals, deals with a disclosed fee — one row."""
+    from kickstar.operators.joins import one_row
+    tm = star.team_match(spark, sf_dir).agg(F.count_distinct("match_key").alias("matches"))
+    fa = star.player_appearance(spark, sf_dir).agg(F.sum("appearance_count").alias("appearances"))
+    ft = star.transfer(spark, sf_dir).agg(A.count_rows().alias("deals"),
+                                          F.count("transfer_fee_eur").alias("deals_with_fee"))
+    return one_row(tm, fa, ft)
+
+
+def c_matches_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _tm_dims(spark, sf_dir)
+    g = star.team_match(spark, sf_dir).groupBy("season_key").agg(F.count_distinct("match_key").alias("matches"))
+    return g.join(d["season"][0], "season_key").select("season_label", "matches")
+
+
+def c_player_career_members(spark: SparkSession, sf_dir: str, player: str = CAREER_PLAYER) -> DataFrame:
+    """The MDX form of the career view: PREVMEMBER / NEXTMEMBER / LASTPERIODS(3) / first:current
+    walk the season *dimension*, so a gap season gives an empty neighbour."""
+    from kickstar.plans import cube
+    pl = star.dim_player(spark, sf_dir).filter(F.col("full_name") == player).select("player_key")
+    fa = star.player_appearance(spark, sf_dir).join(F.broadcast(pl), "player_key", "left_semi")
+    per = fa.groupBy("season_key").agg(F.sum("goals").alias("goals"), F.sum("minutes_played").alias("minutes"))
+    per = per.withColumn("__m", F.lit(1))
+    n = cube.neighbours(per, ["__m"], "season_key", "goals", "goals_prev_member", "goals_next_member")
+    n = cube.last_periods_avg(n, ["__m"], "season_key", "goals", 3, "goals_last3_avg")
+    n = cube.cumulative_member(n, ["__m"], "season_key", "goals", "goals_cumulative")
+    n = cube.share_of_all(n, "goals", "career_share")
+    prev = F.col("goals_prev_member")
+    growth = F.when(prev.isNull() | (prev == 0), F.lit(None).cast("double")) \
+        .otherwise((_dbl("goals") - _dbl(prev)) / _dbl(prev))
+    n = n.join(F.broadcast(star.dim_season(spark).select("season_key", "season_label")), "season_key")
+    return n.select("season_label", "goals", "minutes", "goals_cumulative", "goals_last3_avg",
+                    "goals_prev_member", "goals_next_member", growth.alias("growth"), "career_share")
+
+
+def _kpi_table(df: DataFrame, kpi: str, members: list[str]) -> DataFrame:
+    from kickstar.plans import kpi as K
+    return K.evaluate_kpi(df, kpi, members)
+
+
+def c_kpi_manager_win_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _tm_dims(spark, sf_dir)
+    g = M.evaluate(star.team_match(spark, sf_dir, with_manager=True), ["manager_name", "season_key"],
+                   ["m_matches", "win_rate"], dims=[d["manager"]])
+    return _kpi_table(g, "kpi_manager_win_rate", ["manager_name"]) \
+        .select("manager_name", "season_key", F.col("m_matches").alias("matches"), "win_rate",
+                "kpi_value", "kpi_goal", "kpi_status", "kpi_trend")
+
+
+def c_kpi_striker_goals90(spark: SparkSession, sf_dir: str, position: str = "Attack") -> DataFrame:
+    pl = star.dim_player(spark, sf_dir).filter(F.col("position") == position).select("player_key")
+    fa = star.player_appearance(spark, sf_dir).join(pl, "player_key", "left_semi")
+    g = M.evaluate(fa, ["player_key", "season_key"], ["goals_per_90"])
+    return _kpi_table(g, "kpi_striker_goals90", ["player_key"]) \
+        .select("player_key", "season_key", F.col("m_goals").alias("goals"), F.col("m_minutes").alias("minutes"),
+                "kpi_value", "kpi_goal", "kpi_status", "kpi_trend")
+
+
+def net_spend_by_club_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spend (as buyer), income (LINKMEMBER: the same club as seller) and net per (club, season)."""
+    from kickstar.plans import cube
+    ft = star.transfer(spark, sf_dir)
+    roles = cube.link_role(ft, {"to": "to_club_key", "from": "from_club_key"}, ["transfer_fee_eur", "season_key"])
+    g = roles.groupBy("club_key", "season_key").agg(
+        F.sum(F.when(F.col("role") == "to", F.col("transfer_fee_eur"))).alias("spend"),
+        F.sum(F.when(F.col("role") == "from", F.col("transfer_fee_eur"))).alias("income"))
+    return g.withColumn("net_spend", F.coalesce("spend", F.lit(0)) - F.coalesce("income", F.lit(0)))
+
+
+def c_kpi_net_spend_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = net_spend_by_club_season(spark, sf_dir)
+    return _kpi_table(g, "kpi_net_spend_budget", ["club_key"]) \
+        .select("club_key", "season_key", "spend", "income", "net_spend", "kpi_value", "kpi_goal", "kpi_status",
+                "kpi_trend")
+
+
+def c_kpi_club_fair_play(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = M.evaluate(star.player_appearance(spark, sf_dir), ["club_key", "season_key"], ["cards_per_match"])
+    return _kpi_table(g, "kpi_club_fair_play", ["club_key"]) \
+        .select("club_key", "season_key", F.col("m_distinct_matches").alias("matches"), "cards_per_match",
+                "kpi_value", "kpi_goal", "kpi_status", "kpi_trend")
+
+
+def c_kpi_referee_strictness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref = star.dim_match(spark, sf_dir).select("match_key", "referee")
+    g = M.evaluate(star.player_appearance(spark, sf_dir), ["referee", "season_key"], ["cards_per_match"],
+                   dims=[(ref, "match_key")])
+    return _kpi_table(g, "kpi_referee_strictness", ["referee"]) \
+        .select("referee", "season_key", F.col("m_distinct_matches").alias("matches"), "cards_per_match",
+                "kpi_value", "kpi_goal", "kpi_status", "kpi_trend")

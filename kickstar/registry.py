@@ -58,6 +58,20 @@ QUERIES: dict[str, Query] = {
     "q_m4_net_spend": Q.m4_net_spend,
     "q_m5_premium": Q.m5_premium,
     "q_m6_free_youth_rates": Q.m6_free_youth_rates,
+    "q_c_manager_win_rate50": Q.c_manager_win_rate50,
+    "q_c_home_advantage_league": Q.c_home_advantage_league,
+    "q_c_goals_trend": Q.c_goals_trend,
+    "q_c_clean_sheets": Q.c_clean_sheets,
+    "q_c_squad_value_asof": Q.c_squad_value_asof,
+    "q_c_market_value_last_non_empty": Q.c_market_value_last_non_empty,
+    "q_c_overview_cards": Q.c_overview_cards,
+    "q_c_matches_by_season": Q.c_matches_by_season,
+    "q_c_player_career_members": Q.c_player_career_members,
+    "q_c_kpi_manager_win_rate": Q.c_kpi_manager_win_rate,
+    "q_c_kpi_striker_goals90": Q.c_kpi_striker_goals90,
+    "q_c_kpi_net_spend_budget": Q.c_kpi_net_spend_budget,
+    "q_c_kpi_club_fair_play": Q.c_kpi_club_fair_play,
+    "q_c_kpi_referee_strictness": Q.c_kpi_referee_strictness,
 }
 
 
