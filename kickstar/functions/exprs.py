@@ -78,7 +78,7 @@ def safe_numeric(c: ColumnOrName, dtype: str = "double") -> Column:
 
 
 def safe_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
-    return F.try_to_date(clean_date_text(c), F.lit(fmt)) if fmt else clean_date_text(c).try_cast("date")
+    return F.try_to_date(clean_date_text(c), fmt) if fmt else clean_date_text(c).try_cast("date")
 
 
 def default_label(c: ColumnOrName, label: str = fixed.UNKNOWN) -> Column:

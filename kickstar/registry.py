@@ -11,7 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kickstar.plans import checks as C
 from kickstar.plans import questions as Q
+from kickstar.plans import staged as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +74,22 @@ QUERIES: dict[str, Query] = {
     "q_c_kpi_net_spend_budget": Q.c_kpi_net_spend_budget,
     "q_c_kpi_club_fair_play": Q.c_kpi_club_fair_play,
     "q_c_kpi_referee_strictness": Q.c_kpi_referee_strictness,
+    "q_dq_row_counts": C.dq_row_counts,
+    "q_dq_window_max": C.dq_window_max,
+    "q_dq_batch_delta": C.dq_batch_delta,
+    "q_dq_integrity": C.dq_integrity,
+    "q_dq_formula": C.dq_formula,
+    "q_dq_domain": C.dq_domain,
+    "q_dq_segment_profile": C.dq_segment_profile,
+    "q_dq_league_table": C.dq_league_table,
+    "q_dq_top_scorers": C.dq_top_scorers,
+    "q_dq_reject_summary": S.dq_reject_summary,
+    "q_gen_dim_date": C.gen_dim_date_span,
+    "q_gen_dim_age": C.gen_dim_age,
+    "q_surrogate_key": C.surrogate_key_players,
+    "q_load_fact_player_valuation": S.load_fact_player_valuation,
+    "q_scd_merge_club": S.scd_merge_club,
+    "q_asof_version_join": S.asof_club_version,
 }
 
 
