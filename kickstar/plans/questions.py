@@ -185,7 +185,8 @@ def t8_vs_strong_opponents(spark: SparkSession, sf_dir: str, season: str = SEASO
                            strong: Sequence[str] = STRONG_CLUBS) -> DataFrame:
     clubs = _clubs(spark, sf_dir)
     strong_keys = clubs.filter(F.col("club_name").isin(*strong)).select(F.col("club_key").alias("opponent_club_key"))
-    tm = star.team_match(spark, sf_dir).join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
+    tm = star.team_match(spark, sf_dir, with_opponent=True) \
+        .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
     tm = tm.join(F.broadcast(strong_keys), "opponent_club_key", "left_semi")   # role: opponent
     sums = team_sums()
     per = tm.groupBy("club_key").agg(*[sums[k].alias(k) for k in

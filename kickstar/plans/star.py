@@ -52,6 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kickstar import fixed
+from kickstar.frames import literal_frame, session_memo
 from kickstar.functions import exprs as X
 from kickstar.sources.driver import table
 
@@ -81,20 +82,22 @@ def _season(ts: Column) -> Column:
 
 # ------------------------------------------------------------------ dimensions
 
+@session_memo
 def dim_season(spark: SparkSession) -> DataFrame:
     years = spark.range(fixed.SEASON_FIRST, fixed.SEASON_LAST + 1).select(F.col("id").cast("int").alias("y"))
     real = years.select(
         F.col("y").alias("season_key"), F.col("y").alias("season_start_year"),
         X.season_label("y").alias("season_label"), X.season_short("y").alias("season_short"))
-    unknown = spark.createDataFrame([(-1, -1, "Unknown", "Unknown")], real.schema)
+    unknown = literal_frame(spark, [(-1, -1, "Unknown", "Unknown")], real.schema)
     return real.unionByName(unknown)
 
 
+@session_memo
 def dim_competition(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    kinds = spark.createDataFrame([("F", "League", "domestic_league"), ("O", "Cup", "domestic_cup")],
-                                  "status string, kind string, ctype string")
+    kinds = literal_frame(spark, [("F", "League", "domestic_league"), ("O", "Cup", "domestic_cup")],
+                          "status string, kind string, ctype string")
     base = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).crossJoin(F.broadcast(kinds))
     key = competition_key(F.col("n_nationkey"), F.col("status"))
     real = base.select(
@@ -105,13 +108,14 @@ def dim_competition(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("country_name"),
         F.col("r_name").alias("confederation"),
     )
-    special = spark.createDataFrame(
-        [(-1, "-1", fixed.UNKNOWN_COMPETITION, fixed.UNKNOWN, fixed.UNKNOWN, fixed.UNKNOWN),
+    special = literal_frame(
+        spark, [(-1, "-1", fixed.UNKNOWN_COMPETITION, fixed.UNKNOWN, fixed.UNKNOWN, fixed.UNKNOWN),
          (-2, "-2", fixed.NO_COMPETITION, fixed.NOT_APPLICABLE, fixed.NOT_APPLICABLE, fixed.NOT_APPLICABLE)],
         real.schema)
     return real.unionByName(special)
 
 
+@session_memo
 def dim_club(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -130,8 +134,8 @@ def dim_club(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date(F.lit(fixed.SCD_OPEN_END)).alias("expiry_date"),
         F.lit(True).alias("is_current"),
     )
-    special = spark.createDataFrame(
-        [(-1, -1, fixed.UNKNOWN_CLUB, fixed.UNKNOWN_SHORT, fixed.UNKNOWN, fixed.UNKNOWN, fixed.UNKNOWN),
+    special = literal_frame(
+        spark, [(-1, -1, fixed.UNKNOWN_CLUB, fixed.UNKNOWN_SHORT, fixed.UNKNOWN, fixed.UNKNOWN, fixed.UNKNOWN),
          (-2, -2, fixed.NO_CLUB, fixed.NOT_APPLICABLE, fixed.NOT_APPLICABLE, fixed.NOT_APPLICABLE,
           fixed.NOT_APPLICABLE)],
         "club_key long, club_id long, club_name string, club_type string, country_name string, "
@@ -152,6 +156,7 @@ def player_dob(custkey: Column) -> Column:
     return F.date_add(F.to_date(F.lit(DOB_BASE)), ((custkey * 97) % 10000).cast("int"))
 
 
+@session_memo
 def dim_player(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -166,8 +171,8 @@ def dim_player(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(pos, F.when(F.col("c_acctbal") >= 0, F.lit(" - first team")).otherwise(F.lit(" - rotation")))
         .alias("sub_position"),
     )
-    special = spark.createDataFrame(
-        [(-1, -1, fixed.UNKNOWN_PLAYER, None, fixed.UNKNOWN, fixed.UNKNOWN, fixed.UNKNOWN)], real.schema)
+    special = literal_frame(
+        spark, [(-1, -1, fixed.UNKNOWN_PLAYER, None, fixed.UNKNOWN, fixed.UNKNOWN, fixed.UNKNOWN)], real.schema)
     return real.unionByName(special)
 
 
@@ -178,6 +183,7 @@ def match_round(status: Column, orderkey: Column) -> Column:
             .otherwise(F.lit("Quarter-Finals")))
 
 
+@session_memo
 def dim_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                                               "o_orderpriority")
@@ -193,30 +199,37 @@ def dim_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@session_memo
 def dim_manager(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = table(spark, sf_dir, "part").select("p_brand").distinct()
     return brands.select(F.substring("p_brand", 7, 10).cast("int").alias("manager_key"),
                          F.col("p_brand").alias("manager_name"))
 
 
+@session_memo
 def dim_transfer_type(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(fixed.TRANSFER_TYPES), "transfer_type_key int, fee_status string, fee_band string")
+    return literal_frame(spark, list(fixed.TRANSFER_TYPES), "transfer_type_key int, fee_status string, fee_band string")
 
 
 # ------------------------------------------------------------------ facts
 
-def team_match(spark: SparkSession, sf_dir: str, with_manager: bool = False) -> DataFrame:
+@session_memo
+def team_match(spark: SparkSession, sf_dir: str, with_manager: bool = False, with_opponent: bool = False
+               ) -> DataFrame:
+    """Team × match rows; the manager (part join) and opponent (supplier count) columns are
+    added only when asked, so other queries do not pay for those joins."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
         "l_shipdate")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    df = li.join(sup, li.l_suppkey == sup.s_suppkey).crossJoin(F.broadcast(_n_supp(spark, sf_dir)))
+    df = li.join(sup, li.l_suppkey == sup.s_suppkey)
+    if with_opponent:
+        df = df.crossJoin(F.broadcast(_n_supp(spark, sf_dir)))
     gf = (F.col("l_quantity").cast("int") % 5).cast("int")
     ga = (F.col("l_linenumber") % 4).cast("int")
     cols = [
         F.col("l_orderkey").alias("match_key"),
         F.col("l_suppkey").alias("club_key"),
-        ((F.col("l_suppkey") + F.col("l_linenumber")) % F.col("_n_supp")).alias("opponent_club_key"),
         competition_key(F.col("s_nationkey"), F.col("l_linestatus")).alias("competition_key"),
         _season(F.col("l_shipdate")).alias("season_key"),
         X.date_key(F.col("l_shipdate")).alias("date_key"),
@@ -226,6 +239,8 @@ def team_match(spark: SparkSession, sf_dir: str, with_manager: bool = False) ->
     ]
     cols += [c.alias(n) for n, c in X.match_outcome(gf, ga).items()]
     cols.append(((F.col("l_partkey") % 20) + 1).cast("int").alias("league_position"))
+    if with_opponent:
+        cols.append(((F.col("l_suppkey") + F.col("l_linenumber")) % F.col("_n_supp")).alias("opponent_club_key"))
     if with_manager:
         part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
         df = df.join(part, df.l_partkey == part.p_partkey)
@@ -241,6 +256,7 @@ def _appearance_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(o, li.l_orderkey == o.o_orderkey)
 
 
+@session_memo
 def player_appearance(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     df = _appearance_base(spark, sf_dir)
@@ -265,6 +281,7 @@ def player_appearance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@session_memo
 def valuation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (player, day): the latest event of the day (ts, then event_id).
 
@@ -277,6 +294,7 @@ def valuation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(latest.alias("value")))
 
 
+@session_memo
 def player_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = valuation_days(spark, sf_dir)
     cust = table(spark, sf_dir, "customer").select("c_custkey")
@@ -297,6 +315,7 @@ def player_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@session_memo
 def transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
