@@ -344,3 +344,180 @@ def maintain_standing_rollup(stored: DataFrame | None, new_team_rows: DataFrame)
         return delta
     cols = [c for c in delta.columns if c not in ("season_key", "club_key")]
     return stored.unionByName(delta).groupBy("season_key", "club_key").agg(*[F.sum(c).alias(c) for c in cols])
+
+
+# ------------------------------------------------------------------ the other three fact loads
+
+def _current_keys(dim: DataFrame, natural: str, key: str, out_nat: str, out_key: str, extra=()) -> DataFrame:
+    """Current-version lookup table natural id (as text) -> surrogate key (facts point at the
+    version current at load time)."""
+    cur = dim.filter(F.col("is_current")) if "is_current" in dim.columns else dim
+    return cur.select(F.col(natural).cast("string").alias(out_nat), F.col(key).alias(out_key), *extra)
+
+
+def _rejects(bad_cast: DataFrame, bad_rule: DataFrame, window: LoadWindow, table: str, key: Column) -> DataFrame:
+    both = bad_cast.withColumn(R.REASON, F.lit("cast error")).unionByName(bad_rule, allowMissingColumns=True)
+    return R.to_reject_log(both, window.batch_id, table, key)
+
+
+def load_fact_team_match(stg_club_games: DataFrame, stg_games: DataFrame, dims: dict[str, DataFrame],
+                         existing_fact: DataFrame, window: LoadWindow) -> tuple[DataFrame, DataFrame]:
+    """Staged club_games (+ games for date, season, competition) -> team × match rows.
+
+    dims: match (game_id, match_key), club, competition (competition_id), season
+    (season_start_year), manager (manager_name)."""
+    g = stg_games.select(X.clean_text("game_id").alias("game_id"), X.clean_text("competition_id").alias("g_comp"),
+                         X.clean_text("season").alias("g_season"), X.clean_date_text("date").alias("game_date_raw"),
+                         "batch_id", "source_row")
+    g = D.dedup_latest(g, ["game_id"], ["batch_id", "source_row"]).drop("batch_id", "source_row")
+    s = stg_club_games.select(
+        X.clean_text("game_id").alias("game_id"), X.clean_text("club_id").alias("club_id"),
+        X.clean_text("own_goals").alias("own_goals"), X.sentinel_to_null("own_position").alias("own_position"),
+        X.fold_ligatures(X.clean_text("own_manager_name")).alias("own_manager_name"),
+        X.clean_text("opponent_id").alias("opponent_id"), X.clean_text("opponent_goals").alias("opponent_goals"),
+        X.fold_ligatures(X.clean_text("opponent_manager_name")).alias("opponent_manager_name"),
+        X.clean_text("hosting").alias("hosting"), "batch_id", "source_row")
+    s = D.dedup_latest(s, ["game_id", "club_id"], ["batch_id", "source_row"])
+    s = s.join(g, "game_id", "left")                                        # lookup_enrich: date, season
+    done = existing_fact.join(dims["match"].select("match_key", "game_id"), "match_key") \
+        .join(dims["club"].select("club_key", "club_id"), "club_key") \
+        .select(F.col("game_id").cast("string").alias("game_id"), F.col("club_id").cast("string").alias("club_id"))
+    s = s.join(done, ["game_id", "club_id"], "left_anti")                  # natural-key anti-join at source
+    ok, bad_cast = R.cast_or_reject(s, {"game_id": "int", "club_id": "int", "own_goals": "int",
+                                        "own_position": "int", "opponent_id": "int", "opponent_goals": "int",
+                                        "game_date_raw": "date"})
+    valid, bad_rule = R.validate_or_reject(ok, [
+        (F.col("c_game_id").isNull() | F.col("c_club_id").isNull() | F.col("c_own_goals").isNull()
+         | F.col("c_opponent_goals").isNull() | F.col("c_game_date_raw").isNull(), "missing required value")],
+        window=R.load_window_filter(F.col("c_game_date_raw"), window.load_from, window.load_to))
+    gf, ga = F.col("c_own_goals"), F.col("c_opponent_goals")
+    f = valid.withColumns({"own_manager_name": X.default_label("own_manager_name"),
+                           "opponent_manager_name": X.default_label("opponent_manager_name")})
+    f = (f.join(_current_keys(dims["match"], "game_id", "match_key", "game_id", "match_key"), "game_id", "left")
+         .join(_current_keys(dims["club"], "club_id", "club_key", "club_id", "club_key"), "club_id", "left")
+         .join(_current_keys(dims["club"], "club_id", "club_key", "opponent_id", "opponent_club_key"),
+               "opponent_id", "left")
+         .join(_current_keys(dims["competition"], "competition_id", "competition_key", "g_comp",
+                             "competition_key"), "g_comp", "left")
+         .join(_current_keys(dims["season"], "season_start_year", "season_key", "g_season", "season_key"),
+               "g_season", "left")
+         .join(_current_keys(dims["manager"], "manager_name", "manager_key", "own_manager_name", "manager_key"),
+               "own_manager_name", "left")
+         .join(_current_keys(dims["manager"], "manager_name", "manager_key", "opponent_manager_name",
+                             "opponent_manager_key"), "opponent_manager_name", "left"))
+    f = J.unknown_key(f, "match_key", "club_key", "opponent_club_key", "competition_key", "season_key",
+                      "manager_key", "opponent_manager_key")
+    outcome = X.match_outcome(gf, ga)
+    fact = f.select("match_key", "club_key", "opponent_club_key", "competition_key", "season_key",
+                    X.date_key(F.col("c_game_date_raw")).alias("date_key"), "manager_key", "opponent_manager_key",
+                    X.is_home(F.col("hosting")).alias("is_home"), gf.alias("goals_for"), ga.alias("goals_against"),
+                    *[c.alias(n) for n, c in outcome.items()], F.col("c_own_position").alias("league_position"),
+                    F.lit(window.batch_id).alias("batch_id"))
+    # sink check on surrogate keys as well (the source anti-join is the one that survives SCD2)
+    fact = fact.join(existing_fact.select("match_key", "club_key"), ["match_key", "club_key"], "left_anti")
+    return fact, _rejects(bad_cast, bad_rule, window, "club_games",
+                          F.concat_ws("|", F.col("game_id"), F.col("club_id")))
+
+
+def load_fact_player_appearance(stg: DataFrame, stg_games: DataFrame, dims: dict[str, DataFrame],
+                                existing_fact: DataFrame, window: LoadWindow) -> tuple[DataFrame, DataFrame]:
+    """Staged appearances -> player × match rows, with the range checks of the source."""
+    g = stg_games.select(X.clean_text("game_id").alias("game_id"), X.clean_text("season").alias("g_season"),
+                         "batch_id", "source_row")
+    g = D.dedup_latest(g, ["game_id"], ["batch_id", "source_row"]).drop("batch_id", "source_row")
+    cols = ["appearance_id", "game_id", "player_id", "player_club_id", "competition_id", "yellow_cards",
+            "red_cards", "goals", "assists", "minutes_played"]
+    s = stg.select(*[X.clean_text(c).alias(c) for c in cols], X.clean_date_text("date").alias("date_raw"),
+                   "batch_id", "source_row")
+    s = D.dedup_latest(s, ["appearance_id"], ["batch_id", "source_row"])
+    s = s.join(existing_fact.select("appearance_id"), "appearance_id", "left_anti").join(g, "game_id", "left")
+    ints = ["game_id", "player_id", "player_club_id", "yellow_cards", "red_cards", "goals", "assists",
+            "minutes_played"]
+    ok, bad_cast = R.cast_or_reject(s, {**{c: "int" for c in ints}, "date_raw": "date"})
+    c = F.col
+    valid, bad_rule = R.validate_or_reject(ok, [
+        (c("c_game_id").isNull() | c("c_player_id").isNull() | c("c_date_raw").isNull()
+         | c("c_minutes_played").isNull() | c("c_goals").isNull() | c("c_assists").isNull()
+         | c("c_yellow_cards").isNull() | c("c_red_cards").isNull(), "missing required value"),
+        ((c("c_minutes_played") < 0) | (c("c_minutes_played") > fixed.MINUTES_MAX), "minutes out of range"),
+        ((c("c_goals") < 0) | (c("c_assists") < 0) | (c("c_yellow_cards") < 0) | (c("c_red_cards") < 0),
+         "negative count")],
+        window=R.load_window_filter(c("c_date_raw"), window.load_from, window.load_to))
+    f = (valid.join(_current_keys(dims["match"], "game_id", "match_key", "game_id", "match_key"), "game_id", "left")
+         .join(_current_keys(dims["player"], "player_id", "player_key", "player_id", "player_key"), "player_id",
+               "left")
+         .join(_current_keys(dims["club"], "club_id", "club_key", "player_club_id", "club_key"), "player_club_id",
+               "left")
+         .join(_current_keys(dims["competition"], "competition_id", "competition_key", "competition_id",
+                             "competition_key"), "competition_id", "left")
+         .join(_current_keys(dims["season"], "season_start_year", "season_key", "g_season", "season_key"),
+               "g_season", "left"))
+    f = J.unknown_key(f, "match_key", "player_key", "club_key", "competition_key", "season_key")
+    fact = f.select("appearance_id", "match_key", "player_key", "club_key", "competition_key", "season_key",
+                    X.date_key(c("c_date_raw")).alias("date_key"), c("c_minutes_played").alias("minutes_played"),
+                    c("c_goals").alias("goals"), c("c_assists").alias("assists"),
+                    c("c_yellow_cards").alias("yellow_cards"), c("c_red_cards").alias("red_cards"),
+                    F.lit(1).alias("appearance_count"), F.lit(window.batch_id).alias("batch_id"))
+    return fact, _rejects(bad_cast, bad_rule, window, "appearances", c("appearance_id"))
+
+
+def load_fact_transfer(stg: DataFrame, dims: dict[str, DataFrame], existing_fact: DataFrame,
+                       window: LoadWindow) -> tuple[DataFrame, DataFrame]:
+    """Staged transfers -> deals: fee kept NULL when undisclosed (≠ 0 = free / loan), fee
+    status and band -> transfer type key, premium, age and youth flag."""
+    s = stg.select(
+        X.clean_text("player_id").alias("player_id"), X.clean_date_text("transfer_date").alias("date_raw"),
+        X.clean_text("transfer_season").alias("transfer_season"),
+        X.remap_club_code(X.clean_text("from_club_id")).alias("from_club_id"),
+        X.remap_club_code(X.clean_text("to_club_id")).alias("to_club_id"),
+        X.clean_text("transfer_fee").alias("transfer_fee"), X.clean_text("market_value_in_eur").alias("mv"),
+        "batch_id", "source_row")
+    s = D.dedup_latest(s, ["player_id", "date_raw", "from_club_id", "to_club_id"], ["batch_id", "source_row"])
+    done = existing_fact.join(dims["player"].select("player_key", "player_id"), "player_key").select(
+        F.col("player_id").cast("string").alias("player_id"), F.col("date_key").alias("__dk"),
+        F.col("from_club_key").alias("__f"), F.col("to_club_key").alias("__t"))
+    ok, bad_cast = R.cast_or_reject(s, {"player_id": "int", "date_raw": "date", "from_club_id": "int",
+                                        "to_club_id": "int", "transfer_fee": "decimal(19,3)", "mv": "decimal(19,3)"})
+    c = F.col
+    valid, bad_rule = R.validate_or_reject(ok, [
+        (c("c_player_id").isNull() | c("c_date_raw").isNull(), "missing required value"),
+        (c("c_transfer_fee").isNotNull() & (c("c_transfer_fee") < 0), "negative fee"),
+        (c("c_mv").isNotNull() & (c("c_mv") < 0), "negative market value")],
+        window=R.load_window_filter(c("c_date_raw"), window.load_from, window.load_to))
+    players = dims["player"].filter(c("is_current")).select(c("player_id").cast("string").alias("player_id"),
+                                                              "player_key", "date_of_birth")
+    seasons = dims["season"].select(c("season_short").alias("transfer_season"), "season_key")
+    f = (valid.join(players, "player_id", "left")
+         .join(_current_keys(dims["club"], "club_id", "club_key", "from_club_id", "from_club_key"), "from_club_id",
+               "left")
+         .join(_current_keys(dims["club"], "club_id", "club_key", "to_club_id", "to_club_key"), "to_club_id", "left")
+         .join(F.broadcast(seasons), "transfer_season", "left"))
+    f = J.unknown_key(f, "player_key", "from_club_key", "to_club_key", "season_key")
+    fee, mv, d = c("c_transfer_fee").cast("long"), c("c_mv").cast("long"), c("c_date_raw")
+    fact = f.select("player_key", X.date_key(d).alias("date_key"), "season_key", "from_club_key", "to_club_key",
+                    X.transfer_type_key(fee).cast("int").alias("transfer_type_key"), fee.alias("transfer_fee_eur"),
+                    mv.alias("market_value_eur"), X.fee_premium(fee, mv).alias("fee_premium_eur"),
+                    X.age_in_range(c("date_of_birth"), d, 0, 100).alias("age_at_transfer"),
+                    X.youth_flag(c("date_of_birth"), d).alias("is_youth_transfer"),
+                    F.lit(1).alias("transfer_count"), F.lit(window.batch_id).alias("batch_id"),
+                    c("player_id").alias("__pid"))
+    fact = fact.join(done, (fact.__pid == done.player_id) & (fact.date_key == done.__dk)
+                     & (fact.from_club_key == done.__f) & (fact.to_club_key == done.__t), "left_anti").drop("__pid")
+    return fact, _rejects(bad_cast, bad_rule, window, "transfers",
+                          F.concat_ws("|", c("player_id"), c("date_raw"), c("from_club_id"), c("to_club_id")))
+
+
+def code_audit(stg_codes: dict[str, tuple[DataFrame, str]], dims: dict[str, tuple[DataFrame, str]],
+               batch_id: str) -> DataFrame:
+    """Source codes absent from their dimension → reject-log rows (one per table and code)."""
+    out = None
+    for name, (df, col) in stg_codes.items():
+        dim, dim_col = dims[name]
+        codes = df.select(X.clean_text(col).alias("code")).filter(F.col("code").isNotNull()).distinct()
+        missing = J.anti_join(codes, dim.select(F.col(dim_col).cast("string").alias("code")), "code")
+        part = missing.select(F.lit(batch_id).alias("batch_id"), F.lit(name).alias("source_table"),
+                              F.col("code").alias("natural_key"),
+                              F.lit(f"{col} not in dimension").alias("reason"),
+                              F.current_timestamp().alias("rejected_at"))
+        out = part if out is None else out.unionByName(part)
+    return out

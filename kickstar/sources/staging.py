@@ -1,8 +1,9 @@
 """Staging layer: all-text CSV source, audit columns, batch ids, full refresh, reconciliation.
 
-Source files are read with an explicit all-string schema (never inferred); empty
-strings are kept as empty strings (``nullValue`` is not set) so the cleaning step
-decides what counts as missing, exactly like the text staging tables.
+Source files are read with an explicit all-string schema (never inferred). A quoted
+empty string stays an empty string; an unquoted empty field arrives as NULL (the CSV
+parser's behaviour). The cleaning step treats both the same way (NULL -> "" -> trimmed ->
+empty -> NULL), so the staged text is as good as verbatim for every later rule.
 """
 
 from __future__ import annotations
@@ -28,6 +29,11 @@ STAGING_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
+# The reader's default null token is the empty string; a control character that never
+# occurs in the files keeps quoted empty fields as empty text.
+NO_NULL_TOKEN = "\u0000"
+
+
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
@@ -37,7 +43,7 @@ def csv_raw_source(spark: SparkSession, path: str, columns: Sequence[str]) -> Da
     return (spark.read.schema(text_schema(columns))
             .option("header", "true").option("quote", '"').option("escape", '"')
             .option("multiLine", "true").option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-            .option("emptyValue", "")
+            .option("nullValue", NO_NULL_TOKEN).option("emptyValue", "")
             .csv(path))
 
 
