@@ -1,0 +1 @@
+"""Micro-batch (Structured Streaming) form of the incremental fact load."""
