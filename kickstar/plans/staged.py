@@ -11,6 +11,13 @@ driver tables:
   signup events with value < 3 (rule reject); club id = user_id % n_supp; domestic
   competition blank for view events (→ -2) else 'COMP<(user_id % 25)*10+1>';
   batch_id = 'BATCH_' + ts as yyyyMMdd_HHmmss; source_row = event_id.
+* ``stg_transfers`` — one text row per line item: player = o_custkey, date = ship date
+  as text, season 'yy/yy' of the ship year, from club = l_suppkey, to club '515' (a
+  not-applicable code) on line 7, '75' (the unknown code) on line 6 with flag 'N', else
+  (l_suppkey + 3*l_linenumber) % n_supp; fee empty for flag 'R', '0' for flag 'A' with
+  status 'O', '-1' (rule reject) for flag 'A' with no discount, else
+  round(l_extendedprice*1000) + '.000'; market value round(p_retailprice*l_quantity*1000);
+  batch 'BATCH_' + order date; source_row = l_orderkey*8 + l_linenumber.
 * club dimension v1 (suppliers with s_acctbal >= 0) and incoming v2 (all suppliers):
   name + ' FC' when 0 <= s_acctbal < 2000 (SCD1), stadium 'Arena <id>' when
   s_acctbal >= 8000 (SCD2), league moved to the next nation when
@@ -53,6 +60,49 @@ def stg_player_valuations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("source_row"))
 
 
+TRANSFER_WINDOW = WH.LoadWindow("1995-01-01", "1999-12-31", "BATCH_TR_1")
+
+
+def stg_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                                 "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus",
+                                                 "l_shipdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    ns = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("_n"))
+    df = li.join(o, li.l_orderkey == o.o_orderkey).join(part, li.l_partkey == part.p_partkey) \
+        .crossJoin(F.broadcast(ns))
+    c = F.col
+    to_club = (F.when(c("l_linenumber") == 7, F.lit("515"))
+               .when((c("l_linenumber") == 6) & (c("l_returnflag") == "N"), F.lit("75"))
+               .otherwise(((c("l_suppkey") + 3 * c("l_linenumber")) % c("_n")).cast("string")))
+    fee = (F.when(c("l_returnflag") == "R", F.lit(None).cast("string"))
+           .when((c("l_returnflag") == "A") & (c("l_linestatus") == "O"), F.lit("0"))
+           .when((c("l_returnflag") == "A") & (F.round(c("l_discount") * 100).cast("int") == 0), F.lit("-1"))
+           .otherwise(F.concat(F.round(c("l_extendedprice") * 1000).cast("long").cast("string"), F.lit(".000"))))
+    return df.select(
+        c("o_custkey").cast("string").alias("player_id"), c("l_shipdate").cast("string").alias("transfer_date"),
+        X.season_short(F.year("l_shipdate")).alias("transfer_season"), c("l_suppkey").cast("string").alias("from_club_id"),
+        to_club.alias("to_club_id"), F.lit(None).cast("string").alias("from_club_name"),
+        F.lit(None).cast("string").alias("to_club_name"), fee.alias("transfer_fee"),
+        F.round(c("p_retailprice") * c("l_quantity") * 1000).cast("long").cast("string").alias("market_value_in_eur"),
+        F.lit(None).cast("string").alias("player_name"),
+        F.date_format("o_orderdate", "'BATCH_'yyyyMMdd").alias("batch_id"),
+        (c("l_orderkey") * 8 + c("l_linenumber")).alias("source_row"))
+
+
+FACT_TRANSFER_KEYS = "player_key long, date_key int, from_club_key long, to_club_key long"
+
+
+def load_fact_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged transfers of the window 1995-1999 → transfer facts (remapped codes, NULL vs 0 fee)."""
+    player, club, _ = load_dims(spark, sf_dir)
+    dims = {"player": player, "club": club, "season": star.dim_season(spark)}
+    empty = spark.createDataFrame([], FACT_TRANSFER_KEYS)
+    fact, _ = WH.load_fact_transfer(stg_transfers(spark, sf_dir), dims, empty, TRANSFER_WINDOW)
+    return fact
+
+
 def load_dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     player = star.dim_player(spark, sf_dir).withColumn("is_current", F.lit(True))
     club = star.dim_club(spark, sf_dir)

@@ -472,7 +472,9 @@ def load_fact_transfer(stg: DataFrame, dims: dict[str, DataFrame], existing_fact
         X.remap_club_code(X.clean_text("to_club_id")).alias("to_club_id"),
         X.clean_text("transfer_fee").alias("transfer_fee"), X.clean_text("market_value_in_eur").alias("mv"),
         "batch_id", "source_row")
-    s = D.dedup_latest(s, ["player_id", "date_raw", "from_club_id", "to_club_id"], ["batch_id", "source_row"])
+    # latest batch wins; equal batches fall back to the row id, then the values (a total order)
+    s = D.dedup_latest(s, ["player_id", "date_raw", "from_club_id", "to_club_id"],
+                       ["batch_id", "source_row", "transfer_fee", "mv"])
     done = existing_fact.join(dims["player"].select("player_key", "player_id"), "player_key").select(
         F.col("player_id").cast("string").alias("player_id"), F.col("date_key").alias("__dk"),
         F.col("from_club_key").alias("__f"), F.col("to_club_key").alias("__t"))

@@ -88,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "q_gen_dim_age": C.gen_dim_age,
     "q_surrogate_key": C.surrogate_key_players,
     "q_load_fact_player_valuation": S.load_fact_player_valuation,
+    "q_load_fact_transfer": S.load_fact_transfer,
     "q_scd_merge_club": S.scd_merge_club,
     "q_asof_version_join": S.asof_club_version,
 }
