@@ -18,6 +18,13 @@ driver tables:
   status 'O', '-1' (rule reject) for flag 'A' with no discount, else
   round(l_extendedprice*1000) + '.000'; market value round(p_retailprice*l_quantity*1000);
   batch 'BATCH_' + order date; source_row = l_orderkey*8 + l_linenumber.
+* ``stg_club_games`` / ``stg_games`` — one text row per line item (game = order, club =
+  supplier): own goals int(l_quantity) % 5 ('x' — a cast reject — for flag 'R' on
+  line 5), position l_partkey % 20 + 1 ('-1' sentinel for status 'O'), own manager =
+  part brand, opponent (l_suppkey + l_linenumber) % n_supp with l_linenumber % 4
+  goals and the brand as manager for status 'F' (blank otherwise), 'Home' for flag
+  'N'; games from orders with competition 'COMP<(o_custkey % 25)*10+1>', season =
+  order year, date = order date.
 * club dimension v1 (suppliers with s_acctbal >= 0) and incoming v2 (all suppliers):
   name + ' FC' when 0 <= s_acctbal < 2000 (SCD1), stadium 'Arena <id>' when
   s_acctbal >= 8000 (SCD2), league moved to the next nation when
@@ -91,6 +98,55 @@ def stg_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
         (c("l_orderkey") * 8 + c("l_linenumber")).alias("source_row"))
 
 
+TEAM_WINDOW = WH.LoadWindow("1995-01-01", "1998-12-31", "BATCH_TM_1")
+
+
+def stg_club_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                                 "l_returnflag", "l_linestatus")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    ns = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("_n"))
+    df = li.join(part, li.l_partkey == part.p_partkey).crossJoin(F.broadcast(ns))
+    c = F.col
+    return df.select(
+        c("l_orderkey").cast("string").alias("game_id"), c("l_suppkey").cast("string").alias("club_id"),
+        F.when((c("l_returnflag") == "R") & (c("l_linenumber") == 5), F.lit("x"))
+        .otherwise((c("l_quantity").cast("int") % 5).cast("string")).alias("own_goals"),
+        F.when(c("l_linestatus") == "O", F.lit("-1")).otherwise((c("l_partkey") % 20 + 1).cast("string"))
+        .alias("own_position"),
+        c("p_brand").alias("own_manager_name"),
+        ((c("l_suppkey") + c("l_linenumber")) % c("_n")).cast("string").alias("opponent_id"),
+        (c("l_linenumber") % 4).cast("string").alias("opponent_goals"),
+        F.lit(None).cast("string").alias("opponent_position"),
+        F.when(c("l_linestatus") == "F", c("p_brand")).otherwise(F.lit(" ")).alias("opponent_manager_name"),
+        F.when(c("l_returnflag") == "N", F.lit("Home")).otherwise(F.lit("Away")).alias("hosting"),
+        F.lit(None).cast("string").alias("is_win"),
+        F.lit("BATCH_1").alias("batch_id"), (c("l_orderkey") * 8 + c("l_linenumber")).alias("source_row"))
+
+
+def stg_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return o.select(F.col("o_orderkey").cast("string").alias("game_id"),
+                    F.concat(F.lit("COMP"), ((F.col("o_custkey") % 25) * 10 + 1).cast("string")).alias("competition_id"),
+                    F.year("o_orderdate").cast("string").alias("season"),
+                    F.col("o_orderdate").cast("string").alias("date"),
+                    F.lit("BATCH_1").alias("batch_id"), F.col("o_orderkey").alias("source_row"))
+
+
+def load_fact_team_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged club games of the window 1995-1998 → team × match facts (seven key lookups)."""
+    from kickstar.frames import literal_frame
+    manager = star.dim_manager(spark, sf_dir).unionByName(
+        literal_frame(spark, [(-1, fixed.UNKNOWN)], "manager_key int, manager_name string"))
+    dims = {"match": star.dim_match(spark, sf_dir), "club": star.dim_club(spark, sf_dir),
+            "competition": star.dim_competition(spark, sf_dir), "season": star.dim_season(spark),
+            "manager": manager}
+    empty = spark.createDataFrame([], "match_key long, club_key long")
+    fact, _ = WH.load_fact_team_match(stg_club_games(spark, sf_dir), stg_games(spark, sf_dir), dims, empty,
+                                      TEAM_WINDOW)
+    return fact
+
+
 FACT_TRANSFER_KEYS = "player_key long, date_key int, from_club_key long, to_club_key long"
 
 

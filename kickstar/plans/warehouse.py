@@ -377,7 +377,10 @@ def load_fact_team_match(stg_club_games: DataFrame, stg_games: DataFrame, dims:
         X.clean_text("opponent_id").alias("opponent_id"), X.clean_text("opponent_goals").alias("opponent_goals"),
         X.fold_ligatures(X.clean_text("opponent_manager_name")).alias("opponent_manager_name"),
         X.clean_text("hosting").alias("hosting"), "batch_id", "source_row")
-    s = D.dedup_latest(s, ["game_id", "club_id"], ["batch_id", "source_row"])
+    # latest batch, then row id, then the values: a total order even for repeated source rows
+    s = D.dedup_latest(s, ["game_id", "club_id"],
+                       ["batch_id", "source_row", "own_goals", "opponent_goals", "opponent_id", "hosting",
+                        "own_position", "own_manager_name", "opponent_manager_name"])
     s = s.join(g, "game_id", "left")                                        # lookup_enrich: date, season
     done = existing_fact.join(dims["match"].select("match_key", "game_id"), "match_key") \
         .join(dims["club"].select("club_key", "club_id"), "club_key") \
