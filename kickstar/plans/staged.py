@@ -25,6 +25,11 @@ driver tables:
   goals and the brand as manager for status 'F' (blank otherwise), 'Home' for flag
   'N'; games from orders with competition 'COMP<(o_custkey % 25)*10+1>', season =
   order year, date = order date.
+* ``stg_appearances`` — one text row per line item: id '<orderkey>-<linenumber>' (repeats
+  in the data: the latest row wins), game = order, player = o_custkey, club = supplier,
+  competition 'COMP<(o_custkey % 25)*10+1>', date = ship date, cards from the discount,
+  goals l_linenumber % 3, assists l_partkey % 3, minutes int(l_quantity)*13 % 91, except
+  '131' minutes (flag 'R', line 1) and '-1' goals (flag 'A', line 2) as rule rejects.
 * club dimension v1 (suppliers with s_acctbal >= 0) and incoming v2 (all suppliers):
   name + ' FC' when 0 <= s_acctbal < 2000 (SCD1), stadium 'Arena <id>' when
   s_acctbal >= 8000 (SCD2), league moved to the next nation when
@@ -147,6 +152,43 @@ def load_fact_team_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact
 
 
+APPEARANCE_WINDOW = WH.LoadWindow("1995-01-01", "1999-12-31", "BATCH_AP_1")
+
+
+def stg_appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                                 "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    df = li.join(o, li.l_orderkey == o.o_orderkey)
+    c = F.col
+    disc, tax = F.round(c("l_discount") * 100).cast("int"), F.round(c("l_tax") * 100).cast("int")
+    minutes = F.when((c("l_returnflag") == "R") & (c("l_linenumber") == 1), F.lit("131")) \
+        .otherwise(((c("l_quantity").cast("int") * 13) % 91).cast("string"))
+    goals = F.when((c("l_returnflag") == "A") & (c("l_linenumber") == 2), F.lit("-1")) \
+        .otherwise((c("l_linenumber") % 3).cast("string"))
+    return df.select(
+        F.concat_ws("-", c("l_orderkey").cast("string"), c("l_linenumber").cast("string")).alias("appearance_id"),
+        c("l_orderkey").cast("string").alias("game_id"), c("o_custkey").cast("string").alias("player_id"),
+        c("l_suppkey").cast("string").alias("player_club_id"), F.lit(None).cast("string").alias("player_current_club_id"),
+        c("l_shipdate").cast("string").alias("date"), F.lit(None).cast("string").alias("player_name"),
+        F.concat(F.lit("COMP"), ((c("o_custkey") % 25) * 10 + 1).cast("string")).alias("competition_id"),
+        F.when(disc >= 7, F.lit("1")).otherwise(F.lit("0")).alias("yellow_cards"),
+        F.when((disc == 10) & (tax >= 6), F.lit("1")).otherwise(F.lit("0")).alias("red_cards"),
+        goals.alias("goals"), (c("l_partkey") % 3).cast("string").alias("assists"), minutes.alias("minutes_played"),
+        F.lit("BATCH_1").alias("batch_id"), (c("l_orderkey") * 8 + c("l_linenumber")).alias("source_row"))
+
+
+def load_fact_player_appearance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged appearances of the window 1995-1999 → player × match facts with range checks."""
+    player, club, comp = load_dims(spark, sf_dir)
+    dims = {"match": star.dim_match(spark, sf_dir), "player": player, "club": club, "competition": comp,
+            "season": star.dim_season(spark)}
+    empty = spark.createDataFrame([], "appearance_id string")
+    fact, _ = WH.load_fact_player_appearance(stg_appearances(spark, sf_dir), stg_games(spark, sf_dir), dims, empty,
+                                             APPEARANCE_WINDOW)
+    return fact
+
+
 FACT_TRANSFER_KEYS = "player_key long, date_key int, from_club_key long, to_club_key long"
 
 

@@ -432,7 +432,7 @@ def load_fact_player_appearance(stg: DataFrame, stg_games: DataFrame, dims: dict
             "red_cards", "goals", "assists", "minutes_played"]
     s = stg.select(*[X.clean_text(c).alias(c) for c in cols], X.clean_date_text("date").alias("date_raw"),
                    "batch_id", "source_row")
-    s = D.dedup_latest(s, ["appearance_id"], ["batch_id", "source_row"])
+    s = D.dedup_latest(s, ["appearance_id"], ["batch_id", "source_row", "date_raw"] + cols[1:])
     s = s.join(existing_fact.select("appearance_id"), "appearance_id", "left_anti").join(g, "game_id", "left")
     ints = ["game_id", "player_id", "player_club_id", "yellow_cards", "red_cards", "goals", "assists",
             "minutes_played"]

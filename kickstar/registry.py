@@ -90,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "q_load_fact_player_valuation": S.load_fact_player_valuation,
     "q_load_fact_transfer": S.load_fact_transfer,
     "q_load_fact_team_match": S.load_fact_team_match,
+    "q_load_fact_player_appearance": S.load_fact_player_appearance,
     "q_scd_merge_club": S.scd_merge_club,
     "q_asof_version_join": S.asof_club_version,
 }
