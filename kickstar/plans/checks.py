@@ -77,8 +77,8 @@ def dq_segment_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_league_table(spark: SparkSession, sf_dir: str, competition: str = COMPETITION, season: str = SEASON,
                     n: int = 5) -> DataFrame:
     """Spot check: top of one league table (points, then goal difference)."""
-    tm = star.team_match(spark, sf_dir).join(_seasons(spark, [season]).select("season_key"), "season_key",
-                                             "left_semi") \
+    tm = star.team_match(spark, sf_dir, ship_range=star.season_span([season])) \
+        .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi") \
         .join(_competitions(spark, sf_dir, [competition]), "competition_key", "left_semi")
     per = tm.groupBy("club_key").agg(F.count(F.lit(1)).alias("matches"), F.sum("points").alias("points"),
                                      F.sum("goal_difference").alias("goal_difference"), F.sum("is_win").alias("wins"))
@@ -89,8 +89,8 @@ def dq_league_table(spark: SparkSession, sf_dir: str, competition: str = COMPETI
 
 def dq_top_scorers(spark: SparkSession, sf_dir: str, competition: str = COMPETITION, season: str = SEASON,
                    n: int = 5) -> DataFrame:
-    fa = star.player_appearance(spark, sf_dir).join(_seasons(spark, [season]).select("season_key"), "season_key",
-                                                    "left_semi") \
+    fa = star.player_appearance(spark, sf_dir, ship_range=star.season_span([season])) \
+        .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi") \
         .join(_competitions(spark, sf_dir, [competition]), "competition_key", "left_semi")
     per = fa.groupBy("player_key").agg(F.sum("goals").alias("goals"), F.sum("minutes_played").alias("minutes"))
     per = per.join(star.dim_player(spark, sf_dir).select("player_key", "full_name"), "player_key")

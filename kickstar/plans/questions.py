@@ -79,7 +79,7 @@ TEAM_MEASURES = ("matches", "wins", "draws", "losses", "goals_for", "goals_again
 def _team_by_club(spark: SparkSession, sf_dir: str, season: str | None = None,
                   competition: str | None = None, extra: dict[str, Column] | None = None) -> DataFrame:
     """Team-match sums per club name (club_key <> -1), pre-aggregated per club key."""
-    tm = star.team_match(spark, sf_dir)
+    tm = star.team_match(spark, sf_dir, ship_range=star.season_span([season]) if season else None)
     if season is not None:
         tm = tm.join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
     if competition is not None:
@@ -185,7 +185,7 @@ def t8_vs_strong_opponents(spark: SparkSession, sf_dir: str, season: str = SEASO
                            strong: Sequence[str] = STRONG_CLUBS) -> DataFrame:
     clubs = _clubs(spark, sf_dir)
     strong_keys = clubs.filter(F.col("club_name").isin(*strong)).select(F.col("club_key").alias("opponent_club_key"))
-    tm = star.team_match(spark, sf_dir, with_opponent=True) \
+    tm = star.team_match(spark, sf_dir, with_opponent=True, ship_range=star.season_span([season])) \
         .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
     tm = tm.join(F.broadcast(strong_keys), "opponent_club_key", "left_semi")   # role: opponent
     sums = team_sums()
@@ -255,8 +255,8 @@ def bq_goals_rollup(spark: SparkSession, sf_dir: str, season: str = SEASON) -> D
 
     The fact is first summed per competition key; the rollup's Expand then runs on
     one row per competition instead of one per fact row (sums and counts re-add)."""
-    tm = star.team_match(spark, sf_dir).join(_seasons(spark, [season]).select("season_key"), "season_key",
-                                             "left_semi")
+    tm = star.team_match(spark, sf_dir, ship_range=star.season_span([season])) \
+        .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
     per = tm.groupBy("competition_key").agg(A.count_rows().alias("n"), F.sum("goals_for").alias("gf"),
                                             F.sum("is_clean_sheet").alias("cs"))
     comp = star.dim_competition(spark, sf_dir)
@@ -325,7 +325,7 @@ EXCLUDED_POSITIONS = (fixed.UNKNOWN, "Missing")
 
 def _appearances(spark: SparkSession, sf_dir: str, season: str | None = None,
                  competitions: Sequence[str] | None = None) -> DataFrame:
-    fa = star.player_appearance(spark, sf_dir)
+    fa = star.player_appearance(spark, sf_dir, ship_range=star.season_span([season]) if season else None)
     if season is not None:
         fa = fa.join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
     if competitions is not None:
@@ -579,7 +579,7 @@ def bq_value_by_age(spark: SparkSession, sf_dir: str, year_from: int = 2021, yea
 
 
 def _transfers(spark: SparkSession, sf_dir: str, seasons: Sequence[str] | None = None) -> DataFrame:
-    ft = star.transfer(spark, sf_dir)
+    ft = star.transfer(spark, sf_dir, ship_range=star.season_span(seasons) if seasons else None)
     if seasons is not None:
         ft = ft.join(_seasons(spark, seasons).select("season_key"), "season_key", "left_semi")
     return ft

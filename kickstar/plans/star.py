@@ -72,6 +72,23 @@ def _n_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("_n_supp"))
 
 
+def season_span(labels) -> tuple[str, str] | None:
+    """Ship-date range [first season start, last season end) covering season labels
+    'yyyy/yy'; a superset filter on the raw date column that parquet can push down
+    (row-group statistics, partition pruning). The exact label filter still follows."""
+    years = [int(lab[:4]) for lab in labels if len(lab) >= 4 and lab[:4].isdigit()]
+    return (f"{min(years)}-01-01", f"{max(years) + 1}-01-01") if years else None
+
+
+def _lineitem(spark: SparkSession, sf_dir: str, cols: list[str], ship_range: tuple[str, str] | None) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select(*cols)
+    if ship_range:
+        lo, hi = ship_range
+        li = li.filter((F.col("l_shipdate") >= F.lit(lo).cast("timestamp_ntz"))
+                       & (F.col("l_shipdate") < F.lit(hi).cast("timestamp_ntz")))
+    return li
+
+
 def competition_key(nationkey: Column, linestatus: Column) -> Column:
     return (nationkey * 10 + F.when(linestatus == "F", 1).otherwise(2)).cast("int")
 
@@ -214,13 +231,12 @@ def dim_transfer_type(spark: SparkSession) -> DataFrame:
 # ------------------------------------------------------------------ facts
 
 @session_memo
-def team_match(spark: SparkSession, sf_dir: str, with_manager: bool = False, with_opponent: bool = False
-               ) -> DataFrame:
+def team_match(spark: SparkSession, sf_dir: str, with_manager: bool = False, with_opponent: bool = False,
+               ship_range: tuple[str, str] | None = None) -> DataFrame:
     """Team × match rows; the manager (part join) and opponent (supplier count) columns are
     added only when asked, so other queries do not pay for those joins."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
-        "l_shipdate")
+    li = _lineitem(spark, sf_dir, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                   "l_returnflag", "l_linestatus", "l_shipdate"], ship_range)
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     df = li.join(sup, li.l_suppkey == sup.s_suppkey)
     if with_opponent:
@@ -248,18 +264,17 @@ def team_match(spark: SparkSession, sf_dir: str, with_manager: bool = False, wit
     return df.select(*cols)
 
 
-def _appearance_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
-        "l_linestatus", "l_shipdate")
+def _appearance_base(spark: SparkSession, sf_dir: str, ship_range: tuple[str, str] | None = None) -> DataFrame:
+    li = _lineitem(spark, sf_dir, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                   "l_discount", "l_tax", "l_linestatus", "l_shipdate"], ship_range)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(o, li.l_orderkey == o.o_orderkey)
 
 
 @session_memo
-def player_appearance(spark: SparkSession, sf_dir: str) -> DataFrame:
+def player_appearance(spark: SparkSession, sf_dir: str, ship_range: tuple[str, str] | None = None) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    df = _appearance_base(spark, sf_dir)
+    df = _appearance_base(spark, sf_dir, ship_range)
     df = df.join(sup, df.l_suppkey == sup.s_suppkey)
     disc = F.round(F.col("l_discount") * 100).cast("int")
     tax = F.round(F.col("l_tax") * 100).cast("int")
@@ -316,10 +331,9 @@ def player_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @session_memo
-def transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
-        "l_linestatus", "l_shipdate")
+def transfer(spark: SparkSession, sf_dir: str, ship_range: tuple[str, str] | None = None) -> DataFrame:
+    li = _lineitem(spark, sf_dir, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                   "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"], ship_range)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     cust = table(spark, sf_dir, "customer").select("c_custkey")
