@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,3 +35,14 @@ def session_memo(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
             _MEMO[key] = df
         return df
     return wrapper
+
+
+def materialize(df: DataFrame, label: str = "mat") -> DataFrame:
+    """Cut lineage: write the rows once as parquet under the shared ``spark.checkpoint.dir``
+    and read them back (one execution; ``checkpoint()`` would compute the plan twice
+    unless it were cached). Recomputed tasks then read the same files."""
+    from kickstar.session import checkpoint_dir
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/kickstar-{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -8,8 +8,9 @@ Two passes over a range-partitioned input:
    broadcasting it is safe) give each partition's offset with a small window.
 
 position = offset(partition) + local position. The input is cut from its lineage
-with ``checkpoint()`` (reliable, in ``spark.checkpoint.dir``) so a recomputed task
-after an executor loss sees the same partitioning.
+(written once under ``spark.checkpoint.dir``) so the range sampling and
+the numbering read the same rows once, and a recomputed task after an executor loss
+sees the same partitioning.
 """
 
 from __future__ import annotations
@@ -25,16 +26,23 @@ def _cols(order: Sequence[Column | str]) -> list[Column]:
 
 
 def global_positions(df: DataFrame, order: Sequence[Column | str], name: str = "pos",
-                     partitions: int | None = None, stable: bool = False) -> DataFrame:
-    """1-based position of every row in ``order`` (which must be a total order)."""
+                     partitions: int | None = None, stable: bool = True) -> DataFrame:
+    """1-based position of every row in ``order`` (which must be a total order).
+
+    ``stable``: the input is first written once as a table in the shared checkpoint
+    folder, so the range sampling, the numbering and the partition counts all read the
+    same materialised rows (no recomputation of the upstream plan, identical
+    partitioning after an executor loss)."""
+    from kickstar.frames import materialize
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     oc = _cols(order)
-    ranged = df.repartitionByRange(n, *oc).withColumn("__pid", F.spark_partition_id())
     if stable:
-        ranged = ranged.checkpoint(eager=True)
+        df = materialize(df, "positions")
+    ranged = df.repartitionByRange(n, *oc).withColumn("__pid", F.spark_partition_id())
     local = ranged.withColumn("__lpos", F.row_number().over(Window.partitionBy("__pid").orderBy(*oc)))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
+    # one row per partition: the offsets table is bounded by the partition count
     offsets = counts.withColumn(
         "__off", F.coalesce(F.sum("__cnt").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
                             F.lit(0)))

@@ -283,11 +283,12 @@ def incremental_append(spark: SparkSession, new_rows: DataFrame, fact_path: str,
                        schema: T.StructType, partition_by: Sequence[str] | None = None) -> int:
     """Append the rows whose natural key is not in the fact yet; returns the rows added.
 
-    The rows to add are checkpointed (reliable, shared checkpoint dir) before the write so
-    the anti-join is not re-evaluated against the table it is appending to."""
+    The rows to add are materialised (shared checkpoint folder) before the write so the
+    anti-join is not re-evaluated against the table it is appending to."""
     from kickstar.sources import sinks
     existing = sinks.read_or_empty(spark, fact_path, schema)
-    todo = J.anti_join(new_rows, existing.select(*natural_key), list(natural_key)).checkpoint(eager=True)
+    from kickstar.frames import materialize
+    todo = materialize(J.anti_join(new_rows, existing.select(*natural_key), list(natural_key)), "append")
     n = todo.count()
     if n:
         sinks.append(todo.select(*schema.fieldNames()), fact_path, list(partition_by) if partition_by else None)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kickstar.plans import checks as C
 from kickstar.plans import questions as Q
 from kickstar.plans import staged as S
+from kickstar.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,5 +97,15 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _configured(fn: Query) -> Query:
+    """Fill unset session settings (AQE, skew joins, checkpoint folder) before planning."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {k: _configured(v) for k, v in QUERIES.items()}
