@@ -122,23 +122,40 @@ def one_row(*frames: DataFrame) -> DataFrame:
     return out
 
 
+def version_segments(dim: DataFrame, natural_key: str, surrogate: str, valid_from: str = "effective_date",
+                     valid_to: str = "expiry_date") -> DataFrame:
+    """Non-overlapping validity segments per member with the winning version of each.
+
+    Boundaries are every version start and every end + 1; between two boundaries a
+    version either covers the whole segment or none of it. The winner of a segment is
+    the covering version with the latest start (then the highest key). Work is bounded
+    by the versions of one member, never by the fact."""
+    open_end = F.to_date(F.lit("9999-12-31"))
+    v = dim.select(F.col(natural_key).alias("__nk"), F.col(valid_from).alias("__vf"),
+                   F.col(valid_to).alias("__vt"), F.col(surrogate).alias("__sk")).filter(F.col("__vf") <= F.col("__vt"))
+    starts = v.select("__nk", F.col("__vf").alias("__b"))
+    ends = v.filter(F.col("__vt") < open_end).select("__nk", F.date_add("__vt", 1).alias("__b"))
+    w = Window.partitionBy("__nk").orderBy("__b")
+    segs = starts.unionByName(ends).distinct().withColumn(
+        "__e", F.coalesce(F.date_sub(F.lead("__b").over(w), 1), open_end))
+    cover = segs.join(v, "__nk").filter((F.col("__vf") <= F.col("__b")) & (F.col("__vt") >= F.col("__e")))
+    return cover.groupBy("__nk", "__b", "__e").agg(F.max_by("__sk", F.struct("__vf", "__sk")).alias("__win"))
+
+
 def asof_version_join(df: DataFrame, dim: DataFrame, natural_key: str, event_date: str, surrogate: str,
-                      row_id: str | Sequence[str], valid_from: str = "effective_date",
-                      valid_to: str = "expiry_date", out: str | None = None) -> DataFrame:
+                      valid_from: str = "effective_date", valid_to: str = "expiry_date",
+                      out: str | None = None) -> DataFrame:
     """Attach the SCD2 version valid on the event date; a miss gets -1.
 
-    Equi-join on the natural key plus a range predicate on the validity interval
-    (the interval condition is applied as a post-join filter of a hash join, never
-    as a nested loop). Overlapping versions are resolved to the latest version with
-    a ``max_by`` per row id, so each fact row keeps exactly one key.
-    """
-    ids = [row_id] if isinstance(row_id, str) else list(row_id)
-    versions = dim.select(F.col(natural_key).alias("__nk"), F.col(valid_from).alias("__vf"),
-                          F.col(valid_to).alias("__vt"), F.col(surrogate).alias("__sk"))
-    cand = df.select(*ids, F.col(natural_key).alias("__k"), F.col(event_date).alias("__d")).join(
-        versions, (F.col("__k") == F.col("__nk")) & F.col("__d").between(F.col("__vf"), F.col("__vt")))
-    best = cand.groupBy(*ids).agg(F.max_by("__sk", F.struct("__vf", "__sk")).alias(out or surrogate))
-    return df.join(best, ids, "left").withColumn(out or surrogate, F.coalesce(F.col(out or surrogate), F.lit(-1)))
+    One left join of the facts to the member's validity segments (equi-join on the
+    natural key, the date range as a join condition — never a nested loop); overlapping
+    versions were resolved on the dimension side, so each fact row matches at most one
+    segment and no per-row regrouping of the fact is needed."""
+    seg = version_segments(dim, natural_key, surrogate, valid_from, valid_to)
+    cond = (df[natural_key] == seg["__nk"]) & df[event_date].between(seg["__b"], seg["__e"])
+    name = out or surrogate
+    return df.join(seg, cond, "left").withColumn(name, F.coalesce(F.col("__win"), F.lit(-1))) \
+        .drop("__nk", "__b", "__e", "__win")
 
 
 def key_filter(dim: DataFrame, condition: Column, key: str) -> DataFrame:

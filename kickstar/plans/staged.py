@@ -320,6 +320,5 @@ def asof_club_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
     ft = li.select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("club_id"),
                    F.to_date("l_shipdate").alias("transfer_date"))
-    out = asof_version_join(ft, dim, "club_id", "transfer_date", "club_key", ["l_orderkey", "l_linenumber",
-                                                                            "club_id", "transfer_date"])
+    out = asof_version_join(ft, dim, "club_id", "transfer_date", "club_key")
     return out.groupBy("club_key").agg(F.count(F.lit(1)).alias("deals"))

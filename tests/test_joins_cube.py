@@ -47,8 +47,17 @@ def test_asof_version_join(spark):
                                 "club_key long, club_id long, effective_date date, expiry_date date")
     f = spark.createDataFrame([(1, 10, dt.date(2018, 5, 1)), (2, 10, dt.date(2021, 5, 1)), (3, 99, dt.date(2021, 1, 1))],
                               "rid int, club_id long, d date")
-    out = J.asof_version_join(f, dim, "club_id", "d", "club_key", "rid")
+    out = J.asof_version_join(f, dim, "club_id", "d", "club_key")
     assert rows(out, "rid", "club_key") == [(1, 1), (2, 2), (3, -1)]
+    # overlapping versions: the latest start wins where they overlap, nested ends respected
+    odim = spark.createDataFrame([(1, 7, dt.date(1900, 1, 1), dt.date(1995, 12, 31)),
+                                  (2, 7, dt.date(1990, 1, 1), dt.date(2000, 12, 31)),
+                                  (3, 7, dt.date(1980, 1, 1), dt.date(2020, 12, 31))],
+                                 "club_key long, club_id long, effective_date date, expiry_date date")
+    g = spark.createDataFrame([(i, 7, dt.date(y, 6, 1)) for i, y in enumerate([1970, 1985, 1993, 2010, 2030])],
+                              "rid int, club_id long, d date")
+    got = rows(J.asof_version_join(g, odim, "club_id", "d", "club_key"), "rid", "club_key")
+    assert got == [(0, 1), (1, 3), (2, 2), (3, 3), (4, -1)]
 
 
 def test_last_non_empty_vs_squad_value(spark):
