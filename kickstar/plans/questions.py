@@ -923,3 +923,31 @@ def c_kpi_referee_strictness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kpi_table(g, "kpi_referee_strictness", ["referee"]) \
         .select("referee", "season_key", F.col("m_distinct_matches").alias("matches"), "cards_per_match",
                 "kpi_value", "kpi_goal", "kpi_status", "kpi_trend")
+
+
+# ------------------------------------------------------------------ cube layouts (pivot, hierarchy totals)
+
+POSITION_MEMBERS = tuple(pos for _, pos in star.POSITIONS)
+
+
+def p4_goals_by_position_pivot(spark: SparkSession, sf_dir: str, season: str = "1997/98",
+                               competitions: Sequence[str] = FIVE_COMPETITIONS) -> DataFrame:
+    """The cube layout of p4: competitions on rows, positions on columns (goals)."""
+    from kickstar.plans import cube
+    long = p4_goals_by_position(spark, sf_dir, season, competitions)
+    return cube.cube_pivot(long, ["competition_name"], "position", POSITION_MEMBERS, "goals")
+
+
+def cube_hierarchy_goals(spark: SparkSession, sf_dir: str, season: str = SEASON) -> DataFrame:
+    """DESCENDANTS(All, competition, SELF_AND_BEFORE) on confederation → country →
+    competition: every level with its subtotal, with the level depth (0 = All)."""
+    from kickstar.plans import cube
+    tm = star.team_match(spark, sf_dir, ship_range=star.season_span([season])) \
+        .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
+    per = tm.groupBy("competition_key").agg(A.count_rows().alias("n"), F.sum("goals_for").alias("gf"))
+    per = per.join(F.broadcast(star.dim_competition(spark, sf_dir)), "competition_key")
+    h = cube.cube_hierarchy_totals(per, ["confederation", "country_name", "competition_name"],
+                                   {"team_matches": F.sum("n"), "goals": F.sum("gf")})
+    return h.select("confederation", "country_name", "competition_name", F.col("depth").cast("int").alias("depth"),
+                    "team_matches", "goals",
+                    A.ratio_of_sums(F.col("goals"), F.col("team_matches")).alias("goals_per_team_match"))

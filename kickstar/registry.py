@@ -37,6 +37,8 @@ QUERIES: dict[str, Query] = {
     "q_p2_striker_efficiency": Q.p2_striker_efficiency,
     "q_p3_most_used": Q.p3_most_used,
     "q_p4_goals_by_position": Q.p4_goals_by_position,
+    "q_p4_goals_by_position_pivot": Q.p4_goals_by_position_pivot,
+    "q_cube_hierarchy_totals": Q.cube_hierarchy_goals,
     "q_p5_strict_referees": Q.p5_strict_referees,
     "q_p6_young_minutes": Q.p6_young_minutes,
     "q_bq_strict_referees": Q.bq_strict_referees,

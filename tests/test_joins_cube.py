@@ -110,3 +110,25 @@ def test_global_positions_and_ntile(spark):
     for q, _ in sizes:
         counts[q] = counts.get(q, 0) + 1
     assert counts == {1: 26, 2: 26, 3: 26, 4: 25}
+
+
+def test_slice_dice_except(spark):
+    df = spark.createDataFrame([("2024/25", "GB1", "Attack", 1), ("2024/25", "ES1", "Defender", 2),
+                                ("2023/24", "GB1", None, 3)], "season string, comp string, pos string, n int")
+    assert rows(cube.cube_slice(df, season="2024/25"), "n") == [(1,), (2,)]
+    assert rows(cube.cube_dice(df, {"comp": ["GB1"], "season": ["2023/24", "2024/25"]}), "n") == [(1,), (3,)]
+    assert rows(cube.except_members(df, "pos", ["Defender"]), "n") == [(1,), (3,)]   # NULL member kept
+
+
+def test_scd1_only_merge(spark):
+    from kickstar.plans import warehouse as WH
+    spec = WH.ScdSpec(natural_key="competition_id", surrogate="competition_key",
+                      scd1=("competition_name", "country_name"))
+    dim = spark.createDataFrame([(-1, "-1", "unknown", "u", dt.date(1900, 1, 1), dt.date(9999, 12, 31), True),
+                                 (1, "GB1", "Premier", "England", dt.date(1900, 1, 1), dt.date(9999, 12, 31), True)],
+                                "competition_key long, competition_id string, competition_name string, "
+                                "country_name string, effective_date date, expiry_date date, is_current boolean")
+    inc = spark.createDataFrame([("GB1", "Premier League", "England"), ("ES1", "LaLiga", "Spain")],
+                                "competition_id string, competition_name string, country_name string")
+    out = rows(WH.scd_merge(dim, inc, spec, "2024-07-01"), "competition_key", "competition_id", "competition_name")
+    assert out == [(-1, "-1", "unknown"), (1, "GB1", "Premier League"), (2, "ES1", "LaLiga")]
