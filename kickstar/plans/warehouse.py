@@ -527,3 +527,103 @@ def code_audit(stg_codes: dict[str, tuple[DataFrame, str]], dims: dict[str, tupl
                               F.current_timestamp().alias("rejected_at"))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ------------------------------------------------------------------ dimension sources (staging -> merge input)
+
+def _text(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    return [X.clean_text(c).alias(c) for c in cols]
+
+
+def competition_incoming(stg_competitions: DataFrame, stg_countries: DataFrame) -> DataFrame:
+    """Competitions for the SCD1 merge: cleaned, de-duplicated per id, labels defaulted,
+    international competitions get the referenced country (or 'International'), the
+    confederation normalised."""
+    cols = ["competition_id", "name", "type", "sub_type", "country_id", "country_name", "confederation"]
+    s = stg_competitions.select(*_text(stg_competitions, cols), "batch_id", "source_row")
+    s = D.dedup_latest(s.filter(F.col("competition_id").isNotNull()), ["competition_id"], ["batch_id", "source_row"])
+    ref = stg_countries.select(X.clean_text("country_id").alias("country_id"),
+                               X.clean_text("country_name").alias("ref_country_name"), "batch_id", "source_row")
+    ref = D.dedup_latest(ref.filter(F.col("country_id").isNotNull()), ["country_id"], ["batch_id", "source_row"])
+    s = J.lookup_enrich(s, ref.select("country_id", "ref_country_name"), "country_id")
+    return s.select(
+        "competition_id", X.default_label("name").alias("competition_name"),
+        X.default_label("type").alias("competition_type"), X.default_label("sub_type").alias("competition_sub_type"),
+        X.country_fallback(F.col("country_id"), F.col("country_name"), F.col("ref_country_name")).alias("country_name"),
+        X.normalize_confederation("confederation").alias("confederation"))
+
+
+def club_incoming(stg_clubs: DataFrame, stg_national_teams: DataFrame, dim_competition: DataFrame) -> DataFrame:
+    """Clubs ∪ national teams (tagged by type) for the SCD 1/2/3 club merge; the domestic
+    league supplies the country, confederation and league name of a club."""
+    clubs = stg_clubs.select(
+        X.clean_text("club_id").alias("club_id"), X.clean_text("name").alias("raw_name"),
+        X.clean_text("domestic_competition_id").alias("current_league_id"),
+        X.clean_text("stadium_name").alias("stadium_name"),
+        X.clean_text("stadium_seats").try_cast("int").alias("seats"),
+        F.lit(None).cast("string").alias("country_name"), F.lit(None).cast("string").alias("confederation"),
+        F.lit("Club").alias("club_type"), "batch_id", "source_row")
+    teams = stg_national_teams.select(
+        X.clean_text("national_team_id").alias("club_id"), X.clean_text("name").alias("raw_name"),
+        F.lit(None).cast("string").alias("current_league_id"), F.lit(None).cast("string").alias("stadium_name"),
+        F.lit(None).cast("int").alias("seats"), X.clean_text("country_name").alias("country_name"),
+        X.clean_text("confederation").alias("confederation"), F.lit("National Team").alias("club_type"),
+        "batch_id", "source_row")
+    both = D.union_all([clubs, teams]).filter(F.col("club_id").try_cast("long").isNotNull())
+    both = D.dedup_latest(both, ["club_id"], ["batch_id", "source_row"])
+    league = dim_competition.select(F.col("competition_id").alias("current_league_id"),
+                                    F.col("competition_name").alias("league_name"),
+                                    F.col("country_name").alias("league_country"),
+                                    F.col("confederation").alias("league_confederation"))
+    j = both.join(F.broadcast(league), "current_league_id", "left")   # competitions: a bounded list
+    is_club = F.col("club_type") == "Club"
+    return j.select(
+        F.col("club_id").cast("long").alias("club_id"),
+        X.default_name(F.col("raw_name"), fixed.CLUB_PREFIX, F.col("club_id")).alias("club_name"),
+        "club_type",
+        F.when(is_club, X.default_label("league_country")).otherwise(X.default_label("country_name"))
+        .alias("country_name"),
+        F.when(is_club, X.default_label("league_confederation"))
+        .otherwise(X.normalize_confederation("confederation")).alias("confederation"),
+        "current_league_id",
+        F.when(~is_club, F.lit(fixed.NOT_APPLICABLE)).otherwise(X.default_label("league_name"))
+        .alias("current_league_name"),
+        X.default_label("stadium_name").alias("stadium_name"),
+        X.stadium_band(F.col("seats")).alias("stadium_capacity_band"))
+
+
+def player_incoming(stg_players: DataFrame) -> DataFrame:
+    """Players for the SCD 1/2 merge: defaults, height / caps bands, contract year."""
+    texts = ["player_id", "name", "country_of_birth", "country_of_citizenship", "position", "sub_position", "foot",
+             "agent_name", "height_in_cm", "international_caps", "date_of_birth", "contract_expiration_date"]
+    s = stg_players.select(*_text(stg_players, texts), "batch_id", "source_row")
+    s = D.dedup_latest(s.filter(F.col("player_id").try_cast("long").isNotNull()), ["player_id"],
+                       ["batch_id", "source_row"])
+    h = F.col("height_in_cm").try_cast("int")
+    caps = F.col("international_caps").try_cast("int")
+    contract = X.safe_date("contract_expiration_date")
+    return s.select(
+        F.col("player_id").cast("long").alias("player_id"),
+        X.default_name(F.col("name"), fixed.PLAYER_PREFIX, F.col("player_id")).alias("full_name"),
+        X.safe_date("date_of_birth").alias("date_of_birth"),
+        X.default_label("country_of_birth").alias("country_of_birth"),
+        X.default_label("country_of_citizenship").alias("citizenship"),
+        X.default_label("position").alias("position"), X.default_label("sub_position").alias("sub_position"),
+        X.default_label("foot").alias("foot"), X.height_band(h).alias("height_band"),
+        X.default_label("agent_name").alias("agent_name"),
+        F.year(contract).cast("int").alias("contract_expiry_year"), X.caps_band(caps).alias("international_caps_band"))
+
+
+def match_incoming(stg_games: DataFrame) -> DataFrame:
+    """Matches for the SCD1 merge: round type, defaults, attendance band."""
+    texts = ["game_id", "round", "stadium", "referee", "home_club_formation", "away_club_formation", "attendance"]
+    s = stg_games.select(*_text(stg_games, texts), "batch_id", "source_row")
+    s = D.dedup_latest(s.filter(F.col("game_id").try_cast("long").isNotNull()), ["game_id"],
+                       ["batch_id", "source_row"])
+    return s.select(
+        F.col("game_id").cast("long").alias("game_id"), X.default_label("round").alias("round"),
+        X.round_type(F.col("round")).alias("round_type"), X.default_label("stadium").alias("stadium"),
+        X.default_label("referee").alias("referee"),
+        X.default_label("home_club_formation").alias("home_formation"),
+        X.default_label("away_club_formation").alias("away_formation"),
+        X.attendance_band(F.col("attendance").try_cast("int")).alias("attendance_band"))
