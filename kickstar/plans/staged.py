@@ -130,11 +130,16 @@ def stg_club_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stg_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
+                                              "o_orderpriority", "o_totalprice")
     return o.select(F.col("o_orderkey").cast("string").alias("game_id"),
                     F.concat(F.lit("COMP"), ((F.col("o_custkey") % 25) * 10 + 1).cast("string")).alias("competition_id"),
                     F.year("o_orderdate").cast("string").alias("season"),
                     F.col("o_orderdate").cast("string").alias("date"),
+                    star.match_round(F.col("o_orderstatus"), F.col("o_orderkey")).alias("round"),
+                    F.lit(None).cast("string").alias("stadium"), F.col("o_orderpriority").alias("referee"),
+                    F.lit("4-3-3").alias("home_club_formation"), F.lit(None).cast("string").alias("away_club_formation"),
+                    F.floor(F.col("o_totalprice") / 5).cast("long").cast("string").alias("attendance"),
                     F.lit("BATCH_1").alias("batch_id"), F.col("o_orderkey").alias("source_row"))
 
 
@@ -322,3 +327,86 @@ def asof_club_version(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.to_date("l_shipdate").alias("transfer_date"))
     out = asof_version_join(ft, dim, "club_id", "transfer_date", "club_key")
     return out.groupBy("club_key").agg(F.count(F.lit(1)).alias("deals"))
+
+
+# ------------------------------------------------------------------ dimension staging from the driver tables
+
+# fixed values (ours): region -> the source's confederation spelling
+REGION_CONFEDERATION = (("AFRICA", "AFRIKA"), ("AMERICA", "AMERIKA"), ("ASIA", "ASIEN"), ("EUROPE", "EUROPA"),
+                        ("MIDDLE EAST", "AFC"))
+
+
+def _confed(region: "F.Column") -> "F.Column":
+    out = None
+    for r, c in REGION_CONFEDERATION:
+        out = F.when(region == r, F.lit(c)) if out is None else out.when(region == r, F.lit(c))
+    return out.otherwise(F.lit(None).cast("string"))
+
+
+def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+
+
+def stg_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _geo(spark, sf_dir).select(F.col("n_nationkey").cast("string").alias("country_id"),
+                                      F.col("n_name").alias("country_name"), F.lit("BATCH_1").alias("batch_id"),
+                                      F.col("n_nationkey").cast("long").alias("source_row"))
+
+
+def stg_competitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = [("1", "League", "domestic_league"), ("2", "Cup", "domestic_cup")]
+    g = _geo(spark, sf_dir)
+    parts = []
+    for code, kind, ctype in kinds:
+        parts.append(g.select(
+            F.concat(F.lit("COMP"), (F.col("n_nationkey") * 10 + int(code)).cast("string")).alias("competition_id"),
+            F.concat_ws(" ", "n_name", F.lit(kind)).alias("name"), F.lit(ctype).alias("type"),
+            F.lit(None).cast("string").alias("sub_type"), F.col("n_nationkey").cast("string").alias("country_id"),
+            F.col("n_name").alias("country_name"), _confed(F.col("r_name")).alias("confederation"),
+            F.lit("BATCH_1").alias("batch_id"), (F.col("n_nationkey") * 10 + int(code)).cast("long").alias("source_row")))
+    return parts[0].unionByName(parts[1])
+
+
+def stg_clubs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    return sup.select(
+        F.col("s_suppkey").cast("string").alias("club_id"), F.col("s_name").alias("name"),
+        F.concat(F.lit("COMP"), (F.col("s_nationkey") * 10 + 1).cast("string")).alias("domestic_competition_id"),
+        F.concat(F.lit("Ground "), F.col("s_suppkey").cast("string")).alias("stadium_name"),
+        F.floor(F.col("s_acctbal") * 10).cast("long").cast("string").alias("stadium_seats"),
+        F.lit("BATCH_1").alias("batch_id"), F.col("s_suppkey").alias("source_row"))
+
+
+def stg_national_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _geo(spark, sf_dir).select(
+        (F.col("n_nationkey") + 100000).cast("string").alias("national_team_id"), F.col("n_name").alias("name"),
+        F.col("n_name").alias("country_name"), _confed(F.col("r_name")).alias("confederation"),
+        F.lit("BATCH_1").alias("batch_id"), F.col("n_nationkey").cast("long").alias("source_row"))
+
+
+def stg_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    k = F.col("c_custkey")
+    return cust.select(
+        k.cast("string").alias("player_id"), F.col("c_name").alias("name"),
+        F.lit(None).cast("string").alias("country_of_birth"),
+        F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("country_of_citizenship"),
+        star.position_of(F.col("c_mktsegment")).alias("position"), F.lit(None).cast("string").alias("sub_position"),
+        F.when(k % 3 == 0, F.lit("left")).otherwise(F.lit("right")).alias("foot"),
+        F.concat(F.lit("Agent "), (k % 13).cast("string")).alias("agent_name"),
+        (k % 80 + 145).cast("string").alias("height_in_cm"), (k % 70).cast("string").alias("international_caps"),
+        star.player_dob(k).cast("string").alias("date_of_birth"), F.lit("2027-06-30").alias("contract_expiration_date"),
+        F.lit("BATCH_1").alias("batch_id"), k.alias("source_row"))
+
+
+def staging_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All ten staging tables, as text, derived from the driver tables."""
+    return {
+        "competitions": stg_competitions(spark, sf_dir), "countries": stg_countries(spark, sf_dir),
+        "clubs": stg_clubs(spark, sf_dir), "national_teams": stg_national_teams(spark, sf_dir),
+        "players": stg_players(spark, sf_dir), "games": stg_games(spark, sf_dir),
+        "club_games": stg_club_games(spark, sf_dir), "appearances": stg_appearances(spark, sf_dir),
+        "player_valuations": stg_player_valuations(spark, sf_dir), "transfers": stg_transfers(spark, sf_dir),
+    }

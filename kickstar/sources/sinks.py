@@ -50,7 +50,9 @@ def reject_purge(spark: SparkSession, path: str, source_tables: list[str]) -> No
     tmp = path.rstrip("/") + "__purge"
     current.filter(~F.col("source_table").isin(*source_tables)) \
         .write.mode("overwrite").partitionBy("source_table").parquet(tmp)
-    spark.read.parquet(tmp).write.mode("overwrite").partitionBy("source_table").parquet(path)
+    # explicit schema: the kept part may be empty (no files to infer a schema from)
+    spark.read.schema(current.schema).parquet(tmp) \
+        .write.mode("overwrite").partitionBy("source_table").parquet(path)
 
 
 def snapshot_read(spark: SparkSession, root: str) -> DataFrame | None:
