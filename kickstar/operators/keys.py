@@ -62,3 +62,37 @@ def surrogate_key(df: DataFrame, order: Sequence[Column | str], name: str, start
 def next_key_base(dim: DataFrame, key: str) -> Column:
     """Scalar ``max(key)`` (ignoring special negative members) as a Column via a 1-row join."""
     return F.coalesce(F.max(F.when(F.col(key) > 0, F.col(key))), F.lit(0))
+
+
+def global_rank(df: DataFrame, keys: Sequence[str], name: str, ascending: Sequence[bool] | None = None,
+                dense: bool = False, partitions: int | None = None) -> DataFrame:
+    """RANK (or DENSE_RANK) over a whole table without a single-partition window.
+
+    1. Rows are counted per distinct tuple of ``keys`` (partial aggregation: a tuple
+       shared by a third of all rows reaches the shuffle as one row per task).
+    2. The distinct tuples are range-partitioned on the order; inside a partition each
+       tuple learns the rows ahead of it (running sum of counts) and its tuple position;
+       one row per partition gives the partition offsets (bounded by the partition count).
+    3. rank = rows ahead + 1, dense rank = tuples ahead + 1; the rows get their rank back
+       through a null-safe equi-join on the tuple (AQE splits a hot tuple's side).
+    """
+    keys = list(keys)
+    asc = list(ascending) if ascending is not None else [True] * len(keys)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    oc = [F.col(k).asc() if a else F.col(k).desc() for k, a in zip(keys, asc)]
+    tuples = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
+    ranged = tuples.repartitionByRange(n, *oc).withColumn("__pid", F.spark_partition_id())
+    wl = Window.partitionBy("__pid").orderBy(*oc)
+    ahead = Window.unboundedPreceding, -1
+    local = ranged.select(*keys, "__pid",
+                          F.coalesce(F.sum("__cnt").over(wl.rowsBetween(*ahead)), F.lit(0)).alias("__before"),
+                          F.row_number().over(wl).alias("__lpos"))
+    per_part = ranged.groupBy("__pid").agg(F.sum("__cnt").alias("__rows"), F.count(F.lit(1)).alias("__tuples"))
+    wp = Window.orderBy("__pid").rowsBetween(*ahead)
+    offsets = per_part.select("__pid", F.coalesce(F.sum("__rows").over(wp), F.lit(0)).alias("__roff"),
+                              F.coalesce(F.sum("__tuples").over(wp), F.lit(0)).alias("__toff"))
+    value = (F.col("__toff") + F.col("__lpos")) if dense else (F.col("__roff") + F.col("__before") + 1)
+    ranks = local.join(F.broadcast(offsets), "__pid").select(
+        *[F.col(k).alias(f"__rk{i}") for i, k in enumerate(keys)], value.cast("int").alias(name))
+    cond = [df[k].eqNullSafe(ranks[f"__rk{i}"]) for i, k in enumerate(keys)]
+    return df.join(ranks, cond, "inner").drop(*[f"__rk{i}" for i in range(len(keys))])

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kickstar.operators import keys as K
 from kickstar.operators import windows as W
 from kickstar.plans import measures as M
 
@@ -121,11 +122,10 @@ def cumulative_member(df: DataFrame, member_keys: Sequence[str], period: str, me
 
 
 def rank_in_set(df: DataFrame, measure: str, name_rank: str, name_position: str, tie: Sequence[str]) -> DataFrame:
-    """RANK(member, set, measure) (ties share) and RANK(member, set) (position) on an
-    aggregated, bounded set."""
-    w_val = Window.orderBy(F.desc(measure))
-    w_pos = Window.orderBy(F.desc(measure), *[F.asc(c) for c in tie])
-    return df.withColumn(name_rank, F.rank().over(w_val)).withColumn(name_position, F.row_number().over(w_pos))
+    """RANK(member, set, measure) (ties share) and RANK(member, set) (position) over a set
+    of any size: distributed rank and two-pass positions, no single-partition window."""
+    ranked = K.global_rank(df, [measure], name_rank, ascending=[False])
+    return K.global_positions(ranked, [F.desc(measure), *[F.asc(c) for c in tie]], name_position, stable=False)
 
 
 def link_role(fact: DataFrame, roles: Mapping[str, str], values: Sequence[str], key_name: str = "club_key") -> DataFrame:

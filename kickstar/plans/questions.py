@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from kickstar import fixed
 from kickstar.functions import exprs as X
 from kickstar.operators import agg as A
+from kickstar.operators import keys as K
+from kickstar.operators.joins import checked_broadcast
 from kickstar.operators import windows as W
 from kickstar.plans import measures as M
 from kickstar.plans import star
@@ -98,10 +100,10 @@ def t1_league_table(spark: SparkSession, sf_dir: str, competition: str = COMPETI
                     season: str = SEASON) -> DataFrame:
     """League table of one competition and season, RANK on points, GD, GF."""
     t = _team_by_club(spark, sf_dir, season, competition)
-    # one league's clubs: a bounded set, ranked in one small window
-    w = Window.orderBy(F.desc("points"), F.desc("goal_difference"), F.desc("goals_for"))
+    # a league's clubs grow with the data (clubs = suppliers of a nation): distributed RANK
+    t = K.global_rank(t, ["points", "goal_difference", "goals_for"], "rank", ascending=[False, False, False])
     return t.select("club_name", "matches", "wins", "draws", "losses", "goals_for", "goals_against",
-                    "goal_difference", "points", F.rank().over(w).alias("rank"))
+                    "goal_difference", "points", "rank")
 
 
 def t2_most_wins(spark: SparkSession, sf_dir: str, season: str = SEASON, n: int = 10) -> DataFrame:
@@ -152,7 +154,7 @@ def t5_home_away_split(spark: SparkSession, sf_dir: str, season: str = SEASON) -
 def t6_season_form(spark: SparkSession, sf_dir: str, club: str = FORM_CLUB) -> DataFrame:
     """Season trend of one club with the year-on-year change of points per match (LAG over rows)."""
     clubs = star.dim_club(spark, sf_dir).filter(F.col("club_name") == club).select("club_key")
-    tm = star.team_match(spark, sf_dir).join(F.broadcast(clubs), "club_key", "left_semi")
+    tm = star.team_match(spark, sf_dir).join(checked_broadcast(clubs), "club_key", "left_semi")
     per = tm.groupBy("season_key").agg(A.count_rows().alias("matches"), F.sum("points").alias("points"),
                                        F.sum("is_win").alias("wins"), F.sum("goal_difference").alias("goal_difference"),
                                        F.max("league_position").alias("max_league_position"))
@@ -168,7 +170,7 @@ def t6_season_form(spark: SparkSession, sf_dir: str, club: str = FORM_CLUB) -> D
 def t7_club_managers(spark: SparkSession, sf_dir: str, club: str = MANAGER_CLUB, min_matches: int = 10) -> DataFrame:
     clubs = star.dim_club(spark, sf_dir).filter(F.col("club_name") == club).select("club_key", "club_name")
     tm = star.team_match(spark, sf_dir, with_manager=True).filter(F.col("manager_key") != -1)
-    tm = tm.join(F.broadcast(clubs.select("club_key")), "club_key", "left_semi")
+    tm = tm.join(checked_broadcast(clubs.select("club_key")), "club_key", "left_semi")
     per = tm.groupBy("club_key", "manager_key").agg(
         A.count_rows().alias("matches"), F.sum("is_win").alias("wins"), F.sum("points").alias("points"),
         F.sum("goal_difference").alias("goal_difference"))
@@ -187,7 +189,7 @@ def t8_vs_strong_opponents(spark: SparkSession, sf_dir: str, season: str = SEASO
     strong_keys = clubs.filter(F.col("club_name").isin(*strong)).select(F.col("club_key").alias("opponent_club_key"))
     tm = star.team_match(spark, sf_dir, with_opponent=True, ship_range=star.season_span([season])) \
         .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
-    tm = tm.join(F.broadcast(strong_keys), "opponent_club_key", "left_semi")   # role: opponent
+    tm = tm.join(checked_broadcast(strong_keys), "opponent_club_key", "left_semi")   # role: opponent
     sums = team_sums()
     per = tm.groupBy("club_key").agg(*[sums[k].alias(k) for k in
                                        ("matches", "wins", "draws", "losses", "points", "goals_for", "goals_against")])
@@ -477,7 +479,7 @@ def bq_player_career(spark: SparkSession, sf_dir: str, player: str = CAREER_PLAY
     SQL window semantics (walk the rows with data); the MDX form that walks the season
     dimension is ``c_player_career_members``."""
     pl = star.dim_player(spark, sf_dir).filter(F.col("full_name") == player).select("player_key")
-    fa = star.player_appearance(spark, sf_dir).join(F.broadcast(pl), "player_key", "left_semi")
+    fa = star.player_appearance(spark, sf_dir).join(checked_broadcast(pl), "player_key", "left_semi")
     per = fa.groupBy("season_key").agg(F.sum("goals").alias("goals"), F.sum("assists").alias("assists"),
                                        F.sum("minutes_played").alias("minutes"))
     per = per.join(F.broadcast(star.dim_season(spark).select("season_key", "season_label")), "season_key")
@@ -853,7 +855,7 @@ def c_player_career_members(spark: SparkSession, sf_dir: str, player: str = CARE
     walk the season *dimension*, so a gap season gives an empty neighbour."""
     from kickstar.plans import cube
     pl = star.dim_player(spark, sf_dir).filter(F.col("full_name") == player).select("player_key")
-    fa = star.player_appearance(spark, sf_dir).join(F.broadcast(pl), "player_key", "left_semi")
+    fa = star.player_appearance(spark, sf_dir).join(checked_broadcast(pl), "player_key", "left_semi")
     per = fa.groupBy("season_key").agg(F.sum("goals").alias("goals"), F.sum("minutes_played").alias("minutes"))
     per = per.withColumn("__m", F.lit(1))
     n = cube.neighbours(per, ["__m"], "season_key", "goals", "goals_prev_member", "goals_next_member")

@@ -1,6 +1,7 @@
 """Join, cube and KPI operator fixtures."""
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kickstar.operators import agg as A
@@ -132,3 +133,24 @@ def test_scd1_only_merge(spark):
                                 "competition_id string, competition_name string, country_name string")
     out = rows(WH.scd_merge(dim, inc, spec, "2024-07-01"), "competition_key", "competition_id", "competition_name")
     assert out == [(-1, "-1", "unknown"), (1, "GB1", "Premier League"), (2, "ES1", "LaLiga")]
+
+
+def test_global_rank_matches_window_rank(spark):
+    # a hot tuple (v=5, w=1) holds a third of the rows; NULLs in both keys
+    hot = spark.range(0, 60).select(F.lit(5).alias("v"), F.lit(1).alias("w"), F.col("id"))
+    rest = spark.range(60, 180).select(
+        F.when(F.col("id") % 17 == 0, F.lit(None)).otherwise(F.col("id") % 11).cast("int").alias("v"),
+        F.when(F.col("id") % 13 == 0, F.lit(None)).otherwise(F.col("id") % 3).cast("int").alias("w"), F.col("id"))
+    df = hot.unionByName(rest)
+    order = Window.orderBy(F.col("v").desc(), F.col("w").asc())
+    want = sorted((r.id, r.r, r.d) for r in df.select(
+        "id", F.rank().over(order).alias("r"), F.dense_rank().over(order).alias("d")).collect())
+    got_r = K.global_rank(df, ["v", "w"], "r", ascending=[False, True], partitions=4)
+    got = K.global_rank(got_r, ["v", "w"], "d", ascending=[False, True], dense=True, partitions=3)
+    assert sorted((r.id, r.r, r.d) for r in got.collect()) == want
+
+
+def test_rank_in_set(spark):
+    df = spark.createDataFrame([("a", 3), ("b", 5), ("c", 3), ("d", 1)], "m string, x int")
+    out = cube.rank_in_set(df, "x", "rk", "pos", ["m"])
+    assert rows(out, "m", "rk", "pos") == [("a", 2, 2), ("b", 1, 1), ("c", 2, 3), ("d", 4, 4)]
