@@ -4,7 +4,9 @@ env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
      BENCH_QUERIES (comma list, default the headline set), BENCH_REPEAT (default 2).
 
 Each query is executed to completion with the ``noop`` sink (no collect to the
-driver); the best of BENCH_REPEAT runs is reported after one untimed warm-up.
+driver); the best of BENCH_REPEAT runs is reported after one untimed warm-up. The
+facts are derived from the driver tables and stored once per session (the warehouse
+load); that step is timed once as ``etl_store_facts`` and counted in the total.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from kickstar.plans.star import store_facts  # noqa: E402
 from kickstar.registry import queries  # noqa: E402
 from kickstar.session import local_session  # noqa: E402
 
@@ -37,9 +40,12 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = local_session(cores=cpus, shuffle_partitions=max(cpus, 4), app="kickstar-bench")
     qs = queries()
-    # warm-up: JVM, parquet footers, codegen caches
-    qs["q_t2_most_wins"](spark, sf_dir).write.mode("overwrite").format("noop").save()
-    timings: dict[str, float] = {}
+    # warm-up (untimed): JVM, parquet reader and codegen caches, on a query that reads no fact
+    qs["q_gen_dim_date"](spark, sf_dir).write.mode("overwrite").format("noop").save()
+    # the warehouse load step: derive and store the four facts once (timed, counted in the total)
+    t0 = time.perf_counter()
+    store_facts(spark, sf_dir)
+    timings: dict[str, float] = {"etl_store_facts": round(time.perf_counter() - t0, 3)}
     for name in names:
         best = None
         for _ in range(repeat):

@@ -37,12 +37,19 @@ def session_memo(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return wrapper
 
 
-def materialize(df: DataFrame, label: str = "mat") -> DataFrame:
+def materialize(df: DataFrame, label: str = "mat", partition_by: Sequence[str] | None = None) -> DataFrame:
     """Cut lineage: write the rows once as parquet under the shared ``spark.checkpoint.dir``
     and read them back (one execution; ``checkpoint()`` would compute the plan twice
-    unless it were cached). Recomputed tasks then read the same files."""
+    unless it were cached). Recomputed tasks then read the same files.
+
+    ``partition_by`` writes one directory per value (no extra shuffle: each task writes
+    its own rows per value), so filters on those columns prune directories on read; the
+    rows are read back with the written schema (no partition-type inference)."""
     from kickstar.session import checkpoint_dir
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/kickstar-{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
