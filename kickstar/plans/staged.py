@@ -319,14 +319,18 @@ def scd_merge_club(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asof_club_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transfers → the buying club's version valid on the transfer date (miss → -1)."""
+    """Transfers → the buying club's version valid on the transfer date (miss → -1).
+
+    The deals are counted per (club, date) first — a partial aggregate, so a club with a
+    third of all deals reaches the shuffle as one row per task and day — and the as-of
+    join runs on those counts; every deal of a (club, date) resolves to the same version."""
     from kickstar.operators.joins import asof_version_join
     dim = scd_merge_club(spark, sf_dir)
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
-    ft = li.select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("club_id"),
-                   F.to_date("l_shipdate").alias("transfer_date"))
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate")
+    ft = li.groupBy(F.col("l_suppkey").alias("club_id"), F.to_date("l_shipdate").alias("transfer_date")) \
+        .agg(F.count(F.lit(1)).alias("__n"))
     out = asof_version_join(ft, dim, "club_id", "transfer_date", "club_key")
-    return out.groupBy("club_key").agg(F.count(F.lit(1)).alias("deals"))
+    return out.groupBy("club_key").agg(F.sum("__n").alias("deals"))
 
 
 # ------------------------------------------------------------------ dimension staging from the driver tables
