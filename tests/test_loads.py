@@ -134,6 +134,17 @@ def test_staging_csv_audit_and_reconcile(spark):
     back = spark.read.parquet(paths["player_valuations"])
     rep = staging.source_reconcile(spark, {"player_valuations": path}, {"player_valuations": back}).collect()
     assert rep[0].status == "PASS" and rep[0].source_rows == 2 and len(rep[0].md5) == 32
+    import hashlib
+    assert rep[0].md5 == hashlib.md5(open(path, "rb").read()).hexdigest()
+    lines = spark.read.text(path).agg(F.sum(F.xxhash64("value").cast("decimal(38,0)")).cast("string")).first()[0]
+    assert rep[0].line_fingerprint == lines
+    # above the MD5 bound only the distributed fingerprint is given
+    old_bound, staging.MD5_MAX_BYTES = staging.MD5_MAX_BYTES, 10
+    try:
+        big = staging.source_reconcile(spark, {"player_valuations": path}, {"player_valuations": back}).collect()
+    finally:
+        staging.MD5_MAX_BYTES = old_bound
+    assert big[0].md5 is None and big[0].line_fingerprint == lines and big[0].status == "PASS"
 
 
 def test_reject_sink_and_purge(spark):
