@@ -280,13 +280,18 @@ def assign_batches(df: DataFrame, date_col: Column, windows: Sequence[LoadWindow
 
 
 def incremental_append(spark: SparkSession, new_rows: DataFrame, fact_path: str, natural_key: Sequence[str],
-                       schema: T.StructType, partition_by: Sequence[str] | None = None) -> int:
+                       schema: T.StructType, partition_by: Sequence[str] | None = None,
+                       existing_filter: Column | None = None) -> int:
     """Append the rows whose natural key is not in the fact yet; returns the rows added.
 
     The rows to add are materialised (shared checkpoint folder) before the write so the
-    anti-join is not re-evaluated against the table it is appending to."""
+    anti-join is not re-evaluated against the table it is appending to.
+    ``existing_filter`` narrows the fact rows that can collide (e.g. the load window's
+    date range), so the anti-join scans that slice rather than the whole fact."""
     from kickstar.sources import sinks
     existing = sinks.read_or_empty(spark, fact_path, schema)
+    if existing_filter is not None:
+        existing = existing.filter(existing_filter)
     from kickstar.frames import materialize
     todo = materialize(J.anti_join(new_rows, existing.select(*natural_key), list(natural_key)), "append")
     n = todo.count()

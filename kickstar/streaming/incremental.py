@@ -35,13 +35,19 @@ def valuation_batch_loader(spark: SparkSession, staging_dir: str, fact_path: str
                            dim_club: DataFrame, window: WH.LoadWindow, dim_competition: DataFrame | None = None):
     """The foreachBatch function: load the new rows of the players touched by the batch."""
 
+    lo, hi = (int(d.replace("-", "")) for d in (window.load_from, window.load_to))
+    in_window = F.col("date_key").between(lo, hi)
+
     def process(batch: DataFrame, epoch_id: int) -> None:
         players = batch.select(X.clean_text("player_id").alias("pid")).distinct()
         history = spark.read.schema(STAGED_VALUATION_SCHEMA).parquet(staging_dir)
         history = history.join(players, X.clean_text(history.player_id) == players.pid, "left_semi")
-        existing = sinks.read_or_empty(spark, fact_path, FACT_VAL_SCHEMA)
+        # only fact rows inside the load window can collide with rows this window loads;
+        # the date-key range reaches the parquet scan (footer statistics skip other files)
+        existing = sinks.read_or_empty(spark, fact_path, FACT_VAL_SCHEMA).filter(in_window)
         fact, _ = WH.load_fact_player_valuation(history, dim_player, dim_club, existing, window, dim_competition)
-        WH.incremental_append(spark, fact, fact_path, ["player_key", "date_key"], FACT_VAL_SCHEMA)
+        WH.incremental_append(spark, fact, fact_path, ["player_key", "date_key"], FACT_VAL_SCHEMA,
+                              existing_filter=in_window)
 
     return process
 
