@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -24,16 +25,26 @@ def literal_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.Struc
 _MEMO: dict[tuple, DataFrame] = {}
 
 
+def _memo_key(spark: SparkSession, fn: Callable, args: tuple, kwargs: dict) -> tuple:
+    return id(spark._jsparkSession), fn.__module__, fn.__qualname__, args, tuple(sorted(kwargs.items()))
+
+
 def session_memo(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """Build a plan once per (session, arguments); DataFrames are immutable, so reuse is safe."""
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, *args, **kwargs) -> DataFrame:
-        key = (id(spark._jsparkSession), fn.__module__, fn.__qualname__, args, tuple(sorted(kwargs.items())))
+        key = _memo_key(spark, fn, args, kwargs)
         df = _MEMO.get(key)
         if df is None:
             df = fn(spark, *args, **kwargs)
             _MEMO[key] = df
         return df
+
+    def remember(spark: SparkSession, *args, value: DataFrame, **kwargs) -> None:
+        """Make ``value`` the memoised result for these arguments."""
+        _MEMO[_memo_key(spark, fn, args, kwargs)] = value
+
+    wrapper.remember = remember
     return wrapper
 
 
@@ -53,3 +64,45 @@ def materialize(df: DataFrame, label: str = "mat", partition_by: Sequence[str] |
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system (local, HDFS or an object store)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
+def source_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Identity of source tables from their file metadata: file count, bytes and latest
+    modification time per table, each computed as one aggregate row (file contents are
+    not read). A changed source gives a new fingerprint."""
+    parts = []
+    for p in paths:
+        m = (spark.read.format("binaryFile").load(p)
+             .agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).first())
+        parts.append(f"{p}|{m[0]}|{m[1]}|{m[2]}")
+    return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:20]
+
+
+def stored(df: DataFrame, label: str, fingerprint: str, partition_by: Sequence[str] | None = None,
+           reuse: bool = True) -> DataFrame:
+    """A derived table kept in the shared checkpoint folder under a path named by the
+    sources' fingerprint, so later sessions reuse it instead of deriving it again.
+
+    A copy counts only once its writer finished (``_SUCCESS`` marker). If the path is
+    taken by another writer (or an unfinished one), this session writes a private copy
+    rather than read partial files. ``reuse=False`` always writes a fresh private copy."""
+    from kickstar.session import checkpoint_dir
+    spark = df.sparkSession
+    if reuse:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/kickstar-store/{label}-{fingerprint}"
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            try:
+                writer = df.write.mode("errorifexists")
+                if partition_by:
+                    writer = writer.partitionBy(*partition_by)
+                writer.parquet(path)
+            except Exception:                     # path taken: fall back to a private copy
+                return materialize(df, label, partition_by)
+        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return materialize(df, label, partition_by)

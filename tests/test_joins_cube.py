@@ -169,3 +169,16 @@ def test_checked_broadcast_hints_only_within_bound(spark):
     fact = spark.range(100).withColumn("k", F.col("id") % 60)
     a = fact.join(J.checked_broadcast(big.withColumnRenamed("id", "k"), max_rows=10), "k", "left_semi").count()
     assert a == fact.filter(F.col("k") < 50).count()
+
+
+def test_stored_reuses_finished_copy_by_fingerprint(spark):
+    import uuid
+    from kickstar.frames import stored
+    fp = uuid.uuid4().hex[:12]
+    df = spark.range(10).withColumn("p", F.col("id") % 2)
+    a = stored(df, "t_store", fp, ["p"])
+    b = stored(spark.range(3).withColumn("p", F.lit(0)), "t_store", fp, ["p"])   # same fingerprint: reused
+    assert sorted(a.inputFiles()) == sorted(b.inputFiles()) and b.count() == 10
+    assert a.columns == ["id", "p"]
+    c = stored(df, "t_store", fp, ["p"], reuse=False)                           # private fresh copy
+    assert not set(c.inputFiles()) & set(a.inputFiles()) and c.count() == 10
