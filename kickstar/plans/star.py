@@ -284,10 +284,21 @@ def _team_match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 FACT_SOURCES = ("lineitem", "orders", "supplier", "part", "customer", "events")
 
 
+def _code_version() -> str:
+    """Hash of the code that derives the facts: a changed rule never reuses an old copy."""
+    import hashlib
+    import inspect
+    import sys
+    from kickstar import fixed as _fixed, frames as _frames
+    from kickstar.functions import exprs as _exprs
+    text = "".join(inspect.getsource(m) for m in (sys.modules[__name__], _exprs, _fixed, _frames))
+    return hashlib.sha1(text.encode()).hexdigest()[:12]
+
+
 @session_memo
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     from kickstar.sources.driver import path
-    return source_fingerprint(spark, [path(sf_dir, t) for t in FACT_SOURCES])
+    return source_fingerprint(spark, [path(sf_dir, t) for t in FACT_SOURCES]) + "-" + _code_version()
 
 
 def _store(spark: SparkSession, sf_dir: str, df: DataFrame, label: str, partition_by, reuse: bool) -> DataFrame:
