@@ -73,36 +73,52 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def source_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
-    """Identity of source tables from their file metadata: file count, bytes and latest
-    modification time per table, each computed as one aggregate row (file contents are
-    not read). A changed source gives a new fingerprint."""
+    """Identity of source tables from file-system metadata: bytes and file count (content
+    summary) and the latest modification time of the table's path — no Spark job and no
+    file contents read. A changed source gives a new fingerprint."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
     parts = []
     for p in paths:
-        m = (spark.read.format("binaryFile").load(p)
-             .agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).first())
-        parts.append(f"{p}|{m[0]}|{m[1]}|{m[2]}")
+        jpath = jvm.org.apache.hadoop.fs.Path(p)
+        fs = jpath.getFileSystem(conf)
+        summary = fs.getContentSummary(jpath)
+        mtime = fs.getFileStatus(jpath).getModificationTime()
+        parts.append(f"{p}|{summary.getFileCount()}|{summary.getLength()}|{mtime}")
     return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:20]
 
 
+def _finished_copy(spark: SparkSession, base: str) -> str | None:
+    """A sub-folder of ``base`` whose writer finished (``_SUCCESS`` marker), if any."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    for st in sorted(fs.listStatus(root), key=lambda x: x.getPath().getName()):
+        if st.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            return st.getPath().toString()
+    return None
+
+
 def stored(df: DataFrame, label: str, fingerprint: str, partition_by: Sequence[str] | None = None,
            reuse: bool = True) -> DataFrame:
-    """A derived table kept in the shared checkpoint folder under a path named by the
+    """A derived table kept in the shared checkpoint folder under a folder named by the
     sources' fingerprint, so later sessions reuse it instead of deriving it again.
 
-    A copy counts only once its writer finished (``_SUCCESS`` marker). If the path is
-    taken by another writer (or an unfinished one), this session writes a private copy
-    rather than read partial files. ``reuse=False`` always writes a fresh private copy."""
+    Every writer writes its own sub-folder, so concurrent sessions never commit into the
+    same directory; a reader takes any copy whose writer finished (``_SUCCESS`` marker)
+    and never reads partial files. ``reuse=False`` always writes a fresh private copy."""
     from kickstar.session import checkpoint_dir
     spark = df.sparkSession
-    if reuse:
-        path = f"{checkpoint_dir(spark).rstrip('/')}/kickstar-store/{label}-{fingerprint}"
-        if not path_exists(spark, f"{path}/_SUCCESS"):
-            try:
-                writer = df.write.mode("errorifexists")
-                if partition_by:
-                    writer = writer.partitionBy(*partition_by)
-                writer.parquet(path)
-            except Exception:                     # path taken: fall back to a private copy
-                return materialize(df, label, partition_by)
-        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
-    return materialize(df, label, partition_by)
+    if not reuse:
+        return materialize(df, label, partition_by)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/kickstar-store/{label}-{fingerprint}"
+    path = _finished_copy(spark, base)
+    if path is None:
+        path = f"{base}/{uuid.uuid4().hex}"
+        writer = df.write.mode("errorifexists")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

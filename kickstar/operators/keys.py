@@ -93,6 +93,6 @@ def global_rank(df: DataFrame, keys: Sequence[str], name: str, ascending: Sequen
                               F.coalesce(F.sum("__tuples").over(wp), F.lit(0)).alias("__toff"))
     value = (F.col("__toff") + F.col("__lpos")) if dense else (F.col("__roff") + F.col("__before") + 1)
     ranks = local.join(F.broadcast(offsets), "__pid").select(
-        *[F.col(k).alias(f"__rk{i}") for i, k in enumerate(keys)], value.cast("int").alias(name))
+        *[F.col(k).alias(f"__rk{i}") for i, k in enumerate(keys)], value.cast("long").alias(name))
     cond = [df[k].eqNullSafe(ranks[f"__rk{i}"]) for i, k in enumerate(keys)]
     return df.join(ranks, cond, "inner").drop(*[f"__rk{i}" for i in range(len(keys))])

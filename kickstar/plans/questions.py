@@ -103,7 +103,7 @@ def t1_league_table(spark: SparkSession, sf_dir: str, competition: str = COMPETI
     # a league's clubs grow with the data (clubs = suppliers of a nation): distributed RANK
     t = K.global_rank(t, ["points", "goal_difference", "goals_for"], "rank", ascending=[False, False, False])
     return t.select("club_name", "matches", "wins", "draws", "losses", "goals_for", "goals_against",
-                    "goal_difference", "points", "rank")
+                    "goal_difference", "points", F.col("rank").cast("int").alias("rank"))
 
 
 def t2_most_wins(spark: SparkSession, sf_dir: str, season: str = SEASON, n: int = 10) -> DataFrame:
