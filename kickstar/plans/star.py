@@ -291,7 +291,8 @@ def _code_version() -> str:
     import sys
     from kickstar import fixed as _fixed, frames as _frames
     from kickstar.functions import exprs as _exprs
-    text = "".join(inspect.getsource(m) for m in (sys.modules[__name__], _exprs, _fixed, _frames))
+    from kickstar.sources import driver as _driver
+    text = "".join(inspect.getsource(m) for m in (sys.modules[__name__], _exprs, _fixed, _frames, _driver))
     return hashlib.sha1(text.encode()).hexdigest()[:12]
 
 
