@@ -90,6 +90,15 @@ def _fact_rows(spark: SparkSession, root: str) -> int:
     return total
 
 
+def _in_parallel(tasks: dict) -> dict:
+    """Run independent driver-side steps (each submits its own Spark jobs) concurrently;
+    the scheduler overlaps their stages. The first failure is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def _existing(spark: SparkSession, root: str, name: str, like: DataFrame) -> DataFrame:
     return sinks.read_or_empty(spark, f"{root}/fact_{name}", like.schema)
 
@@ -127,8 +136,10 @@ def run_load(spark: SparkSession, staging: dict[str, DataFrame], root: str, wind
                                  run_date)
     dims["manager"] = WH.insert_only(_dim(spark, root, "manager"), WH.manager_members(staging["club_games"]),
                                      "manager_name", "manager_key")
-    for name in list(dims):
-        path = sinks.snapshot_write(dims[name], f"{root}/dim_{name}", run)
+    # the six snapshot writes are independent jobs: submit them together
+    paths = _in_parallel({name: (lambda df=df, name=name: sinks.snapshot_write(df, f"{root}/dim_{name}", run))
+                          for name, df in dims.items()})
+    for name, path in paths.items():
         dims[name] = spark.read.parquet(path)          # later steps read the written version
     dims["season"] = star.dim_season(spark)
 
@@ -141,19 +152,23 @@ def run_load(spark: SparkSession, staging: dict[str, DataFrame], root: str, wind
                                                                      dims["club"], ex, window, dims["competition"]),
         "transfer": lambda ex: WH.load_fact_transfer(staging["transfers"], dims, ex, window),
     }
-    added: dict[str, int] = {}
-    rejects = []
-    for name, load in loads.items():
+    def load_one(name: str, load) -> tuple[int, DataFrame]:
         probe, _ = load(spark.createDataFrame([], FACT_EXISTING_PROBE[name]))
         existing = _existing(spark, root, name, probe)
         fact, rej = load(existing)
-        added[name] = WH.incremental_append(spark, fact, f"{root}/fact_{name}", FACT_KEYS[name], probe.schema,
-                                            FACT_PARTITION.get(name))
-        rejects.append(rej)
-        if name == "team_match" and added[name]:
+        n = WH.incremental_append(spark, fact, f"{root}/fact_{name}", FACT_KEYS[name], probe.schema,
+                                  FACT_PARTITION.get(name))
+        if name == "team_match" and n:
             new_rows = spark.read.parquet(f"{root}/fact_{name}").filter(F.col("batch_id") == window.batch_id)
             stored = sinks.snapshot_read(spark, f"{root}/mv_club_season_standing")
             sinks.snapshot_write(WH.maintain_standing_rollup(stored, new_rows), f"{root}/mv_club_season_standing", run)
+        return n, rej
+
+    # the four fact flows write different tables and read only the written dimensions:
+    # they run as concurrent Spark jobs
+    results = _in_parallel({name: (lambda name=name, load=load: load_one(name, load)) for name, load in loads.items()})
+    added: dict[str, int] = {name: results[name][0] for name in loads}
+    rejects = [results[name][1] for name in loads]
 
     # --- reject log and code audit
     audit = WH.code_audit({"appearances": (staging["appearances"], "competition_id"),
