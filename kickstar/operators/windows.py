@@ -72,8 +72,12 @@ def ntile_of_position(pos: Column, total: Column, buckets: int) -> Column:
 
 
 def with_ntile(df: DataFrame, order: Sequence[Column | str], buckets: int, name: str) -> DataFrame:
-    """NTILE over a whole table without a single-partition window."""
-    positioned = K.global_positions(df, order, "__pos")
+    """NTILE over a whole table without a single-partition window. The input is stored
+    once (shared checkpoint folder); the positions and the row count both read that copy,
+    so the upstream plan runs once."""
+    from kickstar.frames import materialize
+    df = materialize(df, "ntile")
+    positioned = K.global_positions(df, order, "__pos", stable=False)
     total = df.agg(F.count(F.lit(1)).alias("__n"))
     return (positioned.crossJoin(F.broadcast(total))
             .withColumn(name, ntile_of_position(F.col("__pos"), F.col("__n"), buckets))
