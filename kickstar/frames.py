@@ -59,13 +59,21 @@ def materialize(df: DataFrame, label: str = "mat", partition_by: Sequence[str] |
     from kickstar.session import checkpoint_dir
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/kickstar-{label}-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    _write(df, path, partition_by)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def _write(df: DataFrame, path: str, partition_by: Sequence[str] | None) -> None:
+    """Write parquet; a partitioned write is first rebalanced on the partition columns, so
+    each task writes one value's slice (AQE splits a hot value into several tasks and
+    merges small ones) instead of every task writing a small file into every folder."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("errorifexists").parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its file system (local, HDFS or an object store)."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -117,8 +125,5 @@ def stored(df: DataFrame, label: str, fingerprint: str, partition_by: Sequence[s
     path = _finished_copy(spark, base)
     if path is None:
         path = f"{base}/{uuid.uuid4().hex}"
-        writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        _write(df, path, partition_by)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
