@@ -13,18 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("append")
+def _writer(df: DataFrame, mode: str, partition_by: list[str] | None):
+    """A partitioned write is rebalanced on the partition columns first: each task writes
+    one value's slice (AQE splits a hot value, merges small ones), not a file per value."""
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        return df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
+    return df.write.mode(mode)
+
+
+def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    _writer(df, "append", partition_by).parquet(path)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    _writer(df, "overwrite", partition_by).parquet(path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -48,11 +50,9 @@ def reject_purge(spark: SparkSession, path: str, source_tables: list[str]) -> No
     except AnalysisException:
         return
     tmp = path.rstrip("/") + "__purge"
-    current.filter(~F.col("source_table").isin(*source_tables)) \
-        .write.mode("overwrite").partitionBy("source_table").parquet(tmp)
+    overwrite(current.filter(~F.col("source_table").isin(*source_tables)), tmp, ["source_table"])
     # explicit schema: the kept part may be empty (no files to infer a schema from)
-    spark.read.schema(current.schema).parquet(tmp) \
-        .write.mode("overwrite").partitionBy("source_table").parquet(path)
+    overwrite(spark.read.schema(current.schema).parquet(tmp), path, ["source_table"])
 
 
 def snapshot_read(spark: SparkSession, root: str) -> DataFrame | None:
