@@ -48,7 +48,8 @@ def session_memo(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return wrapper
 
 
-def materialize(df: DataFrame, label: str = "mat", partition_by: Sequence[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, label: str = "mat", partition_by: Sequence[str] | None = None,
+                sort_by: Sequence[str] | None = None) -> DataFrame:
     """Cut lineage: write the rows once as parquet under the shared ``spark.checkpoint.dir``
     and read them back (one execution; ``checkpoint()`` would compute the plan twice
     unless it were cached). Recomputed tasks then read the same files.
@@ -59,16 +60,21 @@ def materialize(df: DataFrame, label: str = "mat", partition_by: Sequence[str] |
     from kickstar.session import checkpoint_dir
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/kickstar-{label}-{uuid.uuid4().hex}"
-    _write(df, path, partition_by)
+    _write(df, path, partition_by, sort_by)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def _write(df: DataFrame, path: str, partition_by: Sequence[str] | None) -> None:
+def _write(df: DataFrame, path: str, partition_by: Sequence[str] | None,
+           sort_by: Sequence[str] | None = None) -> None:
     """Write parquet; a partitioned write is first rebalanced on the partition columns, so
     each task writes one value's slice (AQE splits a hot value into several tasks and
-    merges small ones) instead of every task writing a small file into every folder."""
+    merges small ones) instead of every task writing a small file into every folder.
+    ``sort_by`` (starting with the partition columns) orders the rows inside each task, so
+    row-group min/max statistics let filters on those columns skip row groups."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+        if sort_by:
+            df = df.sortWithinPartitions(*sort_by)
         df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode("errorifexists").parquet(path)
@@ -110,7 +116,7 @@ def _finished_copy(spark: SparkSession, base: str) -> str | None:
 
 
 def stored(df: DataFrame, label: str, fingerprint: str, partition_by: Sequence[str] | None = None,
-           reuse: bool = True) -> DataFrame:
+           reuse: bool = True, sort_by: Sequence[str] | None = None) -> DataFrame:
     """A derived table kept in the shared checkpoint folder under a folder named by the
     sources' fingerprint, so later sessions reuse it instead of deriving it again.
 
@@ -120,10 +126,10 @@ def stored(df: DataFrame, label: str, fingerprint: str, partition_by: Sequence[s
     from kickstar.session import checkpoint_dir
     spark = df.sparkSession
     if not reuse:
-        return materialize(df, label, partition_by)
+        return materialize(df, label, partition_by, sort_by)
     base = f"{checkpoint_dir(spark).rstrip('/')}/kickstar-store/{label}-{fingerprint}"
     path = _finished_copy(spark, base)
     if path is None:
         path = f"{base}/{uuid.uuid4().hex}"
-        _write(df, path, partition_by)
+        _write(df, path, partition_by, sort_by)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)

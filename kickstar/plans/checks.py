@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kickstar.operators import keys as K
 from kickstar.operators import windows as W
 from kickstar.plans import quality, star, warehouse as WH
-from kickstar.plans.questions import COMPETITION, SEASON, _seasons, _competitions
+from kickstar.plans.questions import COMPETITION, SEASON, _seasons, in_competitions
 from kickstar.sources.driver import table
 
 # incremental windows over the team/appearance/transfer dates (1995-2001) and valuations (2024)
@@ -78,8 +78,8 @@ def dq_league_table(spark: SparkSession, sf_dir: str, competition: str = COMPETI
                     n: int = 5) -> DataFrame:
     """Spot check: top of one league table (points, then goal difference)."""
     tm = star.team_match(spark, sf_dir, ship_range=star.season_span([season])) \
-        .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi") \
-        .join(_competitions(spark, sf_dir, [competition]), "competition_key", "left_semi")
+        .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
+    tm = in_competitions(spark, sf_dir, tm, [competition])
     per = tm.groupBy("club_key").agg(F.count(F.lit(1)).alias("matches"), F.sum("points").alias("points"),
                                      F.sum("goal_difference").alias("goal_difference"), F.sum("is_win").alias("wins"))
     per = per.join(star.dim_club(spark, sf_dir).select("club_key", "club_name"), "club_key")
@@ -90,8 +90,8 @@ def dq_league_table(spark: SparkSession, sf_dir: str, competition: str = COMPETI
 def dq_top_scorers(spark: SparkSession, sf_dir: str, competition: str = COMPETITION, season: str = SEASON,
                    n: int = 5) -> DataFrame:
     fa = star.player_appearance(spark, sf_dir, ship_range=star.season_span([season])) \
-        .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi") \
-        .join(_competitions(spark, sf_dir, [competition]), "competition_key", "left_semi")
+        .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
+    fa = in_competitions(spark, sf_dir, fa, [competition])
     per = fa.groupBy("player_key").agg(F.sum("goals").alias("goals"), F.sum("minutes_played").alias("minutes"))
     per = per.join(star.dim_player(spark, sf_dir).select("player_key", "full_name"), "player_key")
     g = per.groupBy("full_name").agg(F.sum("goals").alias("goals"), F.sum("minutes").alias("minutes"))

@@ -50,6 +50,15 @@ def _seasons(spark: SparkSession, labels: Sequence[str]) -> DataFrame:
                        .select("season_key", "season_label", "season_start_year"))
 
 
+def in_competitions(spark: SparkSession, sf_dir: str, fact: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """Fact rows of the named competitions: a literal key filter that reaches the parquet
+    scan (row-group skipping on the competition-sorted facts), then the semi-join with the
+    dimension that keeps only existing members."""
+    keys = star.competition_keys_of(ids)
+    return fact.filter(F.col("competition_key").isin(*keys)) \
+        .join(_competitions(spark, sf_dir, ids), "competition_key", "left_semi")
+
+
 def _competitions(spark: SparkSession, sf_dir: str, ids: Sequence[str]) -> DataFrame:
     return F.broadcast(star.dim_competition(spark, sf_dir).filter(F.col("competition_id").isin(*ids))
                        .select("competition_key"))
@@ -85,7 +94,7 @@ def _team_by_club(spark: SparkSession, sf_dir: str, season: str | None = None,
     if season is not None:
         tm = tm.join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
     if competition is not None:
-        tm = tm.join(_competitions(spark, sf_dir, [competition]), "competition_key", "left_semi")
+        tm = in_competitions(spark, sf_dir, tm, [competition])
     tm = tm.filter(F.col("club_key") != -1)
     aggs = dict(team_sums(), **(extra or {}))
     per_key = tm.groupBy("club_key").agg(*[c.alias(n) for n, c in aggs.items()])
@@ -331,7 +340,7 @@ def _appearances(spark: SparkSession, sf_dir: str, season: str | None = None,
     if season is not None:
         fa = fa.join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
     if competitions is not None:
-        fa = fa.join(_competitions(spark, sf_dir, competitions), "competition_key", "left_semi")
+        fa = in_competitions(spark, sf_dir, fa, competitions)
     return fa
 
 

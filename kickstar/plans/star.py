@@ -99,6 +99,18 @@ def competition_key(nationkey: Column, linestatus: Column) -> Column:
     return (nationkey * 10 + F.when(linestatus == "F", 1).otherwise(2)).cast("int")
 
 
+def competition_keys_of(ids) -> list[int]:
+    """Keys of competition ids under the id rule of ``dim_competition`` ('COMP<key>', and
+    '-1' / '-2' for the special members); ids outside the rule name no member."""
+    import re
+    keys = []
+    for i in ids:
+        m = re.fullmatch(r"COMP(\d+)|(-[12])", str(i))
+        if m:
+            keys.append(int(m.group(1) or m.group(2)))
+    return keys
+
+
 def _season(ts: Column) -> Column:
     return F.year(ts).cast("int")
 
@@ -302,15 +314,22 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return source_fingerprint(spark, [path(sf_dir, t) for t in FACT_SOURCES]) + "-" + _code_version()
 
 
-def _store(spark: SparkSession, sf_dir: str, df: DataFrame, label: str, partition_by, reuse: bool) -> DataFrame:
-    return stored(df, label, _fingerprint(spark, sf_dir), partition_by, reuse=reuse)
+def _store(spark: SparkSession, sf_dir: str, df: DataFrame, label: str, partition_by, reuse: bool,
+           sort_by=None) -> DataFrame:
+    return stored(df, label, _fingerprint(spark, sf_dir), partition_by, reuse=reuse, sort_by=sort_by)
+
+
+# inside a season folder, rows are ordered by competition: a competition filter reads
+# only the row groups whose min/max range holds it
+BY_COMPETITION = ["season_key", "competition_key"]
 
 
 @session_memo
 def stored_team_match(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFrame:
     """The team-match fact, derived from the driver tables and stored (shared checkpoint
     folder) partitioned by season: the queries read this table like the warehouse's fact."""
-    return _store(spark, sf_dir, _team_match_rows(spark, sf_dir), "fact_team_match", ["season_key"], reuse)
+    return _store(spark, sf_dir, _team_match_rows(spark, sf_dir), "fact_team_match", ["season_key"], reuse,
+                  BY_COMPETITION)
 
 
 def team_match(spark: SparkSession, sf_dir: str, with_manager: bool = False, with_opponent: bool = False,
@@ -356,7 +375,8 @@ def _appearance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @session_memo
 def stored_player_appearance(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFrame:
-    return _store(spark, sf_dir, _appearance_rows(spark, sf_dir), "fact_player_appearance", ["season_key"], reuse)
+    return _store(spark, sf_dir, _appearance_rows(spark, sf_dir), "fact_player_appearance", ["season_key"], reuse,
+                  BY_COMPETITION)
 
 
 def player_appearance(spark: SparkSession, sf_dir: str, ship_range: tuple[str, str] | None = None) -> DataFrame:
