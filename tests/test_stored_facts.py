@@ -44,3 +44,12 @@ def test_fresh_store_is_private_and_equal(spark):
     fresh = star.stored_transfer(spark, SF_SMALL)
     assert not set(fresh.inputFiles()) & set(shared.inputFiles())
     _same_rows(fresh, shared)
+
+
+def test_competition_prefilter_equals_semi_join(spark):
+    from kickstar.plans import questions as Q
+    assert star.competition_keys_of(["COMP71", "-1", "-2", "GB1", "COMPx"]) == [71, -1, -2]
+    tm = star.team_match(spark, SF_SMALL)
+    for ids in (["COMP31"], ["COMP31", "COMP72", "GB1"], ["nope"]):
+        want = tm.join(Q._competitions(spark, SF_SMALL, ids), "competition_key", "left_semi")
+        _same_rows(Q.in_competitions(spark, SF_SMALL, tm, ids), want)
