@@ -21,7 +21,7 @@ OP1 = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 h AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS hex FROM p),
 f AS (SELECT hex, min(page_id) AS first FROM h GROUP BY hex),
-d AS (SELECT page_id, n, hex, first, list_transform(range(0, 32), i ->
+d AS (SELECT page_id, n, hex, first, list_transform(range(0, 32), lambda i:
         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT, 1)) AS chars
       FROM h JOIN f USING (hex))
 SELECT page_id, n::BIGINT AS payload_bytes, array_to_string(chars, '') AS payload_digest,
@@ -36,7 +36,7 @@ def _op2() -> str:
     for t in licenses.BASE:
         run = licenses.split_words(t.markup)
         test = " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(run))
-        at = f"list_filter(range(0, len(w)), i -> {test})"
+        at = f"list_filter(range(0, len(w)), lambda i: {test})"
         places.append(at)
         base.append(f"CASE WHEN len({at}) > 0 THEN '{t.label}' END")
         weights.append(f"CASE WHEN len({at}) > 0 THEN {licenses.weight(len(run))!r} ELSE 0 END")
@@ -51,12 +51,12 @@ def _op2() -> str:
         test = f"regexp_matches(j, '(?:^| ){pattern(licenses.parts(t.markup))}')"
         labels.append(f"CASE WHEN {test} THEN '{t.label}' END")
         weights.append(f"CASE WHEN {test} THEN {licenses.weight(licenses.mandatory_words(t.markup))!r} ELSE 0 END")
-    joined = "array_to_string(list_sort(list_distinct(list_filter([{}], x -> x IS NOT NULL))), ',')"
+    joined = "array_to_string(list_sort(list_distinct(list_filter([{}], lambda x: x IS NOT NULL))), ',')"
     return f"""
 WITH t AS (SELECT doc_id, {_w()} AS w FROM documents),
-u AS (SELECT doc_id, w, array_to_string(list_transform(w, x -> x || ' '), '') AS j,
-             list_concat(list_concat({places[0]}, {places[1]}), {places[2]}) AS at FROM t)
-SELECT doc_id, len(w)::BIGINT AS n_words, len(at)::BIGINT AS n_base, list_min(at) AS first_word, list_max(at) AS last_word,
+u AS (SELECT doc_id, w, array_to_string(list_transform(w, lambda x: x || ' '), '') AS j,
+             list_concat(list_concat({places[0]}, {places[1]}), {places[2]}) AS places FROM t)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
        {joined.format(', '.join(base))} AS base_labels, {joined.format(', '.join(base + labels))} AS labels,
        greatest({', '.join(weights)})::DOUBLE AS score
 FROM u
@@ -73,14 +73,14 @@ def _op3() -> str:
                 fails.append(f"{r.metric} * {q} {sign} {r.per} * {p}")
     return f"""
 WITH t AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text, {_s()} AS w FROM documents),
-l AS (SELECT k, list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM t),
+l AS (SELECT k, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM t),
 g AS (SELECT k, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
 d AS (SELECT k, g FROM g GROUP BY k, g HAVING count(*) > 1),
 c AS (SELECT k, count(DISTINCT i + o) AS n FROM g JOIN d USING (k, g), (VALUES (0), (1), (2)) AS v(o) GROUP BY k),
 m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
              length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, len(l) AS n_lines,
              (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
-             len(list_filter(w, x -> lower(x) IN ({stops}))) AS n_stop_words
+             len(list_filter(w, lambda x: lower(x) IN ({stops}))) AS n_stop_words
       FROM t JOIN l USING (k) LEFT JOIN c USING (k)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -120,9 +120,9 @@ WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_w()} AS w FROM documents)
 b AS (SELECT item_id, w, least(13, len(w)) AS m FROM (SELECT item_id, {_w()} AS w FROM benchmark) WHERE len(w) > 0),
 win AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS s FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM b)),
 lens AS (SELECT DISTINCT m FROM win),
-at AS (SELECT k, m, i, array_to_string(w[i:i + m - 1], ' ') AS s
+pos AS (SELECT k, m, i, array_to_string(w[i:i + m - 1], ' ') AS s
        FROM (SELECT k, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, lens)),
-hit AS (SELECT at.k, at.i, at.m, win.item_id FROM at JOIN win USING (m, s)),
+hit AS (SELECT pos.k, pos.i, pos.m, win.item_id FROM pos JOIN win USING (m, s)),
 n AS (SELECT k, count(DISTINCT x) AS n FROM (SELECT DISTINCT k, unnest(range(i, i + m)) AS x FROM hit) GROUP BY k),
 it AS (SELECT k, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT k, item_id::VARCHAR AS id FROM hit) GROUP BY k)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_hit, coalesce(it.n, 0)::BIGINT AS n_items,
@@ -135,8 +135,8 @@ WITH RECURSIVE d AS (SELECT row_number() OVER () AS k, doc_id, {_w()} AS w FROM
 g AS (SELECT DISTINCT k, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g
       FROM (SELECT k, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
 z AS (SELECT k, count(*) AS n FROM g GROUP BY k),
-p AS (SELECT x.k AS a, y.k AS b, count(*) AS both FROM g AS x JOIN g AS y USING (g) WHERE x.k <> y.k GROUP BY ALL),
-e AS (SELECT a, b FROM p JOIN z AS za ON a = za.k JOIN z AS zb ON b = zb.k WHERE 9 * both >= 4 * (za.n + zb.n)),
+p AS (SELECT x.k AS a, y.k AS b, count(*) AS common FROM g AS x JOIN g AS y USING (g) WHERE x.k <> y.k GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN z AS za ON a = za.k JOIN z AS zb ON b = zb.k WHERE 9 * common >= 4 * (za.n + zb.n)),
 r(k, o) AS (SELECT k, k FROM d UNION SELECT r.k, e.b FROM r JOIN e ON r.o = e.a),
 c AS (SELECT r.k, min(d.doc_id) AS class_id FROM r JOIN d ON r.o = d.k GROUP BY r.k),
 l AS (SELECT a AS k, count(*) AS n FROM e GROUP BY a)
