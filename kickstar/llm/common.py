@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,13 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def without(df: DataFrame, new: Iterable[str], keep: Iterable[str] = ()) -> DataFrame:
+    """``df`` without the columns that have the name of a result column in any case; columns
+    in ``keep`` stay."""
+    clash, keep = {c.lower() for c in new}, set(keep)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in clash or c in keep])
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder of ``spark.checkpoint.dir``."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"

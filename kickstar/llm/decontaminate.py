@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kickstar.llm.common import fraction, stored, words
+from kickstar.llm.common import fraction, stored, without, words
 
 
 def _shingles(w: str, lengths: list[int]) -> Column:
@@ -61,7 +61,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, shingl
     text; an empty benchmark hits nothing. Several items with one id count once."""
     spark = docs.sparkSession
     new = ("n_words", "n_hit", "n_items", "items", "contaminated")
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new or c in (id_col, text_col)])
+    rows = without(docs, new, (id_col, text_col))
     rows = rows.withColumns({"__id": F.col(id_col), "__h": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
 
     same = F.col("__id").eqNullSafe(F.col("__pid")) & (F.col("__h") == F.col("__ph"))

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kickstar.llm.common import space_words, stored
+from kickstar.llm.common import space_words, stored, without
 
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -107,7 +107,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", te
     means: smaller id (null first), then text hash, then line number. Rows with equal id and
     equal text are one document and get the same text. A null text has one empty line and
     stays null. An empty table gives an empty result."""
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")])
+    rows = without(docs, ("n_lines", "n_removed"), (id_col, text_col))
     corpus = _corpus(rows, id_col, text_col)
     lines = corpus.select("doc", F.posexplode("lines").alias("seq", "l")).select("doc", "seq", "l.i", "l.w", "l.a", "l.b")
     copies, stretches = later_copies(lines, min_words)

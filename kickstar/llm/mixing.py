@@ -24,7 +24,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kickstar.llm.common import let
+from kickstar.llm.common import let, without
 
 CHUNK = 16.0
 #: 13 hex digits: 52 bits, exact in a double.
@@ -83,8 +83,8 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, seed: int =
     texts have size 0. An empty table gives an empty mixture."""
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    names = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
-    d = docs.select(*[F.col(f"`{c}`") for c in names])
+    d = without(docs, ("copy", "shuffle_key"), (id_col, source_col, text_col))
+    names = d.columns
     plan = (rates(d, weights, source_col, text_col, temperature, mixture).filter("rate > 0")
             .withColumn("__parts", F.ceil(F.col("rate") / F.lit(CHUNK)).cast("int"))
             .select(F.col("source").alias("__source"), "__parts", poisson_cdf(F.col("rate") / F.col("__parts")).alias("__cdf")))

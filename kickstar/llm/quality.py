@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kickstar.llm.common import fraction, let, space_words
+from kickstar.llm.common import fraction, let, space_words, without
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -126,8 +126,7 @@ def judge(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES
     Columns of ``docs`` that have the name of a result column are replaced by it. Null and
     empty texts have 0 words and fail as too short; an empty table gives an empty result;
     repeated rows each get the same result."""
-    new = {*METRICS, "one", "base_failed", "failed_rules", "kept"}
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new or c == text_col])
+    rows = without(docs, (*METRICS, "one", "base_failed", "failed_rules", "kept"), [text_col])
     m = measure(rows, text_col, stop_words)
     base = F.lit(False)
     for r in base_rules:
