@@ -12,6 +12,7 @@ UNKNOWN_SHORT = "Không rõ"           # unknown age group
 CLUB_PREFIX = "CLB "                 # default club name: "CLB " + club_id
 PLAYER_PREFIX = "Cầu thủ "           # default player name: "Cầu thủ " + player_id
 INFERRED_CLUB_NAME = "CLB ngoài dữ liệu"   # clubs seen only in facts
+INFERRED_CLUB_PREFIX = "CLB "
 INTERNATIONAL = "International"      # country of an international competition
 
 # special members: key -> name, per dimension

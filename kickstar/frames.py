@@ -22,15 +22,22 @@ def literal_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.Struc
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def session_id(spark: SparkSession) -> str:
+    """Identity of a session that no later session shares."""
+    return spark._jsparkSession.sessionUUID()
+
+
 _MEMO: dict[tuple, DataFrame] = {}
 
 
 def _memo_key(spark: SparkSession, fn: Callable, args: tuple, kwargs: dict) -> tuple:
-    return id(spark._jsparkSession), fn.__module__, fn.__qualname__, args, tuple(sorted(kwargs.items()))
+    where = [source_fingerprint(spark, [a]) for a in args if isinstance(a, str) and "/" in a and path_exists(spark, a)]
+    return session_id(spark), *where, fn.__module__, fn.__qualname__, args, tuple(sorted(kwargs.items()))
 
 
 def session_memo(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """Build a plan once per (session, arguments); DataFrames are immutable, so reuse is safe."""
+    """Build a plan once per (session, arguments, state of the folder an argument names): a
+    replaced source gives a new plan. DataFrames are immutable, so reuse is safe."""
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, *args, **kwargs) -> DataFrame:
         key = _memo_key(spark, fn, args, kwargs)

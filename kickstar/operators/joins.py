@@ -1,10 +1,9 @@
 """Join operators: star joins, lookups, special-member keys, anti-joins, role unpivot, as-of.
 
 Broadcast policy: ``bounded_broadcast`` is applied only to inputs whose row count is
-fixed by definition (literal lookups, calendar dims, the 25-nation geography);
-``checked_broadcast`` to data-dependent member sets after a row count.
-Everything else is left to the planner: Catalyst broadcasts by size statistics
-under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans at runtime from the
+fixed by definition (literal lookups, calendar dims, the 25-nation geography).
+Everything else, members picked by name included, is left to the planner: Catalyst
+broadcasts by size statistics under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans at runtime from the
 real shuffle sizes, splitting skewed partitions of sort-merge joins.
 """
 
@@ -21,15 +20,6 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Broadcast a side whose size depends on the data (members picked by name) only
-    after counting it: at most ``max_rows`` rows are broadcast; beyond that the side
-    is returned unhinted and the planner / AQE choose a shuffle join from real sizes.
-    The count reads the filtered dimension once and stops at ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def star_join(fact: DataFrame, *dims: tuple[DataFrame, str | Sequence[str]], how: str = "inner") -> DataFrame:
     """fact ⋈ dim on the surrogate key(s) of each dim."""
     out = fact

@@ -11,7 +11,7 @@ Scale rules
 * Ranks and NTILE over a whole table never use an un-partitioned window over the
   whole table: a top-n's ranks are computed on the n kept rows (every row ahead of
   a kept row is kept too), and full positions come from the range-partitioned
-  two-pass numbering in ``operators.keys``.
+  one-pass numbering in ``operators.keys``.
 """
 
 from __future__ import annotations
@@ -72,13 +72,10 @@ def ntile_of_position(pos: Column, total: Column, buckets: int) -> Column:
 
 
 def with_ntile(df: DataFrame, order: Sequence[Column | str], buckets: int, name: str) -> DataFrame:
-    """NTILE over a whole table without a single-partition window. The input is stored
-    once (shared checkpoint folder); the positions and the row count both read that copy,
-    so the upstream plan runs once."""
-    from kickstar.frames import materialize
-    df = materialize(df, "ntile")
-    positioned = K.global_positions(df, order, "__pos", stable=False)
-    total = df.agg(F.count(F.lit(1)).alias("__n"))
+    """NTILE over a whole table without a single-partition window: the positions come from one
+    written copy of the rows, and the row count is the largest position of that copy."""
+    positioned = K.global_positions(df, order, "__pos")
+    total = positioned.agg(F.max("__pos").alias("__n"))
     return (positioned.crossJoin(F.broadcast(total))
             .withColumn(name, ntile_of_position(F.col("__pos"), F.col("__n"), buckets))
             .drop("__pos", "__n"))

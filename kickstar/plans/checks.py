@@ -114,5 +114,5 @@ def gen_dim_age(spark: SparkSession, sf_dir: str) -> DataFrame:
 def surrogate_key_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IDENTITY-style keys for the customers in (nation, name) order, without a global window."""
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name")
-    return K.surrogate_key(cust, ["c_nationkey", "c_name", "c_custkey"], "player_key", stable=False) \
+    return K.surrogate_key(cust, ["c_nationkey", "c_name", "c_custkey"], "player_key") \
         .select("c_custkey", "player_key")

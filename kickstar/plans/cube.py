@@ -125,7 +125,7 @@ def rank_in_set(df: DataFrame, measure: str, name_rank: str, name_position: str,
     """RANK(member, set, measure) (ties share) and RANK(member, set) (position) over a set
     of any size: distributed rank and two-pass positions, no single-partition window."""
     ranked = K.global_rank(df, [measure], name_rank, ascending=[False])
-    return K.global_positions(ranked, [F.desc(measure), *[F.asc(c) for c in tie]], name_position, stable=False)
+    return K.global_positions(ranked, [F.desc(measure), *[F.asc(c) for c in tie]], name_position)
 
 
 def link_role(fact: DataFrame, roles: Mapping[str, str], values: Sequence[str], key_name: str = "club_key") -> DataFrame:

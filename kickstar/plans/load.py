@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kickstar import fixed
-from kickstar.frames import literal_frame
+from kickstar.frames import literal_frame, path_exists
 from kickstar.operators.route import REJECT_SCHEMA
 from kickstar.plans import star, warehouse as WH
 from kickstar.sources import sinks
@@ -66,7 +66,7 @@ FACT_KEYS = {
     "transfer": ["player_key", "date_key", "from_club_key", "to_club_key"],
 }
 FACT_PARTITION = {"team_match": ["season_key"], "player_appearance": ["season_key"], "transfer": ["season_key"]}
-FACT_SOURCES = ["club_games", "appearances", "player_valuations", "transfers"]
+FACT_SOURCES = ["club_games", "appearances", "player_valuations", "transfers", "fact_clubs"]
 
 
 def _schema(name: str) -> T.StructType:
@@ -81,13 +81,25 @@ def _dim(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def _fact_rows(spark: SparkSession, root: str) -> int:
-    total = 0
-    for name in FACT_KEYS:
-        try:
-            total += spark.read.parquet(f"{root}/fact_{name}").count()
-        except Exception:  # noqa: BLE001 — table not written yet
-            pass
-    return total
+    """Rows of the facts that were written yet; any other failure to read is an error."""
+    paths = [f"{root}/fact_{name}" for name in FACT_KEYS]
+    return sum(spark.read.parquet(p).count() for p in paths if path_exists(spark, p))
+
+
+def _fact_clubs(staging: dict[str, DataFrame]) -> list[DataFrame]:
+    """(id, name, batch) of the clubs named by valuations, transfers and games, where the
+    staged table has those columns, and the ids of club games and appearances."""
+    sources = [("player_valuations", "current_club_id", "current_club_name"), ("transfers", "from_club_id", "from_club_name"),
+               ("transfers", "to_club_id", "to_club_name"), ("games", "away_club_id", "away_club_name"),
+               ("games", "home_club_id", "home_club_name"), ("club_games", "club_id", None), ("club_games", "opponent_id", None),
+               ("appearances", "player_club_id", None)]
+    out = []
+    for table, club, name in sources:
+        df = staging[table]
+        if club in df.columns:
+            named = F.col(name) if name in df.columns else F.lit(None).cast("string")
+            out.append(df.select(club, named.alias("club_name"), "batch_id"))
+    return out
 
 
 def _in_parallel(tasks: dict) -> dict:
@@ -111,7 +123,9 @@ def run_load(spark: SparkSession, staging: dict[str, DataFrame], root: str, wind
     journal = journal if journal is not None else spark.createDataFrame([], WH.JOURNAL_SCHEMA)
     run = (journal.agg(F.max("run_id")).first()[0] or 0) + 1
     before = _fact_rows(spark, root)
-    journal = WH.journal_start(journal, window.batch_id, window, started_at, before)
+    # written before anything else: a run that dies is found as RUNNING and becomes FAILED
+    sinks.snapshot_write(WH.journal_start(journal, window.batch_id, window, started_at, before), journal_path, 2 * run - 1)
+    journal = sinks.snapshot_read(spark, journal_path)
     sinks.overwrite(WH.load_window_record(spark, window), f"{root}/etl_load_window")
     sinks.reject_purge(spark, f"{root}/etl_reject", FACT_SOURCES)
 
@@ -122,11 +136,9 @@ def run_load(spark: SparkSession, staging: dict[str, DataFrame], root: str, wind
     club_in = WH.club_incoming(staging["clubs"], staging["national_teams"], merged)
     dims["competition"] = merged
     dims["club"] = WH.scd_merge(_dim(spark, root, "club"), club_in, WH.CLUB_SPEC, run_date)
-    fact_ids = [staging["club_games"].select("club_id"), staging["club_games"].select("opponent_id"),
-                staging["appearances"].select("player_club_id"), staging["transfers"].select("from_club_id"),
-                staging["transfers"].select("to_club_id"), staging["player_valuations"].select("current_club_id")]
-    inferred = WH.inferred_clubs(fact_ids, dims["club"]).select(
-        "club_id", "club_name", F.lit("Club").alias("club_type"), F.lit(U).alias("country_name"),
+    fact_clubs = _fact_clubs(staging)
+    inferred = WH.inferred_clubs(fact_clubs, dims["club"]).select(
+        "club_id", "club_name", "club_type", F.lit(U).alias("country_name"),
         F.lit(U).alias("confederation"), F.lit(None).cast("string").alias("current_league_id"),
         F.lit(U).alias("current_league_name"), F.lit(U).alias("stadium_name"), F.lit(U).alias("stadium_capacity_band"))
     dims["club"] = WH.scd_merge(dims["club"], inferred, WH.CLUB_SPEC, run_date)
@@ -158,10 +170,10 @@ def run_load(spark: SparkSession, staging: dict[str, DataFrame], root: str, wind
         fact, rej = load(existing)
         n = WH.incremental_append(spark, fact, f"{root}/fact_{name}", FACT_KEYS[name], probe.schema,
                                   FACT_PARTITION.get(name))
-        if name == "team_match" and n:
-            new_rows = spark.read.parquet(f"{root}/fact_{name}").filter(F.col("batch_id") == window.batch_id)
+        if name == "team_match" and path_exists(spark, f"{root}/fact_{name}"):
             stored = sinks.snapshot_read(spark, f"{root}/mv_club_season_standing")
-            sinks.snapshot_write(WH.maintain_standing_rollup(stored, new_rows), f"{root}/mv_club_season_standing", run)
+            sinks.snapshot_write(WH.maintain_standing_rollup(stored, spark.read.parquet(f"{root}/fact_{name}")),
+                                 f"{root}/mv_club_season_standing", run)
         return n, rej
 
     # the four fact flows write different tables and read only the written dimensions:
@@ -176,14 +188,14 @@ def run_load(spark: SparkSession, staging: dict[str, DataFrame], root: str, wind
                           {"appearances": (dims["competition"], "competition_id"),
                            "games": (dims["competition"], "competition_id")}, window.batch_id)
     log = rejects[0]
-    for r in rejects[1:] + [audit]:
+    for r in rejects[1:] + [audit, WH.inferred_club_rejects(fact_clubs, window.batch_id)]:
         log = log.unionByName(r)
     sinks.reject_sink(log.select(*[F.col(f.name).cast(f.dataType) for f in REJECT_SCHEMA.fields]),
                       f"{root}/etl_reject")
 
     after = _fact_rows(spark, root)
     journal = WH.journal_finish(journal, window.batch_id, dt.datetime.now(), after)
-    sinks.snapshot_write(journal, journal_path, run)
+    sinks.snapshot_write(journal, journal_path, 2 * run)
     return dict(added, run_id=run, fact_rows_before=before, fact_rows_after=after)
 
 

@@ -60,7 +60,7 @@ def integrity(team_match: DataFrame, appearance: DataFrame, valuation: DataFrame
         _dup_keys(team_match, ["match_key"], "match_not_two_rows_errors", F.col("__n") != 2),
         _dup_keys(appearance, ["appearance_id"], "appearance_duplicate_errors"),
         _dup_keys(valuation, ["player_key", "date_key"], "valuation_duplicate_errors"),
-        _dup_keys(transfer, ["player_key", "date_key", "from_club_key", "to_club_key"], "transfer_duplicates_rare"),
+        _dup_keys(transfer, ["player_key", "date_key", "from_club_key", "to_club_key"], "transfer_duplicate_deals"),
         _dup_keys(club.filter(F.col("is_current")), ["club_id"], "club_multi_current_errors"),
         _dup_keys(player.filter(F.col("is_current")), ["player_id"], "player_multi_current_errors"),
     )

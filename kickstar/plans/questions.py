@@ -24,7 +24,6 @@ from kickstar import fixed
 from kickstar.functions import exprs as X
 from kickstar.operators import agg as A
 from kickstar.operators import keys as K
-from kickstar.operators.joins import checked_broadcast
 from kickstar.operators import windows as W
 from kickstar.plans import measures as M
 from kickstar.plans import star
@@ -51,17 +50,14 @@ def _seasons(spark: SparkSession, labels: Sequence[str]) -> DataFrame:
 
 
 def in_competitions(spark: SparkSession, sf_dir: str, fact: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Fact rows of the named competitions: a literal key filter that reaches the parquet
-    scan (row-group skipping on the competition-sorted facts), then the semi-join with the
-    dimension that keeps only existing members."""
-    keys = star.competition_keys_of(ids)
-    return fact.filter(F.col("competition_key").isin(*keys)) \
-        .join(_competitions(spark, sf_dir, ids), "competition_key", "left_semi")
+    """Fact rows of the named competitions: the members are looked up in the dimension by id
+    and the fact is semi-joined to their keys."""
+    return fact.join(_competitions(spark, sf_dir, ids), "competition_key", "left_semi").select(*fact.columns)
 
 
 def _competitions(spark: SparkSession, sf_dir: str, ids: Sequence[str]) -> DataFrame:
-    return F.broadcast(star.dim_competition(spark, sf_dir).filter(F.col("competition_id").isin(*ids))
-                       .select("competition_key"))
+    return (star.dim_competition(spark, sf_dir).filter(F.col("competition_id").isin(*ids))
+            .select("competition_key"))
 
 
 def _clubs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +159,7 @@ def t5_home_away_split(spark: SparkSession, sf_dir: str, season: str = SEASON) -
 def t6_season_form(spark: SparkSession, sf_dir: str, club: str = FORM_CLUB) -> DataFrame:
     """Season trend of one club with the year-on-year change of points per match (LAG over rows)."""
     clubs = star.dim_club(spark, sf_dir).filter(F.col("club_name") == club).select("club_key")
-    tm = star.team_match(spark, sf_dir).join(checked_broadcast(clubs), "club_key", "left_semi")
+    tm = star.team_match(spark, sf_dir).join(clubs, "club_key", "left_semi")
     per = tm.groupBy("season_key").agg(A.count_rows().alias("matches"), F.sum("points").alias("points"),
                                        F.sum("is_win").alias("wins"), F.sum("goal_difference").alias("goal_difference"),
                                        F.max("league_position").alias("max_league_position"))
@@ -179,7 +175,7 @@ def t6_season_form(spark: SparkSession, sf_dir: str, club: str = FORM_CLUB) -> D
 def t7_club_managers(spark: SparkSession, sf_dir: str, club: str = MANAGER_CLUB, min_matches: int = 10) -> DataFrame:
     clubs = star.dim_club(spark, sf_dir).filter(F.col("club_name") == club).select("club_key", "club_name")
     tm = star.team_match(spark, sf_dir, with_manager=True).filter(F.col("manager_key") != -1)
-    tm = tm.join(checked_broadcast(clubs.select("club_key")), "club_key", "left_semi")
+    tm = tm.join(clubs.select("club_key"), "club_key", "left_semi")
     per = tm.groupBy("club_key", "manager_key").agg(
         A.count_rows().alias("matches"), F.sum("is_win").alias("wins"), F.sum("points").alias("points"),
         F.sum("goal_difference").alias("goal_difference"))
@@ -198,7 +194,7 @@ def t8_vs_strong_opponents(spark: SparkSession, sf_dir: str, season: str = SEASO
     strong_keys = clubs.filter(F.col("club_name").isin(*strong)).select(F.col("club_key").alias("opponent_club_key"))
     tm = star.team_match(spark, sf_dir, with_opponent=True, ship_range=star.season_span([season])) \
         .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
-    tm = tm.join(checked_broadcast(strong_keys), "opponent_club_key", "left_semi")   # role: opponent
+    tm = tm.join(strong_keys, "opponent_club_key", "left_semi")   # role: opponent
     sums = team_sums()
     per = tm.groupBy("club_key").agg(*[sums[k].alias(k) for k in
                                        ("matches", "wins", "draws", "losses", "points", "goals_for", "goals_against")])
@@ -234,8 +230,8 @@ def bq_home_advantage(spark: SparkSession, sf_dir: str, min_matches: int = 20, t
     g = g.select("*", hw.alias("home_win_rate_pct"), aw.alias("away_win_rate_pct"))
     ranked = W.top_per_group(g, ["competition_name"],
                              [F.desc_nulls_last("home_win_rate_pct"), F.desc("home_goals_scored")], top,
-                             name="rank_home_supremacy")
-    return ranked.select("competition_name", "rank_home_supremacy", "club_name", "home_matches", "home_wins",
+                             name="home_rank")
+    return ranked.select("competition_name", "home_rank", "club_name", "home_matches", "home_wins",
                          "home_win_rate_pct", "away_win_rate_pct",
                          (F.col("home_win_rate_pct") - F.col("away_win_rate_pct")).alias("home_advantage_delta"),
                          "total_clean_sheets")
@@ -488,7 +484,7 @@ def bq_player_career(spark: SparkSession, sf_dir: str, player: str = CAREER_PLAY
     SQL window semantics (walk the rows with data); the MDX form that walks the season
     dimension is ``c_player_career_members``."""
     pl = star.dim_player(spark, sf_dir).filter(F.col("full_name") == player).select("player_key")
-    fa = star.player_appearance(spark, sf_dir).join(checked_broadcast(pl), "player_key", "left_semi")
+    fa = star.player_appearance(spark, sf_dir).join(pl, "player_key", "left_semi")
     per = fa.groupBy("season_key").agg(F.sum("goals").alias("goals"), F.sum("assists").alias("assists"),
                                        F.sum("minutes_played").alias("minutes"))
     per = per.join(F.broadcast(star.dim_season(spark).select("season_key", "season_label")), "season_key")
@@ -616,7 +612,7 @@ def bq_net_spend_premium(spark: SparkSession, sf_dir: str, seasons: Sequence[str
         "season_label", "club_name", F.coalesce("bought_count", F.lit(0)).alias("bought_count"),
         spent.alias("spent_mil_eur"), F.coalesce("sold_count", F.lit(0)).alias("sold_count"),
         income.alias("income_mil_eur"), (spent - income).alias("net_spend_mil_eur"),
-        prem.alias("fee_premium_paid_mil_eur"), X.strategy_label(prem).alias("financial_strategy_comment"))
+        prem.alias("fee_premium_paid_mil_eur"), X.strategy_label(prem).alias("strategy_label"))
     return W.top_n(out, n, [F.desc("net_spend_mil_eur"), F.asc("season_label"), F.asc("club_name")])
 
 
@@ -643,7 +639,7 @@ def bq_fee_matrix_cube(spark: SparkSession, sf_dir: str, seasons: Sequence[str]
         F.col("grouping_level").cast("int").alias("grouping_level"), "total_transactions",
         _mil("__fee").alias("total_fee_volume_mil_eur"),
         (A.ratio_of_sums(F.col("__fee"), F.col("total_transactions")) / F.lit(1_000_000.0)).alias("avg_fee_mil_eur"),
-        A.ratio_of_sums(F.col("total_transactions"), season_total, 100.0).alias("percentage_share_in_season"))
+        A.ratio_of_sums(F.col("total_transactions"), season_total, 100.0).alias("season_share_pct"))
 
 
 def bq_market_grouping_sets(spark: SparkSession, sf_dir: str, season: str = SEASON) -> DataFrame:
@@ -864,7 +860,7 @@ def c_player_career_members(spark: SparkSession, sf_dir: str, player: str = CARE
     walk the season *dimension*, so a gap season gives an empty neighbour."""
     from kickstar.plans import cube
     pl = star.dim_player(spark, sf_dir).filter(F.col("full_name") == player).select("player_key")
-    fa = star.player_appearance(spark, sf_dir).join(checked_broadcast(pl), "player_key", "left_semi")
+    fa = star.player_appearance(spark, sf_dir).join(pl, "player_key", "left_semi")
     per = fa.groupBy("season_key").agg(F.sum("goals").alias("goals"), F.sum("minutes_played").alias("minutes"))
     per = per.withColumn("__m", F.lit(1))
     n = cube.neighbours(per, ["__m"], "season_key", "goals", "goals_prev_member", "goals_next_member")

@@ -53,6 +53,8 @@ partition holds at most one row per calendar day of one player.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,9 +83,10 @@ def _n_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
 def season_span(labels) -> tuple[str, str] | None:
     """Ship-date range [first season start, last season end) covering season labels
     'yyyy/yy'; a superset filter on the raw date column that parquet can push down
-    (row-group statistics, partition pruning). The exact label filter still follows."""
-    years = [int(lab[:4]) for lab in labels if len(lab) >= 4 and lab[:4].isdigit()]
-    return (f"{min(years)}-01-01", f"{max(years) + 1}-01-01") if years else None
+    (row-group statistics, partition pruning). The exact label filter still follows. No range
+    when any label names no years (such as the unknown season)."""
+    years = [int(lab[:4]) for lab in labels if re.fullmatch(r"\d{4}/\d{2}", lab)]
+    return (f"{min(years)}-01-01", f"{max(years) + 1}-01-01") if years and len(years) == len(labels) else None
 
 
 def _lineitem(spark: SparkSession, sf_dir: str, cols: list[str], ship_range: tuple[str, str] | None) -> DataFrame:
@@ -99,18 +102,6 @@ def competition_key(nationkey: Column, linestatus: Column) -> Column:
     return (nationkey * 10 + F.when(linestatus == "F", 1).otherwise(2)).cast("int")
 
 
-def competition_keys_of(ids) -> list[int]:
-    """Keys of competition ids under the id rule of ``dim_competition`` ('COMP<key>', and
-    '-1' / '-2' for the special members); ids outside the rule name no member."""
-    import re
-    keys = []
-    for i in ids:
-        m = re.fullmatch(r"COMP(\d+)|(-[12])", str(i))
-        if m:
-            keys.append(int(m.group(1) or m.group(2)))
-    return keys
-
-
 def _season(ts: Column) -> Column:
     return F.year(ts).cast("int")
 
@@ -308,7 +299,6 @@ def _code_version() -> str:
     return hashlib.sha1(text.encode()).hexdigest()[:12]
 
 
-@session_memo
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     from kickstar.sources.driver import path
     return source_fingerprint(spark, [path(sf_dir, t) for t in FACT_SOURCES]) + "-" + _code_version()

@@ -200,14 +200,32 @@ def manager_members(club_games: DataFrame) -> DataFrame:
     return names.select(clean.alias("manager_name")).distinct()
 
 
-def inferred_clubs(fact_club_ids: Sequence[DataFrame], dim: DataFrame) -> DataFrame:
-    """Clubs referenced by facts but absent from the club dimension (any version), with the
-    remapped special codes excluded: they become 'CLB ngoài dữ liệu' members."""
-    ids = D.union_all([f.select(F.col(f.columns[0]).alias("club_id")) for f in fact_club_ids])
-    ids = ids.filter(F.col("club_id").isNotNull() & ~X.is_excluded_code(F.col("club_id")))
-    ids = ids.select(F.col("club_id").try_cast("long").alias("club_id")).filter(F.col("club_id").isNotNull())
-    missing = J.anti_join(ids.distinct(), dim.select("club_id"), "club_id")
-    return missing.select("club_id", F.lit(fixed.INFERRED_CLUB_NAME).alias("club_name"))
+def _fact_clubs(fact_clubs: Sequence[DataFrame]) -> DataFrame:
+    """(club_id, club_name, batch_id) as cleaned text from frames whose columns are the id and,
+    where the source has them, the name and the batch; special codes are left out."""
+    def part(f: DataFrame) -> DataFrame:
+        rest = [X.clean_text(f.columns[1]) if len(f.columns) > 1 else F.lit(None).cast("string"),
+                F.col(f.columns[2]) if len(f.columns) > 2 else F.lit(None).cast("string")]
+        return f.select(X.clean_text(f.columns[0]).alias("club_id"), rest[0].alias("club_name"), rest[1].alias("batch_id"))
+    ids = D.union_all([part(f) for f in fact_clubs])
+    return ids.filter(F.col("club_id").isNotNull() & ~X.is_excluded_code(F.col("club_id"))).distinct()
+
+
+def inferred_clubs(fact_clubs: Sequence[DataFrame], dim: DataFrame) -> DataFrame:
+    """Clubs referenced by facts but absent from the club dimension (any version): the name
+    is the source's (of several the smallest), else 'CLB <id>'; the type is the out-of-data
+    label. Ids that do not cast are given by :func:`inferred_club_rejects`."""
+    ids = _fact_clubs(fact_clubs).select(F.col("club_id").try_cast("int").cast("long").alias("club_id"), "club_name")
+    one = ids.filter(F.col("club_id").isNotNull()).groupBy("club_id").agg(F.min("club_name").alias("club_name"))
+    missing = J.anti_join(one, dim.select("club_id"), "club_id")
+    return missing.select("club_id", F.coalesce("club_name", F.concat(F.lit(fixed.INFERRED_CLUB_PREFIX), F.col("club_id").cast("string")))
+                          .alias("club_name"), F.lit(fixed.INFERRED_CLUB_NAME).alias("club_type"))
+
+
+def inferred_club_rejects(fact_clubs: Sequence[DataFrame], batch_id: str) -> DataFrame:
+    """Reject-log rows of club ids in facts that do not cast."""
+    bad = _fact_clubs(fact_clubs).filter(F.col("club_id").try_cast("int").isNull()).select("club_id").distinct()
+    return R.to_reject_log(bad.withColumn(R.REASON, F.lit("cast error (club_id)")), batch_id, "fact_clubs", F.col("club_id"))
 
 
 # ------------------------------------------------------------------ facts from staging
@@ -341,15 +359,20 @@ def load_window_record(spark: SparkSession, window: LoadWindow) -> DataFrame:
                                  F.lit(window.batch_id).alias("batch_id"))
 
 
-def maintain_standing_rollup(stored: DataFrame | None, new_team_rows: DataFrame) -> DataFrame:
-    """Keep the season × club SUM/COUNT rollup current: aggregate only the new batch, union
-    with the stored sums and re-sum (exact, since only sums and counts are stored)."""
+def maintain_standing_rollup(stored: DataFrame | None, team_match: DataFrame) -> DataFrame:
+    """Keep the season × club SUM/COUNT rollup current: seasons whose stored matches differ
+    from the fact's rows are aggregated anew from their partitions, the others are kept.
+
+    The fact itself says what is missing, so a run that died between the append and the
+    rollup is made up for by the next one, and no batch can be counted twice."""
     from kickstar.plans.questions import standing_rollup
-    delta = standing_rollup(new_team_rows)
     if stored is None:
-        return delta
-    cols = [c for c in delta.columns if c not in ("season_key", "club_key")]
-    return stored.unionByName(delta).groupBy("season_key", "club_key").agg(*[F.sum(c).alias(c) for c in cols])
+        return standing_rollup(team_match)
+    there = team_match.groupBy("season_key").agg(F.count(F.lit(1)).alias("n"))
+    have = stored.groupBy("season_key").agg(F.sum("matches").alias("m"))
+    stale = there.join(have, "season_key", "full").filter(~F.col("n").eqNullSafe(F.col("m"))).select("season_key")
+    kept = stored.join(F.broadcast(stale), "season_key", "left_anti")                 # seasons: ≤ 43 rows
+    return kept.unionByName(standing_rollup(team_match.join(F.broadcast(stale), "season_key", "left_semi")))
 
 
 # ------------------------------------------------------------------ the other three fact loads
@@ -484,9 +507,18 @@ def load_fact_transfer(stg: DataFrame, dims: dict[str, DataFrame], existing_fact
     # latest batch wins; equal batches fall back to the row id, then the values (a total order)
     s = D.dedup_latest(s, ["player_id", "date_raw", "from_club_id", "to_club_id"],
                        ["batch_id", "source_row", "transfer_fee", "mv"])
-    done = existing_fact.join(dims["player"].select("player_key", "player_id"), "player_key").select(
-        F.col("player_id").cast("string").alias("player_id"), F.col("date_key").alias("__dk"),
-        F.col("from_club_key").alias("__f"), F.col("to_club_key").alias("__t"))
+    # deals of the window that are in the fact already, by the natural ids of any version of
+    # the player and the clubs: a club that got a new version since keeps its deals
+    lo, hi = (X.date_key(F.to_date(F.lit(x))) for x in (window.load_from, window.load_to))
+    club_ids = dims["club"].select("club_key", F.col("club_id").cast("string").alias("club_id"))
+    done = (existing_fact.filter(F.col("date_key").between(lo, hi))
+            .join(dims["player"].select("player_key", F.col("player_id").cast("string").alias("__pid")), "player_key")
+            .join(club_ids.withColumnsRenamed({"club_key": "from_club_key", "club_id": "__f"}), "from_club_key")
+            .join(club_ids.withColumnsRenamed({"club_key": "to_club_key", "club_id": "__t"}), "to_club_key")
+            .select("__pid", F.col("date_key").alias("__dk"), "__f", "__t"))
+    s = s.withColumns({"__dk": X.date_key(F.try_to_date(F.col("date_raw"), "yyyy-MM-dd"))})
+    s = s.join(done, (s.player_id == done["__pid"]) & (s["__dk"] == done["__dk"]) & (s.from_club_id == done["__f"])
+               & (s.to_club_id == done["__t"]), "left_anti").drop("__dk")
     ok, bad_cast = R.cast_or_reject(s, {"player_id": "int", "date_raw": "date", "from_club_id": "int",
                                         "to_club_id": "int", "transfer_fee": "decimal(19,3)", "mv": "decimal(19,3)"})
     c = F.col
@@ -510,10 +542,11 @@ def load_fact_transfer(stg: DataFrame, dims: dict[str, DataFrame], existing_fact
                     mv.alias("market_value_eur"), X.fee_premium(fee, mv).alias("fee_premium_eur"),
                     X.age_in_range(c("date_of_birth"), d, 0, 100).alias("age_at_transfer"),
                     X.youth_flag(c("date_of_birth"), d).alias("is_youth_transfer"),
-                    F.lit(1).alias("transfer_count"), F.lit(window.batch_id).alias("batch_id"),
-                    c("player_id").alias("__pid"))
-    fact = fact.join(done, (fact.__pid == done.player_id) & (fact.date_key == done.__dk)
-                     & (fact.from_club_key == done.__f) & (fact.to_club_key == done.__t), "left_anti").drop("__pid")
+                    F.lit(1).alias("transfer_count"), F.lit(window.batch_id).alias("batch_id"))
+    # clubs that were unknown when the deal was loaded have no natural id in the fact: the keys decide
+    fact = fact.join(existing_fact.filter(F.col("date_key").between(lo, hi))
+                     .select("player_key", "date_key", "from_club_key", "to_club_key"),
+                     ["player_key", "date_key", "from_club_key", "to_club_key"], "left_anti").select(*fact.columns)
     return fact, _rejects(bad_cast, bad_rule, window, "transfers",
                           F.concat_ws("|", c("player_id"), c("date_raw"), c("from_club_id"), c("to_club_id")))
 

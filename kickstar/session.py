@@ -7,6 +7,7 @@ directory, broadcast threshold) win.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,8 +41,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        master = sc.master or ""
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master or ""):        # local-cluster is a cluster
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="kickstar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)

@@ -15,30 +15,30 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kickstar.frames import session_id, source_fingerprint
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
-_CACHE: dict[tuple, DataFrame] = {}
+_CACHE: dict[tuple, tuple[str, DataFrame]] = {}
 
 
 def path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def _session_key(spark: SparkSession) -> int:
-    return id(spark._jsparkSession)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as its files are now. A plan is kept per session only as long as the files
+    are the same (count, bytes, modification time: file-system metadata, no job)."""
     if name not in TABLES:
         raise ValueError(f"unknown driver table {name!r}")
-    key = (_session_key(spark), sf_dir, name)
-    df = _CACHE.get(key)
-    if df is None:
-        df = spark.read.parquet(path(sf_dir, name))
-        _CACHE[key] = df
-    return df
+    where = path(sf_dir, name)
+    key = (session_id(spark), where)
+    now = source_fingerprint(spark, [where])
+    if _CACHE.get(key, ("", None))[0] != now:
+        _CACHE[key] = now, spark.read.parquet(where)
+    return _CACHE[key][1]
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

@@ -43,16 +43,11 @@ def reject_sink(rejects: DataFrame, path: str) -> None:
 
 
 def reject_purge(spark: SparkSession, path: str, source_tables: list[str]) -> None:
-    """Clear earlier rejects of the given source tables (run start): the remaining rows are
-    staged beside the log and written back, so the plan never overwrites the path it reads."""
-    try:
-        current = spark.read.parquet(path)
-    except AnalysisException:
-        return
-    tmp = path.rstrip("/") + "__purge"
-    overwrite(current.filter(~F.col("source_table").isin(*source_tables)), tmp, ["source_table"])
-    # explicit schema: the kept part may be empty (no files to infer a schema from)
-    overwrite(spark.read.schema(current.schema).parquet(tmp), path, ["source_table"])
+    """Clear earlier rejects of the given source tables (run start): their partitions are
+    deleted, no other row is read or written. Run again after a crash, it goes on."""
+    for name in source_tables:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/source_table={name}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def snapshot_read(spark: SparkSession, root: str) -> DataFrame | None:

@@ -79,34 +79,22 @@ def staging_full_refresh(frames: dict[str, DataFrame], root: str) -> dict[str, s
     return out
 
 
-# Files up to this size get an exact MD5 of their bytes (one task reads one file); larger
-# files are identified by the distributed line fingerprint only.
-MD5_MAX_BYTES = 512 * 1024 * 1024
-
-
 def file_fingerprints(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """One row per source file: bytes, MD5 (files within ``MD5_MAX_BYTES``, else NULL) and a
-    line fingerprint — the sum of xxhash64 over the file's lines, computed by the usual
-    split-parallel text scan, so no file passes whole through one task. The sizes are read
-    first from file metadata (the content column is not read for that)."""
-    files = spark.read.format("binaryFile").load(path)
-    sizes = files.select("path", "length").collect()          # one row per file: metadata only
-    if all(r.length <= MD5_MAX_BYTES for r in sizes):
-        meta = files.select("path", F.md5("content").alias("md5"), F.col("length").alias("bytes"))
-    else:
-        meta = files.select("path", F.lit(None).cast("string").alias("md5"), F.col("length").alias("bytes"))
-    lines = spark.read.text(path).select(F.input_file_name().alias("__f"), "value")
-    fp = lines.groupBy("__f").agg(
-        F.sum(F.xxhash64("value").cast("decimal(38,0)")).cast("string").alias("line_fingerprint"))
-    fp = fp.select(F.element_at(F.split("__f", "/"), -1).alias("__name"), "line_fingerprint")
-    meta = meta.withColumn("__name", F.element_at(F.split("path", "/"), -1))
-    return meta.join(fp, "__name", "left").select(F.lit(name).alias("table_name"), "md5", "bytes",
-                                                   "line_fingerprint")
+    """One row per source file: its path, bytes, lines and a line fingerprint (the sum of
+    xxhash64 over the lines). The text scan splits large files, so no file passes whole
+    through one task, and files of any size are treated alike. Files are matched by their
+    full path; Spark does not list empty files, so they have no row."""
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"),
+                                                             F.col("length").alias("bytes"))
+    lines = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.xxhash64("value").cast("decimal(38,0)")).cast("string").alias("fp"))
+    return files.join(lines, "file", "left").select(
+        F.lit(name).alias("table_name"), "file", "bytes", F.coalesce("lines", F.lit(0)).alias("lines"),
+        F.coalesce("fp", F.lit("0")).alias("line_fingerprint"))
 
 
 def source_reconcile(spark: SparkSession, files: dict[str, str], staged: dict[str, DataFrame]) -> DataFrame:
-    """Per source file: MD5 of the bytes (size-checked) and a distributed line fingerprint,
-    records parsed from the file, rows staged, and a PASS / MISMATCH / FAILED status.
+    """Per source file: bytes, lines and a distributed line fingerprint, records parsed from the file, rows staged, and a PASS / MISMATCH / FAILED status.
     Counting parsed records (not raw lines) keeps quoted newlines from being miscounted."""
     rows = []
     for name, path in files.items():

@@ -156,21 +156,6 @@ def test_rank_in_set(spark):
     assert rows(out, "m", "rk", "pos") == [("a", 2, 2), ("b", 1, 1), ("c", 2, 3), ("d", 4, 4)]
 
 
-def test_checked_broadcast_hints_only_within_bound(spark):
-    small = spark.range(3)
-    big = spark.range(50)
-
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-
-    assert hinted(J.checked_broadcast(small, max_rows=10))
-    assert not hinted(J.checked_broadcast(big, max_rows=10))
-    # either way the join result is the same
-    fact = spark.range(100).withColumn("k", F.col("id") % 60)
-    a = fact.join(J.checked_broadcast(big.withColumnRenamed("id", "k"), max_rows=10), "k", "left_semi").count()
-    assert a == fact.filter(F.col("k") < 50).count()
-
-
 def test_stored_reuses_finished_copy_by_fingerprint(spark):
     import uuid
     from kickstar.frames import stored

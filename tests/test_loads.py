@@ -109,9 +109,12 @@ def test_code_audit_and_members(spark):
     dim = _dims(spark)["manager"]
     loaded = WH.insert_only(dim, WH.manager_members(cg), "manager_name", "manager_key")
     assert sorted((r.manager_key, r.manager_name) for r in loaded.collect())[-1] == (2, "Jürgen Klopp")
-    ids = spark.createDataFrame([("9",), ("515",), ("5",)], "to_club_id string")
-    inf = WH.inferred_clubs([ids], _dims(spark)["club"])
-    assert [(r.club_id, r.club_name) for r in inf.collect()] == [(9, fixed.INFERRED_CLUB_NAME)]
+    ids = spark.createDataFrame([("9", "Named FC", "B1"), ("515", "x", "B1"), ("5", "known", "B1"), ("abc", None, "B1"), (" 7 ", None, "B1"), (None, "y", "B1")],
+                                "to_club_id string, to_club_name string, batch_id string")
+    inf = WH.inferred_clubs([ids, ids.select("to_club_id")], _dims(spark)["club"])
+    assert sorted((r.club_id, r.club_name, r.club_type) for r in inf.collect()) == [
+        (7, "CLB 7", fixed.INFERRED_CLUB_NAME), (9, "Named FC", fixed.INFERRED_CLUB_NAME)]
+    assert [r.natural_key for r in WH.inferred_club_rejects([ids], "B1").collect()] == ["abc"]
 
 
 def test_staging_csv_audit_and_reconcile(spark):
@@ -133,18 +136,17 @@ def test_staging_csv_audit_and_reconcile(spark):
     paths = staging.staging_full_refresh({"player_valuations": staged}, os.path.join(root, "stg"))
     back = spark.read.parquet(paths["player_valuations"])
     rep = staging.source_reconcile(spark, {"player_valuations": path}, {"player_valuations": back}).collect()
-    assert rep[0].status == "PASS" and rep[0].source_rows == 2 and len(rep[0].md5) == 32
-    import hashlib
-    assert rep[0].md5 == hashlib.md5(open(path, "rb").read()).hexdigest()
+    assert rep[0].status == "PASS" and rep[0].source_rows == 2 and rep[0].bytes == os.path.getsize(path)
     lines = spark.read.text(path).agg(F.sum(F.xxhash64("value").cast("decimal(38,0)")).cast("string")).first()[0]
     assert rep[0].line_fingerprint == lines
-    # above the MD5 bound only the distributed fingerprint is given
-    old_bound, staging.MD5_MAX_BYTES = staging.MD5_MAX_BYTES, 10
-    try:
-        big = staging.source_reconcile(spark, {"player_valuations": path}, {"player_valuations": back}).collect()
-    finally:
-        staging.MD5_MAX_BYTES = old_bound
-    assert big[0].md5 is None and big[0].line_fingerprint == lines and big[0].status == "PASS"
+    # files of the same name in two folders each keep one row of their own
+    for sub, text in (("a", "x\n1\n"), ("b", "x\n2\n" * 1000), ("c", "")):
+        os.makedirs(os.path.join(root, "many", sub))
+        with open(os.path.join(root, "many", sub, "same.csv"), "w", encoding="utf-8") as fh:
+            fh.write(text)
+    got = staging.file_fingerprints(spark, "t", os.path.join(root, "many", "*")).collect()
+    assert sorted((r.bytes, r.lines) for r in got) == [(4, 2), (4000, 2000)]
+    assert len({r.line_fingerprint for r in got}) == 2 and len({r.file for r in got}) == 2
 
 
 def test_reject_sink_and_purge(spark):

@@ -46,10 +46,33 @@ def test_fresh_store_is_private_and_equal(spark):
     _same_rows(fresh, shared)
 
 
-def test_competition_prefilter_equals_semi_join(spark):
+def test_competitions_are_found_in_the_dimension(spark):
+    """Ids of any form (a dimension with real ids such as GB1) name their members."""
     from kickstar.plans import questions as Q
-    assert star.competition_keys_of(["COMP71", "-1", "-2", "GB1", "COMPx"]) == [71, -1, -2]
     tm = star.team_match(spark, SF_SMALL)
     for ids in (["COMP31"], ["COMP31", "COMP72", "GB1"], ["nope"]):
-        want = tm.join(Q._competitions(spark, SF_SMALL, ids), "competition_key", "left_semi")
-        _same_rows(Q.in_competitions(spark, SF_SMALL, tm, ids), want)
+        keys = [r.competition_key for r in star.dim_competition(spark, SF_SMALL).filter(F.col("competition_id").isin(*ids)).collect()]
+        _same_rows(Q.in_competitions(spark, SF_SMALL, tm, ids), tm.filter(F.col("competition_key").isin(*keys)))
+
+
+def test_competition_ids_have_no_pattern(spark, monkeypatch):
+    from kickstar.plans import questions as Q
+    tm = star.team_match(spark, SF_SMALL)
+    real = star.dim_competition(spark, SF_SMALL).withColumn("competition_id", F.when(F.col("competition_id") == "COMP31", "GB1").otherwise("ES1"))
+    monkeypatch.setattr(star, "dim_competition", lambda *_: real)
+    want = tm.filter("competition_key = 31")
+    assert want.count() > 0
+    _same_rows(Q.in_competitions(spark, SF_SMALL, tm, ["GB1"]), want)
+
+
+def test_season_span_needs_years_in_every_label():
+    assert star.season_span(["1998/99", "1996/97"]) == ("1996-01-01", "1999-01-01")
+    assert star.season_span(["1998/99", "Unknown"]) is None and star.season_span([]) is None
+
+
+def test_replaced_source_is_read_anew(spark, tmp_path):
+    from kickstar.sources.driver import table
+    spark.range(3).write.parquet(str(tmp_path / "region.parquet"))
+    assert table(spark, str(tmp_path), "region").count() == 3
+    spark.range(5).write.mode("overwrite").parquet(str(tmp_path / "region.parquet"))
+    assert table(spark, str(tmp_path), "region").count() == 5
