@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kickstar.plans import checks as C
+from kickstar.plans import dim_loads as D
 from kickstar.plans import questions as Q
 from kickstar.plans import staged as S
 from kickstar.session import configure
@@ -96,6 +97,14 @@ QUERIES: dict[str, Query] = {
     "q_load_fact_player_appearance": S.load_fact_player_appearance,
     "q_scd_merge_club": S.scd_merge_club,
     "q_asof_version_join": S.asof_club_version,
+    "q_load_dim_competition": D.load_dim_competition,
+    "q_load_dim_match": D.load_dim_match,
+    "q_load_dim_player": D.load_dim_player,
+    "q_load_dim_manager": D.load_dim_manager,
+    "q_inferred_clubs": D.inferred_clubs,
+    "q_load_fact_transfer_rerun": D.load_fact_transfer_rerun,
+    "q_load_transfer_rejects": D.transfer_rejects,
+    "q_standing_rollup_maintenance": D.standing_rollup_maintenance,
 }
 
 
