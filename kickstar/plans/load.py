@@ -66,7 +66,7 @@ FACT_KEYS = {
     "transfer": ["player_key", "date_key", "from_club_key", "to_club_key"],
 }
 FACT_PARTITION = {"team_match": ["season_key"], "player_appearance": ["season_key"], "transfer": ["season_key"]}
-FACT_SOURCES = ["club_games", "appearances", "player_valuations", "transfers", "fact_clubs"]
+FACT_SOURCES = ["club_games", "appearances", "player_valuations", "transfers", "fact_clubs", *WH.DIM_CASTS]
 
 
 def _schema(name: str) -> T.StructType:
@@ -183,12 +183,9 @@ def run_load(spark: SparkSession, staging: dict[str, DataFrame], root: str, wind
     rejects = [results[name][1] for name in loads]
 
     # --- reject log and code audit
-    audit = WH.code_audit({"appearances": (staging["appearances"], "competition_id"),
-                           "games": (staging["games"], "competition_id")},
-                          {"appearances": (dims["competition"], "competition_id"),
-                           "games": (dims["competition"], "competition_id")}, window.batch_id)
+    audit = WH.code_audit(staging, dims, window.batch_id)
     log = rejects[0]
-    for r in rejects[1:] + [audit, WH.inferred_club_rejects(fact_clubs, window.batch_id)]:
+    for r in rejects[1:] + [audit, WH.inferred_club_rejects(fact_clubs, window.batch_id), WH.dimension_rejects(staging, window.batch_id)]:
         log = log.unionByName(r)
     sinks.reject_sink(log.select(*[F.col(f.name).cast(f.dataType) for f in REJECT_SCHEMA.fields]),
                       f"{root}/etl_reject")

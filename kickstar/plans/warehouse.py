@@ -551,24 +551,73 @@ def load_fact_transfer(stg: DataFrame, dims: dict[str, DataFrame], existing_fact
                           F.concat_ws("|", c("player_id"), c("date_raw"), c("from_club_id"), c("to_club_id")))
 
 
-def code_audit(stg_codes: dict[str, tuple[DataFrame, str]], dims: dict[str, tuple[DataFrame, str]],
-               batch_id: str) -> DataFrame:
-    """Source codes absent from their dimension → reject-log rows (one per table and code)."""
+def code_audit(staging: dict[str, DataFrame], dims: dict[str, DataFrame], batch_id: str) -> DataFrame:
+    """Reject-log rows of source rows whose competition or player is not in its dimension (the
+    fact is loaded with key -1 all the same); blank codes are not errors.
+
+    Competitions of club games (through their game), appearances and valuations, players of
+    appearances and transfers; one row per source row, under its natural key. The anti-joins
+    are on the code; one that very many rows share is split by adaptive execution."""
+    comps = dims["competition"].select(F.col("competition_id").alias("__code")).distinct()
+    players = dims["player"].select(F.col("player_id").cast("int").cast("string").alias("__code")).distinct()
+    games = staging["games"].select(X.clean_text("game_id").alias("__gid"), X.clean_text("competition_id").alias("__comp")).distinct()
+    club_games = staging["club_games"].join(games, X.clean_text("game_id") == F.col("__gid"))
+    number = lambda c: F.col(c).try_cast("int").cast("string")
+    day = lambda c: F.substring(F.col(c), 1, 10)
+    checks = [
+        ("club_games", club_games, F.col("__comp"), comps, F.concat_ws("|", "game_id", "club_id"), "competition"),
+        ("appearances", staging["appearances"], X.clean_text("competition_id"), comps, F.col("appearance_id"), "competition"),
+        ("appearances", staging["appearances"], number("player_id"), players, F.col("appearance_id"), "player"),
+        ("player_valuations", staging["player_valuations"], X.clean_text("player_club_domestic_competition_id"), comps,
+         F.concat_ws("|", "player_id", day("date")), "competition"),
+        ("transfers", staging["transfers"], number("player_id"), players, F.concat_ws("|", "player_id", day("transfer_date")), "player"),
+    ]
     out = None
-    for name, (df, col) in stg_codes.items():
-        dim, dim_col = dims[name]
-        codes = df.select(X.clean_text(col).alias("code")).filter(F.col("code").isNotNull()).distinct()
-        missing = J.anti_join(codes, dim.select(F.col(dim_col).cast("string").alias("code")), "code")
-        part = missing.select(F.lit(batch_id).alias("batch_id"), F.lit(name).alias("source_table"),
-                              F.col("code").alias("natural_key"),
-                              F.lit(f"{col} not in dimension").alias("reason"),
-                              F.current_timestamp().alias("rejected_at"))
+    for table, df, code, members, key, what in checks:
+        rows = df.select(code.alias("__code"), key.alias("__key")).filter(F.col("__code").isNotNull())
+        rows = rows.join(members, "__code", "left_anti")
+        rows = rows.withColumn(R.REASON, F.concat(F.lit(f"{what} "), F.col("__code"), F.lit(" not in dimension, key -1")))
+        part = R.to_reject_log(rows, batch_id, table, F.col("__key"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
 # ------------------------------------------------------------------ dimension sources (staging -> merge input)
 
+# columns that a dimension row must cast in, by staging table: (id, {column: type})
+DIM_CASTS = {
+    "clubs": ("club_id", {"club_id": "int", "stadium_seats": "int"}),
+    "national_teams": ("national_team_id", {"national_team_id": "int"}),
+    "players": ("player_id", {"player_id": "int", "date_of_birth": "date", "height_in_cm": "smallint",
+                              "contract_expiration_date": "date", "international_caps": "int"}),
+    "games": ("game_id", {"game_id": "int", "attendance": "int"}),
+}
+
+
+def _fails_to_cast(table: str) -> Column:
+    """True for a row with a value that does not cast; blanks are no values."""
+    bad = F.lit(False)
+    for c, kind in DIM_CASTS[table][1].items():
+        typed = X.safe_date(c) if kind == "date" else X.clean_text(c).try_cast(kind)
+        bad = bad | (X.clean_text(c).isNotNull() & typed.isNull())
+    return bad
+
+
+def castable(stg: DataFrame, table: str) -> DataFrame:
+    """Staged dimension rows that have an id and cast; the others are in
+    :func:`dimension_rejects` (a row without an id is left out silently)."""
+    return stg.filter(X.clean_text(DIM_CASTS[table][0]).isNotNull() & ~_fails_to_cast(table))
+
+
+def dimension_rejects(staging: dict[str, DataFrame], batch_id: str) -> DataFrame:
+    """Reject-log rows of club, national team, player and match rows that do not cast."""
+    out = None
+    for table, (key, casts) in DIM_CASTS.items():
+        bad = staging[table].filter(_fails_to_cast(table)).withColumn(R.REASON, F.lit(f"cast error ({', '.join(casts)})"))
+        part = R.to_reject_log(bad, batch_id, table, F.coalesce(X.clean_text(key), F.lit("")))
+        out = part if out is None else out.unionByName(part)
+    return out
+
 def _text(df: DataFrame, cols: Sequence[str]) -> list[Column]:
     return [X.clean_text(c).alias(c) for c in cols]
 
@@ -594,20 +643,20 @@ def competition_incoming(stg_competitions: DataFrame, stg_countries: DataFrame)
 def club_incoming(stg_clubs: DataFrame, stg_national_teams: DataFrame, dim_competition: DataFrame) -> DataFrame:
     """Clubs ∪ national teams (tagged by type) for the SCD 1/2/3 club merge; the domestic
     league supplies the country, confederation and league name of a club."""
-    clubs = stg_clubs.select(
+    clubs = castable(stg_clubs, "clubs").select(
         X.clean_text("club_id").alias("club_id"), X.clean_text("name").alias("raw_name"),
         X.clean_text("domestic_competition_id").alias("current_league_id"),
         X.clean_text("stadium_name").alias("stadium_name"),
         X.clean_text("stadium_seats").try_cast("int").alias("seats"),
         F.lit(None).cast("string").alias("country_name"), F.lit(None).cast("string").alias("confederation"),
         F.lit("Club").alias("club_type"), "batch_id", "source_row")
-    teams = stg_national_teams.select(
+    teams = castable(stg_national_teams, "national_teams").select(
         X.clean_text("national_team_id").alias("club_id"), X.clean_text("name").alias("raw_name"),
         F.lit(None).cast("string").alias("current_league_id"), F.lit(None).cast("string").alias("stadium_name"),
         F.lit(None).cast("int").alias("seats"), X.clean_text("country_name").alias("country_name"),
         X.clean_text("confederation").alias("confederation"), F.lit("National Team").alias("club_type"),
         "batch_id", "source_row")
-    both = D.union_all([clubs, teams]).filter(F.col("club_id").try_cast("long").isNotNull())
+    both = D.union_all([clubs, teams])
     both = D.dedup_latest(both, ["club_id"], ["batch_id", "source_row"])
     league = dim_competition.select(F.col("competition_id").alias("current_league_id"),
                                     F.col("competition_name").alias("league_name"),
@@ -634,9 +683,8 @@ def player_incoming(stg_players: DataFrame) -> DataFrame:
     """Players for the SCD 1/2 merge: defaults, height / caps bands, contract year."""
     texts = ["player_id", "name", "country_of_birth", "country_of_citizenship", "position", "sub_position", "foot",
              "agent_name", "height_in_cm", "international_caps", "date_of_birth", "contract_expiration_date"]
-    s = stg_players.select(*_text(stg_players, texts), "batch_id", "source_row")
-    s = D.dedup_latest(s.filter(F.col("player_id").try_cast("long").isNotNull()), ["player_id"],
-                       ["batch_id", "source_row"])
+    s = castable(stg_players, "players").select(*_text(stg_players, texts), "batch_id", "source_row")
+    s = D.dedup_latest(s, ["player_id"], ["batch_id", "source_row"])
     h = F.col("height_in_cm").try_cast("int")
     caps = F.col("international_caps").try_cast("int")
     contract = X.safe_date("contract_expiration_date")
@@ -655,9 +703,8 @@ def player_incoming(stg_players: DataFrame) -> DataFrame:
 def match_incoming(stg_games: DataFrame) -> DataFrame:
     """Matches for the SCD1 merge: round type, defaults, attendance band."""
     texts = ["game_id", "round", "stadium", "referee", "home_club_formation", "away_club_formation", "attendance"]
-    s = stg_games.select(*_text(stg_games, texts), "batch_id", "source_row")
-    s = D.dedup_latest(s.filter(F.col("game_id").try_cast("long").isNotNull()), ["game_id"],
-                       ["batch_id", "source_row"])
+    s = castable(stg_games, "games").select(*_text(stg_games, texts), "batch_id", "source_row")
+    s = D.dedup_latest(s, ["game_id"], ["batch_id", "source_row"])
     return s.select(
         F.col("game_id").cast("long").alias("game_id"), X.default_label("round").alias("round"),
         X.round_type(F.col("round")).alias("round_type"), X.default_label("stadium").alias("stadium"),

@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Map-side partial aggregation is the skew remedy for group-bys; keep it on.
     "spark.sql.execution.useObjectHashAggregateExec": "true",
+    # Rows may hold whole texts: fewer of them at a time between the JVM and Python.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -83,7 +83,7 @@ MANUAL = {
  "mv_reaggregate": "`q_bq_mv_season_rates` (coarser level from stored sums)",
  "named_set_head": "`plans/cube.py` `top_count` (ordered set, first n) with the set's count: `q_bq_spend_quartiles`",
  "not_exists_code_audit": "`plans/warehouse.py` `code_audit`",
- "ntile_4": "`operators/windows.py` `with_ntile` (two-pass positions): `q_bq_quartile_summary`",
+ "ntile_4": "`operators/windows.py` `with_ntile` (positions from one written copy): `q_bq_quartile_summary`",
  "null_fns": "`coalesce`, `nullif` in `functions/exprs.py` (`clean_text`, `default_label`, `null_to_zero_key`)",
  "null_safe_change": "`functions/exprs.py` `null_safe_changed` (SCD change detection)",
  "or_join_two_roles": "`operators/joins.py` `unpivot_roles` + equi-join: `q_m4_net_spend`",

@@ -98,10 +98,21 @@ def test_load_transfer(spark):
 
 
 def test_code_audit_and_members(spark):
-    stg = spark.createDataFrame([("GB1",), ("ZZ9",), (" ",)], "competition_id string")
-    audit = WH.code_audit({"appearances": (stg, "competition_id")},
-                          {"appearances": (_dims(spark)["competition"], "competition_id")}, "B1")
-    assert [(r.source_table, r.natural_key) for r in audit.collect()] == [("appearances", "ZZ9")]
+    f = spark.createDataFrame
+    staging = {
+        "games": f([("1", "GB1"), ("2", "ZZ9"), ("3", " ")], "game_id string, competition_id string"),
+        "club_games": f([("1", "5"), ("2", "5"), (" 2 ", "6"), ("3", "5")], "game_id string, club_id string"),
+        "appearances": f([("a1", "GB1", "7"), ("a2", "ZZ9", "999"), ("a3", "", "x")], "appearance_id string, competition_id string, player_id string"),
+        "player_valuations": f([("7", "2024-01-01 00:00", "YY1"), ("7", "2024-01-02", None)],
+                               "player_id string, date string, player_club_domestic_competition_id string"),
+        "transfers": f([("999", "2024-01-01"), ("7", "2024-01-01")], "player_id string, transfer_date string"),
+    }
+    audit = WH.code_audit(staging, _dims(spark), "B1")
+    known = {str(r.player_id) for r in _dims(spark)["player"].collect()}
+    assert "7" in known and "999" not in known
+    assert sorted((r.source_table, r.natural_key) for r in audit.collect()) == [
+        ("appearances", "a2"), ("appearances", "a2"), ("club_games", " 2 |6"), ("club_games", "2|5"), ("player_valuations", "7|2024-01-01"),
+        ("transfers", "999|2024-01-01")]
     cg = spark.createDataFrame([("Ole Solskjær", "Ole Solskjaer"), (" ", "Jürgen Klopp")],
                                "own_manager_name string, opponent_manager_name string")
     names = sorted(r.manager_name for r in WH.manager_members(cg).collect())
@@ -162,3 +173,28 @@ def test_reject_sink_and_purge(spark):
     sinks.snapshot_write(spark.range(3), snap, 1)
     sinks.snapshot_write(spark.range(5), snap, 2)
     assert sinks.snapshot_read(spark, snap).count() == 5
+
+
+def test_dimension_rows_that_do_not_cast_are_rejected(spark):
+    f = spark.createDataFrame
+    clubs = f([("1", "A", "100"), ("abc", "B", "100"), ("2", "C", "many"), (None, "D", "5"), ("3", "E", " ")], "club_id string, name string, stadium_seats string") \
+        .selectExpr("*", "'GB1' AS domestic_competition_id", "'g' AS stadium_name", "'B1' AS batch_id", "1L AS source_row")
+    teams = f([("50", "N"), ("x", "M")], "national_team_id string, name string") \
+        .selectExpr("*", "'c' AS country_name", "'UEFA' AS confederation", "'B1' AS batch_id", "1L AS source_row")
+    players = f([("1", "180", "3", "1999-01-01", "2027-06-30 00:00"), ("2", "tall", "3", None, None), ("3", None, None, "1999-13-01", None),
+                 ("4", "99999", None, None, None), ("5", None, "few", None, "soon")],
+                "player_id string, height_in_cm string, international_caps string, date_of_birth string, contract_expiration_date string") \
+        .selectExpr("*", "'n' AS name", "'b' AS country_of_birth", "'c' AS country_of_citizenship", "'p' AS position", "'s' AS sub_position",
+                    "'l' AS foot", "'a' AS agent_name", "'B1' AS batch_id", "1L AS source_row")
+    games = f([("1", "5"), ("2", "full"), ("z", "5"), ("4", None)], "game_id string, attendance string") \
+        .selectExpr("*", "'Final' AS round", "'s' AS stadium", "'r' AS referee", "'4' AS home_club_formation", "'4' AS away_club_formation",
+                    "'B1' AS batch_id", "1L AS source_row")
+    got = WH.club_incoming(clubs, teams, _dims(spark)["competition"].withColumns(
+        {c: F.lit("x") for c in ("competition_name", "country_name", "confederation")}))
+    assert sorted(r.club_id for r in got.collect()) == [1, 3, 50]
+    assert sorted(r.player_id for r in WH.player_incoming(players).collect()) == [1]
+    assert sorted(r.game_id for r in WH.match_incoming(games).collect()) == [1, 4]
+    log = WH.dimension_rejects({"clubs": clubs, "national_teams": teams, "players": players, "games": games}, "B1")
+    assert sorted((r.source_table, r.natural_key) for r in log.collect()) == [
+        ("clubs", "2"), ("clubs", "abc"), ("games", "2"), ("games", "z"), ("national_teams", "x"),
+        ("players", "2"), ("players", "3"), ("players", "4"), ("players", "5")]
