@@ -20,10 +20,12 @@ parts before its own, one row per part.
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,41 +40,79 @@ HEAD = "<4sIQIII"
 BLOCK = "<IBH"
 #: The pre-tokenizer of byte-level BPE files that keep the usual pattern.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Characters that regular expression libraries disagree on as white space.
+_DOUBTFUL = re.compile("[\x1c-\x1f\x85\u180e\u200b]")
+
+
+def byte_characters() -> dict[int, str]:
+    """Byte-level BPE writes every byte as a visible character: printable bytes as
+    themselves, the others in order as the characters from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Kept(dict):
+    """Results of ``make`` by key; forgets all at ``keep`` entries and never keeps long keys."""
+
+    def __init__(self, make, keep: int):
+        self.make, self.keep = make, keep
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(key) <= 64:
+            if len(self) >= self.keep:
+                self.clear()
+            self[key] = value
+        return value
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, each distinct piece encoded once.
+    """Ids of texts by the tokenizers library, its model asked once for each distinct piece.
 
     Byte-level BPE never merges across the pieces of its pre-tokenizer, so a text's ids are
-    its pieces' ids in a row. If the file has another pre-tokenizer, a normaliser or special
-    tokens in a text, texts are encoded whole. At most ``keep`` pieces are remembered."""
+    its pieces' ids in a row; and a single blank always begins a piece, so pieces are looked
+    up for what stands between two blanks. If the file has another pre-tokenizer or a
+    normaliser, or a text has special tokens or doubtful white space, texts are encoded
+    whole. At most ``keep`` results of either kind are remembered."""
 
     def __init__(self, path: str, keep: int = 400_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")      # Spark runs a task per core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.keep, self.known = keep, {}
         said = repr(self.tokenizer.pre_tokenizer)
         self.by_piece = self.tokenizer.normalizer is None and said.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in said
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        model, table = self.tokenizer.model, byte_characters()
+
+        def ids_of(piece: str) -> bytes:
+            plain = piece.isascii() and piece.isprintable()
+            written = piece.replace(" ", table[0x20]) if plain else piece.encode().decode("latin-1").translate(table)
+            return array("I", [t.id for t in model.tokenize(written)]).tobytes()
+
+        def after_blank(run: str) -> bytes:
+            if run.isalpha():
+                return ids_of(" " + run)
+            if run[:-1].isalpha():          # a word and one more character: two pieces
+                return self.after_blank[run[:-1]] + self.pieces[run[-1]]
+            return self._pieces(" " + run)
+
+        self.pieces = _Kept(ids_of, keep)
+        self.after_blank = _Kept(after_blank, keep)
+
+    def _pieces(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, PIECES.findall(text)))
+
+    def _bytes(self, text: str) -> bytes:
+        if not self.by_piece or _DOUBTFUL.search(text) or any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+        if "  " in text:        # of several blanks only the last begins a piece
+            return self._pieces(text)
+        first, *rest = text.split(" ")
+        return self._pieces(first) + b"".join(map(self.after_blank.__getitem__, rest))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.by_piece:
-            return [np.array(x, np.uint32) for x in self._whole(texts)]
-        plain = [not any(s in t for s in self.special) for t in texts]
-        pieces = [PIECES.findall(t) if p else None for t, p in zip(texts, plain)]
-        known = self.known
-        new = list({x for ps in pieces if ps for x in ps if x not in known})
-        if len(known) + len(new) > self.keep:
-            known.clear()
-            new = list({x for ps in pieces if ps for x in ps})
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            known.update(zip(part, map(tuple, self._whole(part))))
-        return [np.fromiter(chain.from_iterable(map(known.__getitem__, ps)), np.uint32) if ps is not None
-                else np.array(self._whole([t])[0], np.uint32) for ps, t in zip(pieces, texts)]
+        return [np.frombuffer(self._bytes(t), np.uint32) for t in texts]
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -92,7 +132,7 @@ def _unpack(raw: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.packbits(full, axis=-1).reshape(len(raw), n * 4).view(">u4").astype(np.uint32)
 
 
-def encode_blocks(ids: np.ndarray, length: int = 128, percentile: float = 0.9) -> tuple[bytes, np.ndarray]:
+def encode_blocks(ids: np.ndarray, length: int = 512, percentile: float = 0.9) -> tuple[bytes, np.ndarray]:
     """(block area, start of each block); the last block may be shorter."""
     out: list[bytes] = []
     for at in range(0, len(ids), length * 2048):
@@ -154,7 +194,7 @@ def decode_blocks(area: bytes, starts: np.ndarray, total: int, length: int, firs
     return out.reshape(-1)[:total - first * length]
 
 
-def encode_file(part: int, before: int, doc_ids: list[int | None], ids: list[np.ndarray], length: int = 128, percentile: float = 0.9) -> bytes:
+def encode_file(part: int, before: int, doc_ids: list[int | None], ids: list[np.ndarray], length: int = 512, percentile: float = 0.9) -> bytes:
     """The file without its ending, which the writer adds."""
     area, starts = encode_blocks(np.concatenate(ids) if ids else np.empty(0, np.uint32), length, percentile)
     return b"".join([struct.pack(HEAD, MAGIC, part, before, len(doc_ids), len(starts), length),
@@ -177,7 +217,7 @@ def decode_file(content: bytes) -> tuple[int, int, list[int | None], np.ndarray,
     return part, before, [int(d) if t else None for d, t in zip(docs, there)], counts, ids
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, file_tokens: int = 1 << 21, length: int = 128,
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, file_tokens: int = 1 << 21, length: int = 512,
                  percentile: float = 0.9, partitions: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the ids of every text (null: empty), each followed by ``end_id``, in ascending
     id order (null ids first, equal ids by text hash) to files below ``path``.
@@ -198,8 +238,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, fi
             return pa.RecordBatch.from_arrays([pa.array([encode_file(part, before, doc_ids, ids, length, percentile)], pa.binary())], ["content"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
                 for d, x in zip(some.column(0).to_pylist(), encoder(some.column(1).to_pylist())):
                     doc_ids.append(d)
                     ids.append(np.append(x, np.uint32(end_id)))

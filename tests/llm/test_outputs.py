@@ -68,7 +68,7 @@ def test_blocks_round_trip(seed):
     for n in (0, 1, 127, 128, 129, 5000):
         ids = rnd.integers(0, rnd.choice([1, 2, 300, 50_000, 2**32 - 1]), n, dtype=np.uint64, endpoint=True).astype(np.uint32)
         ids[rnd.random(n) < 0.03] = 2**32 - 1
-        area, starts = token_blocks.encode_blocks(ids)
+        area, starts = token_blocks.encode_blocks(ids, 128)
         assert (token_blocks.decode_blocks(area, starts, n, 128) == ids).all()
         if len(starts) > 2:
             assert (token_blocks.decode_blocks(area, starts, n, 128, 1, 2) == ids[128:256]).all()
