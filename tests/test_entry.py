@@ -1,4 +1,5 @@
 import __spark_entry__ as E
+from kickstar import registry
 
 
 def test_entry_smoke(spark):
@@ -8,6 +9,7 @@ def test_entry_smoke(spark):
 
 
 def test_registry_names():
-    names = E.queries()
-    assert all(n.startswith("q_") for n in names)
-    assert len(names) >= 70
+    names = set(registry.queries())
+    assert names <= set(E.queries()) and all(n.startswith("q_") for n in names)
+    assert len(names) >= 85
+    assert set(E.oracle_sql()) <= set(E.queries())

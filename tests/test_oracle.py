@@ -4,7 +4,7 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from kickstar import oracle, registry
 from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -30,14 +30,14 @@ def _rows(records, cols):
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle.SQL) == set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF_SMALL)
+    sdf = registry.queries()[name](spark, SF_SMALL)
     srows = [r.asDict() for r in sdf.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(oracle.SQL[name])
     dcols = [d[0] for d in cur.description]
     drows = [dict(zip(dcols, r)) for r in cur.fetchall()]
     assert sorted(sdf.columns) == sorted(dcols)
