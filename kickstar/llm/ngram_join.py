@@ -8,8 +8,8 @@ tokens with probability ``1 / (threshold * size)`` by a hash of (node, token), t
 all sets, and goes to one child per chosen token. Two similar sets share a child with good
 chance, dissimilar sets drift apart. Nodes of at most ``limit`` sets are leaves, compared by
 brute force; larger ones are split again, down to ``depth`` levels. A leaf at the last level
-that is still too large is compared exactly all the same, by blocks of ``limit`` sets
-against each other in separate groups. Runs are repeated until a pair at the threshold is
+that is still too large is compared exactly all the same, by classes of similar size and
+blocks against blocks in separate groups. Runs are repeated until a pair at the threshold is
 found with the target recall: a pair shares 1 child or more per node on average, so the
 chance that it is together at level d is at least q(d) = 1 - exp(-q(d-1)), q(0) = 1, and
 ``runs`` is the least number with ``(1 - q(depth)) ** runs <= 1 - recall``.
@@ -31,7 +31,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,11 +40,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kickstar.llm.common import LOWER, UPPER, fraction, stored
+from kickstar.llm.common import fraction, stored
 from kickstar.llm.components import components
 
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_LOWER = str.maketrans(UPPER, LOWER)
+#: Maps the bytes of a UTF-8 text: separators to blanks, A-Z to a-z, all else to itself.
+_BYTES = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 BITS = 256
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)     # odd mixing constants
 _MULTIPLIERS = np.random.default_rng(20).integers(0, 2**63, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -61,17 +60,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class _WordHashes(dict):
     """word -> 64-bit hash; forgets everything when it has grown to a million words."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= 1_000_000:
             self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word.encode())
+        value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
 
-def shingle_set(text: str | None, n: int, hashes: dict) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the n-word runs; a shorter text is one run, a text
-    without words has none."""
-    words = WORD.findall((text or "").translate(_LOWER))
+def shingle_set(text: bytes | None, n: int, hashes: dict) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the n-word runs of a UTF-8 text; a shorter text is one
+    run, a text without words has none."""
+    words = (text or b"").translate(_BYTES).split()
     if not words:
         return np.empty(0, np.uint64)
     ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
@@ -103,36 +102,60 @@ def runs_for(recall: float, depth: int) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - q))
 
 
-def paths(tokens: np.ndarray, threshold: float, runs: int, depth: int) -> list[tuple[int, int, int]]:
-    """(level, parent node, node) of every path that the set follows, in all runs."""
-    chance = min(1.0, 1.0 / (threshold * len(tokens)))
-    bound = np.uint64(min(2**64 - 1, int(chance * 2.0**64)))
-    out, nodes = [], mixed(np.arange(1, runs + 1, dtype=np.uint64) * M1)
-    for level in range(1, depth + 1):
-        children = []
-        for node in np.unique(nodes).reshape(-1, 1):
-            chosen = tokens[mixed(tokens ^ node) <= bound]
-            kids = mixed(mixed(chosen + M1) ^ (node * M2))
-            parent = int(node.view(np.int64)[0]) if level > 1 else 0
-            out += [(level, parent, x) for x in kids.view(np.int64).tolist()]
-            children.append(kids)
-        nodes = np.concatenate(children) if children else nodes[:0]
-        if not len(nodes):
-            break
+def paths(tokens: np.ndarray, threshold: float, runs: int, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each level (index of the parent in the level before, node) of the paths that the
+    set follows in all runs, by parent.
+
+    A token is chosen in a node if its product with the node's (odd, random) number is below
+    the bound; tokens are taken in slices, so a huge set needs little memory."""
+    bound = np.uint64(min(2**64 - 1, int(2.0**64 / (threshold * len(tokens)))))
+    nodes, out = mixed(np.arange(1, runs + 1, dtype=np.uint64) * M1), []
+    for _ in range(depth):
+        odd, found = nodes | np.uint64(1), []
+        for at in range(0, len(tokens), 16_384):
+            part = tokens[at:at + 16_384]
+            parent, token = np.nonzero(part[None, :] * odd[:, None] <= bound)
+            found.append((parent, part[token]))
+        parent, token = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(parent, kind="stable")
+        parent, token = parent[order], token[order]
+        nodes = mixed(mixed(token + M1) ^ (nodes[parent] * M2))
+        out.append((parent, nodes))
     return out
 
 
+def _tree_type(depth: int) -> str:
+    return "array<struct<node:bigint" + (f",next:{_tree_type(depth - 1)}" if depth > 1 else "") + ">>"
+
+
+def _tree_array(trees: list, depth: int) -> pa.ListArray:
+    """The paths of many sets (None: no paths) as nested lists of (node, next)."""
+    below = None
+    for level in range(depth - 1, -1, -1):
+        there = [t for t in trees if t is not None]
+        nodes = np.concatenate([t[level][1] for t in there]) if there else np.empty(0, np.uint64)
+        fields = {"node": pa.array(nodes.view(np.int64))} | ({"next": below} if below is not None else {})
+        rows = pa.StructArray.from_arrays(list(fields.values()), list(fields))
+        if level:
+            sizes = [np.bincount(t[level][0], minlength=len(t[level - 1][1])) for t in there]
+        else:
+            sizes = [np.array([0 if t is None else len(t[0][1])]) for t in trees]
+        ends = np.cumsum(np.concatenate([[0], *sizes])).astype(np.int32)
+        below = pa.ListArray.from_arrays(pa.array(ends), rows)
+    return below
+
+
 def _text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, th, text); the id and the text's hash name a row up to repeated rows."""
+    """(doc_id, th, text as UTF-8); the id and the text's hash name a row up to repeated rows."""
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("th"), text.alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("th"),
+                       text.cast("binary").alias("text"))
 
 
 def signatures(rows: DataFrame, n: int, threshold: float, runs: int, depth: int) -> DataFrame:
     """(doc_id, th, sig, size, sketch, paths): sig is the md5 of the set; texts without words
     have a null sig and no paths."""
-    kinds = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("sig", pa.binary()), ("size", pa.int32()), ("sketch", pa.binary()),
-                       ("paths", pa.list_(pa.struct([("level", pa.int8()), ("parent", pa.int64()), ("node", pa.int64())])))])
+    names = ["doc_id", "th", "sig", "size", "sketch", "paths"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
@@ -142,16 +165,12 @@ def signatures(rows: DataFrame, n: int, threshold: float, runs: int, depth: int)
                 out = []
                 for text in part.column("text"):
                     s = shingle_set(text.as_py(), n, hashes)
-                    out.append((hashlib.md5(s.tobytes()).digest(), len(s), sketch(s), paths(s, threshold, runs, depth)) if len(s) else (None, 0, None, []))
-                sig, size, bits, all_paths = zip(*out)
-                flat = np.array([p for x in all_paths for p in x], np.int64).reshape(-1, 3)
-                ends = np.cumsum([0, *map(len, all_paths)]).astype(np.int32)
-                tree = pa.StructArray.from_arrays([pa.array(flat[:, 0].astype(np.int8)), pa.array(flat[:, 1].copy()), pa.array(flat[:, 2].copy())],
-                                                  ["level", "parent", "node"])
+                    out.append((hashlib.md5(s.tobytes()).digest(), len(s), sketch(s), paths(s, threshold, runs, depth)) if len(s)
+                               else (None, 0, None, None))
+                sig, size, bits, trees = zip(*out)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sig, pa.binary()), pa.array(size, pa.int32()),
-                                                  pa.array(bits, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), tree)], kinds.names)
-    return rows.mapInArrow(run, "doc_id long, th long, sig binary, size int, sketch binary, "
-                                "paths array<struct<level:tinyint,parent:bigint,node:bigint>>")
+                                                  pa.array(bits, pa.binary()), _tree_array(list(trees), depth)], names)
+    return rows.mapInArrow(run, f"doc_id long, th long, sig binary, size int, sketch binary, paths {_tree_type(depth)}")
 
 
 def _forest(similar: np.ndarray) -> np.ndarray:
@@ -173,65 +192,75 @@ def _forest(similar: np.ndarray) -> np.ndarray:
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
-def _leaf_edges(sketches: list[bytes], sizes: np.ndarray, floor: int, p: int, q: int) -> np.ndarray:
+def _similar(sketches: list[bytes], sizes: np.ndarray, floor: int, p: int, q: int) -> np.ndarray:
     s = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
     n, similar = len(s), np.zeros((len(s), len(s)), bool)
     for i in range(0, n, 64):
         equal = BITS - _POP[s[i:i + 64, None, :] ^ s[None, :, :]].sum(axis=2, dtype=np.int32)
         small, large = np.minimum(sizes[i:i + 64, None], sizes[None, :]), np.maximum(sizes[i:i + 64, None], sizes[None, :])
         similar[i:i + 64] = (equal >= floor) & (q * small >= p * large)
-    return _forest(similar)
+    return similar
 
 
 def _compare_leaves(leaves: DataFrame, threshold: float) -> DataFrame:
-    """Edges (a, b) of spanning forests from rows (members array<sig, size, sketch>)."""
+    """Edges (a, b) of spanning forests from rows (members array<sig, size, sketch, own>).
+
+    Members of two blocks (``own``): each block's own forest comes from the row that holds
+    it alone, so a row of two blocks gives only the edges that join their components."""
     floor, (p, q) = sketch_floor(threshold), fraction(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[bytes] = set()
         for batch in batches:
             a, b = [], []
             for members in batch.column(0):
-                m = sorted(((x["sig"], x["size"], x["sketch"]) for x in members.as_py()), key=lambda x: x[0])
-                sigs = [x[0] for x in m]
-                name = hashlib.md5(b"".join(sigs)).digest()
-                if name in done:        # another run has put the same sets together
-                    continue
-                if len(done) < 200_000:
-                    done.add(name)
-                root = _leaf_edges([x[2] for x in m], np.array([x[1] for x in m], np.int64), floor, p, q)
+                m = sorted(((x["sig"], x["size"], x["sketch"], x["own"]) for x in members.as_py()), key=lambda x: x[0])
+                own = np.array([x[3] for x in m])
+                similar = _similar([x[2] for x in m], np.array([x[1] for x in m], np.int64), floor, p, q)
+                root = _forest(similar)
+                if own.min() != own.max():
+                    inner = _forest(similar & (own[:, None] == own[None, :]))
+                    root = np.where(inner == np.arange(len(m)), root, np.arange(len(m)))
                 for i in np.flatnonzero(root != np.arange(len(m))):
-                    a.append(sigs[i])
-                    b.append(sigs[root[i]])
+                    a.append(m[i][0])
+                    b.append(m[root[i]][0])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
     return leaves.select("members").mapInArrow(run, "a binary, b binary")
 
 
-def candidate_edges(signed: DataFrame, facts: DataFrame, threshold: float, depth: int, limit: int) -> DataFrame:
+def candidate_edges(signed: DataFrame, facts: DataFrame, threshold: float, depth: int, limit: int, block: int) -> DataFrame:
     """Edges between sets that meet in a leaf and pass the sketch test, one forest per leaf.
 
     ``signed``: (sig, paths), repeated for copies; ``facts``: (sig, size, sketch), one row per
     set. Rows of a node are counted and joined to their count, so a large node is never
-    gathered; it is split by its children, or by blocks at the last level."""
-    member = F.struct("sig", "size", "sketch")
-    edges, large = None, None
+    gathered: its members go on to its children, which they carry along."""
+    member = F.struct("sig", "size", "sketch", "own")
+    edges = None
+    kids = signed.filter("sig is not null").select("sig", F.explode("paths").alias("p"))
     for level in range(1, depth + 1):
-        rows = (signed.filter("sig is not null").select("sig", F.explode("paths").alias("p"))
-                .filter(F.col("p.level") == level).select("p.parent", "p.node", "sig"))
-        if large is not None:
-            rows = rows.join(large, "parent", "left_semi")
-        rows = rows.select("node", "sig").distinct()
-        counts = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        rows = stored(rows.join(counts, "node").join(facts, "sig"), f"level{level}")
-        leaves = rows.filter(F.col("n") <= limit).groupBy("node").agg(F.collect_list(member).alias("members"))
+        rows = kids.select("sig", "p.*").distinct()
+        counts = stored(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("sig")).alias("a"),
+                                                 F.bit_xor(F.xxhash64(F.lit(1), "sig")).alias("b")).filter("n > 1"), f"nodes{level}")
+        # nodes with the same members (from any run) are compared once
+        once = counts.filter((F.col("n") <= limit) | F.lit(level == depth)).groupBy("n", "a", "b").agg(F.min("node").alias("node"))
+        split = counts.filter((F.col("n") > limit) & F.lit(level < depth))
+        rows = stored(rows.join(once.select("node", "n").unionAll(split.select("node", "n")), "node"), f"level{level}")
+        leaves = (rows.filter(F.col("n") <= limit).select("node", "sig").join(facts, "sig").withColumn("own", F.lit(0))
+                  .groupBy("node").agg(F.collect_list(member).alias("members")))
         new = _compare_leaves(leaves, threshold)
         edges = new if edges is None else edges.unionAll(new)
-        large = rows.filter(F.col("n") > limit).select(F.col("node").alias("parent")).distinct()
-    # what is still large is compared exactly all the same: every block against every block
-    blocks = (rows.filter(F.col("n") > limit).withColumn("nb", F.ceil(F.col("n") / limit).cast("int"))
-              .withColumn("own", F.pmod(F.xxhash64("sig"), F.col("nb")).cast("int"))
+        large = rows.filter(F.col("n") > limit)
+        if level < depth:
+            kids = large.select("sig", F.explode("next").alias("p"))
+    # What is still large is compared exactly all the same: members by classes of their size
+    # (similar sets are in the same class or in neighbours, and every member stands in its own
+    # class and the next), blocks of a class against blocks.
+    width = F.lit(math.log(1 / threshold) * (1 + 1e-9))
+    sized = stored(large.select("node", "sig").join(facts, "sig").withColumn("c", F.floor(F.log("size") / width).cast("int"))
+                   .withColumn("c", F.explode(F.array(F.col("c"), F.col("c") + 1))), "large")
+    classes = sized.groupBy("node", "c").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("nb"), F.count(F.lit(1)).alias("n"))
+    blocks = (sized.join(classes.filter("n > 1").drop("n"), ["node", "c"]).withColumn("own", F.pmod(F.xxhash64("sig"), F.col("nb")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-              .groupBy("node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+              .groupBy("node", "c", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
               .agg(F.collect_list(member).alias("members")))
     return edges.unionAll(_compare_leaves(blocks, threshold))
 
@@ -289,11 +318,12 @@ def _classes(docs: DataFrame, threshold: float, n: int, recall: float, depth: in
     reps = stored(sets.groupBy("sig", "size", "sketch").agg(
         F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "th")).alias("at"), F.count(F.lit(1)).alias("weight")), "reps")
 
-    family = components(candidate_edges(signed, reps.select("sig", "size", "sketch"), threshold, depth, limit))
+    family = components(candidate_edges(signed, reps.select("sig", "size", "sketch"), threshold, depth, limit, 4 * limit))
     sized = stored(family.join(reps, F.col("v") == F.col("sig")).select("root", "sig", "at", "weight", "size"), "families")
     blocks = (sized.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens"))
               .select("root", F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("tokens") / block_tokens)).cast("int").alias("nb")))
-    texts = (sized.join(rows, F.col("at.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("at.th") == F.col("th")))
+    # a merge join at every size: what must meet its texts grows with the corpus
+    texts = (sized.join(rows.hint("merge"), F.col("at.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("at.th") == F.col("th")))
              .dropDuplicates(["sig"]).select("root", "sig", "weight", "text"))
     placed = (texts.join(blocks, "root").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("nb")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
@@ -306,8 +336,8 @@ def _classes(docs: DataFrame, threshold: float, n: int, recall: float, depth: in
     return signed.select("doc_id", "th", "sig"), root
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.999, depth: int = 3,
-                    limit: int = 256, block: int = 512, block_tokens: int = 2_000_000, id_col: str = "doc_id",
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.999, depth: int = 2,
+                    limit: int = 512, block: int = 512, block_tokens: int = 2_000_000, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: (doc_id, class_id, n_links).
 
@@ -325,7 +355,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall:
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 
-def keep_one(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.999, depth: int = 3, limit: int = 256,
+def keep_one(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.999, depth: int = 2, limit: int = 512,
              block: int = 512, block_tokens: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one of each class: that with the smallest id (null last), then
     text hash; of repeated rows one. Documents without words all stay."""
