@@ -2,8 +2,10 @@
 
 The corpus is one sequence of lines, documents in the order of their ids; lines without a
 word do not take part. A run of lines is removed where it repeats a run that begins earlier
-in the corpus, if it has at least ``min_words`` words (the shortest such run at each line is
-its window; a longer repeated run is the union of the windows that begin in it).
+in the corpus, if it has at least ``min_words`` words. The windows are the shortest such runs
+that begin at each line and the shortest that end at each line: the last window that begins in
+a maximal repeated run may end before it does, but the shortest that ends with the run begins
+there too, so both kinds together cover the run to its last line.
 
 1. Lines get numbers in the order of their hashes; lines that occur once cannot be part of a
    repeated run and cut the sequences into stretches. Stretches of fewer than ``min_words``
@@ -11,7 +13,8 @@ its window; a longer repeated run is the union of the windows that begin in it).
 2. Prefix doubling: the rank of a position for 2^(k+1) lines is the order number of the pair
    (rank for 2^k lines here, rank for 2^k lines 2^k further on). Pairs are counted in each
    task before they are sorted; a pair that occurs once ends all windows that need it. As a
-   line has a word at least, doubling ends after log2(min_words) rounds, whatever the data.
+   line has a word at least, windows of both kinds have at most ``min_words`` lines, and
+   doubling ends after log2(min_words) rounds, whatever the data.
 3. A window of m lines is the pair of its overlapping powers of two: (m, rank of its first
    2^k lines, rank of its last 2^k lines), 2^k <= m. Positions with equal windows are
    neighbours in the suffix order, an interval with a common prefix of m lines or more; its
@@ -61,18 +64,20 @@ def _corpus(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """(doc, seq, i, m, rank) of the lines in stretches of repeated lines with ``min_words``
-    words; ``m`` is the number of lines of the window that begins here, null if the stretch
-    ends before it has its words."""
+    """(doc, seq, i, lo, hi, rank) of the lines in stretches of repeated lines with ``min_words``
+    words; the windows that begin here have ``lo`` to ``hi`` lines: ``lo`` reach the words
+    (null if the stretch ends before), and any more are windows of their last line as long as
+    the lines after this one do not reach the words alone."""
     ranked = lines.join(_pairs(lines, ["a", "b"], "line-ids"), ["a", "b"]).withColumnRenamed("order", "rank")
     runs = ranked.withColumn("run", F.col("seq") - F.row_number().over(Window.partitionBy("doc").orderBy("seq")))
     of_run = Window.partitionBy("doc", "run")
     stretch = (runs.withColumn("upto", F.sum("w").over(of_run.orderBy("seq"))).withColumn("all", F.sum("w").over(of_run))
                .filter(F.col("all") >= min_words))
     ahead = of_run.orderBy("seq").rowsBetween(0, min_words - 1)       # every line has a word, so more are not needed
-    return (stretch.withColumn("sums", F.collect_list("upto").over(ahead))
-            .withColumn("m", F.expr(f"array_position(transform(sums, x -> x - upto + w >= {int(min_words)}), true)").cast("int"))
-            .select("doc", "seq", "i", F.when(F.col("m") > 0, F.col("m")).alias("m"), "rank"))
+    lo = F.expr(f"nullif(array_position(transform(sums, x -> x - upto + w >= {int(min_words)}), true), 0)").cast("int")
+    return (stretch.withColumn("sums", F.collect_list("upto").over(ahead)).withColumn("lo", lo)
+            .withColumn("hi", F.greatest("lo", F.expr(f"size(filter(sums, x -> x - upto < {int(min_words)}))")))
+            .select("doc", "seq", "i", "lo", "hi", "rank"))
 
 
 def later_copies(lines: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
@@ -83,8 +88,9 @@ def later_copies(lines: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame
         # windows of k .. 2k-1 lines: an interval of the suffix order is (m, rank of the first
         # k lines, rank of the last k lines)
         tail = level.select("doc", F.col("seq").alias("tail"), F.col("rank").alias("last"))
-        ready = (level.filter((F.col("m") >= k) & (F.col("m") < 2 * k)).withColumn("tail", F.col("seq") + F.col("m") - k)
-                 .join(tail, ["doc", "tail"]).select("doc", "seq", "m", "rank", "last"))
+        ready = (level.filter((F.col("hi") >= k) & (F.col("lo") < 2 * k))
+                 .withColumn("m", F.explode(F.sequence(F.greatest("lo", F.lit(k)), F.least("hi", F.lit(2 * k - 1)))))
+                 .withColumn("tail", F.col("seq") + F.col("m") - k).join(tail, ["doc", "tail"]).select("doc", "seq", "m", "rank", "last"))
         interval = (ready.groupBy("m", "rank", "last").agg(F.min(F.struct("doc", "seq")).alias("first"), F.count(F.lit(1)).alias("times"))
                     .filter("times > 1"))
         later = (ready.join(interval, ["m", "rank", "last"]).filter(F.struct("doc", "seq") > F.col("first")).select("doc", "seq", "m"))
@@ -93,9 +99,9 @@ def later_copies(lines: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame
             return copies, stretches
         order = Window.partitionBy("doc").orderBy("seq")
         pair = (level.withColumn("next", F.lead("rank", k).over(order)).withColumn("there", F.lead("seq", k).over(order))
-                .filter(F.col("there") == F.col("seq") + k).select("doc", "seq", "m", "rank", "next"))
+                .filter(F.col("there") == F.col("seq") + k).select("doc", "seq", "lo", "hi", "rank", "next"))
         level = stored(pair.join(_pairs(pair, ["rank", "next"], f"pairs{2 * k}"), ["rank", "next"])
-                       .select("doc", "seq", "m", F.col("order").alias("rank")), f"rank{2 * k}")
+                       .select("doc", "seq", "lo", "hi", F.col("order").alias("rank")), f"rank{2 * k}")
         k *= 2
 
 

@@ -181,6 +181,40 @@ def test_line_dedup(spark, min_words):
     assert sum(r[2] for r in got) > 0
 
 
+def brute_runs(docs, min_words):
+    """Texts and numbers of removed lines, from every pair of places extended to its maximal run."""
+    own, at = {}, []
+    for d, t in sorted(set(docs)):
+        own[d] = [(i, x, len(re.findall(r"[^\x20\x09-\x0D]+", x))) for i, x in enumerate(t.split("\n")) if re.search(r"[^\x20\x09-\x0D]", x)]
+        at += [(d, s) for s in range(len(own[d]))]
+    line = lambda d, s: own[d][s][1] if 0 <= s < len(own[d]) else None
+    cut = {d: set() for d in own}
+    for k, (d, s) in enumerate(at):
+        for e, r in at[k + 1:]:
+            if line(d, s) != line(e, r) or (line(d, s - 1) is not None and line(d, s - 1) == line(e, r - 1)):
+                continue
+            n = 1
+            while line(d, s + n) is not None and line(d, s + n) == line(e, r + n):
+                n += 1
+            if sum(w for _, _, w in own[e][r:r + n]) >= min_words:
+                cut[e] |= {i for i, _, _ in own[e][r:r + n]}
+    return {d: (len(cut[d]), "\n".join(x for i, x in enumerate(t.split("\n")) if i not in cut[d])) for d, t in docs}
+
+
+def test_line_dedup_removes_maximal_runs(spark):
+    rnd = random.Random(9)
+    made = lambda name, sizes: [" ".join(f"{name}{i}x{k}" for k in range(n)) for i, n in enumerate(sizes)]
+    runs = [made("a", [60, 5, 5, 5]), made("b", [20, 20, 20, 3]), made("c", [1] * 70), made("d", [3, 60]), made("e", [49, 1, 48]), made("f", [24, 25])]
+    docs = [(10 * n, "\n".join([f"first {n}", *run, f"end {n}"])) for n, run in enumerate(runs)]
+    docs += [(10 * n + 1, "\n".join([f"own {n}", *run, "", f"last {n}"])) for n, run in enumerate(runs)]
+    docs += [(10 * n + 2, "\n".join(run[:-1])) for n, run in enumerate(runs)] + [(500, "seven words that come again and again\n" * 30)]
+    pool = made("p", [rnd.randrange(1, 40) for _ in range(6)])
+    docs += [(1000 + i, "\n".join(rnd.choice(pool) for _ in range(12))) for i in range(25)]
+    got = {r.doc_id: (r.n_removed, r.text) for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute_runs(docs, 50)
+    assert [got[d][0] for d in (1, 11, 21, 31, 41, 51)] == [4, 4, 70, 2, 3, 0]
+
+
 def test_line_dedup_empty(spark):
     out = line_dedup.dedup_lines(spark.createDataFrame([], "doc_id long, text string"))
     assert out.count() == 0 and "Python" not in out._jdf.queryExecution().toString()
