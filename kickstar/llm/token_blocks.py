@@ -42,6 +42,8 @@ BLOCK = "<IBH"
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Characters that regular expression libraries disagree on as white space.
 _DOUBTFUL = re.compile("[\x1c-\x1f\x85\u180e\u200b]")
+#: A blank that does not begin a piece: white space stands before it, and white space or nothing after it.
+_INNER_BLANK = re.compile(r" (?<=\s )(?!\S)")
 
 
 def byte_characters() -> dict[int, str]:
@@ -71,8 +73,9 @@ class Encoder:
     """Ids of texts by the tokenizers library, its model asked once for each distinct piece.
 
     Byte-level BPE never merges across the pieces of its pre-tokenizer, so a text's ids are
-    its pieces' ids in a row; and a single blank always begins a piece, so pieces are looked
-    up for what stands between two blanks. If the file has another pre-tokenizer or a
+    its pieces' ids in a row; and a blank begins a piece unless white space stands on both
+    sides of it (the end of the text counts as such), so in texts without blanks of that kind
+    pieces are looked up for what stands between two blanks. If the file has another pre-tokenizer or a
     normaliser, or a text has special tokens or doubtful white space, texts are encoded
     whole. At most ``keep`` results of either kind are remembered."""
 
@@ -106,7 +109,7 @@ class Encoder:
     def _bytes(self, text: str) -> bytes:
         if not self.by_piece or _DOUBTFUL.search(text) or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-        if "  " in text:        # of several blanks only the last begins a piece
+        if "  " in text or _INNER_BLANK.search(text):
             return self._pieces(text)
         first, *rest = text.split(" ")
         return self._pieces(first) + b"".join(map(self.after_blank.__getitem__, rest))

@@ -94,6 +94,16 @@ def test_token_files(spark):
     assert spark.read.format("binaryFile").load(path).count() > 10
 
 
+def test_encoder_mixed_white_space():
+    encoder = token_blocks.Encoder(queries.tokenizer_path())
+    rnd = random.Random(8)
+    space = [" ", " ", " ", "\u00a0", "\u00a0", "\t", "\n", "\r\n", "\u2003", "\u3000", "\v", "\f"]
+    texts = ["a \u00a0 \u00a0 b", "a\n ", " \u00a0 ", "a\t \tb", "\u00a0 b", "a \u00a0"]
+    texts += ["".join(rnd.choice(space if rnd.random() < 0.7 else ["a", "Word", "é", "'s", "12", "#!", "漢"]) for _ in range(rnd.randrange(1, 25))) for _ in range(20_000)]
+    for text, got in zip(texts, encoder(texts), strict=True):
+        assert got.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_token_files_repeated_ids_and_empty(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "bb cc")], "doc_id long, text string")
     path = scratch(spark, "test")
