@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -180,6 +181,66 @@ def test_pipeline_stages(spark):
         data = got
 
 
+def brute_kept(text):
+    """All quality rules, from their published bounds."""
+    from kickstar.llm.quality import STOP_WORDS
+    from tests.llm.test_texts import brute_quality
+    n, chars, symbols, twice, _, failed = brute_quality(text)
+    lines = sum(any(c not in " \t\n\v\f\r" for c in x) for x in (text or "").split("\n"))
+    stops = sum(w.lower() in STOP_WORDS for w in re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    return not failed and 2 * n <= chars <= 15 * n and 10 * symbols <= n and 10 * twice <= 3 * lines and 50 * stops >= n
+
+
+def brute_mixture(data, text, source):
+    size = Counter()
+    for r in data:
+        size[r[source]] += len(r[text] or "")
+    total, shares = sum(size.values()), sum(math.sqrt(v) for v in size.values())
+    rate = {s: math.sqrt(v) / shares * total / v if v else 1.0 for s, v in size.items()}
+    out = Counter()
+    for r in data:
+        out[r] += brute_copies(r[0], r[text], rate[r[source]])
+    return +out
+
+
+def brute_tokens(data, text):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(queries.tokenizer_path())
+    at, out = 0, []
+    for r in sorted(data, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = np.array(t.encode(r[text] or "", add_special_tokens=False).ids + [0], "<u4")
+        out.append((r[0], at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    return out
+
+
+def test_pipeline_rows(spark):
+    """The rows of every stage, no fewer and no more, from the stage's own input."""
+    import corpus_pipeline as C
+    from tests.llm.test_joins import brute_contaminated, brute_near
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    text, source = docs.columns.index("text"), docs.columns.index("source")
+    data = [tuple(r) for r in docs.collect()]
+    for name, stage in C.STAGES:
+        got = [tuple(r) for r in stage(spark, spark.createDataFrame(data, docs.schema), SF_SMALL).collect()]
+        pairs = [(r[0], r[text]) for r in data]
+        if name == "quality_rules":
+            want = Counter(r for r in data if brute_kept(r[text]))
+        elif name == "near_duplicates":
+            keep = {c for _, c, _ in brute_near(pairs)}
+            want = Counter(r for r in data if r[0] in keep)
+        elif name == "decontamination":
+            clean = {x[0] for x in brute_contaminated(pairs, bench) if not x[-1]}
+            want = Counter(r for r in data if r[0] in clean)
+        elif name == "source_mixing":
+            want = brute_mixture(data, text, source)
+        else:
+            want = Counter(brute_tokens(data, text))
+        assert Counter(got) == want and got, name
+        data = got
+
+
 def test_operator_queries_match_sql(spark):
     import duckdb
 
