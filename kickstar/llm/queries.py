@@ -71,7 +71,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load all documents, count those of labelled quality anew with the second tokenizer,
-    delete the toxic ones, and send the second batch again."""
+    delete the toxic ones, and send the second batch again.
+
+    The tokenizers are word splitters chosen for the SQL check, so ``n_tokens`` are word
+    counts; the rollup takes the counts of any tokenizer."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     row = ("doc_id", "source", "lang")
     load = docs.select(*row, F.lit("space-words-1").alias("tokenizer"), F.size(space_words(F.col("text"))).alias("n_tokens"),
