@@ -63,6 +63,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, n: int, label: str) -> DataFrame:
+    """Write the rows once to the shared folder, dealt into ``n`` buckets of ``key``, and read
+    them back: joins on ``key`` that deal the other side into ``n`` parts leave them in place."""
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    name = "kickstar_" + path.rpartition("/")[2].replace("-", "_")
+    df.write.bucketBy(n, key).option("path", path).option("compression", "zstd").saveAsTable(name, format="parquet")
+    return spark.table(name)
+
+
 def fraction(x: float) -> tuple[int, int]:
     """A threshold as written (0.8 is 4/5), so that comparisons stay in integers."""
     f = Fraction(str(x))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kickstar.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, quality, token_blocks, urlrules, warc
+from kickstar.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, quality, suffix_dedup, token_blocks, urlrules, warc
 from kickstar.llm.common import scratch, space_words, table, words
 from kickstar.llm.token_rollup import Rollup
 from kickstar.session import configure
@@ -91,9 +91,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.totals()
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_warc, op2_license_scan, op3_quality_rules, op4_url_rules, op5_mixing, op6_decontamination, op7_ngram_jaccard,
-    op8_token_files, op9_line_dedup, op10_token_counts)}
+    op8_token_files, op9_line_dedup, op10_token_counts, op11_suffix_dedup)}
 
 
 def queries() -> dict[str, Query]:
