@@ -18,9 +18,10 @@ left, and none crosses two documents.
    leading bytes, and every bucket sorts its suffixes by multikey quicksort with characters of
    eight bytes. Common prefixes of neighbours number the strings after the anchor, the same
    for the reversed bytes before it; a string is a pair of both numbers.
-4. *Across boundaries.* Strings whose token stands at the edge of a bucket, or in a group that
-   a bucket cuts in pieces, are compared once more with those of the other buckets by their
-   128-bit hashes, after each piece has settled its own repetitions.
+4. *Across boundaries.* A bucket is a range of the suffix order, so only strings whose bytes
+   from the anchor on begin the bucket's first or last suffix can stand in another bucket too
+   (or, where a bucket cuts a large token group in pieces, in another piece). These are
+   compared once more by their 128-bit hashes, after each piece has settled its own repetitions.
 5. The covered spans are gathered per document and cut out.
 
 Texts are shuffled once, into a table in the shared folder that is bucketed by id; the spans
@@ -282,12 +283,12 @@ def common_prefixes(chars: np.ndarray, order: np.ndarray, lengths: np.ndarray) -
     return out
 
 
-def compare(suffixes: list[bytes], before: list[bytes], rank: np.ndarray, length: int, lead: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def compare(suffixes: list[bytes], before: list[bytes], rank: np.ndarray, length: int, lead: int) -> tuple[np.ndarray, ...]:
     """Strings of ``length`` bytes that hold the anchors, by their distance 0 .. length - lead to it.
 
     Returns for every anchor the smallest and largest distance of a string that an anchor of a
-    smaller rank has too (-1: none), and (anchor, distance) of the strings that are the first
-    of their kind here."""
+    smaller rank has too (-1: none), (anchor, distance) of the strings that are the first of
+    their kind here, and the bytes that every suffix shares with the first and the last one."""
     reach, n = length - lead, len(suffixes)
     right, right_len = _characters(suffixes, length)
     left, left_len = _characters(before, reach)
@@ -314,7 +315,14 @@ def compare(suffixes: list[bytes], before: list[bytes], rank: np.ndarray, length
         first = there[by[~again]]
         firsts.append(np.stack([first, np.full(len(first), far)]))
     first = np.concatenate(firsts, axis=1) if firsts else np.empty((2, 0), np.int64)
-    return low, high, first[0], first[1]
+    head, tail = np.empty(n, np.int64), np.empty(n, np.int64)
+    if n:
+        order, lcp = orders[0], common[0].copy()
+        lcp[0] = right_len[order[0]]
+        head[order] = np.minimum.accumulate(lcp)
+        lcp = np.append(common[0][1:], right_len[order[-1]])
+        tail[order] = np.minimum.accumulate(lcp[::-1])[::-1]
+    return low, high, first[0], first[1], head, tail
 
 
 def _bucket_sort(rows: DataFrame, n: int, length: int, lead: int, chunk: int) -> DataFrame:
@@ -322,14 +330,14 @@ def _bucket_sort(rows: DataFrame, n: int, length: int, lead: int, chunk: int) ->
     compared with those of other buckets or pieces."""
     names = ["id0", "tie", "lo", "hi", "a", "b"]
 
-    def settle(held: list[tuple], edge: np.ndarray) -> pa.RecordBatch:
+    def settle(held: list[tuple], torn: np.ndarray, is_first: bool, is_last: bool) -> pa.RecordBatch:
         suffixes, before, ids, ties, at = zip(*held)
         ids, ties, at = np.array(ids, np.int64), np.array(ties, np.int64), np.array(at, np.int64)
         rank = np.empty(len(ids), np.int64)
         rank[np.lexsort((at, ties, ids))] = np.arange(len(ids))
-        low, high, first, far = compare(list(suffixes), list(before), rank, length, lead)
+        low, high, first, far, head, tail = compare(list(suffixes), list(before), rank, length, lead)
         hit = np.flatnonzero(high >= 0)
-        keep = edge[first]
+        keep = torn[first] | (is_first & (head[first] >= length - far)) | (is_last & (tail[first] >= length - far))
         first, far = first[keep], far[keep]
         hashes = [xxhash.xxh3_128_digest(before[i][:o][::-1] + suffixes[i][:length - o]) for i, o in zip(first.tolist(), far.tolist())]
         words = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2) if hashes else np.empty((0, 2), np.int64)
@@ -343,39 +351,36 @@ def _bucket_sort(rows: DataFrame, n: int, length: int, lead: int, chunk: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, token, start = [], None, 0        # rows; token of the last, and where it begins
-        edges = set()                           # tokens of held rows that stand elsewhere too
-        first = True
+        torn = set()                            # tokens of held rows that are cut in pieces
+        is_first = True
 
-        def cut(at: int) -> pa.RecordBatch:
-            nonlocal held, start
-            part, held, start = held[:at], held[at:], start - at
-            return settle(part, np.array([r[0][:lead] in edges for r in part], bool))
+        def cut(at: int, is_last: bool = False) -> pa.RecordBatch:
+            nonlocal held, start, is_first
+            part, held, start = held[:at], held[at:], max(0, start - at)
+            out = settle(part, np.array([r[0][:lead] in torn for r in part], bool), is_first, is_last)
+            is_first = False
+            return out
 
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 own = row[0][:lead]
                 if own != token:
-                    token, start = own, len(held)
-                    if first:
-                        edges.add(own)
-                        first = False
                     if len(held) >= chunk:
                         yield cut(len(held))
-                        edges.clear()
+                        torn.clear()
+                    token, start = own, len(held)
                 elif len(held) >= 2 * chunk:
                     if start:
                         yield cut(start)
-                        edges.clear()
+                        torn.clear()
                     else:
-                        edges.add(own)
+                        torn.add(own)
                         yield cut(len(held))
-                        start = 0
                 held.append(row)
         if held:
-            edges.add(token)
-            yield cut(len(held))
+            yield cut(len(held), True)
 
-    return (rows.repartitionByRange(n, "suffix").sortWithinPartitions(F.substring("suffix", 1, lead))
+    return (rows.repartitionByRange(n, "suffix", "before").sortWithinPartitions(F.substring("suffix", 1, lead))
             .mapInArrow(run, "id0 long, tie int, lo long, hi long, a long, b long"))
 
 
