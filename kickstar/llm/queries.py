@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kickstar.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, quality, suffix_dedup, token_blocks, urlrules, warc
+from kickstar.llm import collocations, conversation_repair, decontaminate, licenses, line_dedup, mixing, ngram_join, quality, suffix_dedup, token_blocks, urlrules, warc
 from kickstar.llm.common import scratch, space_words, table, words
 from kickstar.llm.token_rollup import Rollup
 from kickstar.session import configure
@@ -96,9 +96,20 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage the conversations and repair them."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(rows), rows)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_warc, op2_license_scan, op3_quality_rules, op4_url_rules, op5_mixing, op6_decontamination, op7_ngram_jaccard,
-    op8_token_files, op9_line_dedup, op10_token_counts, op11_suffix_dedup)}
+    op8_token_files, op9_line_dedup, op10_token_counts, op11_suffix_dedup,
+    op12_collocations, op13_conversation_repair)}
 
 
 def queries() -> dict[str, Query]:

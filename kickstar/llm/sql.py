@@ -148,13 +148,11 @@ WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS l F
 x AS (SELECT doc_id, i, l[i + 1] AS line FROM (SELECT doc_id, l, unnest(range(0, len(l))) AS i FROM d)),
 t AS (SELECT doc_id, i, line, len({_s('line')}) AS w, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS seq
       FROM x WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
-c AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY seq) AS upto FROM t),
-s AS (SELECT a.doc_id, a.seq, min(b.seq) AS last FROM c AS a JOIN c AS b
-      ON a.doc_id = b.doc_id AND b.seq >= a.seq AND b.seq < a.seq + 50 AND b.upto - a.upto + a.w >= 50 GROUP BY ALL),
-k AS (SELECT s.doc_id, s.seq, s.last, string_agg(line, chr(10) ORDER BY t.seq) AS run
-      FROM s JOIN t ON s.doc_id = t.doc_id AND t.seq BETWEEN s.seq AND s.last GROUP BY ALL),
-o AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, seq) AS n FROM k),
-g AS (SELECT DISTINCT t.doc_id, t.i FROM o JOIN t ON o.doc_id = t.doc_id AND t.seq BETWEEN o.seq AND o.last WHERE n > 1),
+pairs AS (SELECT b.doc_id, b.seq, b.i, b.w, a.doc_id AS other, b.seq - a.seq AS shift
+          FROM t AS a JOIN t AS b ON a.line = b.line AND (a.doc_id < b.doc_id OR (a.doc_id = b.doc_id AND a.seq < b.seq))),
+runs AS (SELECT *, seq - row_number() OVER (PARTITION BY doc_id, other, shift ORDER BY seq) AS run FROM pairs),
+long AS (SELECT doc_id, other, shift, run FROM runs GROUP BY ALL HAVING sum(w) >= 50),
+g AS (SELECT DISTINCT runs.doc_id, runs.i FROM runs JOIN long USING (doc_id, other, shift, run)),
 kept AS (SELECT x.doc_id, string_agg(line, chr(10) ORDER BY x.i) AS text, count(*) AS n
          FROM x LEFT JOIN g ON x.doc_id = g.doc_id AND x.i = g.i WHERE g.i IS NULL GROUP BY x.doc_id)
 SELECT d.doc_id, len(l)::BIGINT AS n_lines, (len(l) - coalesce(n, 0))::BIGINT AS n_removed,
@@ -170,6 +168,84 @@ d AS (SELECT source, lang, CASE WHEN quality = 1 THEN 'words-2' ELSE 'space-word
 SELECT source, lang, tokenizer, count(*) AS n_docs, sum(n)::BIGINT AS n_tokens FROM d GROUP BY ALL
 """
 
+OP12 = f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UP}', '{LOW}') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+      FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d)),
+words AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS a
+      FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) AS v(m) WHERE len(w) >= m)
+      GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, a FROM f WHERE m > 1),
+cut AS (SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a + y.a) AS score
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM c) AS c
+        JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+        JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM cut) WHERE nth = 1),
+kept AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = s.lang AND length(c.phrase) > length(s.phrase) AND 100 * c.a >= 80 * s.a
+                                           AND contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' '))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, words.n AS n, score::BIGINT AS score FROM ranked JOIN words USING (lang) WHERE rank <= 2000
+"""
+
+def _op13() -> str:
+    """The grammar as an automaton: 0 nothing yet, 1 after the system row, 2 an assistant is due,
+    3 a user is due or the end. Backwards over the rows, the least (cost, audit) of every state."""
+    due, after = {0: "u", 1: "u", 2: "a", 3: "u"}, {0: 2, 1: 2, 2: 3, 3: 2}
+    touch, insert = [], []
+    for p in range(4):
+        q = after[p]
+        ways = [f"{{'c': 4 + v.s{p}.c, 'a': 'D' || v.s{p}.a}}",
+                f"CASE WHEN fault NOT IN ('b', 'd') AND letter = '{due[p]}' THEN {{'c': extra + v.s{q}.c, 'a': 'K' || v.s{q}.a}} END",
+                f"CASE WHEN fault NOT IN ('b', 'd') AND letter <> '{due[p]}' THEN {{'c': 3 + extra + v.s{q}.c, 'a': 'R' || v.s{q}.a}} END"]
+        if p == 0:
+            ways.append("CASE WHEN fault NOT IN ('b', 'd') AND letter = 's' THEN {'c': extra + v.s1.c, 'a': 'K' || v.s1.a} END")
+        touch.append(f"list_min(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL)) AS t{p}")
+    for p in range(4):
+        q, r = after[p], after[after[p]]
+        insert.append(f"list_min([t{p}, {{'c': 3 + t{q}.c, 'a': 'I' || t{q}.a}}, {{'c': 6 + t{r}.c, 'a': 'II' || t{r}.a}}]) AS s{p}")
+    bit = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    crc = ("list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(key) + 1), lambda i: ascii(substr(key, i, 1))::BIGINT)), "
+           "lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT for _ in range(8)]), lambda x, _: " + bit + "))")
+    return f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                            coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+h AS (SELECT *, xor({crc}, 4294967295) % 20 AS kind FROM k),
+dam AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+        FROM (SELECT *, unnest(range(0, CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE kind <> 0)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM dam),
+r AS (SELECT *, left(role, 1) AS letter,
+             CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'b'
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                  WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 't' ELSE '-' END AS fault FROM o),
+e AS (SELECT *, CASE WHEN fault = 't' THEN 3 ELSE 0 END AS extra, lag(letter) OVER (PARTITION BY conv_id ORDER BY i) || letter AS two FROM r),
+c AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+             count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal FROM e GROUP BY conv_id),
+v AS (SELECT conv_id, n + 1 AS i, {{'c': 0, 'a': ''}} AS s0, {{'c': 6, 'a': 'II'}} AS s1, {{'c': 3, 'a': 'I'}} AS s2, {{'c': 0, 'a': ''}} AS s3 FROM c
+      UNION ALL
+      SELECT conv_id, i, {', '.join(insert)}
+      FROM (SELECT e.conv_id, e.i, {', '.join(touch)} FROM v JOIN e ON e.conv_id IS NOT DISTINCT FROM v.conv_id AND e.i = v.i - 1) AS t),
+a AS (SELECT conv_id, s0.c AS cost, s0.a AS audit FROM v WHERE i = 1),
+edits AS (SELECT conv_id, audit, j, substr(audit, j, 1) AS edit, 1 + length(regexp_replace(audit[1:j - 1], 'I', '', 'g')) AS i,
+                 length(regexp_replace(audit[1:j - 1], 'D', '', 'g')) AS place FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS j FROM a)),
+kept AS (SELECT d.conv_id, d.j, d.edit, d.place, e.role, e.text, e.letter FROM edits AS d LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM d.conv_id AND e.i = d.i AND d.edit <> 'I'
+         WHERE d.edit <> 'D'),
+sys AS (SELECT *, max(CASE WHEN place = 0 AND edit = 'K' AND letter = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS s FROM kept),
+lines AS (SELECT conv_id, j, CASE WHEN edit = 'K' THEN role WHEN (place - s) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' ||
+                 CASE WHEN edit = 'I' THEN '' ELSE text END AS line FROM sys),
+sha AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY j)) AS sha FROM lines GROUP BY conv_id)
+SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS d LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN sha ON sha.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+
 #: op8 is left out: SQL has no byte-pair encoding; tests compare it with the library.
 SQL = {"op1_warc": OP1, "op2_license_scan": _op2(), "op3_quality_rules": _op3(), "op4_url_rules": OP4, "op5_mixing": OP5,
-       "op6_decontamination": OP6, "op7_ngram_jaccard": OP7, "op9_line_dedup": OP9, "op10_token_counts": OP10}
+       "op6_decontamination": OP6, "op7_ngram_jaccard": OP7, "op9_line_dedup": OP9, "op10_token_counts": OP10,
+       "op12_collocations": OP12,
+       "op13_conversation_repair": _op13()}
