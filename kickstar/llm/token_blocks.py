@@ -79,7 +79,7 @@ class Encoder:
     normaliser, or a text has special tokens or doubtful white space, texts are encoded
     whole. At most ``keep`` results of either kind are remembered."""
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")      # Spark runs a task per core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -118,6 +118,16 @@ class Encoder:
         return [np.frombuffer(self._bytes(t), np.uint32) for t in texts]
 
 
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, with what it remembers of earlier tasks. Spark sends
+    this module with every task, so the encoder hangs on a module that the worker imports."""
+    import tokenizers
+    kept = tokenizers.__dict__.setdefault("_kickstar_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
     return np.frexp(values.astype(np.float64))[1].astype(np.int64)      # exact up to 53 bits; 0 needs none
 
@@ -225,14 +235,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, fi
     """Write the ids of every text (null: empty), each followed by ``end_id``, in ascending
     id order (null ids first, equal ids by text hash) to files below ``path``.
 
-    ``tokenizer`` is the path of a tokenizers file that every executor can read."""
+    ``tokenizer`` is the path of a tokenizers file that every executor can read. An empty table
+    writes no file; other columns are not read, whatever their names."""
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("th", F.xxhash64("text")).repartitionByRange(n, "doc_id", "th").sortWithinPartitions("doc_id", "th")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encoder, part, before = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, before = worker_encoder(tokenizer), TaskContext.get().partitionId(), 0
         doc_ids: list = []
         ids: list[np.ndarray] = []
         held = 0
