@@ -49,6 +49,18 @@ def without(df: DataFrame, new: Iterable[str], keep: Iterable[str] = ()) -> Data
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in clash or c in keep])
 
 
+def masked(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns renamed by position, and the new name of each: whatever the
+    columns are called, a helper column of an operator never meets its own name among them."""
+    names = {c: f"in_{i}_" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def unmasked(names: dict[str, str]) -> list[Column]:
+    """The columns of a masked frame under their own names."""
+    return [F.col(new).alias(own) for own, new in names.items()]
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder of ``spark.checkpoint.dir``."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"

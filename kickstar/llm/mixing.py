@@ -24,7 +24,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kickstar.llm.common import let, without
+from kickstar.llm.common import let, masked, stored, unmasked, without
 
 CHUNK = 16.0
 #: 13 hex digits: 52 bits, exact in a double.
@@ -83,9 +83,11 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, seed: int =
     texts have size 0. An empty table gives an empty mixture."""
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = without(docs, ("copy", "shuffle_key"), (id_col, source_col, text_col))
-    names = d.columns
-    plan = (rates(d, weights, source_col, text_col, temperature, mixture).filter("rate > 0")
+    d, names = masked(without(docs, ("copy", "shuffle_key"), (id_col, source_col, text_col)))
+    id_col, source_col, text_col = names[id_col], names[source_col], names[text_col]
+    # one row per source, written first: its size is known, so that few sources are broadcast
+    # and the texts are shuffled once, by the shuffle key
+    plan = (stored(rates(d, weights, source_col, text_col, temperature, mixture), "rates").filter("rate > 0")
             .withColumn("__parts", F.ceil(F.col("rate") / F.lit(CHUNK)).cast("int"))
             .select(F.col("source").alias("__source"), "__parts", poisson_cdf(F.col("rate") / F.col("__parts")).alias("__cdf")))
     who = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
@@ -94,7 +96,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, seed: int =
 
     drawn = (d.withColumn("__who", who).join(plan, F.col(source_col).eqNullSafe(F.col("__source")), "inner")
              .withColumn("__n", F.aggregate(F.sequence(F.lit(1), F.col("__parts")), F.lit(0), lambda t, j: t + draw(j)).cast("long")))
-    copies = (drawn.filter("__n > 0").select(*[F.col(f"`{c}`") for c in names], "__who",
+    copies = (drawn.filter("__n > 0").select(*names.values(), "__who",
                                             F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias("copy"))
               .withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), "__who", "copy"))).drop("__who"))
-    return copies.repartition(n, "shuffle_key").sortWithinPartitions("shuffle_key")
+    return copies.repartition(n, "shuffle_key").sortWithinPartitions("shuffle_key").select(*unmasked(names), "copy", "shuffle_key")
