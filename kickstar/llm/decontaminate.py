@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kickstar.llm.common import fraction, stored, without, words
+from kickstar.llm.common import fraction, masked, stored, unmasked, without, words
 
 
 def _shingles(w: str, lengths: list[int]) -> Column:
@@ -58,10 +58,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, shingl
 
     Columns of ``docs`` with those names are replaced. A null or empty text has no words and
     is never contaminated; rows with a null id and repeated rows are judged each on its own
-    text; an empty benchmark hits nothing. Several items with one id count once."""
+    text; an empty benchmark hits nothing, an empty document table gives no rows. Very long texts
+    are judged whole. Several items with one id count once."""
     spark = docs.sparkSession
     new = ("n_words", "n_hit", "n_items", "items", "contaminated")
-    rows = without(docs, new, (id_col, text_col))
+    rows, names = masked(without(docs, new, (id_col, text_col)))
+    id_col, text_col = names[id_col], names[text_col]
     rows = rows.withColumns({"__id": F.col(id_col), "__h": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
 
     same = F.col("__id").eqNullSafe(F.col("__pid")) & (F.col("__h") == F.col("__ph"))
@@ -85,12 +87,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, shingl
                     .filter("have = need").select("wid", "m", F.col("p.h").alias("h"), F.col("p.off").alias("off"))
                     .join(win.select("wid", "win"), "wid"), "prefix")
     # step 4
-    places = (postings.join(prefix, "h").withColumn("start", F.col("at") - F.col("off"))
-              .filter((F.col("start") >= 0) & (F.col("start") + F.col("m") <= F.col("n")))
-              .groupBy("__id", "__h").agg(F.collect_set(F.struct("start", "m", "wid", "win")).alias("places")))
-    # step 5
-    verified = stored(rows.select("__id", "__h", words(F.col(text_col)).alias("w"))
+    places = stored(postings.join(prefix, "h").withColumn("start", F.col("at") - F.col("off"))
+                    .filter((F.col("start") >= 0) & (F.col("start") + F.col("m") <= F.col("n")))
+                    .groupBy("__id", "__h").agg(F.collect_set(F.struct("start", "m", "wid", "win")).alias("places")), "places")
+    # step 5: texts meet their places as they are and are split after that
+    verified = stored(rows.select("__id", "__h", F.col(text_col).alias("text"))
                       .join(places.withColumnsRenamed({"__id": "__pid", "__h": "__ph"}), same).drop("__pid", "__ph")
+                      .withColumn("w", words(F.col("text")))
                       .withColumn("hits", F.array_sort(F.filter("places", lambda p: F.slice("w", p.start + 1, p.m) == p.win)))
                       .filter(F.size("hits") > 0)
                       .select("__id", "__h", F.aggregate("hits", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), lambda s, p: F.struct(
@@ -106,4 +109,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, shingl
             .withColumns({"items": F.coalesce("items", F.array().cast("array<string>")), "n_hit": F.coalesce("n_hit", F.lit(0))})
             .withColumn("n_items", F.size("items").cast("long"))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * q >= F.col("n_words") * p))
-            .drop("__id", "__h", "__pid", "__ph"))
+            .select(*unmasked(names), *new))
