@@ -9,7 +9,8 @@ to one frame and decompresses nothing else.
 
 Records with equal payloads are written once: the one with the smallest id is a response,
 the others are revisits that name it. Only (id, digest) pairs are shuffled and counted to
-find them, and a hot payload arrives pre-aggregated.
+find them, and a hot payload arrives pre-aggregated; the list of revisits then meets the
+pages by page and digest.
 
 Bounds: a task holds one frame and the compressed bytes of one bundle. Frames are closed at
 ``frame_bytes`` of records, bundles at ``bundle_bytes`` compressed; a single longer record
@@ -30,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kickstar.llm.common import read_files, write_files
+from kickstar.llm.common import read_files, stored, write_files
 
 # Fixed values of the Zstandard seekable format (little-endian).
 SKIPPABLE_SEEK = 0x184D2A5E
@@ -57,12 +58,15 @@ def classify(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id", url_
     Other columns, whatever their names, are not read."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload"))
-    rows = rows.withColumn("__digest", F.sha1("payload"))
-    first = (rows.filter(F.octet_length("payload") >= min_bytes)
-             .groupBy("__digest").agg(F.min("page_id").alias("__first"), F.count(F.lit(1)).alias("__n"))
-             .filter("__n > 1 and __first is not null").select("__digest", "__first"))
-    return (rows.join(first, "__digest", "left")
-            .withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("__first")), F.col("__first")))
+    rows = rows.withColumn("digest", F.sha1("payload"))
+    keys = rows.filter(F.octet_length("payload") >= min_bytes).select("page_id", "digest")
+    first = (keys.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+             .filter("n > 1 and first is not null").select("digest", "first"))
+    # the revisits alone, written, so that few of them meet the pages without a shuffle of
+    # payloads, and many by the page, never by a payload that many pages share
+    revisits = stored(keys.join(first, "digest").filter("not page_id <=> first")
+                      .select(F.col("page_id").alias("rid"), F.col("digest").alias("rdigest"), F.col("first").alias("refers_to")).distinct(), "revisits")
+    return (rows.join(revisits, F.col("page_id").eqNullSafe(F.col("rid")) & (F.col("digest") == F.col("rdigest")), "left")
             .select("page_id", "url", "payload", "refers_to"))
 
 
