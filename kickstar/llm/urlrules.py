@@ -115,12 +115,15 @@ def judge(pages: DataFrame, rules: DataFrame | None = None, id_col: str = "page_
     fitting rules the one with the most characters (host and path) wins, then the longer
     host. Without a fitting rule the verdict is ``default`` and the rule null; null urls and
     urls without ``://`` have an empty host and path, which no rule fits. Repeated rows and
-    rows with a null id each get a row; other columns are not read."""
+    rows with a null id each get a row; other columns are not read. An empty table gives no rows.
+    A host asks for as many ancestors as the longest rule host has labels, however long it is."""
     rules = rules_frame(pages.sparkSession) if rules is None else rules
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     asked = rows.filter("host <> ''").select("host", "path").distinct()
+    # only the host of a rule can fit, so ancestors have no more labels than the longest of them
+    most = rules.select(F.size(F.split("host", r"\.")).alias("n")).agg(F.max("n")).first()[0] or 1
     labels = F.split("host", r"\.")
-    up = F.expr("transform(sequence(1, size(labels)), k -> array_join(slice(labels, k, size(labels)), '.'))")
+    up = F.expr(f"transform(sequence(1, least(size(labels), {int(most)})), k -> array_join(slice(labels, -k, k), '.'))")
     keys = (asked.withColumn("labels", labels).withColumn("ancestor", F.explode(up))
             .select("host", "path", _key(F.col("ancestor"), F.col("path")).alias("key")))
     found = sweep(keys, boundaries(rules)).filter("top is not null")
