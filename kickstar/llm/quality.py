@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kickstar.llm.common import fraction, let, space_words, without
+from kickstar.llm.common import fraction, let, masked, space_words, unmasked, without
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -91,7 +91,8 @@ def _repeat_words(sorted_windows: Column, n_words: Column) -> Column:
 def measure(docs: DataFrame, text_col: str = "text", stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """Add the metrics to every row: n_words, word_chars, n_symbols, n_lines, n_dup_lines,
     n_repeat_words, n_stop_words (all long). A null text has no words and no lines."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    docs, names = masked(docs)
+    text = F.coalesce(F.col(names[text_col]), F.lit(""))
     start = docs.select("*", space_words(text).alias("__w"),
                         F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("__l"))
     hashed = start.select("*", F.when(F.size("__w") >= 3, F.transform(
@@ -112,7 +113,7 @@ def measure(docs: DataFrame, text_col: str = "text", stop_words: Sequence[str] =
     # as the rows of a generator the metrics are computed once per text: a filter on a verdict
     # would otherwise be pushed below the projection with a copy of each metric's expression
     return hashed.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(metrics)).alias("__m")).select(
-        *[F.col(f"`{c}`") for c in docs.columns], "__m.*")
+        *unmasked(names), "__m.*")
 
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words")
