@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kickstar.llm.common import fraction, stored
+from kickstar.llm.common import fraction, masked, stored, unmasked
 from kickstar.llm.components import components
 
 #: Maps the bytes of a UTF-8 text: separators to blanks, A-Z to a-z, all else to itself.
@@ -346,7 +346,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall:
     ``class_id`` is the smallest id of the documents connected by links. A document without
     words has no links and is a class of its own. Rows with a null id take part like all
     others (a class of such rows only has a null class_id); repeated rows are copies of each
-    other. Other columns are not read."""
+    other. Other columns are not read; an empty table gives no rows."""
     signed, root = _classes(docs, threshold, n, recall, depth, limit, block, block_tokens, id_col, text_col)
     ids = root.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     out = root.join(ids, "root").select(F.col("sig").alias("rsig"), "class_id", (F.col("links") + F.col("weight") - 1).alias("n_links"))
@@ -359,6 +359,8 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float
              block: int = 512, block_tokens: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one of each class: that with the smallest id (null last), then
     text hash; of repeated rows one. Documents without words all stay."""
+    docs, names = masked(docs)
+    id_col, text_col = names[id_col], names[text_col]
     signed, root = _classes(docs, threshold, n, recall, depth, limit, block, block_tokens, id_col, text_col)
     placed = (signed.groupBy("sig", "doc_id", "th").agg(F.count(F.lit(1)).alias("same")).filter("sig is not null")
               .join(root.select("sig", "root"), "sig").select("root", "doc_id", "th", "same"))
@@ -370,4 +372,4 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float
     same = F.col(id_col).cast("long").eqNullSafe(F.col("__gid")) & (F.col("__th") == F.col("__gth"))
     single = rows.join(gone, same, "left_anti")
     repeated = rows.join(gone.filter("stays"), same, "left_semi").dropDuplicates([id_col, "__th"])
-    return single.unionByName(repeated).drop("__th")
+    return single.unionByName(repeated).select(*unmasked(names))
