@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kickstar.llm.common import space_words, stored, without
+from kickstar.llm.common import masked, space_words, stored, unmasked, without
 
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -113,7 +113,8 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", te
     means: smaller id (null first), then text hash, then line number. Rows with equal id and
     equal text are one document and get the same text. A null text has one empty line and
     stays null. An empty table gives an empty result."""
-    rows = without(docs, ("n_lines", "n_removed"), (id_col, text_col))
+    rows, names = masked(without(docs, ("n_lines", "n_removed"), (id_col, text_col)))
+    id_col, text_col = names[id_col], names[text_col]
     corpus = _corpus(rows, id_col, text_col)
     lines = corpus.select("doc", F.posexplode("lines").alias("seq", "l")).select("doc", "seq", "l.i", "l.w", "l.a", "l.b")
     copies, stretches = later_copies(lines, min_words)
@@ -128,4 +129,4 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", te
                 F.array_join(F.transform(left, lambda i: F.get("__lines", i)), "\n")))
             .withColumns({"n_lines": F.size("__lines").cast("long"), "n_removed": F.coalesce(F.size("__gone"), F.lit(0)).cast("long")})
             .withColumn("n_removed", F.greatest("n_removed", F.lit(0)).cast("long"))
-            .drop("__h", "__gid", "__gh", "__gone", "__lines"))
+            .select(*unmasked(names), "n_lines", "n_removed"))
