@@ -140,26 +140,31 @@ def test_decontamination_empty(spark):
     assert decontaminate.contaminated(docs.limit(0), none).count() == 0
 
 
-def brute_lines(docs, min_words):
-    docs = {(d, t) for d, t in docs}
-    order = sorted(docs, key=lambda x: (x[0] is not None, x[0] or 0))
-    seen, gone, out = set(), {}, {}
-    for d, t in order:
-        lines = (t or "").split("\n")
-        own = [(i, x, len(re.findall(r"[^\x20\x09-\x0D]+", x))) for i, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x)]
-        cut = set()
-        for s in range(len(own)):
-            total = 0
-            for e in range(s, len(own)):
-                total += own[e][2]
-                if total >= min_words:
-                    key = tuple(x for _, x, _ in own[s:e + 1])
-                    if key in seen:
-                        cut |= {i for i, _, _ in own[s:e + 1]}
-                    seen.add(key)
-                    break
-        out[d, t] = (len(lines), len(cut), "\n".join(x for i, x in enumerate(lines) if i not in cut) if t is not None else None)
-    return out
+def brute_runs(docs, min_words):
+    """{(id, text): (lines, removed lines, text left)} from the definition: every pair of equal
+    lines is extended to its maximal run, and the later place of a long run goes."""
+    own, at = {}, []
+    for key in sorted(set(docs), key=lambda x: (x[0] is not None, x[0] or 0)):
+        lines = enumerate((key[1] or "").split("\n"))
+        own[key] = [(i, x, len(re.findall(r"[^\x20\x09-\x0D]+", x))) for i, x in lines if re.search(r"[^\x20\x09-\x0D]", x)]
+        at += [(key, s) for s in range(len(own[key]))]
+    line = lambda d, s: own[d][s][1] if 0 <= s < len(own[d]) else None
+    cut = {d: set() for d in own}
+    places = {}
+    for d, s in at:
+        places.setdefault(line(d, s), []).append((d, s))
+    for same in places.values():
+        for k, (d, s) in enumerate(same):
+            for e, r in same[k + 1:]:
+                if line(d, s - 1) is not None and line(d, s - 1) == line(e, r - 1):
+                    continue                        # the run begins further up
+                n = 1
+                while line(d, s + n) is not None and line(d, s + n) == line(e, r + n):
+                    n += 1
+                if sum(w for _, _, w in own[e][r:r + n]) >= min_words:
+                    cut[e] |= {i for i, _, _ in own[e][r:r + n]}
+    return {(d, t): (len((t or "").split("\n")), len(cut[d, t]), None if t is None else
+                     "\n".join(x for i, x in enumerate(t.split("\n")) if i not in cut[d, t])) for d, t in own}
 
 
 @pytest.mark.parametrize("min_words", [1, 6, 50])
@@ -175,32 +180,12 @@ def test_line_dedup(spark, min_words):
     docs += [(100 + i, docs[0][1]) for i in range(5)] + [(200, None), (201, ""), (202, "\n\n"), (None, docs[3][1]), (203, "same words\n" * 200),
                                                         (300, docs[0][1]), (300, docs[0][1])]
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS n_lines", "2 AS seq", "3 AS doc", "4 AS `rank`")
-    want = brute_lines(docs, min_words)
+    want = brute_runs(docs, min_words)
     got = rows(line_dedup.dedup_lines(df, min_words), "doc_id", "n_lines", "n_removed", "text")
     assert got == sorted(((d, *want[d, t]) for d, t in docs), key=repr)
     assert sum(r[2] for r in got) > 0
 
 
-def brute_runs(docs, min_words):
-    """Texts and numbers of removed lines, from every pair of places extended to its maximal run."""
-    own, at = {}, []
-    for d, t in sorted(set(docs)):
-        own[d] = [(i, x, len(re.findall(r"[^\x20\x09-\x0D]+", x))) for i, x in enumerate(t.split("\n")) if re.search(r"[^\x20\x09-\x0D]", x)]
-        at += [(d, s) for s in range(len(own[d]))]
-    line = lambda d, s: own[d][s][1] if 0 <= s < len(own[d]) else None
-    cut = {d: set() for d in own}
-    for k, (d, s) in enumerate(at):
-        for e, r in at[k + 1:]:
-            if line(d, s) != line(e, r) or (line(d, s - 1) is not None and line(d, s - 1) == line(e, r - 1)):
-                continue
-            n = 1
-            while line(d, s + n) is not None and line(d, s + n) == line(e, r + n):
-                n += 1
-            if sum(w for _, _, w in own[e][r:r + n]) >= min_words:
-                cut[e] |= {i for i, _, _ in own[e][r:r + n]}
-    return {d: (len(cut[d]), "\n".join(x for i, x in enumerate(t.split("\n")) if i not in cut[d])) for d, t in docs}
-
-
 def test_line_dedup_removes_maximal_runs(spark):
     rnd = random.Random(9)
     made = lambda name, sizes: [" ".join(f"{name}{i}x{k}" for k in range(n)) for i, n in enumerate(sizes)]
@@ -210,9 +195,9 @@ def test_line_dedup_removes_maximal_runs(spark):
     docs += [(10 * n + 2, "\n".join(run[:-1])) for n, run in enumerate(runs)] + [(500, "seven words that come again and again\n" * 30)]
     pool = made("p", [rnd.randrange(1, 40) for _ in range(6)])
     docs += [(1000 + i, "\n".join(rnd.choice(pool) for _ in range(12))) for i in range(25)]
-    got = {r.doc_id: (r.n_removed, r.text) for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert got == brute_runs(docs, 50)
-    assert [got[d][0] for d in (1, 11, 21, 31, 41, 51)] == [4, 4, 70, 2, 3, 0]
+    got = {(r.doc_id): (r.n_lines, r.n_removed, r.text) for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {d: x for (d, _), x in brute_runs(docs, 50).items()}
+    assert [got[d][1] for d in (1, 11, 21, 31, 41, 51)] == [4, 4, 70, 2, 3, 0]
 
 
 def test_line_dedup_empty(spark):

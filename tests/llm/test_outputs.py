@@ -150,6 +150,64 @@ def test_rollup_survives_a_lost_attempt(spark, monkeypatch):
     assert rows(store.totals()) == [("s", "en", "v1", 1, 10)]
 
 
+def test_rollup_of_overlapping_batches(spark, monkeypatch):
+    """A batch that was prepared before another one was committed is prepared again: a document
+    that both change counts once."""
+    store = Rollup(spark, scratch(spark, "test"))
+    frame = lambda x: spark.createDataFrame(x, CHANGE)
+    assert store.apply("a", frame([(1, "s", "en", "v", 10, False)]))
+    real, held = Rollup._commit, []
+
+    def late(self, number, entry):
+        if entry["batch"] == "b" and not held:
+            held.append(entry["attempt"])
+            assert Rollup(spark, store.path).apply("c", frame([(1, "s", "en", "v", 30, False), (2, "s", "en", "v", 1, False)]))
+        return real(self, number, entry)
+
+    monkeypatch.setattr(Rollup, "_commit", late)
+    assert store.apply("b", frame([(1, "s", "en", "v", 20, False)]))
+    assert rows(store.totals()) == [("s", "en", "v", 2, 21)] and rows(store.current(), "doc_id", "n_tokens") == [(1, 20), (2, 1)]
+    assert list(store.committed()) == ["a", "c", "b"] and held[0] not in store.committed().values()
+
+
+def test_rollup_against_replay(spark):
+    """Many batches over few buckets, compacted again and again, against a plain replay."""
+    rnd, store, now = random.Random(3), Rollup(spark, scratch(spark, "test"), buckets=3, compact=2), {}
+    for k in range(9):
+        batch = {}
+        for _ in range(rnd.randrange(0, 8)):
+            d = rnd.randrange(12)
+            batch[d] = (d, rnd.choice("st"), "en", f"v{k}", rnd.randrange(50), rnd.random() < 0.3)
+        assert store.apply(f"b{k}", spark.createDataFrame(list(batch.values()), CHANGE))
+        for d, row in batch.items():
+            now[d] = None if row[5] else row[1:5]
+        want = {}
+        for v in filter(None, now.values()):
+            n, t = want.get(v[:3], (0, 0))
+            want[v[:3]] = n + 1, t + v[3]
+        assert rows(store.totals(), "source", "lang", "tokenizer", "n_docs", "n_tokens") == sorted([(*k, *v) for k, v in want.items()], key=repr)
+        assert rows(store.current(), "doc_id", "n_tokens") == sorted(((d, v[3]) for d, v in now.items() if v), key=repr)
+    assert any(e["whole"] for e in store.log.entries())
+    assert all(len(c) <= 3 for c in Rollup._chains(store.log.entries()).values())
+
+
+def test_rollup_of_token_ids(spark):
+    """Counts of a tokenizer file, by source and language, against the library."""
+    from tokenizers import Tokenizer
+
+    from kickstar.llm.token_rollup import token_counts
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").unionByName(
+        spark.createDataFrame([(9001, None, "en", "s", 0), (9002, "", None, None, 0)], "doc_id long, text string, lang string, source string, n_chars long"))
+    encode = Tokenizer.from_file(queries.tokenizer_path()).encode
+    want = {}
+    for r in docs.collect():
+        n, t = want.get((r.source, r.lang), (0, 0))
+        want[r.source, r.lang] = n + 1, t + len(encode(r.text or "", add_special_tokens=False).ids)
+    store = Rollup(spark, scratch(spark, "test"))
+    assert store.apply("load", token_counts(docs.withColumn("n_tokens", F.lit(7)), queries.tokenizer_path(), "byte-bpe-50k"))
+    assert rows(store.totals()) == sorted([(s, x, "byte-bpe-50k", *v) for (s, x), v in want.items()], key=repr)
+
+
 def test_pipeline_stages(spark):
     """Every stage against a brute-force version, over its own input."""
     import corpus_pipeline as C
