@@ -36,7 +36,8 @@ class Prefixes:
         """``len(values) + 1`` prefix polynomials of unsigned 64-bit values."""
         n = len(values)
         if n + 1 > len(self._up):
-            self._up, self._down = powers(self.base, 2 * n + 1), powers(self.inverse, 2 * n + 1)
+            size = n + n // 4 + 1
+            self._up, self._down = powers(self.base, size), powers(self.inverse, size)
         out = np.zeros(n + 1, np.uint64)
         np.cumsum(values * self._up[:n], out=out[1:])
         return out

@@ -65,6 +65,7 @@ def test_weak_fingerprints(spark, monkeypatch):
     """Fingerprints of six bits, a filter that lets all pass and small blocks change nothing."""
     real = collocations.Runs.fingerprints
     monkeypatch.setattr(collocations.Runs, "fingerprints", lambda self, n: (lambda h, ok: (h >> np.uint64(58) << np.uint64(58), ok))(*real(self, n)))
+    monkeypatch.setattr(collocations, "CHECK_BITS", 2)
     monkeypatch.setattr(collocations, "BLOCK", 300)
     monkeypatch.setattr(collocations, "KEPT", 40)
     docs = made(5)
@@ -75,7 +76,7 @@ def test_weak_fingerprints(spark, monkeypatch):
 def test_filter_is_bounded_and_complete(spark):
     rnd = random.Random(3)
     fps = [rnd.randrange(-2**63, 2**63) for _ in range(500)] + [0, -1, 2**63 - 1, -2**63]
-    df = spark.createDataFrame([(None, x, 30) for x in fps] + [("en", 5, 30)], "total string, fp long, n long")
+    df = spark.createDataFrame([(x, 30) for x in fps] + [(None, 30)], "fp long, n long")
     bits = collocations._filter(df)
     assert len(bits) == 2**23
     slots = {(x % 2**64) >> 38 for x in fps}
@@ -83,6 +84,12 @@ def test_filter_is_bounded_and_complete(spark):
     assert not any(collocations._filter(df.filter("n < 0")))
 
 
+def test_packed_numbers():
+    values = np.array([0, 1, 2**63 - 1, 77], np.int64)
+    assert (collocations._unpacked(collocations._packed(values), np.int64) == values).all()
+    assert len(collocations._unpacked(b"", np.uint64)) == 0
+
+
 def test_parts_end_at_breaks():
     text = b"one two\nthree four five\n" + b"x" * 50 + b"\ny z"
     for size in (1, 5, 10, 30, 200):
