@@ -55,17 +55,23 @@ def byte_characters() -> dict[int, str]:
 
 
 class _Kept(dict):
-    """Results of ``make`` by key; forgets all at ``keep`` entries and never keeps long keys."""
+    """Results of ``make`` by key, in two generations: when ``keep`` keys are held they become the
+    old ones, and an old key that is asked for again is held anew, so frequent keys stay. Long
+    keys are not held."""
 
     def __init__(self, make, keep: int):
-        self.make, self.keep = make, keep
+        self.make, self.keep, self.old = make, keep, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
-        if len(key) <= 64:
-            if len(self) >= self.keep:
-                self.clear()
-            self[key] = value
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > 64:
+                return value
+        if len(self) >= self.keep:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -77,9 +83,9 @@ class Encoder:
     sides of it (the end of the text counts as such), so in texts without blanks of that kind
     pieces are looked up for what stands between two blanks. If the file has another pre-tokenizer or a
     normaliser, or a text has special tokens or doubtful white space, texts are encoded
-    whole. At most ``keep`` results of either kind are remembered."""
+    whole. At most twice ``keep`` results of either kind are remembered."""
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")      # Spark runs a task per core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -129,20 +135,38 @@ def worker_encoder(path: str) -> Encoder:
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
-    return np.frexp(values.astype(np.float64))[1].astype(np.int64)      # exact up to 53 bits; 0 needs none
+    return np.frexp(values.astype(np.float64))[1].astype(np.int8)      # exact up to 53 bits; 0 needs none
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
-    """Rows of 32-bit values as rows of bytes, ``width`` bits each."""
-    bits = np.unpackbits(values.astype(">u4").view(np.uint8).reshape(*values.shape, 4), axis=-1)[..., 32 - width:]
-    return np.packbits(bits.reshape(len(values), -1), axis=-1)
+    """Rows of 32-bit values as rows of bytes, ``width`` bits each, the highest first: eight
+    values fill ``width`` bytes, and each byte is put together from the values that reach into it."""
+    rows, n = values.shape
+    padded = np.zeros((rows, -(-n // 8) * 8), np.uint32)
+    padded[:, :n] = values
+    eight = padded.reshape(rows, -1, 8)
+    out = np.zeros((rows, eight.shape[1], width), np.uint8)
+    for j in range(width):
+        for k in range(8 * j // width, (8 * j + 7) // width + 1):
+            shift = (k + 1) * width - 8 * (j + 1)
+            out[:, :, j] |= (eight[:, :, k] >> shift if shift >= 0 else eight[:, :, k] << -shift).astype(np.uint8)
+    return out.reshape(rows, -1)[:, :(n * width + 7) // 8]
 
 
 def _unpack(raw: np.ndarray, width: int, n: int) -> np.ndarray:
-    bits = np.unpackbits(raw, axis=-1)[:, :n * width].reshape(len(raw), n, width)
-    full = np.zeros((len(raw), n, 32), np.uint8)
-    full[..., 32 - width:] = bits
-    return np.packbits(full, axis=-1).reshape(len(raw), n * 4).view(">u4").astype(np.uint32)
+    rows = len(raw)
+    padded = np.zeros((rows, -(-n // 8) * width), np.uint8)
+    padded[:, :raw.shape[1]] = raw
+    parts = padded.reshape(rows, -1, width)
+    out = np.zeros((rows, parts.shape[1], 8), np.uint32)
+    for k in range(8):
+        value = np.zeros(parts.shape[:2], np.uint64)
+        for j in range(k * width // 8, (k * width + width - 1) // 8 + 1):
+            shift = (k + 1) * width - 8 * (j + 1)
+            byte = parts[:, :, j].astype(np.uint64)
+            value |= byte << np.uint64(shift) if shift >= 0 else byte >> np.uint64(-shift)
+        out[:, :, k] = value & np.uint64((1 << width) - 1)
+    return out.reshape(rows, -1)[:, :n]
 
 
 def encode_blocks(ids: np.ndarray, length: int = 512, percentile: float = 0.9) -> tuple[bytes, np.ndarray]:
@@ -158,7 +182,8 @@ def encode_blocks(ids: np.ndarray, length: int = 512, percentile: float = 0.9) -
             low = rows.min(axis=1)
             rest = rows - low[:, None]
             need = _bits(rest)
-            width = np.sort(need, axis=1)[:, min(rows.shape[1] - 1, int(np.ceil(percentile * rows.shape[1])) - 1)]
+            nth = min(rows.shape[1] - 1, int(np.ceil(percentile * rows.shape[1])) - 1)
+            width = np.partition(need, nth, axis=1)[:, nth]
             odd = need > width[:, None]
             packed: list[bytes] = [b""] * len(rows)
             for w in np.unique(width):
