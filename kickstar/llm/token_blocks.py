@@ -144,29 +144,28 @@ def _pack(values: np.ndarray, width: int) -> np.ndarray:
     rows, n = values.shape
     padded = np.zeros((rows, -(-n // 8) * 8), np.uint32)
     padded[:, :n] = values
-    eight = padded.reshape(rows, -1, 8)
-    out = np.zeros((rows, eight.shape[1], width), np.uint8)
+    eight = np.ascontiguousarray(padded.reshape(-1, 8).T)
+    out = np.zeros((width, eight.shape[1]), np.uint8)
     for j in range(width):
         for k in range(8 * j // width, (8 * j + 7) // width + 1):
             shift = (k + 1) * width - 8 * (j + 1)
-            out[:, :, j] |= (eight[:, :, k] >> shift if shift >= 0 else eight[:, :, k] << -shift).astype(np.uint8)
-    return out.reshape(rows, -1)[:, :(n * width + 7) // 8]
+            out[j] |= (eight[k] >> shift if shift >= 0 else eight[k] << -shift).astype(np.uint8)
+    return np.ascontiguousarray(out.T).reshape(rows, -1)[:, :(n * width + 7) // 8]
 
 
 def _unpack(raw: np.ndarray, width: int, n: int) -> np.ndarray:
     rows = len(raw)
     padded = np.zeros((rows, -(-n // 8) * width), np.uint8)
     padded[:, :raw.shape[1]] = raw
-    parts = padded.reshape(rows, -1, width)
-    out = np.zeros((rows, parts.shape[1], 8), np.uint32)
+    parts = np.ascontiguousarray(padded.reshape(-1, width).T)
+    out = np.zeros((8, parts.shape[1]), np.uint32)
     for k in range(8):
-        value = np.zeros(parts.shape[:2], np.uint64)
         for j in range(k * width // 8, (k * width + width - 1) // 8 + 1):
             shift = (k + 1) * width - 8 * (j + 1)
-            byte = parts[:, :, j].astype(np.uint64)
-            value |= byte << np.uint64(shift) if shift >= 0 else byte >> np.uint64(-shift)
-        out[:, :, k] = value & np.uint64((1 << width) - 1)
-    return out.reshape(rows, -1)[:, :n]
+            byte = parts[j].astype(np.uint32)           # bits above the value's own 32 fall out
+            out[k] |= byte << np.uint32(shift) if shift >= 0 else byte >> np.uint32(-shift)
+    out &= np.uint32((1 << width) - 1)
+    return np.ascontiguousarray(out.T).reshape(rows, -1)[:, :n]
 
 
 def encode_blocks(ids: np.ndarray, length: int = 512, percentile: float = 0.9) -> tuple[bytes, np.ndarray]:
