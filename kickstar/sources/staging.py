@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kickstar.sources.csv_records import csv_table
+
 # fixed values: staging column lists (source header order)
 STAGING_COLUMNS: dict[str, tuple[str, ...]] = {
     "appearances": ("appearance_id", "game_id", "player_id", "player_club_id", "player_current_club_id", "date",
@@ -26,25 +28,39 @@ STAGING_COLUMNS: dict[str, tuple[str, ...]] = {
                           "player_club_domestic_competition_id"),
     "transfers": ("player_id", "transfer_date", "transfer_season", "from_club_id", "to_club_id", "from_club_name",
                   "to_club_name", "transfer_fee", "market_value_in_eur", "player_name"),
+    "clubs": ("club_id", "club_code", "name", "domestic_competition_id", "total_market_value", "squad_size",
+              "average_age", "foreigners_number", "foreigners_percentage", "national_team_players", "stadium_name",
+              "stadium_seats", "net_transfer_record", "coach_name", "last_season", "filename", "url"),
+    "competitions": ("competition_id", "competition_code", "name", "sub_type", "type", "country_id", "country_name",
+                     "domestic_league_code", "confederation", "total_clubs", "url"),
+    "countries": ("country_id", "country_name", "country_code", "confederation", "total_clubs", "total_players",
+                  "average_age", "url"),
+    "games": ("game_id", "competition_id", "season", "round", "date", "home_club_id", "away_club_id",
+              "home_club_goals", "away_club_goals", "home_club_position", "away_club_position",
+              "home_club_manager_name", "away_club_manager_name", "stadium", "attendance", "referee", "url",
+              "home_club_formation", "away_club_formation", "home_club_name", "away_club_name", "aggregate",
+              "competition_type"),
+    "national_teams": ("national_team_id", "name", "team_code", "country_id", "country_name", "country_code",
+                       "confederation", "team_image_url", "squad_size", "average_age", "foreigners_number",
+                       "foreigners_percentage", "total_market_value", "coach_name", "fifa_ranking", "last_season",
+                       "url"),
+    "players": ("player_id", "first_name", "last_name", "name", "last_season", "current_club_id", "player_code",
+                "country_of_birth", "city_of_birth", "country_of_citizenship", "date_of_birth", "sub_position",
+                "position", "foot", "height_in_cm", "contract_expiration_date", "agent_name", "image_url",
+                "international_caps", "international_goals", "current_national_team_id", "url",
+                "current_club_domestic_competition_id", "current_club_name", "market_value_in_eur",
+                "highest_market_value_in_eur"),
 }
 
 
-# The reader's default null token is the empty string; a control character that never
-# occurs in the files keeps quoted empty fields as empty text.
-NO_NULL_TOKEN = "\u0000"
-
-
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
 def csv_raw_source(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Read one CSV (header row, '"' qualifier, quoted newlines) with every column as text."""
-    return (spark.read.schema(text_schema(columns))
-            .option("header", "true").option("quote", '"').option("escape", '"')
-            .option("multiLine", "true").option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-            .option("nullValue", NO_NULL_TOKEN).option("emptyValue", "")
-            .csv(path))
+    """Read a CSV (header row, '"' qualifier, quoted newlines) with every column as text, by
+    many tasks per file."""
+    return csv_table(spark, path, columns).select(*columns)
 
 
 def batch_id_for(ts: dt.datetime) -> str:
@@ -79,6 +95,50 @@ def staging_full_refresh(frames: dict[str, DataFrame], root: str) -> dict[str, s
     return out
 
 
+def stage_csv(spark: SparkSession, files: dict[str, str], root: str, started_at: dt.datetime,
+              batch_id: str | None = None) -> dict[str, DataFrame]:
+    """Full refresh of the staging tables from CSV: ``files`` names the file or folder of each
+    table; every row gets batch id, load time, source file and its number (``source_row``).
+    Returns the staged tables, ready for a load."""
+    batch = batch_id or batch_id_for(started_at)
+    frames = {name: audit_columns(csv_table(spark, path, STAGING_COLUMNS[name]), batch, started_at, F.col("source_file"))
+              for name, path in files.items()}
+    return {name: spark.read.schema(frames[name].schema).parquet(path) for name, path in staging_full_refresh(frames, root).items()}
+
+
+def record_digests(rows: DataFrame, columns: Sequence[str], key: Sequence[str], buckets: int = 64) -> DataFrame:
+    """(bucket, rows, digest) of the rows' ``columns``, in buckets of ``key``: the sum of two row
+    hashes, so the order of rows plays no part and doubled, lost and changed rows show. Null and
+    empty text count as the same."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    both = F.xxhash64(*text).cast("decimal(38,0)") * F.lit(2).cast("decimal(38,0)") + F.xxhash64(F.lit(1), *text).cast("decimal(38,0)")
+    bucket = F.pmod(F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]), F.lit(buckets)).cast("int")
+    return rows.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows"), F.sum(both).alias("digest"))
+
+
+def reconcile_records(source: DataFrame, staged: DataFrame | None, columns: Sequence[str], key: Sequence[str], buckets: int = 64) -> DataFrame:
+    """(bucket, source_rows, staged_rows, status) per bucket of the key: PASS where file and
+    staged table hold the same records, MISMATCH where they do not, FAILED without a staged table."""
+    a = record_digests(source, columns, key, buckets).withColumnsRenamed({"rows": "source_rows", "digest": "d1"})
+    if staged is None:
+        return a.select("bucket", "source_rows", F.lit(None).cast("long").alias("staged_rows"), F.lit("FAILED").alias("status"))
+    b = record_digests(staged, columns, key, buckets).withColumnsRenamed({"rows": "staged_rows", "digest": "d2"})
+    same = F.col("d1").eqNullSafe(F.col("d2")) & F.col("source_rows").eqNullSafe(F.col("staged_rows"))
+    return a.join(b, "bucket", "full").select("bucket", F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
+                                              F.coalesce("staged_rows", F.lit(0)).alias("staged_rows"),
+                                              F.when(same, F.lit("PASS")).otherwise(F.lit("MISMATCH")).alias("status"))
+
+
+def record_differences(source: DataFrame, staged: DataFrame, columns: Sequence[str], key: Sequence[str], buckets: int = 64) -> DataFrame:
+    """The records that differ, with ``n`` (source minus staged occurrences); only the buckets
+    that do not pass are compared row by row."""
+    bad = reconcile_records(source, staged, columns, key, buckets).filter("status <> 'PASS'").select("bucket")
+    bucket = F.pmod(F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]), F.lit(buckets)).cast("int").alias("bucket")
+    part = lambda df, sign: df.select(bucket, *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns], F.lit(sign).alias("n"))
+    both = part(source, 1).unionAll(part(staged, -1)).join(bad, "bucket", "left_semi")
+    return both.groupBy("bucket", *columns).agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
 def file_fingerprints(spark: SparkSession, name: str, path: str) -> DataFrame:
     """One row per source file: its path, bytes, lines and a line fingerprint (the sum of
     xxhash64 over the lines). The text scan splits large files, so no file passes whole
