@@ -8,9 +8,11 @@ overwritten by a plan that reads it.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from kickstar.frames import path_exists
 
 
 def _writer(df: DataFrame, mode: str, partition_by: list[str] | None):
@@ -30,11 +32,9 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The table at ``path``, or an empty frame of ``schema`` when nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    """The table at ``path``, or an empty frame of ``schema`` when nothing was written yet (the
+    path does not exist); a path that cannot be read is an error."""
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def reject_sink(rejects: DataFrame, path: str) -> None:
@@ -50,18 +50,36 @@ def reject_purge(spark: SparkSession, path: str, source_tables: list[str]) -> No
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions ``<root>/v=<n>`` that were written to the end; a folder that a dead run left
+    behind is none."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and path_exists(spark, f"{root.rstrip('/')}/{n}/_SUCCESS"))
+
+
 def snapshot_read(spark: SparkSession, root: str) -> DataFrame | None:
-    """Highest version of a snapshot table (``<root>/v=<n>``, found by partition discovery)."""
-    try:
-        all_versions = spark.read.parquet(root)
-    except AnalysisException:
-        return None
-    latest = all_versions.agg(F.max("v")).first()[0]
-    return all_versions.filter(F.col("v") == latest).drop("v")
+    """Highest complete version of a snapshot table, or None if there is none."""
+    versions = snapshot_versions(spark, root)
+    return spark.read.parquet(f"{root.rstrip('/')}/v={versions[-1]}") if versions else None
 
 
 def snapshot_write(df: DataFrame, root: str, version: int) -> str:
-    """Write version ``version``; an existing version is never overwritten."""
-    path = f"{root.rstrip('/')}/v={version}"
-    df.write.mode("errorifexists").parquet(path)
+    """Write version ``version``; a complete version is never overwritten. The rows are written
+    aside and appear by a rename, so a run that dies leaves no half version and blocks nobody."""
+    path, aside = f"{root.rstrip('/')}/v={version}", f"{root.rstrip('/')}/_aside-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        raise FileExistsError(path)
+    df.write.parquet(aside)
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)             # without a marker: left behind by a dead run
+    fs.rename(_fs(spark, aside)[1], target)
     return path
