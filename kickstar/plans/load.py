@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kickstar import fixed
-from kickstar.frames import literal_frame, path_exists
+from kickstar.frames import literal_frame, materialize, path_exists
 from kickstar.operators.route import REJECT_SCHEMA
 from kickstar.plans import star, warehouse as WH
 from kickstar.sources import sinks
@@ -102,6 +102,14 @@ def _fact_clubs(staging: dict[str, DataFrame]) -> list[DataFrame]:
     return out
 
 
+def inferred_rows(fact_clubs: list[DataFrame], dim_club: DataFrame) -> DataFrame:
+    """Clubs that only facts name, as incoming rows of the club merge."""
+    return WH.inferred_clubs(fact_clubs, dim_club).select(
+        "club_id", "club_name", "club_type", F.lit(U).alias("country_name"),
+        F.lit(U).alias("confederation"), F.lit(None).cast("string").alias("current_league_id"),
+        F.lit(U).alias("current_league_name"), F.lit(U).alias("stadium_name"), F.lit(U).alias("stadium_capacity_band"))
+
+
 def _in_parallel(tasks: dict) -> dict:
     """Run independent driver-side steps (each submits its own Spark jobs) concurrently;
     the scheduler overlaps their stages. The first failure is raised."""
@@ -137,11 +145,7 @@ def run_load(spark: SparkSession, staging: dict[str, DataFrame], root: str, wind
     dims["competition"] = merged
     dims["club"] = WH.scd_merge(_dim(spark, root, "club"), club_in, WH.CLUB_SPEC, run_date)
     fact_clubs = _fact_clubs(staging)
-    inferred = WH.inferred_clubs(fact_clubs, dims["club"]).select(
-        "club_id", "club_name", "club_type", F.lit(U).alias("country_name"),
-        F.lit(U).alias("confederation"), F.lit(None).cast("string").alias("current_league_id"),
-        F.lit(U).alias("current_league_name"), F.lit(U).alias("stadium_name"), F.lit(U).alias("stadium_capacity_band"))
-    dims["club"] = WH.scd_merge(dims["club"], inferred, WH.CLUB_SPEC, run_date)
+    dims["club"] = WH.scd_merge(dims["club"], inferred_rows(fact_clubs, dims["club"]), WH.CLUB_SPEC, run_date)
     dims["player"] = WH.scd_merge(_dim(spark, root, "player"), WH.player_incoming(staging["players"]),
                                   WH.PLAYER_SPEC, run_date)
     dims["match"] = WH.scd_merge(_dim(spark, root, "match"), WH.match_incoming(staging["games"]), MATCH_SPEC,
@@ -157,17 +161,19 @@ def run_load(spark: SparkSession, staging: dict[str, DataFrame], root: str, wind
 
     # --- facts
     loads = {
-        "team_match": lambda ex: WH.load_fact_team_match(staging["club_games"], staging["games"], dims, ex, window),
-        "player_appearance": lambda ex: WH.load_fact_player_appearance(staging["appearances"], staging["games"],
-                                                                       dims, ex, window),
-        "player_valuation": lambda ex: WH.load_fact_player_valuation(staging["player_valuations"], dims["player"],
-                                                                     dims["club"], ex, window, dims["competition"]),
-        "transfer": lambda ex: WH.load_fact_transfer(staging["transfers"], dims, ex, window),
+        "team_match": lambda ex, keep: WH.load_fact_team_match(staging["club_games"], staging["games"], dims, ex, window, keep),
+        "player_appearance": lambda ex, keep: WH.load_fact_player_appearance(staging["appearances"], staging["games"],
+                                                                             dims, ex, window, keep),
+        "player_valuation": lambda ex, keep: WH.load_fact_player_valuation(staging["player_valuations"], dims["player"],
+                                                                           dims["club"], ex, window, dims["competition"], keep),
+        "transfer": lambda ex, keep: WH.load_fact_transfer(staging["transfers"], dims, ex, window, keep),
     }
+
     def load_one(name: str, load) -> tuple[int, DataFrame]:
-        probe, _ = load(spark.createDataFrame([], FACT_EXISTING_PROBE[name]))
+        probe, _ = load(spark.createDataFrame([], FACT_EXISTING_PROBE[name]), lambda df: df)
         existing = _existing(spark, root, name, probe)
-        fact, rej = load(existing)
+        # the rows are written once before they are routed into facts and rejects
+        fact, rej = load(existing, lambda df: materialize(df, f"rows-{name}"))
         n = WH.incremental_append(spark, fact, f"{root}/fact_{name}", FACT_KEYS[name], probe.schema,
                                   FACT_PARTITION.get(name))
         if name == "team_match" and path_exists(spark, f"{root}/fact_{name}"):

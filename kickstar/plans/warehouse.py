@@ -8,7 +8,7 @@ rows even after a dimension got a new SCD2 version.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -86,22 +86,14 @@ def _changed(cols: Sequence[str]) -> Column:
     return out
 
 
-def scd_merge(dim: DataFrame, incoming: DataFrame, spec: ScdSpec, run_date: str,
-              new_member_from: str = fixed.SCD_FIRST_START) -> DataFrame:
-    """Merge ``incoming`` (one row per natural key, dimension column names) into ``dim``.
-
-    Ordered classification (first match wins): SCD2 change → new version (old closed at
-    run_date - 1, new open run_date..9999-12-31, carrying all new values, shifting the
-    previous value if the SCD3 trigger changed too); SCD3 change → current row only;
-    SCD1 change → overwrite every version of the member; else unchanged. New members get
-    new keys from ``new_member_from``. Special members (key <= 0) are never touched."""
-    nk, sk = spec.natural_key, spec.surrogate
-    tracked = list(dict.fromkeys(spec.scd1 + spec.scd2 + spec.scd3_current +
-                                 ((spec.scd3_trigger,) if spec.scd3_trigger else ())))
-    current = dim.filter(F.col(spec.current) & (F.col(sk) > 0))
-    old = current.select(F.col(nk).alias("__nk"), F.col(sk).alias("o__key"),
+def scd_actions(dim: DataFrame, incoming: DataFrame, spec: ScdSpec) -> DataFrame:
+    """The incoming rows that are new or change their member: ``__nk``, the new values (``n__``),
+    the current ones (``o__``) and ``__action`` (new, scd2, scd3 or scd1; first match wins)."""
+    tracked = _tracked(spec)
+    current = dim.filter(F.col(spec.current) & (F.col(spec.surrogate) > 0))
+    old = current.select(F.col(spec.natural_key).alias("__nk"), F.col(spec.surrogate).alias("o__key"),
                          *[F.col(c).alias(f"o__{c}") for c in tracked + list(spec.scd3_previous)])
-    new = incoming.select(F.col(nk).alias("__nk"), *[F.col(c).alias(f"n__{c}") for c in tracked])
+    new = incoming.select(F.col(spec.natural_key).alias("__nk"), *[F.col(c).alias(f"n__{c}") for c in tracked])
     j = new.join(old, "__nk", "left")
     trig = _changed([spec.scd3_trigger]) if spec.scd3_trigger else F.lit(False)
     action = (F.when(F.col("o__key").isNull(), F.lit("new"))
@@ -109,7 +101,26 @@ def scd_merge(dim: DataFrame, incoming: DataFrame, spec: ScdSpec, run_date: str,
               .when(trig, F.lit("scd3"))
               .when(_changed(spec.scd1), F.lit("scd1"))
               .otherwise(F.lit("none")))
-    j = j.withColumn("__action", action).filter(F.col("__action") != "none")
+    return j.withColumn("__action", action).filter(F.col("__action") != "none")
+
+
+def _tracked(spec: ScdSpec) -> list[str]:
+    return list(dict.fromkeys(spec.scd1 + spec.scd2 + spec.scd3_current + ((spec.scd3_trigger,) if spec.scd3_trigger else ())))
+
+
+def scd_merge(dim: DataFrame, incoming: DataFrame, spec: ScdSpec, run_date: str,
+              new_member_from: str = fixed.SCD_FIRST_START, key_base: int | None = None) -> DataFrame:
+    """Merge ``incoming`` (one row per natural key, dimension column names) into ``dim``.
+
+    Ordered classification (first match wins): SCD2 change → new version (old closed at
+    run_date - 1, new open run_date..9999-12-31, carrying all new values, shifting the
+    previous value if the SCD3 trigger changed too); SCD3 change → current row only;
+    SCD1 change → overwrite every version of the member; else unchanged. New members get
+    new keys from ``new_member_from``. Special members (key <= 0) are never touched. New keys
+    follow ``key_base``, by default the largest key of ``dim``."""
+    nk, sk = spec.natural_key, spec.surrogate
+    tracked = _tracked(spec)
+    j = scd_actions(dim, incoming, spec)
 
     # existing rows: apply SCD1 (all versions), SCD3 / close (current row)
     acts = j.select("__nk", "__action", *[f"n__{c}" for c in tracked],
@@ -161,6 +172,8 @@ def scd_merge(dim: DataFrame, incoming: DataFrame, spec: ScdSpec, run_date: str,
     fresh = built(j.filter(a == "new"), new_member_from, False).unionByName(
         built(j.filter(a == "scd2"), run_date, True))
     base = dim.agg(F.coalesce(F.max(F.when(F.col(sk) > 0, F.col(sk))), F.lit(0)).alias("__base"))
+    if key_base is not None:
+        base = dim.sparkSession.range(1).select(F.lit(key_base).cast("long").alias("__base"))
     keyed = K.global_positions(fresh.drop(sk), [F.col(nk), F.col(spec.valid_from)], "__pos")
     keyed = keyed.crossJoin(F.broadcast(base)).withColumn(sk, (F.col("__base") + F.col("__pos")).cast(
         dim.schema[sk].dataType)).drop("__base", "__pos")
@@ -181,10 +194,12 @@ PLAYER_SPEC = ScdSpec(
     scd2=("position", "sub_position", "agent_name"))
 
 
-def insert_only(dim: DataFrame, incoming: DataFrame, natural_key: str, surrogate: str) -> DataFrame:
+def insert_only(dim: DataFrame, incoming: DataFrame, natural_key: str, surrogate: str, key_base: int | None = None) -> DataFrame:
     """Insert-only member load (managers; prototype SCD1): new natural keys get new keys."""
     new = J.anti_join(incoming.select(natural_key).distinct(), dim.select(natural_key), natural_key)
     base = dim.agg(F.coalesce(F.max(F.when(F.col(surrogate) > 0, F.col(surrogate))), F.lit(0)).alias("__b"))
+    if key_base is not None:
+        base = dim.sparkSession.range(1).select(F.lit(key_base).cast("long").alias("__b"))
     keyed = K.global_positions(new, [F.col(natural_key)], "__pos").crossJoin(F.broadcast(base))
     keyed = keyed.select((F.col("__b") + F.col("__pos")).cast(dim.schema[surrogate].dataType).alias(surrogate),
                          natural_key)
@@ -239,7 +254,8 @@ class LoadWindow:
 
 def load_fact_player_valuation(stg: DataFrame, dim_player: DataFrame, dim_club: DataFrame,
                                existing_fact: DataFrame, window: LoadWindow,
-                               dim_competition: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                               dim_competition: DataFrame | None = None,
+                               keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """Staged valuations -> fact rows + rejects.
 
     Order matters: de-duplicate (latest batch per player and day) → value change by LAG
@@ -259,6 +275,7 @@ def load_fact_player_valuation(stg: DataFrame, dim_player: DataFrame, dim_club:
     done = existing_fact.join(dim_player.select("player_key", "player_id"), "player_key") \
         .select(F.col("player_id").cast("string").alias("player_id"), F.col("date_key").alias("__dk"))
     s = s.withColumn("__dk", X.date_key(F.col("d"))).join(done, ["player_id", "__dk"], "left_anti").drop("__dk")
+    s = keep(s)                                                            # facts and rejects read the same rows
     ok, bad_cast = R.cast_or_reject(s, {"player_id": "int", "market_value": "long", "date_raw": "date"})
     valid, bad_rule = R.validate_or_reject(ok, [
         (F.col("c_player_id").isNull(), "player_id missing"),
@@ -390,7 +407,8 @@ def _rejects(bad_cast: DataFrame, bad_rule: DataFrame, window: LoadWindow, table
 
 
 def load_fact_team_match(stg_club_games: DataFrame, stg_games: DataFrame, dims: dict[str, DataFrame],
-                         existing_fact: DataFrame, window: LoadWindow) -> tuple[DataFrame, DataFrame]:
+                         existing_fact: DataFrame, window: LoadWindow,
+                         keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """Staged club_games (+ games for date, season, competition) -> team × match rows.
 
     dims: match (game_id, match_key), club, competition (competition_id), season
@@ -414,7 +432,7 @@ def load_fact_team_match(stg_club_games: DataFrame, stg_games: DataFrame, dims:
     done = existing_fact.join(dims["match"].select("match_key", "game_id"), "match_key") \
         .join(dims["club"].select("club_key", "club_id"), "club_key") \
         .select(F.col("game_id").cast("string").alias("game_id"), F.col("club_id").cast("string").alias("club_id"))
-    s = s.join(done, ["game_id", "club_id"], "left_anti")                  # natural-key anti-join at source
+    s = keep(s.join(done, ["game_id", "club_id"], "left_anti"))            # natural-key anti-join at source
     ok, bad_cast = R.cast_or_reject(s, {"game_id": "int", "club_id": "int", "own_goals": "int",
                                         "own_position": "int", "opponent_id": "int", "opponent_goals": "int",
                                         "game_date_raw": "date"})
@@ -452,7 +470,8 @@ def load_fact_team_match(stg_club_games: DataFrame, stg_games: DataFrame, dims:
 
 
 def load_fact_player_appearance(stg: DataFrame, stg_games: DataFrame, dims: dict[str, DataFrame],
-                                existing_fact: DataFrame, window: LoadWindow) -> tuple[DataFrame, DataFrame]:
+                                existing_fact: DataFrame, window: LoadWindow,
+                                keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """Staged appearances -> player × match rows, with the range checks of the source."""
     g = stg_games.select(X.clean_text("game_id").alias("game_id"), X.clean_text("season").alias("g_season"),
                          "batch_id", "source_row")
@@ -462,7 +481,7 @@ def load_fact_player_appearance(stg: DataFrame, stg_games: DataFrame, dims: dict
     s = stg.select(*[X.clean_text(c).alias(c) for c in cols], X.clean_date_text("date").alias("date_raw"),
                    "batch_id", "source_row")
     s = D.dedup_latest(s, ["appearance_id"], ["batch_id", "source_row", "date_raw"] + cols[1:])
-    s = s.join(existing_fact.select("appearance_id"), "appearance_id", "left_anti").join(g, "game_id", "left")
+    s = keep(s.join(existing_fact.select("appearance_id"), "appearance_id", "left_anti").join(g, "game_id", "left"))
     ints = ["game_id", "player_id", "player_club_id", "yellow_cards", "red_cards", "goals", "assists",
             "minutes_played"]
     ok, bad_cast = R.cast_or_reject(s, {**{c: "int" for c in ints}, "date_raw": "date"})
@@ -494,7 +513,8 @@ def load_fact_player_appearance(stg: DataFrame, stg_games: DataFrame, dims: dict
 
 
 def load_fact_transfer(stg: DataFrame, dims: dict[str, DataFrame], existing_fact: DataFrame,
-                       window: LoadWindow) -> tuple[DataFrame, DataFrame]:
+                       window: LoadWindow,
+                       keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """Staged transfers -> deals: fee kept NULL when undisclosed (≠ 0 = free / loan), fee
     status and band -> transfer type key, premium, age and youth flag."""
     s = stg.select(
@@ -519,6 +539,7 @@ def load_fact_transfer(stg: DataFrame, dims: dict[str, DataFrame], existing_fact
     s = s.withColumns({"__dk": X.date_key(F.try_to_date(F.col("date_raw"), "yyyy-MM-dd"))})
     s = s.join(done, (s.player_id == done["__pid"]) & (s["__dk"] == done["__dk"]) & (s.from_club_id == done["__f"])
                & (s.to_club_id == done["__t"]), "left_anti").drop("__dk")
+    s = keep(s)
     ok, bad_cast = R.cast_or_reject(s, {"player_id": "int", "date_raw": "date", "from_club_id": "int",
                                         "to_club_id": "int", "transfer_fee": "decimal(19,3)", "mv": "decimal(19,3)"})
     c = F.col
