@@ -15,6 +15,7 @@ from kickstar.plans import checks as C
 from kickstar.plans import dim_loads as D
 from kickstar.plans import questions as Q
 from kickstar.plans import staged as S
+from kickstar.plans import store_queries as M
 from kickstar.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +106,12 @@ QUERIES: dict[str, Query] = {
     "q_load_fact_transfer_rerun": D.load_fact_transfer_rerun,
     "q_load_transfer_rejects": D.transfer_rejects,
     "q_standing_rollup_maintenance": D.standing_rollup_maintenance,
+    "q_load_csv_team_match": S.csv_team_match,
+    "q_load_fact_team_match_rerun": M.load_fact_team_match_rerun,
+    "q_load_fact_player_appearance_rerun": M.load_fact_player_appearance_rerun,
+    "q_mv_read": M.mv_read,
+    "q_mv_reaggregate": M.mv_reaggregate,
+    "q_scd_merge_club_buckets": M.scd_merge_club_buckets,
 }
 
 
