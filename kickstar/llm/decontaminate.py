@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kickstar.llm.common import fraction, masked, stored, unmasked, without, words
+from kickstar.llm.common import fraction, let, masked, stored, unmasked, without, words
 
 
 def _shingles(w: str, lengths: list[int]) -> Column:
@@ -93,8 +93,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, shingl
     # step 5: texts meet their places as they are and are split after that
     verified = stored(rows.select("__id", "__h", F.col(text_col).alias("text"))
                       .join(places.withColumnsRenamed({"__id": "__pid", "__h": "__ph"}), same).drop("__pid", "__ph")
-                      .withColumn("w", words(F.col("text")))
-                      .withColumn("hits", F.array_sort(F.filter("places", lambda p: F.slice("w", p.start + 1, p.m) == p.win)))
+                      .withColumn("hits", let(words(F.col("text")), lambda w: F.array_sort(F.filter(
+                          "places", lambda p: F.slice(w, p.start + 1, p.m) == p.win))))
                       .filter(F.size("hits") > 0)
                       .select("__id", "__h", F.aggregate("hits", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), lambda s, p: F.struct(
                           F.greatest(s.end, p.start + p.m).alias("end"),
