@@ -39,7 +39,7 @@ BREAKS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 _BYTES = bytes(0x0A if c in BREAKS else 0x20 if c in BLANKS else c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 LONGEST = 4
 BLOCK = 2 << 20             # bytes hashed at a time
-KEPT = 3_000_000            # fingerprints that a task holds before it sends them
+KEPT = 2_000_000            # fingerprints that a task holds before it sums or sends them
 FILTER_BITS = 26            # the filter has 2**26 bits, 8 MB
 CHECK_BITS = 16
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -125,14 +125,15 @@ NONE: Table = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int
 
 
 def _summed(tables: list[Table]) -> Table:
-    """One row per fingerprint, in order."""
-    fp, n, doc, check = (np.concatenate(x) for x in zip(*tables))
+    """One row per fingerprint, in order; one column at a time, to hold little at once."""
+    fp = np.concatenate([t[0] for t in tables])
     if not len(fp):
         return NONE
     order = np.argsort(fp)
     fp = fp[order]
     new = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]]))
-    return fp[new], np.add.reduceat(n[order], new), np.minimum.reduceat(doc[order], new), np.add.reduceat(check[order], new)
+    fp = fp[new]
+    return fp, *(how.reduceat(np.concatenate([t[k] for t in tables])[order], new) for k, how in ((1, np.add), (2, np.minimum), (3, np.add)))
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -178,21 +179,24 @@ def _count_blocks(docs: DataFrame, sizes: tuple[int, ...], part: int, bits: byte
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = None if bits is None else np.frombuffer(bits, np.uint8)
-        polys, words, held = _polys(), {}, NONE
+        polys, words, held = _polys(), {}, [NONE]
         for parts, langs, ids in _blocks(batches):
             runs = Runs(parts, langs, polys)
             for lang, k in zip(langs, np.bincount(runs.text, minlength=len(langs)).tolist()):
                 words[lang] = words.get(lang, 0) + k
-            doc, found = np.array(ids, np.int64), [held]
+            doc, found = np.array(ids, np.int64), []
             for n in sizes:
                 fp, ok = _candidates(runs, n, part, table)
                 at = np.flatnonzero(ok)
                 found.append((fp[at], np.ones(len(at), np.int64), doc[runs.text[at]], runs.checks(n, at).astype(np.int64)))
-            held = _summed(found)
-            if len(held[0]) > KEPT:
-                yield from told(held)
-                held = NONE
-        yield from told(held)
+            del runs
+            held.append(_summed(found))
+            if sum(len(t[0]) for t in held) > KEPT:
+                held = [_summed(held)]
+                if len(held[0][0]) > 2 * KEPT // 3:
+                    yield from told(held[0])
+                    held = [NONE]
+        yield from told(_summed(held))
         for lang, k in words.items():
             yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((-1, lang, k, None, None, None, None), schema)], schema=schema)
     return docs.mapInArrow(run, "chunk int, lang string, words long, fp binary, n binary, doc binary, check binary")
