@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kickstar import fixed
+from kickstar.frames import session_memo
 from kickstar.functions import exprs as X
 from kickstar.operators import agg as A
 from kickstar.operators import keys as K
@@ -296,10 +297,24 @@ def standing_rollup(team_match: DataFrame) -> DataFrame:
         F.sum(F.coalesce("goals_against", F.lit(0))).alias("goals_against"))
 
 
+@session_memo
+def stored_standing(spark: SparkSession, sf_dir: str, node: str = "season_club") -> DataFrame:
+    """A stored node of the standing lattice: season x club, or season, which is summed from it."""
+    import hashlib
+    import inspect
+    rule = hashlib.sha1(inspect.getsource(standing_rollup).encode()).hexdigest()[:8]
+    if node == "season":
+        finer = stored_standing(spark, sf_dir)
+        rows = finer.groupBy("season_key").agg(*[F.sum(c).alias(c) for c in finer.columns if c not in ("season_key", "club_key")])
+    else:
+        rows = standing_rollup(star.team_match(spark, sf_dir))
+    return star._store(spark, sf_dir, rows, f"mv_standing_{node}-{rule}", None, True)
+
+
 def bq_mv_standings(spark: SparkSession, sf_dir: str, season: str = SEASON, n: int = 10,
                     rollup: DataFrame | None = None) -> DataFrame:
     """Top clubs read from the stored season × club aggregate (RANK on points, GD)."""
-    mv = rollup if rollup is not None else standing_rollup(star.team_match(spark, sf_dir))
+    mv = rollup if rollup is not None else stored_standing(spark, sf_dir)
     v = mv.join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi") \
         .join(_clubs(spark, sf_dir), "club_key")
     gd = F.col("goals_for") - F.col("goals_against")
@@ -313,8 +328,8 @@ def bq_mv_standings(spark: SparkSession, sf_dir: str, season: str = SEASON, n: i
 
 def bq_mv_season_rates(spark: SparkSession, sf_dir: str, seasons: Sequence[str] = SEASONS_3,
                        rollup: DataFrame | None = None) -> DataFrame:
-    """Season rates re-aggregated from the stored sums (never averages of ratios)."""
-    mv = rollup if rollup is not None else standing_rollup(star.team_match(spark, sf_dir))
+    """Season rates from the stored sums (never averages of ratios), of the season node."""
+    mv = rollup if rollup is not None else stored_standing(spark, sf_dir, "season")
     v = mv.join(_seasons(spark, seasons), "season_key")
     g = v.groupBy("season_label").agg(F.sum("matches").alias("matches"), F.sum("wins").alias("wins"),
                                       F.sum("points").alias("points"))

@@ -12,6 +12,7 @@ from kickstar.frames import literal_frame
 from kickstar.plans import atomic_load as AL
 from kickstar.plans import staged, star
 from kickstar.plans import warehouse as WH
+from kickstar.plans.history import scd2_history
 from kickstar.plans.lattice import Lattice
 from kickstar.session import checkpoint_dir
 from kickstar.sources.store import Store
@@ -86,6 +87,31 @@ def mv_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STANDINGS.answer(_two_batches(spark, STANDINGS, star.team_match(spark, sf_dir)), ("season_key",))
 
 
+HISTORY_SPEC = WH.ScdSpec(natural_key="player_id", surrogate="player_key", scd1=("full_name",), scd2=("agent_name", "position"))
+HISTORY_DATES = ("2024-01-01", "2024-03-01", "2024-05-01", "2024-07-01")
+
+
+def player_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches of players: a third of them changes the agent in each batch, every seventh the
+    name in the second and last, some join late or are left out once."""
+    p = staged.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("player_id"), "c_name", "c_mktsegment")
+    k, out = F.col("player_id"), None
+    for i, date in enumerate(HISTORY_DATES):
+        moves = F.floor((k + i) / 3).cast("long")
+        rows = p.filter((k % 5 != 4) if i == 0 else (k % 11 != i)).select(
+            "player_id", F.lit(date).alias("batch_date"),
+            F.when((k % 7 == 0) & F.lit(i in (1, 3)), F.concat("c_name", F.lit(f" {i}"))).otherwise(F.col("c_name")).alias("full_name"),
+            F.when(moves % 4 == 0, F.lit(None)).otherwise(F.concat(F.lit("Agent "), moves.cast("string"))).alias("agent_name"),
+            F.col("c_mktsegment").alias("position"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def scd2_init(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The players' whole version history from four batches at once."""
+    return scd2_history(player_batches(spark, sf_dir), HISTORY_SPEC, "batch_date")
+
+
 def scd_merge_club_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SCD 1/2/3 club merge on a dimension in buckets: only buckets with a change are written."""
     store = new_store(spark)

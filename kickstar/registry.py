@@ -112,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "q_mv_read": M.mv_read,
     "q_mv_reaggregate": M.mv_reaggregate,
     "q_scd_merge_club_buckets": M.scd_merge_club_buckets,
+    "q_scd2_init_prototype": M.scd2_init,
 }
 
 
