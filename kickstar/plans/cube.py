@@ -132,3 +132,21 @@ def link_role(fact: DataFrame, roles: Mapping[str, str], values: Sequence[str],
     """LINKMEMBER: read the same member in another role — unpivot the role keys once."""
     from kickstar.operators.joins import unpivot_roles
     return unpivot_roles(fact, dict(roles), values, key_name=key_name)
+
+
+def evaluate_sets(fact: DataFrame, dim: DataFrame, key: str, sets: Mapping[str, Column], measures: Sequence[str]) -> DataFrame:
+    """Additive measures of several member sets, which may overlap: (member_set, measures).
+
+    Each member gets a bit mask of the sets it is in; the fact is aggregated once, by member, and
+    every set sums the members that have its bit. (EXISTING scopes and custom group members.)"""
+    if len(sets) > 62:
+        raise ValueError("a mask holds 62 sets")
+    mask = F.lit(0).cast("long")
+    for i, condition in enumerate(sets.values()):
+        mask = mask + F.when(condition, F.lit(1 << i)).otherwise(F.lit(0))
+    members = dim.select(key, mask.alias("__mask"))
+    per_member = M.evaluate(fact, [key], measures).join(members, key)
+    names = M.needed_bases(measures)
+    sums = [F.sum(F.when(F.col("__mask").bitwiseAND(1 << i) != 0, F.col(n))).alias(f"s{i}_{n}") for i in range(len(sets)) for n in names]
+    structs = [F.struct(F.lit(name).alias("member_set"), *[F.col(f"s{i}_{n}").alias(n) for n in names]) for i, name in enumerate(sets)]
+    return per_member.agg(*sums).select(F.explode(F.array(*structs)).alias("__s")).select("__s.*")

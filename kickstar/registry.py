@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kickstar.plans import checks as C
+from kickstar.plans import cube_queries as CQ
 from kickstar.plans import dim_loads as D
 from kickstar.plans import questions as Q
 from kickstar.plans import staged as S
@@ -113,6 +114,11 @@ QUERIES: dict[str, Query] = {
     "q_mv_reaggregate": M.mv_reaggregate,
     "q_scd_merge_club_buckets": M.scd_merge_club_buckets,
     "q_scd2_init_prototype": M.scd2_init,
+    "q_measures_valuation": CQ.measures_valuation,
+    "q_measures_transfer": CQ.measures_transfer,
+    "q_measures_performance": CQ.measures_performance,
+    "q_cube_slice_dice": CQ.slice_dice,
+    "q_existing_scope_sets": CQ.overlapping_sets,
 }
 
 
