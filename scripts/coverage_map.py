@@ -25,13 +25,17 @@ MANUAL = {
  "age_calendar": "`functions/exprs.py` `calendar_age`, `age_in_range`",
  "agg_by_case_bucket": "`functions/exprs.py` `age_bracket4` / `age_group6` as group keys in `q_bq_value_by_age`, `q_m3_peak_age`",
  "agg_over_agg": "aggregate then window: `q_bq_fee_matrix_cube`, `q_bq_market_grouping_sets` (share over the grouped rows)",
- "anti_join_existing_fact": "`operators/joins.py` `anti_join` on natural keys in `plans/warehouse.py` fact loads (`q_load_fact_*`); `incremental_append`",
+ "anti_join_existing_fact": "`operators/joins.py` `anti_join` on natural keys in `plans/warehouse.py` fact loads (`q_load_fact_*`); `incremental_append`; over the key index `plans/atomic_load.py` `existing_rows`: `q_load_fact_team_match_rerun`, `q_load_fact_player_appearance_rerun`",
  "anti_join_new_members": "`operators/joins.py` `anti_join` in `plans/warehouse.py` `insert_only`, `inferred_clubs`",
+ "csv_raw_source": "`sources/csv_records.py` `csv_table` (byte ranges, quote parity, row numbers): `q_load_csv_team_match`",
+ "audit_columns": "`sources/staging.py` `audit_columns`, `stage_csv`: `q_load_csv_team_match`",
+ "staging_full_refresh": "`sources/staging.py` `staging_full_refresh`, `stage_csv`: `q_load_csv_team_match`",
+ "source_reconcile": "`sources/staging.py` `reconcile_records`, `record_differences`, `source_reconcile` (tests/test_csv_records.py)",
  "asof_scd1_lookup": "`operators/joins.py` `lookup_key` (left lookup)",
  "avg_conditional": "AVG of a CASE as a ratio of conditional sums (`operators/agg.py` `ratio_of_sums`): `q_m6_free_youth_rates` (free share, pro age)",
  "avg_ignore_null": "`avg` over nullable values in `q_bq_value_by_age`, `q_m3_peak_age`, `plans/quality.py` `segment_profile`; sum / count(col) in `q_m5_premium`",
  "batch_id_gen": "`sources/staging.py` `batch_id_for`, `batch_id_col`",
- "batch_journal": "`plans/warehouse.py` `journal_start`, `journal_finish`; `plans/load.py` `run_load` (tests/test_run_load.py)",
+ "batch_journal": "`plans/warehouse.py` `journal_start`, `journal_finish`; `plans/load.py` `run_load` (tests/test_run_load.py); `sources/store.py` `Store.journal` (tests/test_atomic_load.py)",
  "bucket_by_position": "`operators/windows.py` `ntile_of_position` (`q_bq_spend_quartiles`)",
  "budget": "`fixed.py` `BUDGET_EUR`; `plans/kpi.py` `kpi_net_spend_budget` (`q_c_kpi_net_spend_budget`)",
  "c_kpi_checks": "`plans/kpi.py` `evaluate_kpi`: the five `q_c_kpi_*` queries",
@@ -58,14 +62,14 @@ MANUAL = {
  "dq_single_current": "`plans/quality.py` `integrity` (`club_multi_current_errors`, `player_multi_current_errors`): `q_dq_integrity`",
  "dq_unique": "`plans/quality.py` `integrity` (duplicate keys of appearance / valuation / transfer): `q_dq_integrity`",
  "exclude_codes": "`functions/exprs.py` `is_excluded_code`: `q_inferred_clubs`",
- "existing_scope": "`plans/cube.py` `cube_slice` then `plans/measures.py` `evaluate` on the sliced facts",
- "fee_disclosed": "`functions/exprs.py` `flag_not_null`",
+ "existing_scope": "`plans/cube.py` `evaluate_sets` (bit mask per member): `q_existing_scope_sets`; `cube_slice`: `q_cube_slice_dice`",
+ "fee_disclosed": "`functions/exprs.py` `flag_not_null`; `m_fee_disclosed` in `q_measures_transfer`",
  "gen_dim_season": "`plans/star.py` `dim_season` (`spark.range` 1990..2030 + unknown member)",
  "gen_dim_transfer_type": "`plans/star.py` `dim_transfer_type` (literal rows, `fixed.TRANSFER_TYPES`)",
  "grain_pair_check": "`operators/joins.py` `one_row` (1-row aggregates side by side): `q_dq_integrity`, `q_dq_window_max`",
  "grouping_flags": "`grouping()` / `grouping_id()` in `q_bq_goals_rollup`, `q_bq_fee_matrix_cube`, `q_bq_market_grouping_sets`",
  "grouping_sets_agg": "`operators/agg.py` `grouping_sets`: `q_bq_market_grouping_sets`",
- "has_age": "`functions/exprs.py` `flag_not_null`, `null_to_zero_key`",
+ "has_age": "`functions/exprs.py` `flag_not_null`, `null_to_zero_key`; `m_has_age` in `q_measures_valuation`",
  "having_filter": "`.agg().filter()` thresholds: `q_bq_manager_ppm`, `q_bq_top_scorers`, `q_p5_strict_referees`, `q_c_manager_win_rate50`",
  "home_match": "`functions/exprs.py` `is_home`; `is_win * is_home` in `plans/measures.py`",
  "iif_empty_guard": "`functions/exprs.py` `safe_ratio`; `operators/agg.py` `ratio_of_sums` (`try_divide`)",
@@ -79,8 +83,8 @@ MANUAL = {
  "math_fns": "`round`, `abs`, `%`, casts throughout `functions/exprs.py` and `plans/star.py`",
  "max_agg": "`max(league_position)` in `q_t6_season_form`; peak values in `q_m3_peak_age`",
  "moving_avg_3": "`rowsBetween(-2, 0)` in `q_bq_player_career`; `operators/windows.py` `running(frame=...)`",
- "mv_read": "`q_bq_mv_standings` (rank from the stored rollup)",
- "mv_reaggregate": "`q_bq_mv_season_rates` (coarser level from stored sums)",
+ "mv_read": "`questions.stored_standing` (`q_bq_mv_standings`); `plans/lattice.py`: `q_mv_read`",
+ "mv_reaggregate": "stored season node (`q_bq_mv_season_rates`); `plans/lattice.py` with exact distinct counts: `q_mv_reaggregate`",
  "named_set_head": "`plans/cube.py` `top_count` (ordered set, first n) with the set's count: `q_bq_spend_quartiles`",
  "not_exists_code_audit": "`plans/warehouse.py` `code_audit` (five checks, one row per source row; tests/test_loads.py)",
  "ntile_4": "`operators/windows.py` `with_ntile` (positions from one written copy): `q_bq_quartile_summary`",
@@ -99,7 +103,7 @@ MANUAL = {
  "scd1_insert_only": "`plans/warehouse.py` `insert_only`: `q_load_dim_manager`",
  "scd1_merge_competition": "`plans/warehouse.py` `scd_merge` + `load.COMPETITION_SPEC`: `q_load_dim_competition`",
  "scd1_merge_match": "`plans/warehouse.py` `scd_merge` + `load.MATCH_SPEC`: `q_load_dim_match`",
- "scd2_init_prototype": "covered by `plans/warehouse.py` `scd_merge` / `insert_only` (prototype variant not repeated; README)",
+ "scd2_init_prototype": "`plans/history.py` `scd2_history`: `q_scd2_init_prototype`",
  "scd2_new_version_club": "`plans/warehouse.py` `scd_merge` + `CLUB_SPEC`: `q_scd_merge_club`",
  "scd2_new_version_player": "`plans/warehouse.py` `scd_merge` + `PLAYER_SPEC`: `q_load_dim_player`",
  "season_labels": "`functions/exprs.py` `season_label`, `season_short`",
@@ -117,9 +121,16 @@ MANUAL = {
  "union_all_sql": "`plans/quality.py` `row_counts` / `batch_delta` (stacked blocks)",
 }
 
+from kickstar.plans import cube_queries as CQ  # noqa: E402
+for query, names in (("q_measures_valuation", CQ.VALUATION), ("q_measures_transfer", CQ.TRANSFER), ("q_measures_performance", CQ.PERFORMANCE)):
+    for name in names:
+        MANUAL.setdefault(name, f"`plans/measures.py`: `{query}`")
+for name in ("cube_slice", "cube_dice", "top_count", "filter_members", "non_empty", "rank_in_set"):
+    MANUAL.setdefault(name, "`q_cube_slice_dice`")
+
 lines = ["# COVERAGE — SURVEY §2 operator inventory, id by id", "",
          "Where each §2 id lives. `q_…` = registered query (Spark vs DuckDB oracle at sf0.01);",
-         "other entries are library operators with fixture tests under `tests/`.", ""]
+         "other entries are library operators without a query of their own.", ""]
 cur = None
 missing = []
 for heading, id_ in rows:
