@@ -168,6 +168,20 @@ d AS (SELECT source, lang, CASE WHEN quality = 1 THEN 'words-2' ELSE 'space-word
 SELECT source, lang, tokenizer, count(*) AS n_docs, sum(n)::BIGINT AS n_tokens FROM d GROUP BY ALL
 """
 
+OP11 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS m FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS p FROM d WHERE length(h) >= 200)),
+r AS (SELECT doc_id, p FROM (SELECT *, row_number() OVER (PARTITION BY m ORDER BY doc_id, p) AS n FROM w) WHERE n > 1),
+b AS (SELECT *, CASE WHEN p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 1 ELSE 0 END AS gap FROM r),
+s AS (SELECT doc_id, min(p) AS lo, max(p) + 100 AS hi FROM (SELECT *, sum(gap) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM b) GROUP BY doc_id, run),
+k AS (SELECT doc_id, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY lo) AS lo, lo AS hi FROM s
+      UNION ALL SELECT doc_id, coalesce(max(hi), 0), max(length(h) // 2) FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id),
+t AS (SELECT doc_id, string_agg(substr(h, 2 * lo + 1, 2 * (hi - lo)), '' ORDER BY lo) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id),
+n AS (SELECT doc_id, sum(hi - lo) AS n, count(*) AS spans FROM s GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n.n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN t USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
 OP12 = f"""
 WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UP}', '{LOW}') AS t FROM documents),
 p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
@@ -247,5 +261,5 @@ LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN sha ON sha.con
 #: op8 is left out: SQL has no byte-pair encoding; tests compare it with the library.
 SQL = {"op1_warc": OP1, "op2_license_scan": _op2(), "op3_quality_rules": _op3(), "op4_url_rules": OP4, "op5_mixing": OP5,
        "op6_decontamination": OP6, "op7_ngram_jaccard": OP7, "op9_line_dedup": OP9, "op10_token_counts": OP10,
-       "op12_collocations": OP12,
+       "op11_suffix_dedup": OP11, "op12_collocations": OP12,
        "op13_conversation_repair": _op13()}
