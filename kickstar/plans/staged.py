@@ -324,8 +324,9 @@ def asof_club_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     The deals are counted per (club, date) first — a partial aggregate, so a club with a
     third of all deals reaches the shuffle as one row per task and day — and the as-of
     join runs on those counts; every deal of a (club, date) resolves to the same version."""
+    from kickstar.frames import materialize
     from kickstar.operators.joins import asof_version_join
-    dim = scd_merge_club(spark, sf_dir)
+    dim = materialize(scd_merge_club(spark, sf_dir), "club-versions")      # read three times below
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate")
     ft = li.groupBy(F.col("l_suppkey").alias("club_id"), F.to_date("l_shipdate").alias("transfer_date")) \
         .agg(F.count(F.lit(1)).alias("__n"))
