@@ -223,7 +223,7 @@ def bq_home_advantage(spark: SparkSession, sf_dir: str, min_matches: int = 20, t
     }
     per = tm.groupBy("competition_key", "club_key").agg(*[c.alias(n) for n, c in sums.items()])
     comp = star.dim_competition(spark, sf_dir).select("competition_key", "competition_name")
-    per = per.join(F.broadcast(comp), "competition_key").join(_clubs(spark, sf_dir), "club_key")
+    per = per.join(comp, "competition_key").join(_clubs(spark, sf_dir), "club_key")
     g = per.groupBy("competition_name", "club_name").agg(*[F.sum(n).alias(n) for n in sums])
     g = g.filter(F.col("total_matches") >= min_matches)
     hw = A.ratio_of_sums(F.col("home_wins"), F.col("home_matches"), 100.0)
@@ -241,7 +241,7 @@ def bq_home_advantage(spark: SparkSession, sf_dir: str, min_matches: int = 20, t
 def _manager_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     tm = star.team_match(spark, sf_dir, with_manager=True).filter(F.col("manager_key") != -1)
     per = tm.groupBy("manager_key").agg(*[c.alias(n) for n, c in team_sums().items()])
-    per = per.join(F.broadcast(star.dim_manager(spark, sf_dir)), "manager_key")
+    per = per.join(star.dim_manager(spark, sf_dir), "manager_key")
     return per.groupBy("manager_name").agg(*[F.sum(n).alias(n) for n in TEAM_MEASURES])
 
 
@@ -268,7 +268,7 @@ def bq_goals_rollup(spark: SparkSession, sf_dir: str, season: str = SEASON) -> D
     per = tm.groupBy("competition_key").agg(A.count_rows().alias("n"), F.sum("goals_for").alias("gf"),
                                             F.sum("is_clean_sheet").alias("cs"))
     comp = star.dim_competition(spark, sf_dir)
-    per = per.join(F.broadcast(comp), "competition_key")
+    per = per.join(comp, "competition_key")
     r = per.rollup("confederation", "country_name", "competition_name").agg(
         F.grouping_id().alias("grouping_level"), F.grouping("confederation").alias("g_conf"),
         F.grouping("country_name").alias("g_country"), F.grouping("competition_name").alias("g_comp"),
@@ -370,7 +370,7 @@ def bq_top_scorers(spark: SparkSession, sf_dir: str, min_minutes: int = 45, min_
             "total_goals": F.sum("goals"), "total_assists": F.sum("assists")}
     per = fa.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items()])
     per = (per.join(F.broadcast(star.dim_season(spark).select("season_key", "season_label")), "season_key")
-           .join(F.broadcast(star.dim_competition(spark, sf_dir).select("competition_key", "competition_name")),
+           .join(star.dim_competition(spark, sf_dir).select("competition_key", "competition_name"),
                  "competition_key")
            .join(_players(spark, sf_dir, "full_name"), "player_key")
            .join(_clubs(spark, sf_dir), "club_key"))
@@ -429,7 +429,7 @@ def p4_goals_by_position(spark: SparkSession, sf_dir: str, season: str = "1997/9
                          competitions: Sequence[str] = FIVE_COMPETITIONS) -> DataFrame:
     fa = _appearances(spark, sf_dir, season, competitions).filter(F.col("player_key") > 0)
     pl = star.dim_player(spark, sf_dir).filter(F.col("position") != fixed.UNKNOWN).select("player_key", "position")
-    comp = F.broadcast(star.dim_competition(spark, sf_dir).select("competition_key", "competition_name"))
+    comp = star.dim_competition(spark, sf_dir).select("competition_key", "competition_name")
     return M.evaluate(fa, ["competition_name", "position"], ["m_goals", "m_assists", "m_minutes"],
                       dims=[(pl, "player_key"), (comp, "competition_key")]) \
         .select("competition_name", "position", F.col("m_goals").alias("goals"),
@@ -537,7 +537,7 @@ def d5_cards_drilldown(spark: SparkSession, sf_dir: str, confederation: str = "E
     comp = star.dim_competition(spark, sf_dir).select("competition_key", "confederation", "country_name")
     out = cube.cube_drilldown(_appearances(spark, sf_dir, season), "confederation", confederation, "country_name",
                               ["total_cards", "cards_per_match"], "cards_per_match",
-                              dims=[(F.broadcast(comp), "competition_key")])
+                              dims=[(comp, "competition_key")])
     return out.select("country_name", F.col("m_distinct_matches").alias("matches"), "total_cards",
                       "cards_per_match")
 
@@ -795,12 +795,12 @@ def m6_free_youth_rates(spark: SparkSession, sf_dir: str, seasons: Sequence[str]
 
 def _tm_dims(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, str]]:
     return {
-        "competition": (F.broadcast(star.dim_competition(spark, sf_dir)
-                                    .select("competition_key", "competition_name", "confederation", "country_name")),
+        "competition": (star.dim_competition(spark, sf_dir)
+                        .select("competition_key", "competition_name", "confederation", "country_name"),
                         "competition_key"),
         "season": (F.broadcast(star.dim_season(spark).select("season_key", "season_label")), "season_key"),
         "club": (_clubs(spark, sf_dir), "club_key"),
-        "manager": (F.broadcast(star.dim_manager(spark, sf_dir)), "manager_key"),
+        "manager": (star.dim_manager(spark, sf_dir), "manager_key"),
     }
 
 
@@ -967,7 +967,7 @@ def cube_hierarchy_goals(spark: SparkSession, sf_dir: str, season: str = SEASON)
     tm = star.team_match(spark, sf_dir, ship_range=star.season_span([season])) \
         .join(_seasons(spark, [season]).select("season_key"), "season_key", "left_semi")
     per = tm.groupBy("competition_key").agg(A.count_rows().alias("n"), F.sum("goals_for").alias("gf"))
-    per = per.join(F.broadcast(star.dim_competition(spark, sf_dir)), "competition_key")
+    per = per.join(star.dim_competition(spark, sf_dir), "competition_key")
     h = cube.cube_hierarchy_totals(per, ["confederation", "country_name", "competition_name"],
                                    {"team_matches": F.sum("n"), "goals": F.sum("gf")})
     return h.select("confederation", "country_name", "competition_name", F.col("depth").cast("int").alias("depth"),

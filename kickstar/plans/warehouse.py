@@ -683,7 +683,7 @@ def club_incoming(stg_clubs: DataFrame, stg_national_teams: DataFrame, dim_compe
                                     F.col("competition_name").alias("league_name"),
                                     F.col("country_name").alias("league_country"),
                                     F.col("confederation").alias("league_confederation"))
-    j = both.join(F.broadcast(league), "current_league_id", "left")   # competitions: a bounded list
+    j = both.join(league, "current_league_id", "left")
     is_club = F.col("club_type") == "Club"
     return j.select(
         F.col("club_id").cast("long").alias("club_id"),
