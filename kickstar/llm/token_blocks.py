@@ -85,7 +85,7 @@ class Encoder:
     normaliser, or a text has special tokens or doubtful white space, texts are encoded
     whole. At most twice ``keep`` results of either kind are remembered."""
 
-    def __init__(self, path: str, keep: int = 200_000):
+    def __init__(self, path: str, keep: int = 750_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")      # Spark runs a task per core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
