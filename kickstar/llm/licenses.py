@@ -200,7 +200,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base:
     templates; ``spans`` lists every accepted place (words, end exclusive); ``score`` is the
     largest :func:`weight` of what was found, else 0. A null or empty text has no words and
     empty labels. Rows with a null id and repeated rows each keep a row; other columns are
-    not read."""
+    not read. Very long texts are scanned whole; an empty table gives no rows."""
     base_runs = [(t.label, split_words(t.markup)) for t in base]
     machines = [(t.label, weight(mandatory_words(t.markup)), Automaton(t.markup)) for t in templates]
     heads: dict[str, tuple[list, list]] = {}
