@@ -17,7 +17,8 @@ from kickstar.plans import dim_loads as D
 from kickstar.plans import questions as Q
 from kickstar.plans import staged as S
 from kickstar.plans import store_queries as M
-from kickstar.session import configure
+from kickstar.session import configure, size_shuffles
+from kickstar.sources.driver import input_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,9 +124,11 @@ QUERIES: dict[str, Query] = {
 
 
 def _configured(fn: Query) -> Query:
-    """Fill unset session settings (AQE, skew joins, checkpoint folder) before planning."""
+    """Fill unset session settings (AQE, skew joins, checkpoint folder, shuffles by the size of
+    the input) before planning."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
+        size_shuffles(spark, input_bytes(spark, sf_dir))
         return fn(spark, sf_dir)
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__

@@ -25,15 +25,47 @@ DEFAULTS = {
 }
 
 
+# Sizes of the pieces that the warehouse's queries work on: a task sorts or hashes what it reads
+# and shuffled rows unpack to many times their bytes, so pieces stay well below a task's memory.
+PIECES = {
+    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+}
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+#: Bytes of the input (compressed columns) for each partition that a shuffle begins with.
+INPUT_BYTES_A_PARTITION = 2 << 20
+_set_here: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    conf = spark.conf
-    for key, value in DEFAULTS.items():
-        if conf.get(key, None) in (None, ""):
-            conf.set(key, value)
+    _fill(spark, DEFAULTS)
     checkpoint_dir(spark)
     return spark
 
 
+def _fill(spark: SparkSession, settings: dict[str, str]) -> None:
+    for key, value in settings.items():
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)
+
+
+def partitions_for(input_bytes: int, shuffle_partitions: int) -> int:
+    return max(shuffle_partitions, -(-input_bytes // INPUT_BYTES_A_PARTITION))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Begin shuffles with partitions in number to the input, which adaptive execution merges to
+    its advisory size: with a fixed number, a partition grows with the input until its sort or
+    hash table spills. A number that the session was given stays."""
+    _fill(spark, PIECES)
+    session = spark._jsparkSession.sessionUUID()
+    now = spark.conf.get(INITIAL_PARTITIONS, None)
+    if now not in (None, "", _set_here.get(session)):
+        return
+    _set_here[session] = str(partitions_for(input_bytes, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    spark.conf.set(INITIAL_PARTITIONS, _set_here[session])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and snapshot tables.
 

@@ -15,12 +15,14 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kickstar.frames import session_id, source_fingerprint
+from kickstar.frames import path_exists, session_id, source_fingerprint
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
+#: The tables that the warehouse is derived from.
+WAREHOUSE_TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")
 _CACHE: dict[tuple, tuple[str, DataFrame]] = {}
 
 
@@ -41,6 +43,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _CACHE[key][1]
 
 
+def input_bytes(spark: SparkSession, sf_dir: str, names=WAREHOUSE_TABLES) -> int:
+    """Bytes of the tables' files (file-system metadata, no job); a missing table has none."""
+    out = 0
+    for name in names:
+        if path_exists(spark, path(sf_dir, name)):
+            p = spark._jvm.org.apache.hadoop.fs.Path(path(sf_dir, name))
+            out += p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return out
+
+
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose the driver tables to ``spark.sql`` under their own names."""
     for name in names:
