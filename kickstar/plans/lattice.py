@@ -1,9 +1,11 @@
 """A stored lattice of additive aggregates, and the rule that answers a level from it.
 
 A node holds the measures of a fact at some of its columns: sums, counts, and exact distinct
-counts as bitmaps. A bitmap row says which keys of one bucket of 32 768 consecutive keys
-occur; rows of a bucket are united, and as buckets are disjoint their bit counts add up to the
-exact count at any level.
+counts as bitmaps. A bitmap row says which keys of one bucket of 64 consecutive keys occur, as
+the bits of one long; rows of a bucket are united, and as buckets are disjoint their bit counts
+add up to the exact count at any level. A row holds one key at least, so a node never has more
+of them than the fact has rows, however many keys there are, and where keys lie close it has
+up to 64 times fewer.
 
 A batch of fact rows is aggregated once, to the finest node; each coarser node gets its rows from
 the smallest node that holds its columns. Batches append rows; a read sums or unites them, so no
@@ -41,14 +43,15 @@ class Lattice:
         sums = {finest: run.append(self.table(finest), rows.groupBy(*finest).agg(*[value(c).alias(m) for m, c in self.sums]))}
         maps: dict[tuple, dict] = {finest: {}}
         for m, c in self.distinct:
-            bits = (rows.filter(F.col(c) >= 0).groupBy(*finest, F.bitmap_bucket_number(F.col(c) + 1).alias("bucket"))
-                    .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(c) + 1)).alias("bits")))
+            key = F.col(c).cast("long")
+            bits = (rows.filter(key >= 0).groupBy(*finest, F.shiftright(key, 6).alias("bucket"))
+                    .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), key.bitwiseAND(63).cast("int"))).alias("bits")))
             maps[finest][m] = run.append(self.table(finest, m), bits)
         counts = {finest: sums[finest].count()}
         for node in sorted(self.nodes[1:], key=len, reverse=True):
             source = min((n for n in sums if set(node) <= set(n)), key=lambda n: counts[n])
             sums[node] = run.append(self.table(node), sums[source].groupBy(*node).agg(*[F.sum(m).alias(m) for m, _ in self.sums]))
-            maps[node] = {m: run.append(self.table(node, m), maps[source][m].groupBy(*node, "bucket").agg(F.bitmap_or_agg("bits").alias("bits")))
+            maps[node] = {m: run.append(self.table(node, m), maps[source][m].groupBy(*node, "bucket").agg(F.bit_or("bits").alias("bits")))
                           for m, _ in self.distinct}
             counts[node] = sums[node].count()
 
@@ -69,8 +72,8 @@ class Lattice:
 
         out = read().groupBy(*level).agg(*[F.sum(m).alias(m) for m, _ in self.sums])
         for m, _ in self.distinct:
-            united = read(m).groupBy(*level, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-            count = united.groupBy(*level).agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).cast("long").alias(m))
+            united = read(m).groupBy(*level, "bucket").agg(F.bit_or("bits").alias("bits"))
+            count = united.groupBy(*level).agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).cast("long").alias(m))
             if level:
                 same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in level]
                 out = out.alias("l").join(count.alias("r"), same, "left").select("l.*", F.coalesce(f"r.{m}", F.lit(0)).alias(m))

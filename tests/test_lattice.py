@@ -37,6 +37,19 @@ def test_lattice_equals_the_fact_after_every_batch(spark):
         LATTICE.node_for(store, ("x",))
 
 
+def test_distinct_rows_stay_small_with_keys_far_apart(spark):
+    """A row of a distinct node holds one long, not a bitmap of 4 KB, so its bytes follow the fact's rows."""
+    fact = spark.range(400).selectExpr("cast(id % 4 as int) a", "cast(id % 2 as int) b", "cast(id as int) c", "1 v", "id * 100000 p")
+    store = Store(spark, tempfile.mkdtemp(prefix="kickstar-mv-"))
+    run = store.begin("b")
+    LATTICE.append(run, fact)
+    run.commit()
+    for node in LATTICE.nodes:
+        bits = store.read(LATTICE.table(node, "players"))
+        assert bits.schema["bits"].dataType.simpleString() == "bigint" and bits.count() <= 400
+    assert LATTICE.answer(store, ()).first().players == 400
+
+
 def test_stored_standing_is_read(spark):
     plan = Q.bq_mv_season_rates(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     files = Q.stored_standing(spark, SF_SMALL, "season").inputFiles()
