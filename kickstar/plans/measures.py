@@ -176,10 +176,11 @@ def evaluate(fact: DataFrame, level: Sequence[str], measures: Sequence[str],
     for dim, key in dims:
         wanted = [c for c in level if c in dim.columns and c != key]
         pre = pre.join(dim.select(key, *wanted), key)
-    # 3. final level
+    # 3. final level; with one distinct column and the level of the fact alone, step 1 left each value once
+    once = len(distinct) == 1 and set(keys) == {*level, distinct[0].column}
     out = pre.groupBy(*level).agg(
         *[F.sum(b.name).alias(b.name) for b in additive],
-        *[F.count_distinct(b.column).alias(b.name) for b in distinct])
+        *[(F.count if once else F.count_distinct)(b.column).alias(b.name) for b in distinct])
     # 4. calculated members
     calcs = [CALCS[m] for m in measures if m in CALCS]
     if calcs:
