@@ -268,7 +268,7 @@ def load_fact_player_valuation(stg: DataFrame, dim_player: DataFrame, dim_club:
         X.blank_to_code("player_club_domestic_competition_id").alias("competition_id"),
         "batch_id", F.col("source_row"))
     s = s.withColumn("d", F.try_to_date(F.col("date_raw"), "yyyy-MM-dd"))
-    s = D.dedup_latest(s, [F.col("player_id"), F.col("d")], ["batch_id", "source_row"])
+    s = D.dedup_latest(s, ["player_id", "d"], ["batch_id", "source_row"])
     mv = F.col("market_value").try_cast("long")
     w = Window.partitionBy("player_id").orderBy("d")     # ≤ one row per day per player
     s = s.withColumn("value_change_eur", mv - F.lag(mv).over(w))

@@ -37,3 +37,22 @@ def test_dedup_latest_batch(spark):
                                 ("p2", "2024-01-01", "BATCH_1", 3, 5)], "k string, d string, b string, r int, v int")
     out = {r.k: r.v for r in D.dedup_latest(df, ["k", "d"], ["b", "r"]).collect()}
     assert out == {"p1": 200, "p2": 5}
+
+
+def test_dedup_latest_carries_each_column_once(spark):
+    df = spark.createDataFrame([(1, "a", 1, "x"), (1, "b", 1, "y"), (1, None, 2, None), (None, "c", 1, "z")], "k int, v string, r int, w string")
+    out = D.dedup_latest(df, ["k"], ["r", "v"])
+    assert out.columns == df.columns and sorted(map(tuple, out.collect()), key=repr) == sorted([(1, None, 2, None), (None, "c", 1, "z")], key=repr)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by" not in plan and "__ord" not in plan
+
+
+def test_one_distinct_measure_of_the_fact_is_counted_once(spark):
+    from pyspark.sql import functions as F
+
+    from kickstar.plans import measures as M
+    fact = spark.createDataFrame([(1, 5, 1, 0), (1, 5, 0, 1), (1, None, 1, 0), (2, 6, 0, 0), (None, 6, 1, 1)], "club_key int, match_key long, yellow_cards int, red_cards int")
+    got = M.evaluate(fact, ["club_key"], ["cards_per_match"])
+    want = fact.groupBy("club_key").agg(F.count_distinct("match_key").alias("n"))
+    assert {r.club_key: r.m_distinct_matches for r in got.collect()} == {r.club_key: r.n for r in want.collect()}
+    assert "distinct" not in got._jdf.queryExecution().analyzed().toString().lower().replace("m_distinct_matches", "")
