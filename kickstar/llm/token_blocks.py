@@ -56,11 +56,13 @@ def byte_characters() -> dict[int, str]:
 
 class _Kept(dict):
     """Results of ``make`` by key, in two generations: when ``keep`` keys are held they become the
-    old ones, and an old key that is asked for again is held anew, so frequent keys stay. Long
-    keys are not held."""
+    old ones, and an old key that is asked for again is held anew, so frequent keys stay. A key is
+    held from its second time on (a table of one byte per hash value remembers the first), as
+    most keys of a text come once. Long keys are not held."""
+    SLOTS = 1 << 22
 
     def __init__(self, make, keep: int):
-        self.make, self.keep, self.old = make, keep, {}
+        self.make, self.keep, self.old, self.seen = make, keep, {}, bytearray(self.SLOTS)
 
     def __missing__(self, key: str) -> bytes:
         value = self.old.get(key)
@@ -68,8 +70,12 @@ class _Kept(dict):
             value = self.make(key)
             if len(key) > 64:
                 return value
+            slot = hash(key) % self.SLOTS
+            if not self.seen[slot]:
+                self.seen[slot] = 1
+                return value
         if len(self) >= self.keep:
-            self.old = dict(self)
+            self.old, self.seen = dict(self), bytearray(self.SLOTS)
             self.clear()
         self[key] = value
         return value
@@ -85,7 +91,7 @@ class Encoder:
     normaliser, or a text has special tokens or doubtful white space, texts are encoded
     whole. At most twice ``keep`` results of either kind are remembered."""
 
-    def __init__(self, path: str, keep: int = 750_000):
+    def __init__(self, path: str, keep: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")      # Spark runs a task per core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
