@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kickstar import fixed
+from kickstar.frames import materialize
 from kickstar.functions import exprs as X
 from kickstar.plans import star, warehouse as WH
 from kickstar.sources.driver import table
@@ -76,28 +77,32 @@ TRANSFER_WINDOW = WH.LoadWindow("1995-01-01", "1999-12-31", "BATCH_TR_1")
 
 
 def stg_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                                                 "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus",
-                                                 "l_shipdate")
+    """The lines move twice, to their part and to their order: what follows from a line alone (the
+    special codes of fee and club, the price that counts) is worked out before, texts after."""
+    li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     ns = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("_n"))
-    df = li.join(o, li.l_orderkey == o.o_orderkey).join(part, li.l_partkey == part.p_partkey) \
-        .crossJoin(F.broadcast(ns))
     c = F.col
-    to_club = (F.when(c("l_linenumber") == 7, F.lit("515"))
-               .when((c("l_linenumber") == 6) & (c("l_returnflag") == "N"), F.lit("75"))
-               .otherwise(((c("l_suppkey") + 3 * c("l_linenumber")) % c("_n")).cast("string")))
-    fee = (F.when(c("l_returnflag") == "R", F.lit(None).cast("string"))
-           .when((c("l_returnflag") == "A") & (c("l_linestatus") == "O"), F.lit("0"))
-           .when((c("l_returnflag") == "A") & (F.round(c("l_discount") * 100).cast("int") == 0), F.lit("-1"))
-           .otherwise(F.concat(F.round(c("l_extendedprice") * 1000).cast("long").cast("string"), F.lit(".000"))))
+    flag = c("l_returnflag")
+    free, refused = (flag == "A") & (c("l_linestatus") == "O"), (flag == "A") & (F.round(c("l_discount") * 100) == 0)
+    lines = li.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate",
+        F.when(c("l_linenumber") == 7, F.lit("515")).when((c("l_linenumber") == 6) & (flag == "N"), F.lit("75")).alias("to_code"),
+        F.when((flag == "R"), F.lit(None).cast("string")).when(free, F.lit("0")).when(refused, F.lit("-1")).alias("fee_code"),
+        F.when((flag == "R") | free | refused, F.lit(None).cast("double")).otherwise(c("l_extendedprice")).alias("price"))
+    priced = lines.join(part, lines.l_partkey == part.p_partkey).select(
+        "l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate", "to_code", "fee_code", "price",
+        F.round(c("p_retailprice") * c("l_quantity") * 1000).alias("mv"))
+    df = priced.join(o, priced.l_orderkey == o.o_orderkey).crossJoin(F.broadcast(ns))
+    to_club = F.coalesce(c("to_code"), ((c("l_suppkey") + 3 * c("l_linenumber")) % c("_n")).cast("string"))
+    fee = F.coalesce(c("fee_code"), F.concat(F.round(c("price") * 1000).cast("long").cast("string"), F.lit(".000")))
     return df.select(
         c("o_custkey").cast("string").alias("player_id"), c("l_shipdate").cast("string").alias("transfer_date"),
         X.season_short(F.year("l_shipdate")).alias("transfer_season"), c("l_suppkey").cast("string").alias("from_club_id"),
         to_club.alias("to_club_id"), F.lit(None).cast("string").alias("from_club_name"),
         F.lit(None).cast("string").alias("to_club_name"), fee.alias("transfer_fee"),
-        F.round(c("p_retailprice") * c("l_quantity") * 1000).cast("long").cast("string").alias("market_value_in_eur"),
+        c("mv").cast("long").cast("string").alias("market_value_in_eur"),
         F.lit(None).cast("string").alias("player_name"),
         F.date_format("o_orderdate", "'BATCH_'yyyyMMdd").alias("batch_id"),
         (c("l_orderkey") * 8 + c("l_linenumber")).alias("source_row"))
@@ -206,9 +211,16 @@ def load_fact_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact
 
 
+def written_clubs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The club dimension as a load finds it, written: the planner knows the size of its lookups and
+    broadcasts them as long as they are small (of a derived one it assumes the worst, and moves
+    the facts to every lookup)."""
+    return materialize(star.dim_club(spark, sf_dir), "dim-club")
+
+
 def load_dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     player = star.dim_player(spark, sf_dir).withColumn("is_current", F.lit(True))
-    club = star.dim_club(spark, sf_dir)
+    club = written_clubs(spark, sf_dir)
     comp = star.dim_competition(spark, sf_dir)
     return player, club, comp
 
@@ -324,7 +336,6 @@ def asof_club_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     The deals are counted per (club, date) first — a partial aggregate, so a club with a
     third of all deals reaches the shuffle as one row per task and day — and the as-of
     join runs on those counts; every deal of a (club, date) resolves to the same version."""
-    from kickstar.frames import materialize
     from kickstar.operators.joins import asof_version_join
     dim = materialize(scd_merge_club(spark, sf_dir), "club-versions")      # read three times below
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate")

@@ -276,12 +276,11 @@ def load_fact_player_valuation(stg: DataFrame, dim_player: DataFrame, dim_club:
         .select(F.col("player_id").cast("string").alias("player_id"), F.col("date_key").alias("__dk"))
     s = s.withColumn("__dk", X.date_key(F.col("d"))).join(done, ["player_id", "__dk"], "left_anti").drop("__dk")
     s = keep(s)                                                            # facts and rejects read the same rows
-    ok, bad_cast = R.cast_or_reject(s, {"player_id": "int", "market_value": "long", "date_raw": "date"})
-    valid, bad_rule = R.validate_or_reject(ok, [
-        (F.col("c_player_id").isNull(), "player_id missing"),
-        (F.col("c_date_raw").isNull(), "date missing"),
-        (F.col("c_market_value").isNotNull() & (F.col("c_market_value") < 0), "negative market value")],
-        window=R.load_window_filter(F.col("c_date_raw"), window.load_from, window.load_to))
+    casts = {"player_id": "int", "market_value": "long", "date_raw": "date"}
+    rules = [(F.col("c_player_id").isNull(), "player_id missing"),
+             (F.col("c_date_raw").isNull(), "date missing"),
+             (F.col("c_market_value").isNotNull() & (F.col("c_market_value") < 0), "negative market value")]
+    valid = _valid(s, casts, rules, F.col("c_date_raw"), window)
     players = dim_player.filter(F.col("is_current")).select(
         F.col("player_id").cast("int").alias("c_player_id"), "player_key", "date_of_birth")
     clubs = dim_club.filter(F.col("is_current")).select(F.col("club_id").cast("string").alias("current_club_id"),
@@ -297,10 +296,7 @@ def load_fact_player_valuation(stg: DataFrame, dim_player: DataFrame, dim_club:
         F.col("c_market_value").alias("market_value_eur"), "value_change_eur",
         X.age_in_range(F.col("date_of_birth"), F.col("c_date_raw"), 14, 100).alias("age_at_valuation"),
         F.lit(1).alias("valuation_count"), F.lit(window.batch_id).alias("batch_id"))
-    rejects = R.to_reject_log(bad_cast.withColumn(R.REASON, F.lit("cast error")).unionByName(bad_rule, allowMissingColumns=True),
-                              window.batch_id, "player_valuations",
-                              F.concat_ws("|", F.col("player_id"), F.col("date_raw")))
-    return fact, rejects
+    return fact, _rejects(s, casts, rules, window, "player_valuations", F.concat_ws("|", F.col("player_id"), F.col("date_raw")))
 
 
 def assign_batches(df: DataFrame, date_col: Column, windows: Sequence[LoadWindow]) -> DataFrame:
@@ -401,9 +397,14 @@ def _current_keys(dim: DataFrame, natural: str, key: str, out_nat: str, out_key:
     return cur.select(F.col(natural).cast("string").alias(out_nat), F.col(key).alias(out_key), *extra)
 
 
-def _rejects(bad_cast: DataFrame, bad_rule: DataFrame, window: LoadWindow, table: str, key: Column) -> DataFrame:
-    both = bad_cast.withColumn(R.REASON, F.lit("cast error")).unionByName(bad_rule, allowMissingColumns=True)
-    return R.to_reject_log(both, window.batch_id, table, key)
+def _valid(s: DataFrame, casts: dict[str, str], rules: list[tuple[Column, str]], date: Column, window: LoadWindow) -> DataFrame:
+    """The rows of the window that cast and break no rule, with their typed columns."""
+    ok, _ = R.cast_or_reject(s, casts)
+    return R.validate_or_reject(ok, rules, window=R.load_window_filter(date, window.load_from, window.load_to))[0]
+
+
+def _rejects(s: DataFrame, casts: dict[str, str], rules: list[tuple[Column, str]], window: LoadWindow, table: str, key: Column) -> DataFrame:
+    return R.to_reject_log(R.rejected(s, casts, rules), window.batch_id, table, key)
 
 
 def load_fact_team_match(stg_club_games: DataFrame, stg_games: DataFrame, dims: dict[str, DataFrame],
@@ -433,13 +434,11 @@ def load_fact_team_match(stg_club_games: DataFrame, stg_games: DataFrame, dims:
         .join(dims["club"].select("club_key", "club_id"), "club_key") \
         .select(F.col("game_id").cast("string").alias("game_id"), F.col("club_id").cast("string").alias("club_id"))
     s = keep(s.join(done, ["game_id", "club_id"], "left_anti"))            # natural-key anti-join at source
-    ok, bad_cast = R.cast_or_reject(s, {"game_id": "int", "club_id": "int", "own_goals": "int",
-                                        "own_position": "int", "opponent_id": "int", "opponent_goals": "int",
-                                        "game_date_raw": "date"})
-    valid, bad_rule = R.validate_or_reject(ok, [
-        (F.col("c_game_id").isNull() | F.col("c_club_id").isNull() | F.col("c_own_goals").isNull()
-         | F.col("c_opponent_goals").isNull() | F.col("c_game_date_raw").isNull(), "missing required value")],
-        window=R.load_window_filter(F.col("c_game_date_raw"), window.load_from, window.load_to))
+    casts = {"game_id": "int", "club_id": "int", "own_goals": "int", "own_position": "int", "opponent_id": "int",
+             "opponent_goals": "int", "game_date_raw": "date"}
+    rules = [(F.col("c_game_id").isNull() | F.col("c_club_id").isNull() | F.col("c_own_goals").isNull()
+              | F.col("c_opponent_goals").isNull() | F.col("c_game_date_raw").isNull(), "missing required value")]
+    valid = _valid(s, casts, rules, F.col("c_game_date_raw"), window)
     gf, ga = F.col("c_own_goals"), F.col("c_opponent_goals")
     f = valid.withColumns({"own_manager_name": X.default_label("own_manager_name"),
                            "opponent_manager_name": X.default_label("opponent_manager_name")})
@@ -465,8 +464,7 @@ def load_fact_team_match(stg_club_games: DataFrame, stg_games: DataFrame, dims:
                     F.lit(window.batch_id).alias("batch_id"))
     # sink check on surrogate keys as well (the source anti-join is the one that survives SCD2)
     fact = fact.join(existing_fact.select("match_key", "club_key"), ["match_key", "club_key"], "left_anti")
-    return fact, _rejects(bad_cast, bad_rule, window, "club_games",
-                          F.concat_ws("|", F.col("game_id"), F.col("club_id")))
+    return fact, _rejects(s, casts, rules, window, "club_games", F.concat_ws("|", F.col("game_id"), F.col("club_id")))
 
 
 def load_fact_player_appearance(stg: DataFrame, stg_games: DataFrame, dims: dict[str, DataFrame],
@@ -484,16 +482,16 @@ def load_fact_player_appearance(stg: DataFrame, stg_games: DataFrame, dims: dict
     s = keep(s.join(existing_fact.select("appearance_id"), "appearance_id", "left_anti").join(g, "game_id", "left"))
     ints = ["game_id", "player_id", "player_club_id", "yellow_cards", "red_cards", "goals", "assists",
             "minutes_played"]
-    ok, bad_cast = R.cast_or_reject(s, {**{c: "int" for c in ints}, "date_raw": "date"})
+    casts = {**{c: "int" for c in ints}, "date_raw": "date"}
     c = F.col
-    valid, bad_rule = R.validate_or_reject(ok, [
+    rules = [
         (c("c_game_id").isNull() | c("c_player_id").isNull() | c("c_date_raw").isNull()
          | c("c_minutes_played").isNull() | c("c_goals").isNull() | c("c_assists").isNull()
          | c("c_yellow_cards").isNull() | c("c_red_cards").isNull(), "missing required value"),
         ((c("c_minutes_played") < 0) | (c("c_minutes_played") > fixed.MINUTES_MAX), "minutes out of range"),
         ((c("c_goals") < 0) | (c("c_assists") < 0) | (c("c_yellow_cards") < 0) | (c("c_red_cards") < 0),
-         "negative count")],
-        window=R.load_window_filter(c("c_date_raw"), window.load_from, window.load_to))
+         "negative count")]
+    valid = _valid(s, casts, rules, c("c_date_raw"), window)
     f = (valid.join(_current_keys(dims["match"], "game_id", "match_key", "game_id", "match_key"), "game_id", "left")
          .join(_current_keys(dims["player"], "player_id", "player_key", "player_id", "player_key"), "player_id",
                "left")
@@ -509,7 +507,7 @@ def load_fact_player_appearance(stg: DataFrame, stg_games: DataFrame, dims: dict
                     c("c_goals").alias("goals"), c("c_assists").alias("assists"),
                     c("c_yellow_cards").alias("yellow_cards"), c("c_red_cards").alias("red_cards"),
                     F.lit(1).alias("appearance_count"), F.lit(window.batch_id).alias("batch_id"))
-    return fact, _rejects(bad_cast, bad_rule, window, "appearances", c("appearance_id"))
+    return fact, _rejects(s, casts, rules, window, "appearances", c("appearance_id"))
 
 
 def load_fact_transfer(stg: DataFrame, dims: dict[str, DataFrame], existing_fact: DataFrame,
@@ -528,47 +526,51 @@ def load_fact_transfer(stg: DataFrame, dims: dict[str, DataFrame], existing_fact
     s = D.dedup_latest(s, ["player_id", "date_raw", "from_club_id", "to_club_id"],
                        ["batch_id", "source_row", "transfer_fee", "mv"])
     # deals of the window that are in the fact already, by the natural ids of any version of
-    # the player and the clubs: a club that got a new version since keeps its deals
+    # the player and the clubs: a club that got a new version since keeps its deals. Dates meet as
+    # the text of the key, so the join finds the rows as the de-duplication spread them
     lo, hi = (X.date_key(F.to_date(F.lit(x))) for x in (window.load_from, window.load_to))
+    loaded = existing_fact.filter(F.col("date_key").between(lo, hi)).select("player_key", "date_key", "from_club_key", "to_club_key")
     club_ids = dims["club"].select("club_key", F.col("club_id").cast("string").alias("club_id"))
-    done = (existing_fact.filter(F.col("date_key").between(lo, hi))
-            .join(dims["player"].select("player_key", F.col("player_id").cast("string").alias("__pid")), "player_key")
-            .join(club_ids.withColumnsRenamed({"club_key": "from_club_key", "club_id": "__f"}), "from_club_key")
+    done = (loaded.join(club_ids.withColumnsRenamed({"club_key": "from_club_key", "club_id": "__f"}), "from_club_key")
             .join(club_ids.withColumnsRenamed({"club_key": "to_club_key", "club_id": "__t"}), "to_club_key")
-            .select("__pid", F.col("date_key").alias("__dk"), "__f", "__t"))
-    s = s.withColumns({"__dk": X.date_key(F.try_to_date(F.col("date_raw"), "yyyy-MM-dd"))})
-    s = s.join(done, (s.player_id == done["__pid"]) & (s["__dk"] == done["__dk"]) & (s.from_club_id == done["__f"])
-               & (s.to_club_id == done["__t"]), "left_anti").drop("__dk")
+            .join(dims["player"].select("player_key", F.col("player_id").cast("string").alias("__pid")), "player_key")
+            .select("__pid", F.date_format(F.try_to_date(F.col("date_key").cast("string"), "yyyyMMdd"), "yyyy-MM-dd").alias("__d"),
+                    "__f", "__t"))
+    s = s.join(done, (s.player_id == done["__pid"]) & (s.date_raw == done["__d"]) & (s.from_club_id == done["__f"])
+               & (s.to_club_id == done["__t"]), "left_anti")
     s = keep(s)
-    ok, bad_cast = R.cast_or_reject(s, {"player_id": "int", "date_raw": "date", "from_club_id": "int",
-                                        "to_club_id": "int", "transfer_fee": "decimal(19,3)", "mv": "decimal(19,3)"})
     c = F.col
-    valid, bad_rule = R.validate_or_reject(ok, [
-        (c("c_player_id").isNull() | c("c_date_raw").isNull(), "missing required value"),
-        (c("c_transfer_fee").isNotNull() & (c("c_transfer_fee") < 0), "negative fee"),
-        (c("c_mv").isNotNull() & (c("c_mv") < 0), "negative market value")],
-        window=R.load_window_filter(c("c_date_raw"), window.load_from, window.load_to))
+    casts = {"player_id": "int", "date_raw": "date", "from_club_id": "int", "to_club_id": "int",
+             "transfer_fee": "decimal(19,3)", "mv": "decimal(19,3)"}
+    rules = [(c("c_player_id").isNull() | c("c_date_raw").isNull(), "missing required value"),
+             (c("c_transfer_fee").isNotNull() & (c("c_transfer_fee") < 0), "negative fee"),
+             (c("c_mv").isNotNull() & (c("c_mv") < 0), "negative market value")]
+    valid = _valid(s, casts, rules, c("c_date_raw"), window)
     players = dims["player"].filter(c("is_current")).select(c("player_id").cast("string").alias("player_id"),
                                                               "player_key", "date_of_birth")
     seasons = dims["season"].select(c("season_short").alias("transfer_season"), "season_key")
-    f = (valid.join(players, "player_id", "left")
+    # clubs and seasons first: what is moved to the players are keys and numbers, no text but the id
+    f = valid.select("player_id", "transfer_season", "from_club_id", "to_club_id", c("c_date_raw").alias("__date"),
+                     c("c_transfer_fee").cast("long").alias("transfer_fee_eur"), c("c_mv").cast("long").alias("market_value_eur"))
+    f = (f.join(F.broadcast(seasons), "transfer_season", "left")
          .join(_current_keys(dims["club"], "club_id", "club_key", "from_club_id", "from_club_key"), "from_club_id",
                "left")
          .join(_current_keys(dims["club"], "club_id", "club_key", "to_club_id", "to_club_key"), "to_club_id", "left")
-         .join(F.broadcast(seasons), "transfer_season", "left"))
+         .join(players, "player_id", "left"))
     f = J.unknown_key(f, "player_key", "from_club_key", "to_club_key", "season_key")
-    fee, mv, d = c("c_transfer_fee").cast("long"), c("c_mv").cast("long"), c("c_date_raw")
-    fact = f.select("player_key", X.date_key(d).alias("date_key"), "season_key", "from_club_key", "to_club_key",
-                    X.transfer_type_key(fee).cast("int").alias("transfer_type_key"), fee.alias("transfer_fee_eur"),
-                    mv.alias("market_value_eur"), X.fee_premium(fee, mv).alias("fee_premium_eur"),
+    f = f.select("player_key", X.date_key(c("__date")).alias("date_key"), "season_key", "from_club_key", "to_club_key",
+                 "transfer_fee_eur", "market_value_eur", "date_of_birth", "__date")
+    # clubs that were unknown when the deal was loaded have no natural id in the fact: the keys
+    # decide. What follows from other columns is added after the rows were moved
+    f = f.join(loaded, ["player_key", "date_key", "from_club_key", "to_club_key"], "left_anti")
+    fee, mv, d = c("transfer_fee_eur"), c("market_value_eur"), c("__date")
+    fact = f.select("player_key", "date_key", "season_key", "from_club_key", "to_club_key",
+                    X.transfer_type_key(fee).cast("int").alias("transfer_type_key"), "transfer_fee_eur",
+                    "market_value_eur", X.fee_premium(fee, mv).alias("fee_premium_eur"),
                     X.age_in_range(c("date_of_birth"), d, 0, 100).alias("age_at_transfer"),
                     X.youth_flag(c("date_of_birth"), d).alias("is_youth_transfer"),
                     F.lit(1).alias("transfer_count"), F.lit(window.batch_id).alias("batch_id"))
-    # clubs that were unknown when the deal was loaded have no natural id in the fact: the keys decide
-    fact = fact.join(existing_fact.filter(F.col("date_key").between(lo, hi))
-                     .select("player_key", "date_key", "from_club_key", "to_club_key"),
-                     ["player_key", "date_key", "from_club_key", "to_club_key"], "left_anti").select(*fact.columns)
-    return fact, _rejects(bad_cast, bad_rule, window, "transfers",
+    return fact, _rejects(s, casts, rules, window, "transfers",
                           F.concat_ws("|", c("player_id"), c("date_raw"), c("from_club_id"), c("to_club_id")))
 
 
