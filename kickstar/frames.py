@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import threading
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,36 +57,66 @@ def session_memo(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return wrapper
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaning: dict[str, int] = {}
+_cleaning_lock = threading.Lock()
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go when each write ends; else they stay on the disks until
+    the driver happens to collect its garbage, through all later steps. Nothing reads them again: a
+    write is planned anew each time. A setting that the session was given stays."""
+    session = session_id(spark)
+    with _cleaning_lock:
+        if session in _cleaning or spark.conf.get(SHUFFLE_CLEANUP, None) in (None, ""):
+            _cleaning[session] = _cleaning.get(session, 0) + 1
+            spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _cleaning_lock:
+            if session in _cleaning:
+                _cleaning[session] -= 1
+                if not _cleaning[session]:
+                    del _cleaning[session]
+                    spark.conf.unset(SHUFFLE_CLEANUP)
+
+
 def materialize(df: DataFrame, label: str = "mat", partition_by: Sequence[str] | None = None,
-                sort_by: Sequence[str] | None = None) -> DataFrame:
+                sort_by: Sequence[str] | None = None, after: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Cut lineage: write the rows once as parquet under the shared ``spark.checkpoint.dir``
     and read them back (one execution; ``checkpoint()`` would compute the plan twice
     unless it were cached). Recomputed tasks then read the same files.
 
     ``partition_by`` writes one directory per value (no extra shuffle: each task writes
     its own rows per value), so filters on those columns prune directories on read; the
-    rows are read back with the written schema (no partition-type inference)."""
+    rows are read back with the written schema (no partition-type inference). ``after`` gives
+    the rows to write from ``df``."""
     from kickstar.session import checkpoint_dir
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/kickstar-{label}-{uuid.uuid4().hex}"
-    _write(df, path, partition_by, sort_by)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    _write(df, path, partition_by, sort_by, after)
+    return spark.read.schema(after(df).schema).parquet(path).select(*after(df).columns)
 
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str] | None,
-           sort_by: Sequence[str] | None = None) -> None:
+           sort_by: Sequence[str] | None = None, after: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
     """Write parquet; a partitioned write is first rebalanced on the partition columns, so
     each task writes one value's slice (AQE splits a hot value into several tasks and
     merges small ones) instead of every task writing a small file into every folder.
     ``sort_by`` (starting with the partition columns) orders the rows inside each task, so
-    row-group min/max statistics let filters on those columns skip row groups."""
+    row-group min/max statistics let filters on those columns skip row groups. ``after`` adds
+    columns that follow from others once the rows were moved, so they are not moved with them."""
     if partition_by:
-        df = df.hint("rebalance", *partition_by)
+        df = after(df.hint("rebalance", *partition_by))
         if sort_by:
             df = df.sortWithinPartitions(*sort_by)
-        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     else:
-        df.write.mode("errorifexists").parquet(path)
+        df = after(df)
+    with shuffles_removed(df.sparkSession):
+        writer = df.write.mode("errorifexists")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -123,7 +155,8 @@ def _finished_copy(spark: SparkSession, base: str) -> str | None:
 
 
 def stored(df: DataFrame, label: str, fingerprint: str, partition_by: Sequence[str] | None = None,
-           reuse: bool = True, sort_by: Sequence[str] | None = None) -> DataFrame:
+           reuse: bool = True, sort_by: Sequence[str] | None = None,
+           after: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """A derived table kept in the shared checkpoint folder under a folder named by the
     sources' fingerprint, so later sessions reuse it instead of deriving it again.
 
@@ -133,10 +166,10 @@ def stored(df: DataFrame, label: str, fingerprint: str, partition_by: Sequence[s
     from kickstar.session import checkpoint_dir
     spark = df.sparkSession
     if not reuse:
-        return materialize(df, label, partition_by, sort_by)
+        return materialize(df, label, partition_by, sort_by, after)
     base = f"{checkpoint_dir(spark).rstrip('/')}/kickstar-store/{label}-{fingerprint}"
     path = _finished_copy(spark, base)
     if path is None:
         path = f"{base}/{uuid.uuid4().hex}"
-        _write(df, path, partition_by, sort_by)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        _write(df, path, partition_by, sort_by, after)
+    return spark.read.schema(after(df).schema).parquet(path).select(*after(df).columns)

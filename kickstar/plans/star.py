@@ -253,34 +253,44 @@ TEAM_MATCH_COLUMNS = ["match_key", "club_key", "competition_key", "season_key",
                       "league_position"]
 
 
-def _team_match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Team × match rows from lineitem ⋈ supplier, with the opponent (supplier count) and
-    the manager (part brand; left join, so a missing part leaves NULL) attached once."""
+# A fact is derived in two steps: the narrow rows that the joins and the write move, and the
+# columns that follow from them, which are added where the rows are written.
+
+def _team_match_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem ⋈ supplier, with the manager (part brand; left join, so a missing part leaves
+    NULL) attached once."""
     li = _lineitem(spark, sf_dir, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                    "l_returnflag", "l_linestatus", "l_shipdate"], None)
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    df = (li.join(sup, li.l_suppkey == sup.s_suppkey)
-          .crossJoin(F.broadcast(_n_supp(spark, sf_dir)))
-          .join(part, F.col("l_partkey") == part.p_partkey, "left"))
-    gf = (F.col("l_quantity").cast("int") % 5).cast("int")
-    ga = (F.col("l_linenumber") % 4).cast("int")
-    cols = [
+    lines = li.join(sup, li.l_suppkey == sup.s_suppkey).select(
         F.col("l_orderkey").alias("match_key"),
         F.col("l_suppkey").alias("club_key"),
         competition_key(F.col("s_nationkey"), F.col("l_linestatus")).alias("competition_key"),
         _season(F.col("l_shipdate")).alias("season_key"),
         X.date_key(F.col("l_shipdate")).alias("date_key"),
         F.when(F.col("l_returnflag") == "N", 1).otherwise(0).alias("is_home"),
-        gf.alias("goals_for"),
-        ga.alias("goals_against"),
-    ]
+        (F.col("l_quantity").cast("int") % 5).cast("int").alias("goals_for"),
+        "l_linenumber", "l_partkey")
+    return lines.join(part, F.col("l_partkey") == part.p_partkey, "left").select(
+        *lines.columns, F.substring("p_brand", 7, 10).cast("int").alias("manager_key"),
+        F.col("p_partkey").isNotNull().alias("__has_part"))
+
+
+def _team_match_columns(spark: SparkSession, sf_dir: str, base: DataFrame) -> DataFrame:
+    """The columns that follow from the narrow rows and the supplier count (opponent)."""
+    gf, ga = F.col("goals_for"), (F.col("l_linenumber") % 4).cast("int")
+    cols = ["match_key", "club_key", "competition_key", "season_key", "date_key", "is_home", gf.alias("goals_for"),
+            ga.alias("goals_against")]
     cols += [c.alias(n) for n, c in X.match_outcome(gf, ga).items()]
     cols.append(((F.col("l_partkey") % 20) + 1).cast("int").alias("league_position"))
-    cols.append(((F.col("l_suppkey") + F.col("l_linenumber")) % F.col("_n_supp")).alias("opponent_club_key"))
-    cols.append(F.substring("p_brand", 7, 10).cast("int").alias("manager_key"))
-    cols.append(F.col("p_partkey").isNotNull().alias("__has_part"))
-    return df.select(*cols)
+    cols.append(((F.col("club_key") + F.col("l_linenumber")) % F.col("_n_supp")).alias("opponent_club_key"))
+    return base.crossJoin(F.broadcast(_n_supp(spark, sf_dir))).select(*cols, "manager_key", "__has_part")
+
+
+def _team_match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Team × match rows with the opponent and the manager."""
+    return _team_match_columns(spark, sf_dir, _team_match_base(spark, sf_dir))
 
 
 # driver tables the stored facts are derived from (their fingerprint names the stored copy)
@@ -305,8 +315,10 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _store(spark: SparkSession, sf_dir: str, df: DataFrame, label: str, partition_by, reuse: bool,
-           sort_by=None) -> DataFrame:
-    return stored(df, label, _fingerprint(spark, sf_dir), partition_by, reuse=reuse, sort_by=sort_by)
+           sort_by=None, after=None) -> DataFrame:
+    """``after(spark, sf_dir, df)`` gives the fact's columns from its narrow rows."""
+    more = (lambda rows: after(spark, sf_dir, rows)) if after else (lambda rows: rows)
+    return stored(df, label, _fingerprint(spark, sf_dir), partition_by, reuse=reuse, sort_by=sort_by, after=more)
 
 
 # inside a season folder, rows are ordered by competition: a competition filter reads
@@ -318,8 +330,8 @@ BY_COMPETITION = ["season_key", "competition_key"]
 def stored_team_match(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFrame:
     """The team-match fact, derived from the driver tables and stored (shared checkpoint
     folder) partitioned by season: the queries read this table like the warehouse's fact."""
-    return _store(spark, sf_dir, _team_match_rows(spark, sf_dir), "fact_team_match", ["season_key"], reuse,
-                  BY_COMPETITION)
+    return _store(spark, sf_dir, _team_match_base(spark, sf_dir), "fact_team_match", ["season_key"], reuse,
+                  BY_COMPETITION, _team_match_columns)
 
 
 def team_match(spark: SparkSession, sf_dir: str, with_manager: bool = False, with_opponent: bool = False,
@@ -337,36 +349,42 @@ def team_match(spark: SparkSession, sf_dir: str, with_manager: bool = False, wit
     return df.select(*cols)
 
 
-def _appearance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _appearance_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _lineitem(spark, sf_dir, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                    "l_discount", "l_tax", "l_linestatus", "l_shipdate"], None)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    df = li.join(o, li.l_orderkey == o.o_orderkey).join(sup, F.col("l_suppkey") == sup.s_suppkey)
-    disc = F.round(F.col("l_discount") * 100).cast("int")
-    tax = F.round(F.col("l_tax") * 100).cast("int")
-    return df.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-        .alias("appearance_id"),
-        F.col("l_orderkey").alias("match_key"),
-        F.col("o_custkey").alias("player_key"),
+    disc, tax = F.round(F.col("l_discount") * 100), F.round(F.col("l_tax") * 100)
+    lines = li.join(sup, F.col("l_suppkey") == sup.s_suppkey).select(
+        "l_orderkey", "l_linenumber", "l_quantity",
         F.col("l_suppkey").alias("club_key"),
         competition_key(F.col("s_nationkey"), F.col("l_linestatus")).alias("competition_key"),
         _season(F.col("l_shipdate")).alias("season_key"),
         X.date_key(F.col("l_shipdate")).alias("date_key"),
-        ((F.col("l_quantity").cast("int") * 13) % 91).cast("int").alias("minutes_played"),
-        (F.col("l_linenumber") % 3).cast("int").alias("goals"),
         (F.col("l_partkey") % 3).cast("int").alias("assists"),
         F.when(disc >= 7, 1).otherwise(0).alias("yellow_cards"),
-        F.when((disc == 10) & (tax >= 6), 1).otherwise(0).alias("red_cards"),
-        F.lit(1).alias("appearance_count"),
-    )
+        F.when((disc == 10) & (tax >= 6), 1).otherwise(0).alias("red_cards"))
+    return lines.join(o, lines.l_orderkey == o.o_orderkey).select(*lines.columns, F.col("o_custkey").alias("player_key"))
+
+
+def _appearance_columns(spark: SparkSession, sf_dir: str, base: DataFrame) -> DataFrame:
+    return base.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+        .alias("appearance_id"),
+        F.col("l_orderkey").alias("match_key"), "player_key", "club_key", "competition_key", "season_key", "date_key",
+        ((F.col("l_quantity").cast("int") * 13) % 91).cast("int").alias("minutes_played"),
+        (F.col("l_linenumber") % 3).cast("int").alias("goals"), "assists", "yellow_cards", "red_cards",
+        F.lit(1).alias("appearance_count"))
+
+
+def _appearance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _appearance_columns(spark, sf_dir, _appearance_base(spark, sf_dir))
 
 
 @session_memo
 def stored_player_appearance(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFrame:
-    return _store(spark, sf_dir, _appearance_rows(spark, sf_dir), "fact_player_appearance", ["season_key"], reuse,
-                  BY_COMPETITION)
+    return _store(spark, sf_dir, _appearance_base(spark, sf_dir), "fact_player_appearance", ["season_key"], reuse,
+                  BY_COMPETITION, _appearance_columns)
 
 
 def player_appearance(spark: SparkSession, sf_dir: str, ship_range: tuple[str, str] | None = None) -> DataFrame:
@@ -412,30 +430,39 @@ def player_valuation(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Da
     return _store(spark, sf_dir, _valuation_rows(spark, sf_dir), "fact_player_valuation", None, reuse)
 
 
-def _transfer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _transfer_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines meet their part, then their order, which knows already whether its customer exists."""
     li = _lineitem(spark, sf_dir, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                    "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"], None)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     cust = table(spark, sf_dir, "customer").select("c_custkey")
-    df = (li.join(o, li.l_orderkey == o.o_orderkey)
-          .join(part, li.l_partkey == part.p_partkey)
-          .join(cust, F.col("o_custkey") == cust.c_custkey, "left")
-          .crossJoin(F.broadcast(_n_supp(spark, sf_dir))))
-    fee = (F.when(F.col("l_returnflag") == "R", F.lit(None).cast("long"))
-           .when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"), F.lit(0).cast("long"))
-           .otherwise(F.round(F.col("l_extendedprice") * 1000).cast("long")))
-    mv = F.round(F.col("p_retailprice") * F.col("l_quantity") * 1000).cast("long")
-    to_club = (F.when(F.col("l_linenumber") == 7, F.lit(-2).cast("long"))
-               .when((F.col("l_linenumber") == 6) & (F.col("l_returnflag") == "N"), F.lit(-1).cast("long"))
-               .otherwise((F.col("l_suppkey") + 3 * F.col("l_linenumber")) % F.col("_n_supp")))
     tdate = F.to_date("l_shipdate")
-    dob = F.when(F.col("c_custkey").isNotNull(), player_dob(F.col("c_custkey")))
-    return df.select(
-        F.col("o_custkey").alias("player_key"),
-        tdate.alias("transfer_date"),
-        X.date_key(tdate).alias("date_key"),
-        _season(F.col("l_shipdate")).alias("season_key"),
+    lines = li.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", tdate.alias("transfer_date"),
+        F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double"))
+        .when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"), F.lit(0.0))
+        .otherwise(F.col("l_extendedprice")).alias("price"),
+        F.when(F.col("l_linenumber") == 7, F.lit(-2).cast("long"))
+        .when((F.col("l_linenumber") == 6) & (F.col("l_returnflag") == "N"), F.lit(-1).cast("long")).alias("to_code"))
+    priced = lines.join(part, lines.l_partkey == part.p_partkey).select(
+        "l_orderkey", "l_suppkey", "l_linenumber", "transfer_date", "price", "to_code",
+        F.round(F.col("p_retailprice") * F.col("l_quantity") * 1000).alias("mv"))
+    known = o.join(cust, F.col("o_custkey") == cust.c_custkey, "left") \
+        .select("o_orderkey", F.col("o_custkey").alias("player_key"), F.col("c_custkey").isNotNull().alias("has_player"))
+    return priced.join(known, priced.l_orderkey == known.o_orderkey).select(
+        "player_key", "has_player", "transfer_date", F.year("transfer_date").cast("int").alias("season_key"),
+        "l_suppkey", "l_linenumber", "to_code", "price", "mv")
+
+
+def _transfer_columns(spark: SparkSession, sf_dir: str, base: DataFrame) -> DataFrame:
+    fee = F.round(F.col("price") * 1000).cast("long")
+    mv, tdate = F.col("mv").cast("long"), F.col("transfer_date")
+    to_club = F.coalesce(F.col("to_code"), (F.col("l_suppkey") + 3 * F.col("l_linenumber")) % F.col("_n_supp"))
+    dob = F.when(F.col("has_player"), player_dob(F.col("player_key")))
+    return base.crossJoin(F.broadcast(_n_supp(spark, sf_dir))).select(
+        "player_key", "transfer_date",
+        X.date_key(tdate).alias("date_key"), "season_key",
         F.col("l_suppkey").alias("from_club_key"),
         to_club.alias("to_club_key"),
         X.transfer_type_key(fee).cast("int").alias("transfer_type_key"),
@@ -448,9 +475,14 @@ def _transfer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _transfer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _transfer_columns(spark, sf_dir, _transfer_base(spark, sf_dir))
+
+
 @session_memo
 def stored_transfer(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFrame:
-    return _store(spark, sf_dir, _transfer_rows(spark, sf_dir), "fact_transfer", ["season_key"], reuse)
+    return _store(spark, sf_dir, _transfer_base(spark, sf_dir), "fact_transfer", ["season_key"], reuse,
+                  after=_transfer_columns)
 
 
 def transfer(spark: SparkSession, sf_dir: str, ship_range: tuple[str, str] | None = None) -> DataFrame:

@@ -22,6 +22,7 @@ def _own(spark):
     """A session in which no join is a broadcast, as on large tables."""
     own = spark.newSession()
     own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    own.conf.set("spark.sql.shuffle.partitions", "2")
     return own
 
 
@@ -63,3 +64,52 @@ def test_the_first_anti_join_finds_transfers_as_the_deduplication_spread_them(sp
     assert again.count() == 0                       # an unknown club and a date in another spelling: found by the keys
     plan = fact._jdf.queryExecution().executedPlan().toString().split("\n")
     assert not [x for x in plan if "hashpartitioning(player_id#" in x and "to_club_id#" in x]        # spread once, as the groups
+
+
+def test_columns_that_follow_are_added_after_the_rows_were_moved(spark):
+    from kickstar import frames
+    df = spark.createDataFrame([(1, 2), (1, 3), (2, None), (None, 5)], "k int, v int")
+    after = lambda d: d.select("k", (F.col("v") * 2).alias("twice"), F.lit("text").alias("t"))
+    got = frames.materialize(df, "after", ["k"], ["k", "twice"], after=after)
+    assert got.columns == ["k", "twice", "t"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, after(df).collect()), key=repr)
+    from kickstar.plans import star
+    from tests.conftest import SF_SMALL
+    for base, rows in ((star._team_match_base, star._team_match_rows), (star._appearance_base, star._appearance_rows), (star._transfer_base, star._transfer_rows)):
+        assert len(base(spark, SF_SMALL).columns) < len(rows(spark, SF_SMALL).columns)
+    # customers meet the orders, not the lines
+    plan = star._transfer_base(spark, SF_SMALL)._jdf.queryExecution().analyzed().toString()
+    joined = plan.split("Join LeftOuter")[1]
+    assert "o_orderkey" in joined and "l_shipdate" not in joined
+
+
+def test_shuffle_files_of_a_write_go_with_it_and_a_given_setting_stays(spark):
+    from kickstar.frames import SHUFFLE_CLEANUP, shuffles_removed
+    own = spark.newSession()
+    with shuffles_removed(own), shuffles_removed(own):
+        assert own.conf.get(SHUFFLE_CLEANUP) == "true"
+    assert own.conf.get(SHUFFLE_CLEANUP, None) is None
+    own.conf.set(SHUFFLE_CLEANUP, "false")
+    with shuffles_removed(own):
+        assert own.conf.get(SHUFFLE_CLEANUP) == "false"
+    assert own.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
+def test_csv_files_are_ranges_of_the_rows_and_go_once_staged(spark, tmp_path):
+    import glob
+    import os
+
+    from kickstar.plans import staged
+    from kickstar.sources import sinks, staging
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    own.conf.set("spark.sql.shuffle.partitions", "3")
+    rows = own.createDataFrame([(str(k % 4), f"c{k}", k) for k in range(40)], "game_id string, club_id string, source_row long")
+    rows = rows.withColumns({c: F.lit(c) for c in staged.CLUB_GAME_ORDER})
+    files = staged.write_csv_files(own, {"club_games": rows}, str(tmp_path / "files"))
+    assert len(glob.glob(f"{files['club_games']}/part-*")) == 3
+    read = staging.stage_csv(own, files, str(tmp_path / "staging"), dt.datetime(2024, 7, 1), "B")["club_games"]
+    sinks.remove(own, files["club_games"])
+    assert not os.path.exists(files["club_games"])
+    assert [(r.source_row, r.club_id, r.is_win) for r in read.orderBy("source_row").collect()] == [
+        (k + 1, f"c{k}", f'free "text", line one\nand line {k}') for k in range(40)]
