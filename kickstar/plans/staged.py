@@ -43,9 +43,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kickstar import fixed
-from kickstar.frames import materialize
+from kickstar.frames import literal_frame, materialize, shuffles_removed
 from kickstar.functions import exprs as X
 from kickstar.plans import star, warehouse as WH
+from kickstar.sources import sinks
 from kickstar.sources.driver import table
 
 VAL_WINDOW_1 = WH.LoadWindow("2024-01-01", "2024-01-15", "BATCH_RUN_1")
@@ -148,16 +149,17 @@ def stg_games(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("BATCH_1").alias("batch_id"), F.col("o_orderkey").alias("source_row"))
 
 
-def load_fact_team_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged club games of the window 1995-1998 → team × match facts (seven key lookups)."""
-    from kickstar.frames import literal_frame
+def team_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     manager = star.dim_manager(spark, sf_dir).unionByName(
         literal_frame(spark, [(-1, fixed.UNKNOWN)], "manager_key int, manager_name string"))
-    dims = {"match": star.dim_match(spark, sf_dir), "club": star.dim_club(spark, sf_dir),
-            "competition": star.dim_competition(spark, sf_dir), "season": star.dim_season(spark),
-            "manager": manager}
+    return {"match": star.dim_match(spark, sf_dir), "club": written_clubs(spark, sf_dir),
+            "competition": star.dim_competition(spark, sf_dir), "season": star.dim_season(spark), "manager": manager}
+
+
+def load_fact_team_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged club games of the window 1995-1998 → team × match facts (seven key lookups)."""
     empty = spark.createDataFrame([], "match_key long, club_key long")
-    fact, _ = WH.load_fact_team_match(stg_club_games(spark, sf_dir), stg_games(spark, sf_dir), dims, empty,
+    fact, _ = WH.load_fact_team_match(stg_club_games(spark, sf_dir), stg_games(spark, sf_dir), team_dims(spark, sf_dir), empty,
                                       TEAM_WINDOW)
     return fact
 
@@ -426,42 +428,43 @@ def write_csv_files(spark: SparkSession, staging: dict[str, DataFrame], folder:
     rows (then of the values), so that row numbers keep that order; returns the folders.
 
     Columns of the source that a derived table lacks hold text with quotes, commas and line
-    ends, which no load reads."""
+    ends, which no load reads; it is put in once the rows are in order. The ranges are in number
+    to the input, as for any shuffle: with a fixed number, a sort grows until it spills."""
     from kickstar.sources.staging import STAGING_COLUMNS
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = {}
     for name, df in staging.items():
         columns = STAGING_COLUMNS[name]
         there = [c for c in columns if c in df.columns]
         filler = F.concat(F.lit('free "text", line one\nand line '), F.col("source_row").cast("string"))
-        rows = df.select("source_row", *[F.col(c) if c in df.columns else filler.alias(c) for c in columns])
         order = ["source_row", *(CLUB_GAME_ORDER if name == "club_games" else there)]
         path = f"{folder.rstrip('/')}/{name}"
-        (rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select(*columns).write
-         .option("header", "true").option("quote", '"').option("escape", '"').option("quoteAll", "true")
-         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").option("emptyValue", "").csv(path))
+        rows = df.select("source_row", *there).repartitionByRange(*order).sortWithinPartitions(*order) \
+            .select(*[F.col(c) if c in there else filler.alias(c) for c in columns])
+        with shuffles_removed(spark):
+            (rows.write
+             .option("header", "true").option("quote", '"').option("escape", '"').option("quoteAll", "true")
+             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").option("emptyValue", "").csv(path))
         out[name] = path
     return out
 
 
 def csv_team_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Club games and games as CSV files, staged from them by byte ranges and loaded: the
-    team-match facts of the staged load, which reads the same rows without the files."""
+    team-match facts of the staged load, which reads the same rows without the files. The files
+    of a table, many times the staged rows, go as soon as it is staged from them."""
     import datetime as dt
 
-    from kickstar.frames import literal_frame
     from kickstar.session import checkpoint_dir
     from kickstar.sources.staging import stage_csv
     import uuid
     root = f"{checkpoint_dir(spark).rstrip('/')}/kickstar-csv-{uuid.uuid4().hex}"
-    files = write_csv_files(spark, {"club_games": stg_club_games(spark, sf_dir), "games": stg_games(spark, sf_dir)}, f"{root}/files")
-    stg = stage_csv(spark, files, f"{root}/staging", dt.datetime(2024, 7, 1), "BATCH_1")
-    manager = star.dim_manager(spark, sf_dir).unionByName(
-        literal_frame(spark, [(-1, fixed.UNKNOWN)], "manager_key int, manager_name string"))
-    dims = {"match": star.dim_match(spark, sf_dir), "club": star.dim_club(spark, sf_dir),
-            "competition": star.dim_competition(spark, sf_dir), "season": star.dim_season(spark), "manager": manager}
+    stg = {}
+    for name, rows in {"club_games": stg_club_games(spark, sf_dir), "games": stg_games(spark, sf_dir)}.items():
+        files = write_csv_files(spark, {name: rows}, f"{root}/files")
+        stg |= stage_csv(spark, files, f"{root}/staging", dt.datetime(2024, 7, 1), "BATCH_1")
+        sinks.remove(spark, files[name])
     empty = spark.createDataFrame([], "match_key long, club_key long")
-    fact, _ = WH.load_fact_team_match(stg["club_games"], stg["games"], dims, empty, TEAM_WINDOW)
+    fact, _ = WH.load_fact_team_match(stg["club_games"], stg["games"], team_dims(spark, sf_dir), empty, TEAM_WINDOW)
     return fact
 
 

@@ -37,6 +37,12 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that its own job wrote and has read to the end."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def reject_sink(rejects: DataFrame, path: str) -> None:
     """Append rejects, partitioned by source table (so a purge rewrites only its partitions)."""
     append(rejects, path, ["source_table"])

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kickstar.frames import shuffles_removed
 from kickstar.sources.csv_records import csv_table
 
 # fixed values: staging column lists (source header order)
@@ -59,8 +60,11 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 def csv_raw_source(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Read a CSV (header row, '"' qualifier, quoted newlines) with every column as text, by
-    many tasks per file."""
-    return csv_table(spark, path, columns).select(*columns)
+    many tasks per file. The audit finds the file of each row in ``with_source_file``."""
+    records = csv_table(spark, path, columns)
+    raw = records.select(*columns)
+    raw.with_source_file = records.select(*columns, "source_file")
+    return raw
 
 
 def batch_id_for(ts: dt.datetime) -> str:
@@ -76,6 +80,9 @@ def audit_columns(df: DataFrame, batch_id: str, loaded_at: dt.datetime | None =
                   source_file: str | Column | None = None) -> DataFrame:
     """Add batch_id, loaded_at and the source file name (last path element)."""
     loaded = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
+    known = getattr(df, "__dict__", {}).get("with_source_file")
+    if source_file is None and known is not None:
+        return known.select(*df.columns, F.lit(batch_id).alias("batch_id"), loaded.alias("loaded_at"), "source_file")
     if source_file is None:
         src = F.element_at(F.split(F.input_file_name(), "/"), -1)
     elif isinstance(source_file, str):
@@ -90,7 +97,8 @@ def staging_full_refresh(frames: dict[str, DataFrame], root: str) -> dict[str, s
     out = {}
     for name, df in frames.items():
         path = f"{root.rstrip('/')}/stg_raw_{name}"
-        df.write.mode("overwrite").parquet(path)
+        with shuffles_removed(df.sparkSession):
+            df.write.mode("overwrite").parquet(path)
         out[name] = path
     return out
 
